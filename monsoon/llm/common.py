@@ -54,6 +54,11 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _col_of(name: str) -> Column:
+    """The column of this very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def rekey(column: Column) -> Column:
     """The key under another name for the optimiser: a join on it gets its own exchanges, which adaptive execution may
     split where one key holds many rows; an exchange left over from an aggregation could not be split."""

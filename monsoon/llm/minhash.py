@@ -49,7 +49,7 @@ class MinHash:
     miss: float = 1e-6
     small: int = 16
     block: int = 128
-    pivots: int = 3
+    pivots: int = 2
 
     @property
     def threshold(self) -> float:
@@ -224,7 +224,8 @@ class _Linker:
         self.labels: DataFrame | None = None
 
     def add(self, links: DataFrame) -> None:
-        new = self.scratch.table(links.select("a", "b").distinct(), "links")
+        """Adds links, as edges between the components so far."""
+        new = self.scratch.table(links.select("a", "b"), "links")
         if new.isEmpty():
             return
         self.links = new if self.links is None else self.links.unionByName(new)
