@@ -56,7 +56,7 @@ def slot_values(text: Column) -> list[Column]:
 
 def _windows(df: DataFrame, keep: list[str], size: int) -> DataFrame:
     """keep, pos and the 128-bit hash of each window of `size` tokens of column tokens."""
-    hashed = df.where(F.size("tokens") >= size).select(*keep, F.transform("tokens", F.xxhash64).alias("h"))
+    hashed = df.where(F.size("tokens") >= size).select(*keep, F.transform("tokens", lambda t: F.xxhash64(t)).alias("h"))
     count = F.size("h") - (size - 1)
     parts = F.arrays_zip(*[F.slice("h", i + 1, count).alias(f"t{i}") for i in range(size)])
     names = [f"w.t{i}" for i in range(size)]
@@ -65,11 +65,16 @@ def _windows(df: DataFrame, keep: list[str], size: int) -> DataFrame:
     )
 
 
+def _count(tokens: str, n: Column, token: str) -> Column:
+    """How often token is among the first n."""
+    return F.size(F.filter(F.slice(tokens, 1, n), lambda t: t == token))
+
+
 def _in_window(pos: Column, size: Column) -> Column:
     """(kind, value) of each slot of the window at pos, in order; from columns tokens and v0..v2."""
     def value(i: Column) -> Column:
         token = F.get("tokens", i)
-        before = [F.size(F.filter(F.slice("tokens", 1, i), lambda t, p=p: t == p)) for p in PLACEHOLDERS]
+        before = [_count("tokens", i, p) for p in PLACEHOLDERS]
         return F.struct(i.alias("at"), F.when(token == "<name>", F.get("v0", before[0])).when(token == "<num>", F.get("v1", before[1])).otherwise(F.get("v2", before[2])).alias("value"))
 
     at = F.filter(F.sequence(pos, pos + size - 1), lambda i: F.get("tokens", i).isin(*PLACEHOLDERS))

@@ -8,12 +8,17 @@ positions are merged into runs, and the runs go.  Windows overlap, so a repeated
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monsoon.llm.common import Scratch, _col_of, rekey
 
 
+def _hashed(lines: str, seed: int) -> Column:
+    # no default argument in the lambda: a second parameter would be the index
+    return F.transform(lines, lambda x: F.xxhash64(F.lit(seed), x))
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of docs with its columns, as struct `doc`, and text (what is left), n_lines, n_removed (both int).
 
@@ -28,7 +33,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, window: int = 3, id_col: s
     keyed = [ident.isNull().alias("last"), ident.alias("ident"), F.xxhash64(text).alias("digest")]
 
     lines = docs.select(*keyed, F.split(text, "\n", -1).alias("lines")).where(F.size("lines") >= window)
-    hashed = lines.select("last", "ident", "digest", *[F.transform("lines", lambda x, s=s: F.xxhash64(F.lit(s), x)).alias(f"h{s}") for s in (1, 2)])
+    hashed = lines.select("last", "ident", "digest", *[_hashed("lines", s).alias(f"h{s}") for s in (1, 2)])
     count = F.size("h1") - (window - 1)
     parts = F.arrays_zip(*[F.slice(f"h{s}", i + 1, count).alias(f"h{s}_{i}") for s in (1, 2) for i in range(window)])
     exploded = hashed.select("last", "ident", "digest", F.posexplode(parts).alias("pos", "w"))

@@ -4,10 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from monsoon.llm import minhash
-from monsoon.llm.common import source
+from monsoon.llm import decontam, langid, linededup, minhash, pieces, pii, tokencounts, urlrules, vectors, warc
+from monsoon.llm.common import Scratch, source
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that leak a benchmark item, with the items."""
+    found = decontam.leaks(spark, source(spark, sf_dir, "documents"), source(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "matched", "total", "share")
+
+
+def op2_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "op2").path("archives")
+    pages = source(spark, sf_dir, "pages")
+    warc.write(spark, pages, path)
+    kind = pages.schema["page_id"].dataType
+    return warc.read(spark, path).select(
+        F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"), "valid", "segments"
+    )
+
+
+RULES = [
+    urlrules.Rule.domain("net", "/", "block"),
+    urlrules.Rule.domain("example.net", "/en/", "allow"),
+    urlrules.Rule.domain("example.com", "/de/", "block"),
+    urlrules.Rule.domain("org", "/fr/", "allow"),
+]
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urlrules.judge(spark, source(spark, sf_dir, "pages"), RULES)
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(spark, source(spark, sf_dir, "documents"))
+
+    def text(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii.KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(spark, source(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(spark, source(spark, sf_dir, "documents")).select("doc.doc_id", "text", "n_lines", "n_removed")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = source(spark, sf_dir, "documents")
+    model, threshold = langid.train(spark, docs.where(~langid.held_out(F.col("doc_id"))))
+    found = langid.predict(spark, docs, model, threshold)
+    return found.select(F.col("id").alias("doc_id"), langid.held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,17 +73,92 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, source(spark, sf_dir, "documents"), conf).withColumnRenamed("id", "doc_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.histogram(spark, source(spark, sf_dir, "documents"))
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(spark, source(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+_ALL = (
+    op1_benchmark_decontamination, op2_warc_segments, op3_url_rules, op4_personal_data, op5_sentencepiece, op6_line_dedup, op7_language_id,
+    op8_minhash_near_dedup, op9_token_counts, op10_embedding_near_dedup,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_minhash_near_dedup,)}
+    return {f.__name__: f for f in _ALL}
 
 
+_UNITS = "|".join(decontam.UNITS.split())
+#: Windows of the templates, joined, and one value of the document for each value of the item along every alignment.
+_OP1 = rf"""
+WITH raw AS (
+  SELECT DISTINCT 'd' AS side, doc_id AS id, text FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT DISTINCT 'b', item_id, text FROM benchmark WHERE text IS NOT NULL),
+n AS (SELECT *, regexp_replace(text, '([\p{{L}}\p{{N}},;:)] )(\p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)*)', '\1<name>', 'g') AS named FROM raw),
+u AS (SELECT *, regexp_replace(named, '\p{{N}}+(?:[.,:]\p{{N}}+)*', '<num>', 'g') AS numbered FROM n),
+t AS (SELECT side, id, list_filter(string_split_regex(lower(regexp_replace(numbered, '<num> ?({_UNITS})([^\p{{L}}\p{{N}}]|$)', '<num> <unit>\2', 'g')), '[^\p{{L}}<>]+'), lambda x: x <> '') AS w,
+  regexp_extract_all(text, '([\p{{L}}\p{{N}},;:)] )(\p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)*)', 2) AS v0,
+  regexp_extract_all(named, '\p{{N}}+(?:[.,:]\p{{N}}+)*') AS v1,
+  regexp_extract_all(numbered, '<num> ?({_UNITS})([^\p{{L}}\p{{N}}]|$)', 1) AS v2 FROM u),
+tok AS (SELECT side, id, v0, v1, v2, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM t),
+num AS (SELECT *, count(*) FILTER (token = '<name>') OVER k AS c0, count(*) FILTER (token = '<num>') OVER k AS c1, count(*) FILTER (token = '<unit>') OVER k AS c2
+  FROM tok WINDOW k AS (PARTITION BY side, id ORDER BY pos)),
+slot AS (SELECT side, id, pos, CASE token WHEN '<name>' THEN v0[c0] WHEN '<num>' THEN v1[c1] ELSE v2[c2] END AS value FROM num WHERE token IN ('<name>', '<num>', '<unit>')),
+size AS (SELECT id AS item, least(len(w), 8) AS s FROM t WHERE side = 'b' AND len(w) > 0),
+iw AS (SELECT id AS item, s, p AS ipos, array_to_string(w[p:p + s - 1], ' ') AS k, w[p:p + s - 1] AS ws FROM t JOIN size ON side = 'b' AND id = item, unnest(range(1, len(w) - s + 2)) r(p)),
+ik AS (SELECT item, s, ipos, k FROM iw WHERE len(list_filter(ws, lambda x: x NOT IN ('<name>', '<num>', '<unit>'))) >= least(4, s)),
+total AS (SELECT item, count(*) AS total FROM ik GROUP BY 1),
+dw AS (SELECT id AS doc, z.s, p AS pos, array_to_string(w[p:p + z.s - 1], ' ') AS k FROM t, (SELECT DISTINCT s FROM ik) z, unnest(range(1, len(w) - z.s + 2)) r(p) WHERE side = 'd'),
+hit AS (SELECT doc, pos, item, ipos, s, pos - ipos AS shift FROM dw JOIN ik USING (s, k)),
+pairs AS (SELECT DISTINCT h.doc, h.item, h.shift, i.value AS iv, d.value AS dv FROM hit h
+  JOIN slot i ON i.side = 'b' AND i.id = h.item AND i.pos BETWEEN h.ipos AND h.ipos + h.s - 1
+  JOIN slot d ON d.side = 'd' AND d.id = h.doc AND d.pos = i.pos + h.shift),
+broken AS (SELECT DISTINCT doc, item, shift FROM (SELECT doc, item, shift, iv FROM pairs GROUP BY ALL HAVING count(DISTINCT dv) > 1))
+SELECT doc AS doc_id, item AS item_id, count(DISTINCT ipos) AS matched, any_value(total) AS total, count(DISTINCT ipos) / any_value(total) AS share
+FROM hit JOIN total USING (item) ANTI JOIN broken USING (doc, item, shift)
+GROUP BY doc, item HAVING count(DISTINCT ipos) >= 0.5 * any_value(total)
+"""
+
+_BASE32 = "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INTEGER), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '')"
+_OP2 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, octet_length(encode(payload)) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to, true AS valid,
+  CAST(1 AS INTEGER) AS segments FROM m
+"""
+
+_OP3 = r"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+s AS (SELECT page_id, regexp_extract(coalesce(rest, ''), '^[^?#]*') AS r FROM u),
+h AS (SELECT page_id, translate(regexp_extract(r, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, substr(r, length(regexp_extract(r, '^[^/]*')) + 1) AS path FROM s),
+rules(host_, path_, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+m AS (SELECT h.*, host_ || path_ AS rule, verdict, row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(host_ || path_) DESC) AS n
+  FROM h LEFT JOIN rules ON (host = host_ OR ends_with(host, '.' || host_)) AND starts_with(path, path_))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE n = 1
+"""
+
+_OP6 = """
+WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+w AS (SELECT doc_id, p AS pos, array_to_string(l[p:p + 2], chr(10)) AS k FROM l, unnest(range(1, len(l) - 1)) r(p)),
+later AS (SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, pos) AS n FROM w) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM later),
+lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM l),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n FROM lines ANTI JOIN gone USING (doc_id, pos) GROUP BY 1)
+SELECT l.doc_id, CASE WHEN l.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text, coalesce(len(l), 0)::INTEGER AS n_lines, (coalesce(len(l), 0) - coalesce(kept.n, 0))::INTEGER AS n_removed
+FROM l LEFT JOIN kept USING (doc_id)
+"""
+
 #: All pairs of documents with a shared shingle, counted; components by label propagation.
 _OP8 = r"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 s AS (
-  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
   FROM d),
 n AS (SELECT doc_id, len(g) AS n FROM s),
@@ -37,6 +170,18 @@ SELECT n.doc_id, n.n AS n_shingles, m.c AS component_id, n.doc_id = m.c AS kept
 FROM n JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) m USING (doc_id)
 """
 
+_OP10 = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.95),
+r AS (SELECT vec_id, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id)
+SELECT v.vec_id, coalesce(d.n, 0) AS n_links, m.c AS component_id, v.vec_id = m.c AS kept
+FROM v JOIN (SELECT vec_id, min(c) AS c FROM r GROUP BY 1) m USING (vec_id) LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY 1) d ON d.a = v.vec_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_minhash_near_dedup": _OP8}
+    """op4, op5, op7 and op9 have none: the field, the tokenisers and the language models have no SQL form."""
+    return {
+        "op1_benchmark_decontamination": _OP1, "op2_warc_segments": _OP2, "op3_url_rules": _OP3, "op6_line_dedup": _OP6, "op8_minhash_near_dedup": _OP8,
+        "op10_embedding_near_dedup": _OP10,
+    }
