@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import re
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,10 @@ UNIGRAM, BPE = 1, 2
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD1342543DE82EF95)
-_BUCKET_BITS = 16
+_BUCKET_BITS = 18
+_MASK = (1 << 64) - 1
+#: Distinct words that a worker remembers, with their pieces (about 100 MB).
+REMEMBER = 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -120,6 +125,7 @@ class Encoder:
         self.unknown = min(known, default=0.0) - 10.0
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(vocabulary.pieces, vocabulary.kinds, strict=True)) if k == BYTE}
         self.unk = next((i for i, k in enumerate(vocabulary.kinds) if k == UNKNOWN), 0)
+        self._forget()
         crossing = any(SPACE in vocabulary.pieces[i].lstrip(SPACE) for i in use)
         lines = any("\n" in vocabulary.pieces[i] and len(vocabulary.pieces[i]) > 1 for i in use)
         if crossing:
@@ -141,41 +147,43 @@ class Encoder:
     def _viterbi(self, words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
         """Of words of n characters, the pieces (rows, most) from the end backwards and how many; an unknown character is
         -2 minus its code point."""
-        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(-1, n)
-        prefix, rows = _hash(points), np.arange(len(words))
-        found, power = [None], np.uint64(1)
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(-1, n).T.copy()
+        rows = np.arange(len(words))
+        prefix = np.zeros((n + 1, len(words)), np.uint64)
+        for j in range(n):
+            prefix[j + 1] = prefix[j] * _BASE + points[j] + np.uint64(1)
+        found, power = [None], 1
         for size in range(1, min(n, self.longest) + 1):
-            power = power * _BASE
-            found.append(self.probe(prefix[:, size:] - prefix[:, :-size] * power).T.copy())
+            power = power * int(_BASE) & _MASK
+            found.append(self.probe(prefix[size:] - prefix[:-size] * np.uint64(power)))
         best = np.full((n + 1, len(words)), -np.inf)
         best[0] = 0
         back = np.zeros((n + 1, len(words)), np.int32)
+        piece = np.full((n + 1, len(words)), -1, np.int32)
         for j in range(1, n + 1):
             for size in range(min(j, self.longest), 0, -1):
-                score = self.scores[found[size][j - size]]
+                ids = found[size][j - size]
+                score = self.scores[ids]
                 if size == 1:
-                    score = np.where(np.isneginf(score), self.unknown, score)
+                    score = np.where(ids < 0, self.unknown, score)
                 score += best[j - size]
                 better = score > best[j]
                 np.copyto(best[j], score, where=better)
                 np.copyto(back[j], size, where=better)
+                np.copyto(piece[j], ids, where=better)
         out, count, at = [], np.zeros(len(words), np.int64), np.full(len(words), n)
-        while at.any():
-            size = back[at, rows]
-            step = np.full(len(words), -1, np.int64)
-            for s in np.unique(size[at > 0]):
-                own = np.flatnonzero((size == s) & (at > 0))
-                start = at[own] - s
-                ids = found[s][start, own].astype(np.int64)
-                step[own] = np.where(ids >= 0, ids, -2 - points[own, start].astype(np.int64))
-            count += at > 0
-            at = np.where(at > 0, at - size, 0)
-            out.append(step)
+        while (live := at > 0).any():
+            ids = piece[at, rows].astype(np.int64)
+            lost = np.flatnonzero(live & (ids < 0))
+            ids[lost] = -2 - points[at[lost] - 1, lost].astype(np.int64)
+            out.append(ids)
+            count += live
+            at = at - back[at, rows]
         return np.stack(out, axis=1), count
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The concatenated ids of distinct words, and each word's count."""
-        lengths = np.array([len(w) for w in words])
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
         counts = np.zeros(len(words), np.int64)
         parts = []
         for n in np.unique(lengths):
@@ -211,28 +219,43 @@ class Encoder:
         data = chr(point).encode()
         return [self.bytes[x] for x in data] if all(x in self.bytes for x in data) else [self.unk]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The concatenated ids of the texts, and each text's count."""
-        index: dict[str, int] = {}
-        of, sizes = [], []
-        put = index.setdefault
+    def _forget(self) -> None:
+        """Words get numbers in the order in which they are first met."""
+        self.index: defaultdict[str, int] = defaultdict()
+        self.index.default_factory = self.index.__len__
+        self.flat, self.counts = np.empty(0, np.int32), np.empty(0, np.int64)
+        self.start, self.exact = np.empty(0, np.int64), np.empty(0, bool)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The concatenated ids of the texts, each text's count, and whether it decodes to itself."""
+        if len(self.index) > REMEMBER:
+            self._forget()
+        known, of, number = len(self.index), [], self.index.__getitem__
         for text in texts:
             escaped = text.replace(" ", SPACE)
             if self.v.dummy_prefix and escaped:
                 escaped = SPACE + escaped
-            own = [put(w, len(index)) for w in self.word.findall(escaped)]
-            of.append(np.array(own, np.int64))
-            sizes.append(len(own))
-        if not index:
-            return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
-        flat, counts = self.words(list(index))
-        start = np.concatenate(([0], np.cumsum(counts)))[:-1]
-        words = np.concatenate(of)
-        count = counts[words]
-        ends = np.cumsum(count)
-        ids = flat[np.arange(ends[-1]) + np.repeat(start[words] - (ends - count), count)]
-        bounds = np.concatenate(([0], ends))[np.cumsum([0, *sizes])]
-        return ids, np.diff(bounds)
+            words = self.word.findall(escaped)
+            of.append(np.fromiter(map(number, words), np.int64, len(words)))
+        if new := list(islice(self.index, known, None)):
+            flat, counts = self.words(new)
+            surface, at = _surfaces(self.v), 0
+            exact = np.empty(len(new), bool)
+            pieces = flat.tolist()
+            for i, (word, n) in enumerate(zip(new, counts.tolist(), strict=True)):
+                exact[i] = b"".join([surface[x] for x in pieces[at : at + n]]) == word.encode()
+                at += n
+            self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(counts) - counts))
+            self.flat, self.counts = np.concatenate((self.flat, flat)), np.concatenate((self.counts, counts))
+            self.exact = np.concatenate((self.exact, exact))
+        words = np.concatenate(of) if of else np.empty(0, np.int64)
+        count = self.counts[words]
+        ends = np.concatenate(([0], np.cumsum(count)))
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.start[words] - ends[:-1], count)]
+        cuts = np.cumsum([0, *map(len, of)])
+        wrong = np.concatenate(([0], np.cumsum(~self.exact[words])))
+        same = (np.diff(wrong[cuts]) == 0) & np.array([SPACE not in t for t in texts], bool)
+        return ids, np.diff(ends[cuts]), same
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of ids; control pieces have none, invalid bytes become U+FFFD."""
@@ -264,10 +287,9 @@ def _encode(model: bytes, kind: pa.DataType, chars: int):
                 size += len(texts[stop] or "")
                 stop += 1
             some = texts[at:stop]
-            ids, counts = encoder.encode([t or "" for t in some])
+            ids, counts, same = encoder.encode([t or "" for t in some])
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             null = np.array([t is None for t in some])
-            same = [t is not None and encoder.decode(ids[a:b]) == t for t, a, b in zip(some, offsets[:-1], offsets[1:], strict=True)]
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=np.concatenate((null, [False]))), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(at, stop - at).cast(kind), lists, pa.array(counts, pa.int64(), mask=null), pa.array(same, pa.bool_(), mask=null)],
