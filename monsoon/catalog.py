@@ -116,3 +116,176 @@ def _more_features() -> None:
 
 
 _more_features()
+
+# ---- supervision, baselines and scores
+
+
+def _evaluation() -> None:
+    from monsoon.operators import baselines, diagnose, gate, scores, supervise
+    from monsoon.oracle import EXPERTS, METRICS, P0, PREDS, diagnosis
+    from monsoon.oracle import gate as gate_sql
+
+    metrics = ("wape", "mae", "bias", "bias_ratio", "zero_false_positive_rate", "positive_wape")
+    long_keys = ["base_sku", "branch_code", "forecast_origin", "target_month", "horizon", "segment", "event", scores.Y]
+
+    def long(d: Demand) -> DataFrame:
+        return scores.melt(d.evaluation, long_keys, PREDS)
+
+    # the flagship: a moving average's errors by horizon, over all rows with a target
+    query(
+        "flagship_ma3_wape",
+        f"SELECT horizon, {METRICS} FROM (SELECT horizon, target_actual_gross_m2 AS y, pred_ma_3 AS pred FROM roll WHERE target_available) GROUP BY 1", metrics,
+    )(lambda d: d.rolling.where("target_available").groupBy("horizon").agg(*scores.metric_row(F.col(scores.Y), F.col("pred_ma_3"))))
+
+    dev_keys = [*PAIR, "forecast_origin", "target_month", "horizon"]
+    dev_sql = """
+      SELECT f.base_sku, f.branch_code, f.month AS forecast_origin, (f.month + h * INTERVAL 1 MONTH)::DATE AS target_month, h::INTEGER AS horizon, t.actual_gross_m2 AS target_actual_gross_m2, t.actual_positive AS target_actual_positive,
+        t.actual_negative_only AS target_actual_negative_only, t.target_available, t.zero_semantics AS target_zero_semantics, CASE WHEN f.month + h * INTERVAL 1 MONTH <= DATE '2001-08-01' THEN 'TRAIN' ELSE 'OFFICIAL_VALIDATION' END AS split_role,
+        coalesce(f.base_current_active AND f.branch_current_active, false) AS current_production_forecast_mask, 'h' || h AS horizon_label, c.target_working_days_proxy, c.target_is_tet_month, f.pair_lag_1, s.sku_global_lag_1, z.size_branch_lag_1, f.tile_size_code, f.brand AS brand_snapshot
+      FROM pair_f f CROSS JOIN (VALUES (1), (2), (3)) x(h) LEFT JOIN pair_panel t ON t.base_sku = f.base_sku AND t.branch_code = f.branch_code AND t.month = (f.month + h * INTERVAL 1 MONTH)::DATE
+      LEFT JOIN sku_f s ON s.base_sku = f.base_sku AND s.month = f.month LEFT JOIN size_f z ON z.branch_code = f.branch_code AND z.tile_size_code = f.tile_size_code AND z.month = f.month
+      LEFT JOIN target_calendar c ON c.target_month = (f.month + h * INTERVAL 1 MONTH)::DATE
+      WHERE f.month <= DATE '2001-08-01' AND (f.month + h * INTERVAL 1 MONTH <= DATE '2001-08-01' OR f.month = DATE '2001-08-01')"""
+    dev_cols = [*dev_keys, *supervise.PAIR_TARGETS.values(), "split_role", "current_production_forecast_mask", "horizon_label", "target_working_days_proxy", "target_is_tet_month", "pair_lag_1", "sku_global_lag_1", "size_branch_lag_1", "tile_size_code", "brand_snapshot"]
+    query("pair_dev_panel", dev_sql)(lambda d: d.pair_dev.select(dev_cols))
+    query("split_counts", f"SELECT split_role, horizon, count(*) AS n_rows, count(*) FILTER (target_available) AS n_available, min(target_month) AS min_target, max(target_month) AS max_target FROM ({dev_sql}) GROUP BY ALL")(
+        lambda d: d.pair_dev.groupBy("split_role", "horizon").agg(F.count("*").alias("n_rows"), F.count_if("target_available").alias("n_available"), F.min("target_month").alias("min_target"), F.max("target_month").alias("max_target"))
+    )
+    query("universes", f"""SELECT split_role AS universe, count(*) AS n_rows, count(*) FILTER (current_production_forecast_mask) AS n_current FROM ({dev_sql}) WHERE target_available GROUP BY 1""")(
+        lambda d: supervise.universes(d.pair_dev)["train"].unionByName(supervise.universes(d.pair_dev)["val_all"]).groupBy(F.col("split_role").alias("universe")).agg(F.count("*").alias("n_rows"), F.count_if("current_production_forecast_mask").alias("n_current"))
+    )
+    query(
+        "branch_dev_panel",
+        """SELECT f.branch_code, f.month AS forecast_origin, (f.month + h * INTERVAL 1 MONTH)::DATE AS target_month, h::INTEGER AS horizon, t.branch_gross_m2 AS target_branch_gross_m2, t.branch_observed AS target_branch_observed, t.branch_positive AS target_branch_positive,
+          CASE WHEN f.month + h * INTERVAL 1 MONTH <= DATE '2001-08-01' THEN 'TRAIN' ELSE 'OFFICIAL_VALIDATION' END AS split_role, f.branch_lag_12, f.branch_history_length_months
+        FROM branch_f f CROSS JOIN (VALUES (1), (2), (3)) x(h) LEFT JOIN branch_panel t ON t.branch_code = f.branch_code AND t.month = (f.month + h * INTERVAL 1 MONTH)::DATE
+        WHERE f.month <= DATE '2001-08-01' AND (f.month + h * INTERVAL 1 MONTH <= DATE '2001-08-01' OR f.month = DATE '2001-08-01')""",
+    )(lambda d: d.branch_dev.select("branch_code", "forecast_origin", "target_month", "horizon", *supervise.BRANCH_TARGETS.values(), "split_role", "branch_lag_12", "branch_history_length_months"))
+    query("rolling_origins", "SELECT origin FROM origins")(lambda d: d.origins)
+    query("origin_split_audit", "SELECT origin, phase, horizon, count(*) AS n_rows, min(target_month) AS min_target, max(target_month) AS max_target FROM phases GROUP BY ALL")(lambda d: supervise.split_audit(d.phases))
+    query("fit_calibration_split", """SELECT CASE WHEN target_month < DATE '2001-06-01' THEN 'FIT' ELSE 'CAL' END AS phase, horizon, count(*) AS n_rows, max(target_month) AS max_target FROM roll
+        WHERE target_month <= DATE '2001-08-01' AND target_available AND (target_month < DATE '2001-06-01' OR is_primary) GROUP BY ALL""")(
+        lambda d: _phase_counts(supervise.fit_calibration(d.rolling, d.calendar.validation_origin))
+    )
+    query("prospective_frames", """SELECT f.base_sku, f.branch_code, f.month AS forecast_origin, h::INTEGER AS horizon, (f.month + h * INTERVAL 1 MONTH)::DATE AS target_month, pair_lag_1 FROM pair_f f, (VALUES (1), (2), (3)) x(h)
+        WHERE f.month = DATE '2001-11-01' AND base_current_active AND branch_current_active""")(
+        lambda d: supervise.prospective(d.pair_origin, d.target_calendar, d.calendar.panel_end).select(*PAIR, "forecast_origin", "horizon", "target_month", "pair_lag_1")
+    )
+    query("croston_tsb_state", "SELECT * FROM states", ("pred_croston_sba", "pred_tsb"))(lambda d: d.states)
+    query("intermittent_baselines", "SELECT base_sku, branch_code, forecast_origin, horizon, pred_croston_sba, pred_tsb FROM ev", ("pred_croston_sba", "pred_tsb"))(
+        lambda d: d.evaluation.select(*PAIR, "forecast_origin", "horizon", "pred_croston_sba", "pred_tsb")
+    )
+    query("soft_expected", "SELECT base_sku, branch_code, forecast_origin, horizon, p_positive, q_positive, pred_soft FROM ev", ("p_positive", "q_positive", "pred_soft"))(
+        lambda d: d.evaluation.select(*PAIR, "forecast_origin", "horizon", "p_positive", "q_positive", "pred_soft")
+    )
+    query("behavior_segment", "SELECT base_sku, branch_code, forecast_origin, horizon, segment FROM ev")(lambda d: d.evaluation.select(*PAIR, "forecast_origin", "horizon", "segment"))
+    query("demand_event", "SELECT base_sku, branch_code, forecast_origin, horizon, event FROM ev")(lambda d: d.evaluation.select(*PAIR, "forecast_origin", "horizon", "event"))
+    query("baseline_scoreboard", f"SELECT model, horizon, segment, {METRICS} FROM long GROUP BY GROUPING SETS ((model), (model, horizon), (model, segment))", metrics)(lambda d: scores.scoreboard(long(d)))
+    query("by_origin", f"SELECT forecast_origin, model, horizon, {METRICS} FROM long GROUP BY GROUPING SETS ((forecast_origin, model), (forecast_origin, model, horizon))", metrics)(lambda d: scores.by_origin(long(d)))
+    query("branch_aggregate_wape", "SELECT model, sum(abs(y - p)) / nullif(sum(y), 0) AS branch_wape FROM (SELECT model, branch_code, target_month, sum(y) AS y, sum(pred) AS p FROM long GROUP BY 1, 2, 3) GROUP BY 1", ("branch_wape",))(
+        lambda d: scores.branch_aggregate(long(d))
+    )
+    sums = ", ".join(f"sum({p}) AS {p}_3m" for p in PREDS)
+    windows = f"SELECT base_sku, branch_code, forecast_origin, sum(target_actual_gross_m2) AS actual_3m_m2, {sums} FROM ev GROUP BY 1, 2, 3 HAVING count(*) = 3 AND count(DISTINCT horizon) = 3"
+    query("complete_3m", windows, tuple(f"{p}_3m" for p in PREDS))(lambda d: scores.complete_windows(d.evaluation, PREDS))
+    query("window_coverage", "SELECT count(*) AS total_windows, count(*) FILTER (n = 3) AS complete_windows, count(*) FILTER (n <> 3) AS incomplete_windows, avg((n = 3)::INT) AS complete_rate FROM (SELECT count(*) AS n FROM ev GROUP BY base_sku, branch_code, forecast_origin)", ("complete_rate",))(
+        lambda d: scores.window_coverage(d.evaluation)
+    )
+    w_long = f"UNPIVOT (SELECT base_sku, branch_code, forecast_origin, actual_3m_m2 AS y, {', '.join(f'pred_{e}_3m AS {e}' for e in EXPERTS)} FROM ({windows})) ON {', '.join(EXPERTS)} INTO NAME model VALUE p"
+    levels = {"PAIR": "base_sku, branch_code, forecast_origin", "BASE_SKU": "base_sku, forecast_origin", "BRANCH": "branch_code, forecast_origin", "PORTFOLIO": "forecast_origin"}
+    rolled = " UNION ALL ".join(f"SELECT '{n}' AS level, forecast_origin, model, sum(y) AS y, sum(p) AS p FROM ({w_long}) GROUP BY {k}, model" for n, k in levels.items())
+    w_metrics = "count(*) AS n_rows, sum(abs(y - p)) / nullif(sum(abs(y)), 0) AS wape_3m, avg(abs(y - p)) AS mae_3m, sum(p - y) AS bias_3m, sum(p - y) / nullif(sum(abs(y)), 0) AS bias_ratio_3m, sum(y) AS actual_sum, sum(p) AS forecast_sum"
+    w_close = ("wape_3m", "mae_3m", "bias_3m", "bias_ratio_3m", "forecast_sum")
+    query("cumulative_3m", f"SELECT level, model, {w_metrics} FROM ({rolled}) GROUP BY 1, 2", w_close)(lambda d: scores.cumulative(scores.complete_windows(d.evaluation, PREDS), PREDS))
+    query("cumulative_3m_by_origin", f"SELECT level, model, forecast_origin, {w_metrics} FROM ({rolled}) GROUP BY 1, 2, 3", w_close)(lambda d: scores.cumulative(scores.complete_windows(d.evaluation, PREDS), PREDS, True))
+    revised = """SELECT a.base_sku, a.branch_code, a.target_month, 'H' || a.horizon || '_TO_H' || b.horizon AS transition, a.model, a.pred AS old_pred, b.pred AS new_pred, b.pred - a.pred AS revision
+      FROM long a JOIN long b ON a.base_sku = b.base_sku AND a.branch_code = b.branch_code AND a.target_month = b.target_month AND a.model = b.model AND a.horizon = b.horizon + 1 AND (a.forecast_origin + INTERVAL 1 MONTH)::DATE = b.forecast_origin"""
+    query("revision_detail", revised, ("old_pred", "new_pred", "revision"))(lambda d: scores.revisions(d.evaluation, PREDS))
+    r_metrics = "count(*) AS n_rows, avg(abs(revision)) AS revision_mae, sum(abs(revision)) / nullif(sum(abs(old_pred)), 0) AS revision_ratio, sum(revision) AS signed_revision"
+    query(
+        "revision", f"""WITH r AS ({revised}) SELECT 'PAIR' AS level, transition, model, {r_metrics} FROM r GROUP BY ALL UNION ALL
+          SELECT 'BASE_SKU', transition, model, {r_metrics} FROM (SELECT base_sku, target_month, transition, model, sum(old_pred) AS old_pred, sum(revision) AS revision FROM r GROUP BY ALL) GROUP BY ALL""",
+        ("revision_mae", "revision_ratio", "signed_revision"),
+    )(lambda d: scores.revision_summary(scores.revisions(d.evaluation, PREDS)))
+    query(
+        "stability", f"""WITH o AS (SELECT forecast_origin, model, {METRICS} FROM long GROUP BY 1, 2), w AS (SELECT *, row_number() OVER (PARTITION BY forecast_origin ORDER BY wape NULLS LAST, model) = 1 AS win FROM o),
+          c AS (SELECT level, model, {w_metrics} FROM ({rolled}) GROUP BY 1, 2)
+          SELECT w.model, count(*) AS n_origins, avg(wape) AS mean_wape, median(wape) AS median_wape, stddev_pop(wape) AS std_wape, avg(abs(bias_ratio)) AS mean_abs_bias, max(abs(bias_ratio)) AS max_abs_bias, avg((bias_ratio < 0)::INT) AS under_forecast_rate,
+            count(*) FILTER (win) AS wins, any_value(p.wape_3m) AS wape_3m_pair, any_value(b.wape_3m) AS wape_3m_base_sku
+          FROM w LEFT JOIN c p ON p.model = w.model AND p.level = 'PAIR' LEFT JOIN c b ON b.model = w.model AND b.level = 'BASE_SKU' GROUP BY 1""",
+        ("mean_wape", "median_wape", "std_wape", "mean_abs_bias", "max_abs_bias", "under_forecast_rate", "wape_3m_pair", "wape_3m_base_sku"),
+    )(lambda d: scores.stability(scores.by_origin(long(d)), scores.cumulative(scores.complete_windows(d.evaluation, PREDS), PREDS)))
+
+    # gates and thresholds
+    query("gate_validation", gate_sql("long", ""))(lambda d: gate.gate(d.evaluation, EXPERTS))
+    query("gate_calibration", gate_sql("cal_long", "origin, "))(lambda d: d.calibration_choices)
+    query("gate_choice_frequency", f"SELECT horizon, segment, expert, count(*) AS n_origins FROM ({gate_sql('cal_long', 'origin, ')}) GROUP BY ALL")(lambda d: gate.choice_frequency(d.calibration_choices))
+    query(
+        "gated_scores", f"SELECT horizon, {METRICS} FROM (SELECT l.horizon, l.y, l.pred FROM long l JOIN ({gate_sql('cal_long', 'origin, ')}) g ON g.origin = l.forecast_origin AND g.horizon = l.horizon AND g.segment = l.segment AND g.expert = l.model) GROUP BY 1", metrics,
+    )(lambda d: gate.apply_gate(d.phases.where("phase = 'EVAL'"), d.calibration_choices, EXPERTS, ["origin"]).groupBy("horizon").agg(*scores.metric_row(F.col(scores.Y), F.col("pred_gated"))))
+    hurdle = "CASE WHEN p_positive < threshold THEN 0 ELSE p_positive * q_positive END"
+    grid = f"""SELECT horizon, threshold, sum(abs(y - pred)) / nullif(sum(y), 0) AS wape, avg(CASE WHEN y <= 1e-9 THEN (pred > 1e-9)::INT END) AS zero_false_positive_rate
+      FROM (SELECT horizon, threshold, target_actual_gross_m2 AS y, {hurdle} AS pred FROM ev, (SELECT unnest([{', '.join(str(round(0.05 * i, 2)) for i in range(20))}]::DOUBLE[]) AS threshold)) GROUP BY 1, 2"""
+    query("threshold_grid", grid, ("wape", "zero_false_positive_rate"))(lambda d: gate.threshold_grid(d.evaluation))
+    query("threshold_choice", f"""WITH g AS ({grid}) SELECT horizon, threshold, wape, zero_false_positive_rate FROM (SELECT g.*, row_number() OVER (PARTITION BY horizon ORDER BY zero_false_positive_rate NULLS LAST, threshold DESC) AS n
+        FROM g JOIN (SELECT horizon, min(wape) AS least FROM g GROUP BY 1) USING (horizon) WHERE wape <= least + 1e-9) WHERE n = 1""", ("wape", "zero_false_positive_rate"))(
+        lambda d: gate.threshold_choice(gate.threshold_grid(d.evaluation))
+    )
+
+    # diagnosis
+    e_metrics = diagnosis("coalesce(target_actual_gross_m2, 0)", "greatest(coalesce(pred_soft, 0), 0)")
+    e_close = ("forecast_sum", "wape", "mae", "bias", "bias_ratio", "underforecast_sum", "overforecast_sum")
+    cube = " UNION ALL ".join(
+        f"SELECT '{n}' AS level, {h} AS horizon, {s} AS segment, {e} AS event, {e_metrics} FROM ev GROUP BY ALL"
+        for n, h, s, e in (("OVERALL", "NULL::INTEGER", "NULL::VARCHAR", "NULL::VARCHAR"), ("HORIZON", "horizon", "NULL", "NULL"), ("BEHAVIOR", "NULL", "segment", "NULL"), ("EVENT", "NULL", "NULL", "event"), ("EVENT_HORIZON", "horizon", "NULL", "event"))
+    )
+    query("diagnosis", f"""WITH c AS ({cube}) SELECT c.*, actual_sum / nullif((SELECT actual_sum FROM c WHERE level = 'OVERALL'), 0) AS share_of_total_actual,
+        underforecast_sum / nullif((SELECT underforecast_sum FROM c WHERE level = 'OVERALL'), 0) AS share_of_total_underforecast FROM c""", (*e_close, "share_of_total_actual", "share_of_total_underforecast"))(lambda d: diagnose.diagnosis(d.evaluation, "pred_soft"))
+    query("origin_event", f"SELECT forecast_origin, event, {e_metrics} FROM ev GROUP BY 1, 2", e_close)(lambda d: diagnose.origin_events(d.evaluation, "pred_soft"))
+    value = "CASE policy WHEN 'raw' THEN {0} WHEN 'half_up' THEN floor({0} + 0.5) ELSE ceil({0}) END"
+    months = f"SELECT base_sku, branch_code, forecast_origin, horizon, target_actual_gross_m2 AS y, pred_soft AS raw, policy, {value.format('pred_soft')} AS v FROM ev, (VALUES ('raw'), ('half_up'), ('ceil')) x(policy)"
+    query("rounding_month", f"SELECT policy, {diagnosis('y', 'v')}, sum(v - raw) AS added_m2, avg((abs(v - raw) > 1e-9)::INT) AS changed_row_rate, avg((raw > 0 AND raw < 1)::INT) AS raw_between_0_and_1_rate FROM ({months}) GROUP BY 1", (*e_close, "added_m2", "changed_row_rate", "raw_between_0_and_1_rate"))(
+        lambda d: diagnose.rounding_months(d.evaluation, "pred_soft")
+    )
+    full = f"SELECT * FROM ({months}) QUALIFY count(*) OVER (PARTITION BY base_sku, branch_code, forecast_origin, policy) = 3"
+    before = " UNION ALL ".join(f"SELECT 'BEFORE' AS stage, '{n}' AS level, policy, sum(y) AS y, sum(v) AS v FROM m GROUP BY {k}, policy" for n, k in levels.items())
+    after = " UNION ALL ".join(f"SELECT 'AFTER' AS stage, '{n}' AS level, policy, y, {value.format('x')} AS v FROM (SELECT sum(y) AS y, sum(raw) AS x FROM m WHERE policy = 'raw' GROUP BY {k}), (VALUES ('half_up'), ('ceil')) p(policy)" for n, k in levels.items())
+    query("rounding_3m", f"WITH m AS ({full}) SELECT stage, level, policy, {diagnosis('y', 'v')} FROM ({before} UNION ALL {after}) GROUP BY 1, 2, 3", e_close)(lambda d: diagnose.rounding_windows(d.evaluation, "pred_soft"))
+    grids = ", ".join(f"avg((abs(y / {s} - round_even(y / {s}, 0)) <= 1e-8 + 1e-5 * abs(round_even(y / {s}, 0)))::INT) AS share_{n}" for n, s in diagnose.STEPS.items())
+    query("granularity", f"SELECT count(*) AS n_positive, {grids}, min(y) AS min, quantile_cont(y, 0.01) AS p01, quantile_cont(y, 0.05) AS p05, quantile_cont(y, 0.5) AS p50, quantile_cont(y, 0.95) AS p95 FROM (SELECT pred_soft AS y FROM ev WHERE pred_soft > 0)", ("share_integer", "share_half", "share_tenth", "share_hundredth", "min", "p01", "p05", "p50", "p95"))(
+        lambda d: diagnose.granularity(d.evaluation, "pred_soft")
+    )
+    query("fraction_freq", "SELECT fraction, n_rows, n_rows / (SELECT count(*) FROM ev WHERE pred_ma_3 > 0) AS row_rate FROM (SELECT round(pred_ma_3 - floor(pred_ma_3), 3) AS fraction, count(*) AS n_rows FROM ev WHERE pred_ma_3 > 0 GROUP BY 1) ORDER BY n_rows DESC, fraction LIMIT 50", ("row_rate",))(
+        lambda d: diagnose.fractions(d.evaluation, "pred_ma_3")
+    )
+    query(
+        "zero_positive", f"""SELECT model, horizon, count(*) AS n_rows, count(*) FILTER (y = 0) AS n_zero, count(*) FILTER (y > 0) AS n_positive, avg({P0}) FILTER (y = 0) AS mean_pred_on_zero, sum({P0}) FILTER (y = 0) AS forecast_on_zero,
+          avg(({P0} > 1e-9)::INT) FILTER (y = 0) AS zero_false_positive_rate, avg(({P0} >= 1)::INT) FILTER (y = 0) AS zero_pred_ge_1_rate, avg({P0}) FILTER (y > 0) AS mean_pred_on_positive, avg(({P0} <= 1e-9)::INT) FILTER (y > 0) AS positive_missed_rate,
+          sum(abs(y - {P0})) FILTER (y > 0) / nullif(sum(y) FILTER (y > 0), 0) AS positive_wape, sum({P0} - y) FILTER (y > 0) AS positive_bias, sum({P0} - y) FILTER (y > 0) / nullif(sum(y) FILTER (y > 0), 0) AS positive_bias_ratio
+          FROM long GROUP BY GROUPING SETS ((model), (model, horizon))""",
+        ("mean_pred_on_zero", "forecast_on_zero", "zero_false_positive_rate", "zero_pred_ge_1_rate", "mean_pred_on_positive", "positive_missed_rate", "positive_wape", "positive_bias", "positive_bias_ratio"),
+    )(lambda d: diagnose.zero_positive(long(d)))
+    query(
+        "probability_diag", """SELECT horizon, count(*) AS n_rows, avg((y > 0)::INT) AS positive_rate, avg(p) AS mean_p, avg(p) FILTER (y > 0) AS mean_p_positive, avg(p) FILTER (NOT y > 0) AS mean_p_zero, avg((p - (y > 0)::INT) * (p - (y > 0)::INT)) AS brier,
+          sum(abs(y - q)) FILTER (y > 0) / nullif(sum(y) FILTER (y > 0), 0) AS q_wape_positive, sum(q - y) FILTER (y > 0) / nullif(sum(y) FILTER (y > 0), 0) AS q_bias_ratio_positive
+          FROM (SELECT horizon, target_actual_gross_m2 AS y, p_positive AS p, q_positive AS q FROM ev) GROUP BY GROUPING SETS ((), (horizon))""",
+        ("positive_rate", "mean_p", "mean_p_positive", "mean_p_zero", "brier", "q_wape_positive", "q_bias_ratio_positive"),
+    )(lambda d: diagnose.probability(d.evaluation))
+    query("parity_audit", """WITH n AS (SELECT count(*) AS n FROM roll WHERE forecast_origin = DATE '2001-08-01' AND is_primary) SELECT c AS "column", n AS n_rows, 0::BIGINT AS mismatches FROM n, (VALUES ('grain'), ('pair_lag_1'), ('pair_roll_12_std'), ('segment')) x(c)""")(
+        lambda d: diagnose.parity(*[f.where("forecast_origin = date'2001-08-01'").select(*PAIR, "horizon", "pair_lag_1", "pair_roll_12_std", "segment") for f in (d.evaluation, d.phases.where("phase = 'EVAL'"))], [*PAIR, "horizon"], ["pair_lag_1", "pair_roll_12_std", "segment"])
+    )
+    query("alignment", "SELECT base_sku, branch_code, forecast_origin, target_month, horizon, target_actual_gross_m2, pred_soft, pred_ma_3 FROM ev", ("pred_soft", "pred_ma_3"))(
+        lambda d: diagnose.align(d.evaluation.select(*dev_keys, scores.Y, "pred_soft"), d.evaluation.select(*dev_keys, scores.Y, "pred_ma_3"), dev_keys, "pred_ma_3", guard=False)
+    )
+    assert baselines.PREDS == PREDS
+
+
+def _phase_counts(parts: dict[str, DataFrame]) -> DataFrame:
+    out = None
+    for name, df in parts.items():
+        one = df.groupBy(F.lit(name).alias("phase"), "horizon").agg(F.count("*").alias("n_rows"), F.max("target_month").alias("max_target"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+_evaluation()

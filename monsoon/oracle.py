@@ -211,6 +211,65 @@ CTES |= {
 }
 
 
+def _states() -> str:
+    run = "(PARTITION BY base_sku, branch_code ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""
+      SELECT base_sku, branch_code, month, CASE WHEN k >= 1 THEN 0.95 * z / greatest(p, 1e-12) ELSE 0 END AS pred_croston_sba, CASE WHEN k >= 1 THEN c * z ELSE 0 END AS pred_tsb
+      FROM (SELECT *, pow(0.9, k) * sum(CASE WHEN pos THEN CASE WHEN k = 1 THEN y / 0.9 ELSE 0.1 * y * pow(0.9, -k) END END) OVER r AS z,
+          pow(0.9, k) * sum(CASE WHEN pos THEN CASE WHEN k = 1 THEN gap / 0.9 ELSE 0.1 * gap * pow(0.9, -k) END END) OVER r AS p,
+          pow(0.9, n) * sum(CASE WHEN pos THEN CASE WHEN k = 1 THEN pow(0.9, -n) / n ELSE 0.1 * pow(0.9, -n) END END) OVER r AS c
+        FROM (SELECT *, n - coalesce(max(CASE WHEN pos THEN n END) OVER (PARTITION BY base_sku, branch_code ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gap
+          FROM (SELECT base_sku, branch_code, month, actual_gross_m2 AS y, coalesce(target_available AND actual_gross_m2 > 0, false) AS pos, count(*) FILTER (target_available) OVER r AS n,
+              count(*) FILTER (target_available AND actual_gross_m2 > 0) OVER r AS k FROM pair_panel WINDOW r AS {run}))
+        WINDOW r AS {run})"""
+
+
+EXPERTS = ("naive_1", "seasonal_12", "ma_3", "croston_sba", "tsb", "soft")
+PREDS = tuple(f"pred_{e}" for e in EXPERTS)
+_ROLL = """
+  SELECT f.base_sku, f.branch_code, f.month AS forecast_origin, h::INTEGER AS horizon, t.month AS target_month, t.actual_gross_m2 AS target_actual_gross_m2, t.target_available,
+    f.base_current_active AND f.branch_current_active AND t.target_available AS is_primary, f.pair_positive_count_to_origin AS n, f.months_since_last_positive AS gap, f.pair_mean_positive_m2_to_origin AS mean_pos,
+    CASE WHEN f.pair_positive_count_to_origin <= 1 OR f.pair_adi_target_available_to_origin IS NULL OR f.pair_cv2_positive_to_origin IS NULL THEN 'very_sparse' WHEN f.pair_adi_target_available_to_origin < 1.32 AND f.pair_cv2_positive_to_origin < 0.49 THEN 'regular' ELSE 'intermittent' END AS segment,
+    coalesce(pair_lag_1, 0) AS pred_naive_1, coalesce(pair_lag_12, 0) AS pred_seasonal_12, (coalesce(pair_lag_1, 0) + coalesce(pair_lag_2, 0) + coalesce(pair_lag_3, 0)) / 3 AS pred_ma_3, s.pred_croston_sba, s.pred_tsb,
+    coalesce(pair_positive_rate_to_origin, 0) AS p_positive, coalesce(pair_mean_positive_m2_to_origin, 0) AS q_positive, coalesce(pair_positive_rate_to_origin, 0) * coalesce(pair_mean_positive_m2_to_origin, 0) AS pred_soft
+  FROM pair_f f JOIN states s ON s.base_sku = f.base_sku AND s.branch_code = f.branch_code AND s.month = f.month, (VALUES (1), (2), (3)) x(h), pair_panel t
+  WHERE t.base_sku = f.base_sku AND t.branch_code = f.branch_code AND t.month = (f.month + h * INTERVAL 1 MONTH)::DATE"""
+_EVENT = """
+  CASE WHEN coalesce(target_actual_gross_m2, 0) <= 0 THEN 'actual_zero' WHEN n <= 0 THEN 'first_positive_known_pair' WHEN gap >= 6 THEN 'reactivation_6m_plus' WHEN gap >= 3 THEN 'reactivation_3_5m' WHEN gap >= 1 THEN 'reactivation_1_2m'
+    WHEN target_actual_gross_m2 >= 1 AND target_actual_gross_m2 / nullif(mean_pos, 0) >= 3 THEN 'spike_3x_plus' WHEN target_actual_gross_m2 >= 1 AND target_actual_gross_m2 / nullif(mean_pos, 0) >= 2 THEN 'spike_2x_3x' ELSE 'ongoing_positive' END"""
+CTES |= {
+    "states": _states(),
+    "roll": f"SELECT *, {_EVENT} AS event FROM ({_ROLL})",
+    "ev": "SELECT * FROM roll WHERE is_primary AND forecast_origin BETWEEN DATE '2000-09-01' AND DATE '2001-08-01'",
+    "long": f"UNPIVOT (SELECT base_sku, branch_code, forecast_origin, target_month, horizon, segment, event, target_actual_gross_m2 AS y, {', '.join(f'{p} AS {e}' for p, e in zip(PREDS, EXPERTS, strict=True))} FROM ev) ON {', '.join(EXPERTS)} INTO NAME model VALUE pred",
+    "origins": "SELECT m::DATE AS origin FROM unnest(generate_series(TIMESTAMP '2000-09-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) r(m) WHERE (m + INTERVAL 3 MONTH)::DATE < DATE '2001-12-01'",
+    "phases": """
+      SELECT * FROM (SELECT o.origin, r.*, CASE WHEN target_month < (origin - INTERVAL 2 MONTH)::DATE AND target_available THEN 'FIT' WHEN target_month BETWEEN (origin - INTERVAL 2 MONTH)::DATE AND origin AND is_primary THEN 'CAL'
+          WHEN forecast_origin = origin AND target_month > origin AND is_primary THEN 'EVAL' END AS phase FROM roll r JOIN origins o ON target_month <= origin OR forecast_origin = origin) WHERE phase IS NOT NULL""",
+    "cal_long": f"UNPIVOT (SELECT origin, horizon, segment, target_actual_gross_m2 AS y, {', '.join(f'{p} AS {e}' for p, e in zip(PREDS, EXPERTS, strict=True))} FROM phases WHERE phase = 'CAL') ON {', '.join(EXPERTS)} INTO NAME model VALUE pred",
+}
+ORDER = "list_position([" + ", ".join(f"'{e}'" for e in EXPERTS) + "], model)"
+
+
+def gate(source: str, by: str, rows: int = 200) -> str:
+    """SELECT text of the chosen experts; source has horizon, segment, y, model and pred, by is empty or ends in a comma."""
+    k = by.rstrip(", ")
+    on = f"{k}, " if k else ""
+    score = lambda keys: f"SELECT {keys}, arg_min(model, (round(w, 12), {ORDER})) AS e FROM (SELECT {keys}, model, sum(abs(y - greatest(pred, 0))) / nullif(sum(abs(y)), 0) AS w FROM {source} GROUP BY {keys}, model) WHERE w IS NOT NULL GROUP BY {keys}"
+    return f"""SELECT {on}horizon, segment, n_rows, CASE WHEN n_rows < {rows} OR a.e IS NULL THEN b.e ELSE a.e END AS expert, CASE WHEN n_rows < {rows} OR a.e IS NULL THEN 'HORIZON_FALLBACK' ELSE 'SEGMENT' END AS gate_source
+      FROM (SELECT {on}horizon, segment, count(*) AS n_rows FROM {source} WHERE model = 'soft' GROUP BY ALL) s LEFT JOIN ({score(f'{on}horizon, segment')}) a USING ({on}horizon, segment) LEFT JOIN ({score(f'{on}horizon')}) b USING ({on}horizon)"""
+
+
+P0 = "greatest(pred, 0)"
+METRICS = f"""count(*) AS n_rows, sum(abs(y - {P0})) / nullif(sum(abs(y)), 0) AS wape, avg(abs(y - {P0})) AS mae, sum({P0} - y) AS bias, sum({P0} - y) / nullif(sum(abs(y)), 0) AS bias_ratio,
+  avg(CASE WHEN y <= 1e-9 THEN (pred > 1e-9)::INT END) AS zero_false_positive_rate, sum(CASE WHEN y > 0 THEN abs(y - {P0}) END) / nullif(sum(CASE WHEN y > 0 THEN y END), 0) AS positive_wape"""
+
+
+def diagnosis(y: str, p: str) -> str:
+    return f"""count(*) AS n_rows, sum({y}) AS actual_sum, sum({p}) AS forecast_sum, sum(abs({y} - {p})) / nullif(sum(abs({y})), 0) AS wape, avg(abs({y} - {p})) AS mae, sum({p} - {y}) AS bias, sum({p} - {y}) / nullif(sum(abs({y})), 0) AS bias_ratio,
+  sum(greatest({y} - {p}, 0)) AS underforecast_sum, sum(greatest({p} - {y}, 0)) AS overforecast_sum"""
+
+
 def sql(last: str) -> str:
     """The chain, as far as the last SELECT may name it, and that SELECT."""
     chain = ",\n".join(f"{name} AS ({text})" for name, text in CTES.items())

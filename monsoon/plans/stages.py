@@ -6,8 +6,9 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from monsoon.operators import dataset, features, panel
+from monsoon.operators import baselines, dataset, diagnose, features, gate, panel, supervise
 from monsoon.plans.adapter import Sources, sources
 
 
@@ -76,6 +77,50 @@ class Demand:
     def branch_origin(self) -> DataFrame:
         return features.branch_origin_features(self.branch_panel)
 
+    @cached_property
+    def pair_dev(self) -> DataFrame:
+        return supervise.pair_dev_panel(self.pair_origin, self.target_calendar, self.calendar.train_end, self.calendar.validation_origin)
+
+    @cached_property
+    def branch_dev(self) -> DataFrame:
+        return supervise.branch_dev_panel(self.branch_origin, self.branch_panel, self.target_calendar, self.calendar.train_end, self.calendar.validation_origin)
+
+    @cached_property
+    def states(self) -> DataFrame:
+        return baselines.intermittent_states(self.pair_panel)
+
+    @cached_property
+    def origins(self) -> DataFrame:
+        c = self.calendar
+        return supervise.rolling_origins(self.spark, c.first_rolling_origin, c.last_rolling_origin, c.frozen_start)
+
+    @cached_property
+    def rolling(self) -> DataFrame:
+        """The backtest's panel with the pair's own features, states and all experts; segment and event are those at the origin."""
+        known = features.pair_features(self.pair_panel).withColumns({
+            "current_production_forecast_mask": F.coalesce(F.col("base_current_active") & F.col("branch_current_active"), F.lit(False)), "known_pair_asof_origin": F.lit(True),
+        })
+        own = [c for c in known.columns if c.startswith("pair_")]
+        known = known.select("base_sku", "branch_code", "month", "current_production_forecast_mask", "known_pair_asof_origin", "months_since_last_positive", *own, *TARGETS)
+        rows = supervise.rolling_panel(known, self.states, self.target_calendar, self.calendar.frozen_start)
+        return baselines.predictions(rows).withColumns({"segment": gate.behaviour_segment(), "event": diagnose.demand_event()})
+
+    @cached_property
+    def evaluation(self) -> DataFrame:
+        c = self.calendar
+        at = F.col("forecast_origin").between(F.lit(c.first_rolling_origin).cast("date"), F.lit(c.last_rolling_origin).cast("date"))
+        return self.rolling.where(at & supervise.primary())
+
+    @cached_property
+    def phases(self) -> DataFrame:
+        return supervise.origin_phases(self.rolling, self.origins)
+
+    @cached_property
+    def calibration_choices(self) -> DataFrame:
+        """The expert of each origin, horizon and segment, chosen on calibration rows only."""
+        cal = self.phases.where("phase = 'CAL'")
+        return gate.gates_by_origin(cal, baselines.EXPERTS)
+
 
 #: Columns that become targets of earlier origins.
 TARGETS = ("actual_gross_m2", "actual_positive", "actual_negative_only", "target_available", "zero_semantics")
