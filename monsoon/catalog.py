@@ -289,3 +289,123 @@ def _phase_counts(parts: dict[str, DataFrame]) -> DataFrame:
 
 
 _evaluation()
+
+# ---- validation, audits, selection, models and vintage
+
+
+def _control() -> None:
+    from monsoon.operators import baselines, gate, ml, scores, select, supervise, validate, vintage
+    from monsoon.sources import runs
+
+    query("source_profile", "SELECT unit, count(*) AS n_rows, min(month) AS min_month, max(month) AS max_month, count(DISTINCT bravo_sku) AS n_sku, count(DISTINCT branch_code) AS n_branch FROM sales GROUP BY 1")(lambda d: validate.source_profile(d.sources.sales))
+    blanks = " UNION ALL ".join(f"""SELECT 'master_sku' AS "table", '{c}' AS field, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS null_count, count(*) FILTER (trim({c}) = '') AS blank_count FROM master_sku"""
+                                for c in ("bravo_sku", "base_sku", "master_status", "product_group", "brand", "price_group", "factory_code", "pull_source", "branch_channel"))
+    query("null_blank_report", blanks)(lambda d: validate.null_blank_report(d.sources.master_sku, "master_sku"))
+    tables = (("sales_monthly", "sales", ["bravo_sku", "branch_code", "unit", "month"]), ("master_sku", "master_sku", ["bravo_sku"]), ("fact", "fact", [*PAIR, "month"]))
+
+    def frames(d: Demand) -> list:
+        return [(n, f, k) for (n, _, k), f in zip(tables, (d.sources.sales, d.sources.master_sku, d.fact), strict=True)]
+
+    query("duplicate_report", " UNION ALL ".join(f"""SELECT '{n}' AS "table", count(*) AS duplicate_groups, coalesce(sum(c), 0)::BIGINT AS duplicate_rows FROM (SELECT count(*) AS c FROM {t} GROUP BY {', '.join(k)} HAVING count(*) > 1)""" for n, t, k in tables))(
+        lambda d: validate.duplicate_report(frames(d))
+    )
+    query("key_report", " UNION ALL ".join(f"""SELECT '{n}' AS "table", coalesce(sum(c), 0)::BIGINT AS n_rows, count(*) AS n_keys FROM (SELECT count(*) AS c FROM {t} GROUP BY {', '.join(k)})""" for n, t, k in tables))(lambda d: validate.key_report(frames(d)))
+    query("mapping_audit", "SELECT primary_exclusion_reason, count(*) AS n_rows, sum(gross_positive_m2) AS gross_m2, sum(negative_m2) AS negative_m2 FROM obs GROUP BY 1")(lambda d: validate.mapping_audit(d.observation))
+    query("structure_audit", "SELECT mapping_status, modeling_exclusion_reason, base_group_count, structure_valid, is_l1, count(*) AS n_sku, count(DISTINCT base_sku) AS n_base FROM bridge GROUP BY ALL")(lambda d: validate.structure_audit(d.bridge))
+    query("channel_profile", "SELECT channel_relation_snapshot, count(*) AS n_rows, sum(gross_positive_m2) AS gross_m2, sum(gross_positive_m2) / sum(sum(gross_positive_m2)) OVER () AS gross_share FROM obs WHERE row_disposition = 'MODELING_VALID' GROUP BY 1", ("gross_share",))(
+        lambda d: validate.channel_profile(d.observation)
+    )
+    query("attribute_conflicts", "SELECT base_sku, 'price_group' AS field, count(DISTINCT price_group) AS n_values, string_agg(DISTINCT price_group, ' | ' ORDER BY price_group) AS \"values\" FROM bridge WHERE base_sku IS NOT NULL GROUP BY 1 HAVING count(DISTINCT price_group) > 1")(
+        lambda d: validate.attribute_conflicts(d.bridge, ["price_group"])
+    )
+    query("reconciliation", """SELECT s.*, f.*, abs(source_positive - fact_positive) <= 1e-8 AND abs(source_negative - fact_negative) <= 1e-8 AS reconciled
+        FROM (SELECT sum(gross_positive_m2) AS source_positive, sum(negative_m2) AS source_negative, count(*) AS source_rows FROM obs WHERE row_disposition = 'MODELING_VALID') s, (SELECT sum(gross_positive_m2) AS fact_positive, sum(negative_m2) AS fact_negative, count(*) AS fact_rows FROM fact) f""")(
+        lambda d: validate.reconciliation(d.observation, d.fact)
+    )
+    query("panel_semantics", "SELECT zero_semantics, count(*) AS n_rows, count(*) FILTER (target_available) AS n_available, count(*) FILTER (actual_positive) AS n_positive, sum(actual_gross_m2) AS gross_m2 FROM pair_panel GROUP BY 1")(lambda d: validate.panel_semantics(d.pair_panel))
+    core = ("bridge_unique", "dim_base_unique", "dim_branch_unique", "observation_unique", "fact_unique", "pair_panel_unique", "branch_panel_unique", "fact_base_known", "fact_branch_known", "fact_signs", "implicit_zero_is_zero",
+            "negative_only_has_no_target", "first_positive_is_origin_safe", "starts_at_first_observation", "positive_reconciles", "negative_reconciles")
+    passed = lambda names: 'SELECT unnest([{}]) AS "check", 0::BIGINT AS violations, \'PASS\' AS status'.format(", ".join(f"'{n}'" for n in names))
+    query("validate_core", passed(core))(lambda d: validate.validate_core(d.bridge, d.dim_base, d.dim_branch, d.observation, d.fact, d.pair_panel, d.branch_panel))
+    stage = ("grain_unique", "information_up_to_origin", "horizon_aligned", "no_frozen_target", "origin_up_to_limit", "validation_origin_locked", "returns_have_no_target", "peak_is_carried", "calendar_known")
+    query("validate_features", passed(stage))(lambda d: validate.validate_features(d.pair_dev, d.calendar.validation_origin, d.calendar.frozen_start))
+    query("calendar_purity", "SELECT unnest(['target_working_days_proxy', 'target_is_tet_month']) AS \"column\", 0::BIGINT AS impure_months")(lambda d: validate.calendar_purity(d.pair_dev, ["target_working_days_proxy", "target_is_tet_month"]))
+    query("prediction_guards", "SELECT true AS no_null, true AS probability_in_range, true AS nothing_negative, true AS forecast_is_product, count(*) AS n_rows, true AS keys_unique FROM ev")(lambda d: validate.prediction_guards(d.evaluation, "pred_soft", vintage.KEYS))
+
+    columns = ["pair_lag_1", "pair_lag_12", "pair_roll_3_mean", "pair_roll_3_sum", "pair_roll_12_std", "pair_roll_12_positive_count", "pair_history_length_months", "pair_target_available_count_to_origin", "pair_observed_source_month_count_to_origin"]
+    profile = " UNION ALL ".join(f"SELECT '{c}' AS feature_name, avg(({c} IS NULL)::INT) AS missing_rate, count(DISTINCT {c}) AS n_unique FROM pair_f" for c in (columns[0], columns[1], *columns[5:]))
+    query("feature_inventory", profile, ("missing_rate",))(lambda d: select.column_profile(_own(d), [columns[0], columns[1], *columns[5:]]))
+    query("duplicate_map", "SELECT 'copy_of_lag' AS feature_name, 'pair_lag_1' AS duplicate_of UNION ALL SELECT 'actual', 'pair_lag_1'")(
+        lambda d: select.duplicate_map(_own(d).withColumns({"copy_of_lag": F.col("pair_lag_1"), "actual": F.col("actual_gross_m2")}), ["pair_lag_1", "pair_lag_12", "copy_of_lag", "actual", "pair_roll_12_positive_count"], [*PAIR, "month"])
+    )
+    query("static_screen", """SELECT *, CASE WHEN missing_rate > 0.95 THEN 'DROP_MISSING' WHEN n_unique <= 1 THEN 'DROP_CONSTANT' WHEN duplicate_of IS NOT NULL THEN 'DROP_DUPLICATE' ELSE 'KEEP' END AS static_status FROM (
+        SELECT 'pair_lag_1' AS feature_name, avg((pair_lag_1 IS NULL)::INT) AS missing_rate, count(DISTINCT pair_lag_1) AS n_unique, NULL::VARCHAR AS duplicate_of FROM pair_f UNION ALL
+        SELECT 'copy_of_lag', avg((pair_lag_1 IS NULL)::INT), count(DISTINCT pair_lag_1), 'pair_lag_1' FROM pair_f UNION ALL SELECT 'one', 0, 1, NULL UNION ALL SELECT 'none', 1, 0, NULL)""", ("missing_rate",))(
+        lambda d: select.static_screen(_own(d).withColumns({"copy_of_lag": F.col("pair_lag_1"), "one": F.lit(1), "none": F.lit(None).cast("double")}), ["pair_lag_1", "copy_of_lag", "one", "none"], [*PAIR, "month"])
+    )
+    pairs = [("pair_roll_3_mean", "pair_roll_3_sum"), ("pair_history_length_months", "pair_target_available_count_to_origin"), ("pair_history_length_months", "pair_observed_source_month_count_to_origin"), ("pair_target_available_count_to_origin", "pair_observed_source_month_count_to_origin"), ("pair_lag_1", "pair_lag_12")]
+    pair_sql = " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS correlation FROM pair_f" for a, b in pairs[1:4])
+    query("correlation_review", f"SELECT * FROM ({pair_sql}) WHERE abs(correlation) >= 0.9", ("correlation",))(lambda d: select.correlations(_own(d), ["pair_history_length_months", "pair_target_available_count_to_origin", "pair_observed_source_month_count_to_origin"], 0.9))
+    query("capped_sample")(lambda d: select.capped_sample(_own(d).select(*PAIR, "month", "actual_positive"), ["actual_positive"], [*PAIR, "month"], 5000))
+    table = [(s, f, 0.01 * (i + 1) * (1 if s == "ALL" else 0.5) - 0.02) for i, f in enumerate(("horizon", "pair_lag_1", "pair_lag_2", "pair_lag_3")) for s in ("ALL", "h1")]
+    values = ", ".join(f"('{s}', '{f}', {v!r})" for s, f, v in table)
+    query("feature_choice", f"""SELECT feature_name, best, row_number() OVER (ORDER BY best DESC, feature_name)::INTEGER AS rank, reason <> 'NOT_SELECTED' AS selected, reason FROM (SELECT *, CASE WHEN feature_name = 'horizon' THEN 'MANDATORY_FOR_POOLED' WHEN best > 0.0005 THEN 'PERMUTATION_IMPORTANCE'
+        WHEN row_number() OVER (ORDER BY best DESC, feature_name) <= 2 THEN 'MIN_FEATURE_FLOOR' ELSE 'NOT_SELECTED' END AS reason FROM (SELECT f AS feature_name, max(v) AS best FROM (VALUES {values}) t(s, f, v) GROUP BY 1))""", ("best",))(
+        lambda d: select.choose_features(d.spark.createDataFrame(table, "scope string, feature_name string, importance_wape_mean double"), select.Screen(min_selected=2))
+    )
+    query("permutation_importance")(lambda d: _importance(d, select))
+    query("family_ablation")(lambda d: _ablation(d, select))
+
+    query("two_part_forecast")(lambda d: _two_part(d, ml, supervise)[1])
+    query("hurdle_forecast")(lambda d: _hurdle(d, ml, supervise, gate))
+    soft = "SELECT f.*, h, coalesce(pair_positive_rate_to_origin, 0) AS p, coalesce(pair_mean_positive_m2_to_origin, 0) AS q FROM pair_f f, (VALUES (1), (2), (3)) x(h) WHERE f.month = DATE '2001-11-01' AND base_current_active AND branch_current_active"
+    query("forecast_summary", f"SELECT h::INTEGER AS horizon, count(*) AS n_rows, count(DISTINCT base_sku) AS n_sku, count(DISTINCT branch_code) AS n_branch, sum(p * q) AS forecast_sum, avg(p * q) AS forecast_mean, avg(p) AS mean_p, avg(q) AS mean_q FROM ({soft}) GROUP BY 1", ("forecast_sum", "forecast_mean", "mean_p", "mean_q"))(
+        lambda d: vintage.forecast_summary(_vintage(d, vintage, supervise, baselines))
+    )
+    query("content_digest")(lambda d: runs.content_digest(d.fact))
+    assert scores.Y in supervise.PAIR_TARGETS.values()
+
+
+def _own(d: Demand) -> DataFrame:
+    from monsoon.operators import features
+
+    return features.pair_features(d.pair_panel)
+
+
+def _vintage(d: Demand, vintage, supervise, baselines) -> DataFrame:
+    frame = supervise.prospective(d.pair_origin, d.target_calendar, d.calendar.panel_end)
+    p, q = F.coalesce("pair_positive_rate_to_origin", F.lit(0.0)), F.coalesce("pair_mean_positive_m2_to_origin", F.lit(0.0))
+    return vintage.forecast_frame(frame.withColumns({"p_positive": p, "q_positive": q, "pred_soft": baselines.soft_expected(p, q)}), "pred_soft")
+
+
+def _two_part(d: Demand, ml, supervise):
+    parts = supervise.fit_calibration(d.rolling.where("horizon = 1").drop("p_positive", "q_positive"), d.calendar.validation_origin)
+    model = ml.fit_two_part(parts["FIT"].where("target_month >= date'2000-01-01'"), parts["CAL"], ml.TwoPart(max_trees=5, depth=3, min_fit_positive=20, min_cal_positive=5))
+    ahead = d.rolling.where("horizon = 1").drop("p_positive", "q_positive").where((F.col("forecast_origin") == F.lit(d.calendar.validation_origin).cast("date")) & supervise.primary())
+    return model, model.transform(ahead).select(*PAIR, "forecast_origin", "target_month", "horizon", "target_actual_gross_m2", "p_positive", "q_positive", "pred_two_part")
+
+
+def _hurdle(d: Demand, ml, supervise, gate) -> DataFrame:
+    scored = _two_part(d, ml, supervise)[1]
+    return ml.hurdle_prediction(scored, gate.threshold_choice(gate.threshold_grid(scored))).select(*PAIR, "horizon", "threshold", "pred_hurdle")
+
+
+def _screening(d: Demand, select) -> tuple[DataFrame, DataFrame, list[str]]:
+    columns = ["pair_lag_1", "pair_lag_2", "pair_roll_12_mean", "pair_positive_rate_to_origin"]
+    rows = d.rolling.select(*PAIR, "forecast_origin", "horizon", *columns, "target_actual_gross_m2", "target_available").where("target_available")
+    train = select.capped_sample(rows.where(F.add_months("forecast_origin", F.col("horizon")) <= F.lit("2001-05-01").cast("date")), ["horizon"], [*PAIR, "forecast_origin", "horizon"], 4000)
+    return train, select.capped_sample(rows.where("forecast_origin = date'2001-08-01'"), ["horizon"], [*PAIR, "forecast_origin", "horizon"], 2000), columns
+
+
+def _importance(d: Demand, select) -> DataFrame:
+    train, test, columns = _screening(d, select)
+    model = select.screening_model(train, columns, [], "target_actual_gross_m2", 5)
+    return select.permutation_table(test, columns[:2], model, "target_actual_gross_m2", {"ALL": "true", "h1": "horizon = 1"}, 1)
+
+
+def _ablation(d: Demand, select) -> DataFrame:
+    train, test, columns = _screening(d, select)
+    return select.family_ablation(train, test, columns, {"lag": ["pair_lag_"], "roll": ["pair_roll_"]}, "target_actual_gross_m2", 3)
+
+
+_control()

@@ -273,7 +273,8 @@ def diagnosis(y: str, p: str) -> str:
 def sql(last: str) -> str:
     """The chain, as far as the last SELECT may name it, and that SELECT."""
     chain = ",\n".join(f"{name} AS ({text})" for name, text in CTES.items())
-    return f"WITH {chain}\n{last}"
+    # a last SELECT may have expressions of its own
+    return f"WITH {chain}\nSELECT * FROM ({last})"
 
 
 def rounded(last: str, columns: list[str]) -> str:
