@@ -113,7 +113,7 @@ def features(text: str, span: list[Atom], before: list[str], after: str, kind: s
     if kind == "email":
         at = [i for i, w in enumerate(words) if w == "@" or w.lower() in _ATS]
         dots = sum(w == "." or w.lower() in _DOTS for w in words)
-        if len(at) != 1 or not 0 < at[0] < len(words) - 1 or not dots or not words[0].isalnum() or not words[-1].isalpha() or len(words[-1]) < 2:
+        if len(at) != 1 or not 0 < at[0] < len(words) - 1 or not dots or not words[0].isalnum() or not words[-1].isalpha() or len(words[-1]) < 2 or words[-1].lower() in _DOTS | _ATS:
             return None
         spelled = "@" not in surface
         if spelled and not any(w.lower() in _DOTS for w in words):
@@ -126,7 +126,7 @@ def features(text: str, span: list[Atom], before: list[str], after: str, kind: s
             loose = gaps
         if spelled and loose:
             return None
-        out += [f"email|spelled{spelled}", f"email|odd{min(odd, 2)}", f"email|loose{min(loose, 2)}", f"email|tld{min(len(words[-1]), 5)}"]
+        out += [f"email|spelled{spelled}", f"email|spelled{spelled}brackets{'[' in surface or '(' in surface}", f"email|odd{min(odd, 2)}", f"email|loose{min(loose, 2)}", f"email|tld{min(len(words[-1]), 5)}"]
     else:
         if any(not (w.isdigit() and w.isascii()) and w not in "+()-. /" for w in words) or not ("0" <= surface[-1] <= "9") or surface[0] not in "+(0123456789":
             return None
