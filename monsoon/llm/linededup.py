@@ -50,7 +50,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, window: int = 3, id_col: s
 
     rows = docs.select(F.struct(*[_col_of(c) for c in docs.columns]).alias("doc"), *keyed, text.alias("text"))
     on = (F.col("last") == F.col("l")) & F.col("ident").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d"))
-    joined = rows.join(starts, on, "left").select("doc", "text", "starts", F.split("text", "\n", -1).alias("lines"))
+    # always sorted and merged, so that the plan does not change with the size of starts
+    joined = rows.join(starts.hint("merge"), on, "left").select("doc", "text", "starts", F.split("text", "\n", -1).alias("lines"))
 
     # runs of covered lines: one begins where the one before has ended, and ends where the next one begins later
     last_at = F.size("starts") - 1
