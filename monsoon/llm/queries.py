@@ -22,7 +22,7 @@ def op2_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = source(spark, sf_dir, "pages")
     warc.write(spark, pages, path)
     kind = pages.schema["page_id"].dataType
-    return warc.read(spark, path).select(
+    return warc.read(spark, path, payloads=False).select(
         F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"), "valid", "segments"
     )
 

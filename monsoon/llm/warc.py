@@ -2,7 +2,7 @@
 
 Writing: a payload of more than `segment` bytes is split over a first record and continuations, which name the first as
 their origin; payloads go out in HTTP responses with chunked transfer framing.  Archives are text files of Spark's writer
-whose line separator is the empty lines that end a record, so they can lie in any store and survive lost executors.
+whose line separator is the empty lines that end a record, compressed by gzip; so they can lie in any store and survive lost executors.
 Reading: archives are parsed by the lengths that records declare; continuations are grouped by origin, ordered by segment
 number, checked against the total length, joined, and the chunked framing is taken off.
 """
@@ -10,6 +10,7 @@ number, checked against the total length, joined, and the chunked framing is tak
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -123,14 +124,16 @@ def write(spark: SparkSession, pages: DataFrame, path: str, id_col: str = "page_
     files = max(1, -(-(size.b + 500 * size.n) // archive))
     records = map_batches(linked, _write(segment, chunk), "record binary", 64)
     # records are dealt evenly: a file holds archive bytes and a segment or two more
-    records.repartition(files).select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
+    records.repartition(files).select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").text(path, compression="gzip")
+    scratch.drop(rows)
+    scratch.drop(first)
 
 
 def _read(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     names = ["warc-type", "warc-record-id", "warc-target-uri", "warc-payload-digest", "warc-refers-to", "warc-segment-origin-id", "x-page-id"]
     for data in batch.column(0).to_pylist():
         rows, size = [], 0
-        for headers, block in parse(data):
+        for headers, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
             rows.append([*(headers.get(n) for n in names), *(int(headers[n]) if n in headers else None for n in ("warc-segment-number", "warc-segment-total-length")), block])
             size += len(block)
             if size > 8 << 20:
@@ -187,8 +190,8 @@ def _payloads(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([*rest, pa.array(out, pa.binary()), pa.array(size, pa.int64()), pa.array(found, pa.string())], [*batch.schema.names[2:], "payload", "payload_bytes", "payload_digest"])
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each page: record_id, page, uri, record_type, refers_to, payload (of responses), payload_bytes, payload_digest, valid, segments.
+def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """A row for each page: record_id, page, uri, record_type, refers_to, payload (of responses, if payloads), payload_bytes, payload_digest, valid, segments.
 
     refers_to is the page of the response; bytes and digest of a revisit are those of the response's payload.  valid tells
     that segments are complete, the framing is right and the payload has the digest that the record declares.
@@ -197,11 +200,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     kinds = "record_id string, page string, uri string, digest string, refers string, complete boolean, segments int"
     typed = joined.select("type", "block", F.col("type").alias("record_type"), "record_id", "page", "uri", "digest", "refers", "complete", F.col("segments").cast("int"))
     rows = map_batches(typed, _payloads, f"record_type string, {kinds}, payload binary, payload_bytes long, payload_digest string", 64)
-    rows = Scratch(spark, "warc-read").table(rows, "payloads")
+    # written once, since revisits join with it
+    rows = Scratch(spark, "warc-read").table(rows if payloads else rows.drop("payload"), "payloads")
     target = rows.where("record_type = 'response'").select(F.col("record_id").alias("t"), F.col("page").alias("t_page"), F.col("payload_bytes").alias("t_bytes"), F.col("payload_digest").alias("t_digest"))
     all_rows = rows.join(target, F.col("refers") == F.col("t"), "left")
     found: Column = F.coalesce("payload_digest", "t_digest")
     return all_rows.select(
-        "record_id", "page", "uri", "record_type", F.col("t_page").alias("refers_to"), "payload", F.coalesce("payload_bytes", "t_bytes").alias("payload_bytes"), found.alias("payload_digest"),
+        "record_id", "page", "uri", "record_type", F.col("t_page").alias("refers_to"), *(["payload"] if payloads else []), F.coalesce("payload_bytes", "t_bytes").alias("payload_bytes"), found.alias("payload_digest"),
         F.coalesce(F.col("complete") & (F.concat(F.lit("sha1:"), found) == F.col("digest")), F.lit(False)).alias("valid"), "segments",
     )
