@@ -3,7 +3,7 @@
 A text's template has typed placeholders for names (capitalised words inside a sentence), numbers and units after a
 number.  Windows of `window` template tokens of the benchmark are hash-joined with those of the documents.  Windows that
 match along one alignment of an item with a document must agree on their slots: one value of the item must stand for
-one value of the document throughout.  So a question with other names or numbers is still caught, while mere agreement
+one value of the document throughout, and windows with a value that stands for several don't count.  So a question with other names or numbers is still caught, while mere agreement
 of placeholders is not.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monsoon.llm.common import Scratch, rekey
@@ -19,8 +19,11 @@ from monsoon.llm.common import Scratch, rekey
 NAME = r"([\p{L}\p{N},;:)] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
 NUMBER = r"\p{N}+(?:[.,:]\p{N}+)*"
 UNITS = "km cm mm kg mg ml m g l s h min hours hour minutes minute seconds second days day weeks week months month years year miles mile meters metres grams liters litres dollars euros pounds cents percent degrees"
-UNIT = "<num> ?(" + "|".join(UNITS.split()) + r")([^\p{L}\p{N}]|$)"
-PLACEHOLDERS = ("<name>", "<num>", "<unit>")
+# placeholders are private characters, which are taken out of texts, so that no text holds one of its own
+NAMED, NUM, UNIT, END = "\ue000", "\ue001", "\ue002", "\ue003"
+PLACEHOLDERS = (NAMED, NUM, UNIT)
+AFTER = "(" + "|".join(UNITS.split()) + r")([^\p{L}\p{N}]|$)"
+VALUE = f"[{NAMED}-{UNIT}][^{END}]*+{END}"
 
 
 @dataclass(frozen=True)
@@ -34,24 +37,26 @@ class Decontam:
     broadcast_rows: int = 500_000
 
 
-def _named(text: Column) -> Column:
-    return F.regexp_replace(text, NAME, "$1<name>")
+def _clean(text: Column) -> Column:
+    return F.translate(text, NAMED + NUM + UNIT + END, "||||")
 
 
-def _numbered(named: Column) -> Column:
-    return F.regexp_replace(named, NUMBER, "<num>")
+def template_tokens(text: Column) -> Column:
+    """The template's tokens: lower-cased words and placeholders, also those glued to letters ('3rd', 'mp3')."""
+    numbered = F.regexp_replace(F.regexp_replace(_clean(text), NAME, "$1" + NAMED), NUMBER, NUM)
+    unit = F.regexp_replace(numbered, f"{NUM} ?{AFTER}", f"{NUM} {UNIT}$2")
+    return F.filter(F.split(F.lower(unit), rf"[^\p{{L}}<>{NAMED}-{UNIT}]+"), lambda x: x != "")
 
 
-def template_tokens(text: Column) -> Column:
-    """The template's tokens: lower-cased words and placeholders."""
-    unit = F.regexp_replace(_numbered(_named(text)), UNIT, "<num> <unit>$2")
-    return F.filter(F.split(F.lower(unit), r"[^\p{L}<>]+"), lambda x: x != "")
+def valued_tokens(text: Column) -> Column:
+    """The same tokens, with the value behind each placeholder and END after it."""
+    numbered = F.regexp_replace(F.regexp_replace(_clean(text), NAME, f"$1{NAMED}$2{END}"), NUMBER, f"{NUM}$0{END}")
+    unit = F.regexp_replace(numbered, f"({NUM}[^{END}]*+{END}) ?{AFTER}", f"$1 {UNIT}$2{END}$3")
+    return F.regexp_extract_all(F.lower(unit), F.lit(rf"(?:[\p{{L}}<>]++|{VALUE})++"), F.lit(0))
 
 
-def slot_values(text: Column) -> list[Column]:
-    """The values behind the placeholders of each kind, in order."""
-    named = _named(text)
-    return [F.regexp_extract_all(text, F.lit(NAME), 2), F.regexp_extract_all(named, F.lit(NUMBER), 0), F.regexp_extract_all(_numbered(named), F.lit(UNIT), 1)]
+def _without_values(valued: Column) -> Column:
+    return F.transform(valued, lambda t: F.regexp_replace(t, f"([{NAMED}-{UNIT}])[^{END}]*+{END}", "$1"))
 
 
 def _windows(df: DataFrame, keep: list[str], size: int) -> DataFrame:
@@ -65,20 +70,9 @@ def _windows(df: DataFrame, keep: list[str], size: int) -> DataFrame:
     )
 
 
-def _count(tokens: str, n: Column, token: str) -> Column:
-    """How often token is among the first n."""
-    return F.size(F.filter(F.slice(tokens, 1, n), lambda t: t == token))
-
-
 def _in_window(pos: Column, size: Column) -> Column:
-    """(kind, value) of each slot of the window at pos, in order; from columns tokens and v0..v2."""
-    def value(i: Column) -> Column:
-        token = F.get("tokens", i)
-        before = [_count("tokens", i, p) for p in PLACEHOLDERS]
-        return F.struct(i.alias("at"), F.when(token == "<name>", F.get("v0", before[0])).when(token == "<num>", F.get("v1", before[1])).otherwise(F.get("v2", before[2])).alias("value"))
-
-    at = F.filter(F.sequence(pos, pos + size - 1), lambda i: F.get("tokens", i).isin(*PLACEHOLDERS))
-    return F.transform(at, value)
+    """Kind and value of each slot of the window at pos, in order; from column valued."""
+    return F.flatten(F.transform(F.slice("valued", pos + 1, size), lambda t: F.regexp_extract_all(t, F.lit(VALUE), F.lit(0))))
 
 
 def leaks(
@@ -102,13 +96,13 @@ def leaks(
     conf = conf or Decontam()
     scratch = Scratch(spark, "decontam")
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null").distinct()
-    items = items.select("item", F.xxhash64("text").alias("idig"), template_tokens(F.col("text")).alias("tokens"), *[v.alias(f"v{i}") for i, v in enumerate(slot_values(F.col("text")))])
+    items = items.select("item", F.xxhash64("text").alias("idig"), valued_tokens(F.col("text")).alias("valued")).withColumn("tokens", _without_values(F.col("valued")))
     items = scratch.table(items.withColumn("size", F.least(F.size("tokens"), F.lit(conf.window))), "items")
     sizes = [r.size for r in items.select("size").distinct().collect() if r.size > 0]  # at most `window` values
 
     own = None
     for size in sizes:
-        part = _windows(items.where(F.col("size") == size), ["item", "idig", "size", "tokens", "v0", "v1", "v2"], size)
+        part = _windows(items.where(F.col("size") == size), ["item", "idig", "size", "tokens", "valued"], size)
         literal = F.size(F.filter(F.slice("tokens", F.col("pos") + 1, F.lit(size)), lambda t: ~t.isin(*PLACEHOLDERS)))
         part = part.where(literal >= min(conf.literals, size)).select("item", "idig", "size", F.col("pos").alias("ipos"), "a", "b", _in_window(F.col("pos"), F.lit(size)).alias("islots"))
         own = part if own is None else own.unionByName(part)
@@ -136,21 +130,22 @@ def leaks(
 
     wanted = enough.select(F.col("id").alias("wid"), rekey(F.col("digest")).alias("wdig")).distinct()
     texts = plain.withColumn("digest", F.xxhash64("text")).join(small(wanted), F.col("id").eqNullSafe(F.col("wid")) & (rekey(F.col("digest")) == F.col("wdig")), "left_semi").distinct()
-    texts = texts.select(F.col("id").alias("tid"), F.col("digest").alias("tdig"), template_tokens(F.col("text")).alias("tokens"), *[v.alias(f"v{i}") for i, v in enumerate(slot_values(F.col("text")))])
+    texts = texts.select(F.col("id").alias("tid"), F.col("digest").alias("tdig"), valued_tokens(F.col("text")).alias("valued"))
     # only documents with placeholders have slots to compare
-    slotted = texts.where(F.exists("tokens", lambda t: t.isin(*PLACEHOLDERS)))
-    slotted = slotted.select("tid", "tdig", "tokens", "v0", "v1", "v2")
+    slotted = texts.where(F.exists("valued", lambda t: t.contains(END)))
     spots = near.join(slotted, F.col("id").eqNullSafe(F.col("tid")) & (F.col("digest") == F.col("tdig")))
     spots = spots.withColumn("slots", _in_window(F.col("pos"), F.col("size"))).where(F.size("slots") > 0)
     keys = own.select(F.col("item").alias("oitem"), F.col("idig").alias("oidig"), F.col("ipos").alias("oipos"), "islots")
     spots = spots.join(keys, F.col("item").eqNullSafe(F.col("oitem")) & (F.col("idig") == F.col("oidig")) & (F.col("ipos") == F.col("oipos")))
-    spots = spots.select("id", "digest", "item", "idig", (F.col("pos") - F.col("ipos")).alias("shift"), F.explode(F.arrays_zip("islots", "slots")).alias("s"))
-    values = spots.groupBy("id", "digest", "item", "idig", "shift", F.col("s.islots.value").alias("value")).agg(F.min("s.slots.value").alias("lo"), F.max("s.slots.value").alias("hi"))
-    broken = values.where("lo <> hi").select(F.col("id").alias("xid"), F.col("digest").alias("xdig"), F.col("item").alias("xitem"), F.col("idig").alias("xidig"), F.col("shift").alias("xshift")).distinct()
+    spots = spots.select("id", "digest", "item", "idig", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos", F.explode(F.arrays_zip("islots", "slots")).alias("s"))
+    # windows with an item value that has several document values along their alignment
+    same = Window.partitionBy("id", "digest", "item", "idig", "shift", "s.islots")
+    broken = spots.withColumns({"lo": F.min("s.slots").over(same), "hi": F.max("s.slots").over(same)}).where("lo <> hi")
+    broken = broken.select(*[F.col(c).alias(x) for c, x in (("id", "xid"), ("digest", "xdig"), ("item", "xitem"), ("idig", "xidig"), ("shift", "xshift"), ("ipos", "xpos"))]).distinct()
 
     aligned = near.withColumn("shift", F.col("pos") - F.col("ipos")).join(
         broken,
-        F.col("id").eqNullSafe(F.col("xid")) & (F.col("digest") == F.col("xdig")) & F.col("item").eqNullSafe(F.col("xitem")) & (F.col("idig") == F.col("xidig")) & (F.col("shift") == F.col("xshift")),
+        F.col("id").eqNullSafe(F.col("xid")) & (F.col("digest") == F.col("xdig")) & F.col("item").eqNullSafe(F.col("xitem")) & (F.col("idig") == F.col("xidig")) & (F.col("shift") == F.col("xshift")) & (F.col("ipos") == F.col("xpos")),
         "left_anti",
     )
     found = aligned.select("id", "digest", "item", "idig", "ipos", "total").distinct().groupBy("id", "digest", "item", "idig", "total").agg(F.count("*").alias("matched"))

@@ -136,6 +136,16 @@ def test_templates_catch_other_parameters_but_not_mixed_ones(spark):
     assert decontam.leaks(spark, frame(spark, []), items).count() == 0 and decontam.leaks(spark, frame(spark, docs), items.where("false")).count() == 0
 
 
+def test_words_with_glued_digits_or_names_do_not_shift_values(spark):
+    item = QUESTION.replace("2 hours", "5 hours")
+    docs = [(i, f"{front} {item}", "en") for i, front in enumerate(["Read this.", "This is the 3rd exercise.", "An mp3 of B2B and the YouTube film with <num> and <name>."])]
+    far = QUESTION.replace("from the old city", "in 2 hours") + " while " + " ".join(f"word{c} other{c}" for c in "abcdefghij") + " and 2 more"
+    docs.append((9, "This is the 3rd exercise. " + far.replace("and 2 more", "and 4 more"), "en"))  # one conflict at the end costs its windows only
+    items = spark.createDataFrame([(10, item), (11, far)], "item_id bigint, text string")
+    got = {(g.id, g.item): g.share for g in decontam.leaks(spark, frame(spark, docs), items).collect()}
+    assert [got.get((i, 10)) for i in range(3)] == [1.0, 1.0, 1.0] and 0.5 <= got[9, 11] < 1
+
+
 def test_decontamination_without_broadcast_gives_the_same(spark):
     docs = frame(spark, [(i, f"in front {i} " + QUESTION, "en") for i in range(5)])
     items = spark.createDataFrame([(10, QUESTION)], "item_id bigint, text string")
