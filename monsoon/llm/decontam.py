@@ -3,21 +3,28 @@
 A text's template has typed placeholders for names (capitalised words inside a sentence), numbers and units after a
 number.  Windows of `window` template tokens of the benchmark are hash-joined with those of the documents.  Windows that
 match along one alignment of an item with a document must agree on their slots: one value of the item must stand for
-one value of the document throughout, and windows with a value that stands for several don't count.  So a question with other names or numbers is still caught, while mere agreement
-of placeholders is not.
+one value of the document throughout, and windows with a value that stands for several don't count.  So a question with
+other names or numbers is still caught, while mere agreement of placeholders is not.
+
+A capitalised word may be a name or only begin a sentence, so there are two readings: in the first, names stand inside a
+sentence only; in the second, every capitalised word is one, wherever it stands.  Windows of the second reading with few
+literal tokens count too; they match by their template and values together.  An item leaks by either reading.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monsoon.llm.common import Scratch, rekey
 
-NAME = r"([\p{L}\p{N},;:)] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
-NUMBER = r"\p{N}+(?:[.,:]\p{N}+)*"
+# possessive, as a loop that may be undone takes stack for each word of a long list
+NAME = r"([\p{L}\p{N},;:)] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}++)*+)"
+ANYWHERE = r"(?<![\p{L}\p{N}])()(\p{Lu}\p{Ll}++(?![\p{L}\p{N}])(?: \p{Lu}\p{Ll}++(?![\p{L}\p{N}]))*+)"
+NUMBER = r"\p{N}+(?:[.,:]\p{N}++)*+"
 UNITS = "km cm mm kg mg ml m g l s h min hours hour minutes minute seconds second days day weeks week months month years year miles mile meters metres grams liters litres dollars euros pounds cents percent degrees"
 # placeholders are private characters, which are taken out of texts, so that no text holds one of its own
 NAMED, NUM, UNIT, END = "\ue000", "\ue001", "\ue002", "\ue003"
@@ -28,8 +35,8 @@ VALUE = f"[{NAMED}-{UNIT}][^{END}]*+{END}"
 
 @dataclass(frozen=True)
 class Decontam:
-    """A document leaks an item with min_share of whose windows it shares; a window needs `literals` tokens that aren't
-    placeholders.  Benchmark windows or documents that match are broadcast up to broadcast_rows, else joined by shuffle."""
+    """A document leaks an item with min_share of whose windows it shares; a window with fewer than `literals` tokens that
+    aren't placeholders must agree in its values too.  Benchmark windows or documents that match are broadcast up to broadcast_rows, else joined by shuffle."""
 
     window: int = 8
     literals: int = 4
@@ -41,16 +48,16 @@ def _clean(text: Column) -> Column:
     return F.translate(text, NAMED + NUM + UNIT + END, "||||")
 
 
-def template_tokens(text: Column) -> Column:
+def template_tokens(text: Column, name: str = NAME) -> Column:
     """The template's tokens: lower-cased words and placeholders, also those glued to letters ('3rd', 'mp3')."""
-    numbered = F.regexp_replace(F.regexp_replace(_clean(text), NAME, "$1" + NAMED), NUMBER, NUM)
+    numbered = F.regexp_replace(F.regexp_replace(_clean(text), name, "$1" + NAMED), NUMBER, NUM)
     unit = F.regexp_replace(numbered, f"{NUM} ?{AFTER}", f"{NUM} {UNIT}$2")
     return F.filter(F.split(F.lower(unit), rf"[^\p{{L}}<>{NAMED}-{UNIT}]+"), lambda x: x != "")
 
 
-def valued_tokens(text: Column) -> Column:
+def valued_tokens(text: Column, name: str = NAME) -> Column:
     """The same tokens, with the value behind each placeholder and END after it."""
-    numbered = F.regexp_replace(F.regexp_replace(_clean(text), NAME, f"$1{NAMED}$2{END}"), NUMBER, f"{NUM}$0{END}")
+    numbered = F.regexp_replace(F.regexp_replace(_clean(text), name, f"$1{NAMED}$2{END}"), NUMBER, f"{NUM}$0{END}")
     unit = F.regexp_replace(numbered, f"({NUM}[^{END}]*+{END}) ?{AFTER}", f"$1 {UNIT}$2{END}$3")
     return F.regexp_extract_all(F.lower(unit), F.lit(rf"(?:[\p{{L}}<>]++|{VALUE})++"), F.lit(0))
 
@@ -59,15 +66,23 @@ def _without_values(valued: Column) -> Column:
     return F.transform(valued, lambda t: F.regexp_replace(t, f"([{NAMED}-{UNIT}])[^{END}]*+{END}", "$1"))
 
 
-def _windows(df: DataFrame, keep: list[str], size: int) -> DataFrame:
-    """keep, pos and the 128-bit hash of each window of `size` tokens of column tokens."""
-    hashed = df.where(F.size("tokens") >= size).select(*keep, F.transform("tokens", lambda t: F.xxhash64(t)).alias("h"))
+def _windows(df: DataFrame, keep: list[str], size: int, literals: int = 0) -> DataFrame:
+    """keep, pos and the 128-bit hash of each window of `size` tokens of column tokens; with `literals`, of column valued,
+    and only windows with fewer literal tokens."""
+    column, salt = ("valued", 1000 + size) if literals else ("tokens", size)
+    arrays = [F.transform(column, lambda t: F.xxhash64(t)).alias("h")]
+    if literals:
+        arrays.append(F.transform(column, lambda t: F.when(t.rlike(f"^{VALUE}$"), 0).otherwise(1)).alias("l"))
+    hashed = df.where(F.size(column) >= size).select(*keep, *arrays)
     count = F.size("h") - (size - 1)
-    parts = F.arrays_zip(*[F.slice("h", i + 1, count).alias(f"t{i}") for i in range(size)])
+    parts = [F.slice("h", i + 1, count).alias(f"t{i}") for i in range(size)]
+    if literals:
+        parts += [F.slice("l", i + 1, count).alias(f"l{i}") for i in range(size)]
     names = [f"w.t{i}" for i in range(size)]
-    return hashed.select(*keep, F.posexplode(parts).alias("pos", "w")).select(
-        *keep, "pos", F.xxhash64(F.lit(size), *names).alias("a"), F.xxhash64(F.lit(-size), *names).alias("b")
-    )
+    each = hashed.select(*keep, F.posexplode(F.arrays_zip(*parts)).alias("pos", "w"))
+    if literals:
+        each = each.where(sum((F.col(f"w.l{i}") for i in range(size)), F.lit(0)) < literals)
+    return each.select(*keep, "pos", F.xxhash64(F.lit(salt), *names).alias("a"), F.xxhash64(F.lit(-salt), *names).alias("b"))
 
 
 def _in_window(pos: Column, size: Column) -> Column:
@@ -88,49 +103,75 @@ def leaks(
     """A row for each document and item that it leaks: id, digest (xxhash64 of the text), item, matched, total, share.
 
     matched counts the item's windows found along alignments with consistent slots, total all of its windows; an item of
-    fewer tokens than `window` is one window of its own size.  Windows with too few literal tokens count on neither side;
-    an item that has no others is never leaked.  Null and empty texts have no window.  Rows that repeat an id and a text
+    fewer tokens than `window` is one window of its own size.  Both are those of the first reading, without windows that
+    have too few literal tokens, where that share suffices; else those of the second, without and then with such windows.  Null and empty texts have no window.  Rows that repeat an id and a text
     give one row; items with the same text are each reported; a null id or item is reported as null.  Empty tables give
     no rows.  Other columns aren't read, so their names may clash with anything.
     """
     conf = conf or Decontam()
     scratch = Scratch(spark, "decontam")
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null").distinct()
-    items = items.select("item", F.xxhash64("text").alias("idig"), valued_tokens(F.col("text")).alias("valued")).withColumn("tokens", _without_values(F.col("valued")))
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    readings = [_reading(scratch, plain, items, conf, name, poor) for name, poor in ((NAME, False), (ANYWHERE, True))]
+    readings = [r.withColumn("reading", F.lit(i)) for i, r in enumerate(readings) if r is not None]
+    schema = "id {0}, digest long, item {1}, matched long, total long, share double".format(docs.select(id_col).schema[0].dataType.simpleString(), benchmark.select(item_col).schema[0].dataType.simpleString())
+    if not readings:
+        return spark.createDataFrame([], schema)
+    found = reduce(DataFrame.unionByName, readings).groupBy("id", "digest", "item", "idig").agg(F.min_by(F.struct("matched", "total"), "reading").alias("of"))
+    return found.select("id", "digest", "item", "of.matched", "of.total", (F.col("of.matched") / F.col("of.total")).alias("share"))
+
+
+def _reading(scratch: Scratch, plain: DataFrame, items: DataFrame, conf: Decontam, name: str, poor: bool) -> DataFrame | None:
+    """id, digest, item, idig, matched, total of what leaks if names are as in `name`; with windows poor in literals, if poor."""
+    items = items.select("item", F.xxhash64("text").alias("idig"), valued_tokens(F.col("text"), name).alias("valued")).withColumn("tokens", _without_values(F.col("valued")))
     items = scratch.table(items.withColumn("size", F.least(F.size("tokens"), F.lit(conf.window))), "items")
     sizes = [r.size for r in items.select("size").distinct().collect() if r.size > 0]  # at most `window` values
 
     own = None
     for size in sizes:
-        part = _windows(items.where(F.col("size") == size), ["item", "idig", "size", "tokens", "valued"], size)
+        need, of = min(conf.literals, size), items.where(F.col("size") == size)
+        keep = ["item", "idig", "size", "tokens", "valued"]
         literal = F.size(F.filter(F.slice("tokens", F.col("pos") + 1, F.lit(size)), lambda t: ~t.isin(*PLACEHOLDERS)))
-        part = part.where(literal >= min(conf.literals, size)).select("item", "idig", "size", F.col("pos").alias("ipos"), "a", "b", _in_window(F.col("pos"), F.lit(size)).alias("islots"))
+        part = _windows(of, keep, size).where(literal >= need).withColumn("poor", F.lit(False))
+        if poor and need > 0:
+            part = part.unionByName(_windows(of, keep, size, need).withColumn("poor", F.lit(True)))
+        part = part.select("item", "idig", "size", "poor", F.col("pos").alias("ipos"), "a", "b", _in_window(F.col("pos"), F.lit(size)).alias("islots"))
         own = part if own is None else own.unionByName(part)
-    schema = "id {0}, digest long, item {1}, matched long, total long, share double".format(docs.select(id_col).schema[0].dataType.simpleString(), benchmark.select(item_col).schema[0].dataType.simpleString())
     if own is None:
-        return spark.createDataFrame([], schema)
+        return None
     own = scratch.table(own, "benchmark")
-    totals = own.groupBy("item", "idig").agg(F.count("*").alias("total"))
+    totals = own.groupBy("item", "idig").agg(F.count_if(~F.col("poor")).alias("rich"), F.count("*").alias("total"))
 
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    tokens = plain.select("id", F.xxhash64("text").alias("digest"), template_tokens(F.col("text")).alias("tokens"))
+    def enough_of(windows: DataFrame) -> DataFrame:
+        """(document, item) with enough of the item's windows: matched and total without poor ones, else with them."""
+        by = windows.select("id", "digest", "item", "idig", "ipos", "poor").distinct().groupBy("id", "digest", "item", "idig").agg(F.count_if(~F.col("poor")).alias("r"), F.count("*").alias("n"))
+        by = by.join(totals.withColumnsRenamed({"item": "i_", "idig": "d_"}), F.col("item").eqNullSafe(F.col("i_")) & (F.col("idig") == F.col("d_")))
+        rich = (F.col("rich") > 0) & (F.col("r") >= conf.min_share * F.col("rich"))
+        by = by.where(rich | (F.col("n") >= conf.min_share * F.col("total")))
+        return by.select("id", "digest", "item", "idig", F.when(rich, F.col("r")).otherwise(F.col("n")).alias("matched"), F.when(rich, F.col("rich")).otherwise(F.col("total")).alias("total"))
+
+    tokens = plain.select("id", F.xxhash64("text").alias("digest"), template_tokens(F.col("text"), name).alias("tokens"))
     small = lambda df: F.broadcast(df) if df.count() <= conf.broadcast_rows else df
-    index = small(own.select("a", "b", "item", "idig", "ipos", "size"))
+    index = small(own.select("a", "b", "item", "idig", "ipos", "size", "poor"))
+    # documents' windows poor in literals are only made for the sizes that have any
+    lean = {r.size for r in own.where("poor").select("size").distinct().collect()}
+    valued = plain.select("id", F.xxhash64("text").alias("digest"), valued_tokens(F.col("text"), name).alias("valued"))
     hits = None
     for size in sizes:
-        part = _windows(tokens, ["id", "digest"], size).join(index.where(F.col("size") == size), ["a", "b"])
+        part = _windows(tokens, ["id", "digest"], size).join(index.where((F.col("size") == size) & ~F.col("poor")), ["a", "b"])
+        if size in lean:
+            part = part.unionByName(_windows(valued, ["id", "digest"], size, min(conf.literals, size)).join(index.where((F.col("size") == size) & F.col("poor")), ["a", "b"]))
         hits = part if hits is None else hits.unionByName(part)
-    hits = scratch.table(hits.select("id", "digest", "pos", "item", "idig", "ipos", "size"), "hits")
+    hits = scratch.table(hits.select("id", "digest", "pos", "item", "idig", "ipos", "size", "poor"), "hits")
 
     # (document, item) with enough windows, whatever their slots; only these are aligned
-    share = hits.select("id", "digest", "item", "idig", "ipos").distinct().groupBy("id", "digest", "item", "idig").agg(F.count("*").alias("n"))
-    enough = scratch.table(share.join(totals.withColumnsRenamed({"item": "i_", "idig": "d_"}), F.col("item").eqNullSafe(F.col("i_")) & (F.col("idig") == F.col("d_"))).where(F.col("n") >= conf.min_share * F.col("total")).select("id", "digest", "item", "idig", "total"), "enough")
-    pairs = enough.select(F.col("id").alias("pid"), F.col("digest").alias("pdig"), F.col("item").alias("pitem"), F.col("idig").alias("pidig"), "total")
+    enough = scratch.table(enough_of(hits), "enough")
+    pairs = enough.select(F.col("id").alias("pid"), F.col("digest").alias("pdig"), F.col("item").alias("pitem"), F.col("idig").alias("pidig"))
     near = hits.join(pairs, F.col("id").eqNullSafe(F.col("pid")) & (F.col("digest") == F.col("pdig")) & F.col("item").eqNullSafe(F.col("pitem")) & (F.col("idig") == F.col("pidig")))
 
     wanted = enough.select(F.col("id").alias("wid"), rekey(F.col("digest")).alias("wdig")).distinct()
     texts = plain.withColumn("digest", F.xxhash64("text")).join(small(wanted), F.col("id").eqNullSafe(F.col("wid")) & (rekey(F.col("digest")) == F.col("wdig")), "left_semi").distinct()
-    texts = texts.select(F.col("id").alias("tid"), F.col("digest").alias("tdig"), valued_tokens(F.col("text")).alias("valued"))
+    texts = texts.select(F.col("id").alias("tid"), F.col("digest").alias("tdig"), valued_tokens(F.col("text"), name).alias("valued"))
     # only documents with placeholders have slots to compare
     slotted = texts.where(F.exists("valued", lambda t: t.contains(END)))
     spots = near.join(slotted, F.col("id").eqNullSafe(F.col("tid")) & (F.col("digest") == F.col("tdig")))
@@ -148,5 +189,4 @@ def leaks(
         F.col("id").eqNullSafe(F.col("xid")) & (F.col("digest") == F.col("xdig")) & F.col("item").eqNullSafe(F.col("xitem")) & (F.col("idig") == F.col("xidig")) & (F.col("shift") == F.col("xshift")) & (F.col("ipos") == F.col("xpos")),
         "left_anti",
     )
-    found = aligned.select("id", "digest", "item", "idig", "ipos", "total").distinct().groupBy("id", "digest", "item", "idig", "total").agg(F.count("*").alias("matched"))
-    return found.where(F.col("matched") >= conf.min_share * F.col("total")).select("id", "digest", "item", "matched", "total", (F.col("matched") / F.col("total")).alias("share"))
+    return enough_of(aligned)

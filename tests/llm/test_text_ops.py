@@ -146,6 +146,20 @@ def test_words_with_glued_digits_or_names_do_not_shift_values(spark):
     assert [got.get((i, 10)) for i in range(3)] == [1.0, 1.0, 1.0] and 0.5 <= got[9, 11] < 1
 
 
+def test_items_poor_in_literals_and_names_that_begin_sentences(spark):
+    sums = "Compute " + " + ".join(str(n) for n in range(12, 90, 7))
+    people = "Anna, Bert, Carl, Dora, Emil, Fritz, Gerd and Hugo paid 12, 45, 78, 23, 56, 89, 31 and 64 euros"
+    quiz = "What is the capital city of northern Peru?"
+    story = "Marta has many old books at home. Paula lends her some more of them. Marta then sells half of all. How many does she still have now?"
+    renamed = story.replace("Marta", "Xaver").replace("Paula", "Yvonne")
+    items = spark.createDataFrame([(1, sums), (2, people), (3, quiz), (4, story), (5, "7 8 9")], "item_id bigint, text string")
+    docs = [(1, f"First this: {sums} and so on", "en"), (2, f"We know that {people} for it.", "en"), (3, f"Here is a quiz question: {quiz} Answer it.", "en"), (4, f"Read. {renamed} End.", "en")]
+    docs += [(11, f"First this: {sums.replace('12', '13').replace('40', '41').replace('68', '69')} and so on", "en"), (12, "for 1 2 3 and", "en"), (13, "for 7 8 9 and", "en")]
+    docs.append((14, "x " + "1a2b" * 20000 + " Ab" * 20000 + " 1.2" + ".3" * 20000, "en"))  # no regular expression runs out of stack
+    got = {(g.id, g.item) for g in decontam.leaks(spark, frame(spark, docs), items).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3), (4, 4), (13, 5)}
+
+
 def test_decontamination_without_broadcast_gives_the_same(spark):
     docs = frame(spark, [(i, f"in front {i} " + QUESTION, "en") for i in range(5)])
     items = spark.createDataFrame([(10, QUESTION)], "item_id bigint, text string")
