@@ -316,16 +316,19 @@ def added_spans(text: str, crf: Crf, base: list[Span]) -> list[Span]:
     islands = []
     for m in _ANCHOR.finditer(text):
         if m.start() - _REACH > end:
-            if end >= 0:
-                islands.append((begin, end))
-            begin = max(0, m.start() - _REACH, end)
+            start = max(0, m.start() - _REACH)
+            # back to where an atom starts, so that nothing before the anchor is lost, also without white space
+            while start > max(end, 0) and text[start - 1].isalnum() and text[start].isalnum():
+                start -= 1
+            if end < 0 or start > end:
+                if end >= 0:
+                    islands.append((begin, end))
+                begin = start
         end = min(len(text), m.end() + _REACH)
     if end >= 0:
         islands.append((begin, end))
     taken = sorted((s, e) for _, s, e in base)
     for begin, end in islands:
-        while begin and begin > 0 and not text[begin - 1].isspace() and not text[begin].isspace() and begin < end:
-            begin += 1
         for span in crf.best(text, atoms(text, begin, end)):
             if not any(s < span[2] and span[1] < e for s, e in taken):
                 out.append(span)

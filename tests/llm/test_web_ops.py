@@ -106,6 +106,14 @@ def test_personal_data(spark):
     assert pii.find(spark, df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("front", ['{"name":"some one else","note":"a-text-without-any-white-space-in-it-at-all","city":"town","tel":"', "\u6f22" * 80, "<p>" * 30, "," * 100, "a1 " + "\u6f22" * 60 + ",tel:"])
+def test_the_field_reaches_numbers_after_text_without_white_space(front):
+    for number in ("(171)555-2028", "(171) 555-2028"):
+        text = front + number + '","x":"y"}'
+        found = [text[s:e] for kind, s, e in pii.added_spans(text, pii.trained(), pii.base_spans(text)) if kind == "phone"]
+        assert found == [number]
+
+
 def test_the_field_holds_on_new_sentences():
     crf, right, found, true = pii.trained(), 0, 0, 0
     for text, truth in pii._examples(200, random.Random(99)):
