@@ -28,18 +28,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, similarity 0.8) the document with the least id stays."""
-    found = minhash.near_duplicates(spark, docs)
-    kept = Scratch(spark, "kept").table(found.where("not kept").select(F.col("id").alias("gone")).distinct(), "gone")
-    return docs.join(kept, rekey(F.col("doc_id")) == rekey(F.col("gone")), "left_anti").select(*COLUMNS)
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8) the row with the least id stays, one without
+    an id only if all lack it; of rows with this id, one."""
+    scratch = Scratch(spark, "kept")
+    key = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", F.monotonically_increasing_id().alias("row"))
+    keyed = scratch.table(docs.select(*COLUMNS, key.alias("key")), "keyed")
+    found = minhash.near_duplicates(spark, keyed, id_col="key")
+    gone = scratch.table(found.where("not kept").select(F.col("id.row").alias("gone")), "gone")
+    return keyed.join(gone, rekey(F.col("key.row")) == rekey(F.col("gone")), "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that leak a benchmark item."""
+    """Drops documents that leak a benchmark item: rows with the id, which may be null, and the text of a leak."""
     found = decontam.leaks(spark, docs, source(spark, sf_dir, "benchmark"))
-    leaked = Scratch(spark, "leaked").table(found.select(F.col("id").alias("gone")).distinct(), "gone")
-    # a null id is compared too: such a document goes if one without an id leaks
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti").select(*COLUMNS)
+    leaked = Scratch(spark, "leaked").table(found.select(F.col("id").alias("gone"), F.col("digest").alias("leak")).distinct(), "gone")
+    same = F.col("doc_id").eqNullSafe(F.col("gone")) & (F.xxhash64("text") == F.col("leak")) & F.col("text").isNotNull()
+    return docs.join(leaked, same, "left_anti").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

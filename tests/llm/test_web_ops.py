@@ -182,3 +182,20 @@ def test_pipeline_stages(spark):
     leaked = docs.limit(1).withColumns({"doc_id": F.lit(77_777).cast("bigint"), "text": F.lit("in front of it. " + item.text)})
     assert c.decontaminate(spark, docs.unionByName(leaked), sf).where("doc_id = 77777").count() == 0
     assert set(c.encode(spark, docs, sf).columns) == {"doc_id", "n_tokens", "ids", "round_trip"}
+
+
+def test_pipeline_judges_rows_not_ids(spark):
+    import corpus_pipeline as c
+
+    sf = "/root/testdata/sf0.001"
+    words = lambda seed: " ".join(random.Random(seed).choices("abcdefghijklmnopqrstuvwxyz", k=60))
+    frame = lambda rows: spark.createDataFrame([(i, x, "en", "s", len(x or "")) for i, x in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    item = "in front of it. " + spark.read.parquet(f"{sf}/benchmark.parquet").first().text
+    clean = [(None, words(1)), (5, words(2)), (None, None), (5, None)]
+    assert left(c.decontaminate(spark, frame([(None, item), (5, item), *clean]), sf)) == sorted(clean, key=repr)
+    one, two, three = words(3), words(4), words(5)
+    rows = [(None, one), (None, one + " end"), (None, two), (7, two), (9, two + " end"), (9, three), (3, words(6)), (3, words(6)), (None, None), (None, None)]
+    kept = left(c.near_dedup(spark, frame(rows), sf))
+    assert [r for r in kept if r[1] and r[1].startswith(one)] in ([(None, one)], [(None, one + " end")])
+    assert [r for r in kept if not (r[1] and r[1].startswith(one))] == sorted([(7, two), (9, three), (3, words(6)), (None, None), (None, None)], key=repr)
