@@ -1,13 +1,13 @@
 """Near-duplicate vectors by collision counting over many one-dimensional projections.
 
-Unit vectors are projected on `projections` random directions, and each projection is sorted.  The window around a query
+Unit vectors are projected on `projections` random directions.  The window around a query
 holds the vectors whose projection differs by at most `width`; a pair is a candidate if it collides in at least
 `needed` of the windows.  width and needed are calibrated: the difference of two unit vectors at the threshold is normal
 along a random direction with a known deviation, so the chance that such a pair has fewer collisions is a binomial tail,
 kept below `miss`.  Candidates are verified by their cosine in double precision.
 
 Vectors lie in blocks in the order of a first projection.  A pair of blocks is one row; it is skipped if so many of its
-projections' sorted ranges lie apart that no pair can reach `needed`.  A row gives counts of links for each vector and a
+projections' ranges lie apart that no pair can reach `needed`.  A row gives counts of links for each vector and a
 spanning forest of the links it found, never the pairs themselves.
 """
 
@@ -69,9 +69,8 @@ def block_pair(x: np.ndarray, y: np.ndarray | None, conf: Collisions) -> Iterato
     directions = conf.directions(x.shape[1])
     px, py = (x @ directions).T, (y @ directions).T
     width, spare = conf.width, conf.projections - conf.needed
-    # the windows of sorted projections that can't meet at all
-    order = np.sort(py, axis=1)
-    apart = (px.min(axis=1) > order[:, -1] + width) | (px.max(axis=1) < order[:, 0] - width)
+    # the projections whose ranges can't meet at all
+    apart = (px.min(axis=1) > py.max(axis=1) + width) | (px.max(axis=1) < py.min(axis=1) - width)
     if apart.sum() > spare:
         return
     px, py = px.astype(np.float32), py.astype(np.float32)
@@ -168,9 +167,11 @@ def near_vectors(spark: SparkSession, table: DataFrame, conf: Collisions | None
     for dim, count, quantiles in cuts:
         n, below = max(1, -(-count // conf.block)), F.lit(0.0)
         if n > 1:
-            # the share of the quantiles below; within it, ties included, rows are dealt by their random number
+            # rows are dealt by their random number over all the shares that their projection reaches: one, or with ties
+            # those from the first to the last quantile equal to it
             steps = F.array(*[F.lit(float(x)) for x in quantiles])
-            below = (F.size(F.filter(steps, lambda x: x < F.col("p"))) + F.pmod(F.col("row"), F.lit(1_000_000)) / 1e6) / len(marks)
+            first, last = F.size(F.filter(steps, lambda x: x < F.col("p"))), F.size(F.filter(steps, lambda x: x <= F.col("p")))
+            below = (first + (last - first + 1) * F.pmod(F.col("row"), F.lit(1_000_000)) / 1e6) / (len(marks) + 1)
         part = packed.where(F.col("dim") == dim).withColumn("block", F.least(F.floor(below * n), F.lit(n - 1)).cast("long"))
         blocks = part if blocks is None else blocks.unionByName(part)
         pairs.append((dim, n))
