@@ -1,42 +1,39 @@
 """Benchmark decontamination by template windows; DataFrame functions only.
 
-A text's template has typed placeholders for names (capitalised words inside a sentence), numbers and units after a
-number.  Windows of `window` template tokens of the benchmark are hash-joined with those of the documents.  Windows that
-match along one alignment of an item with a document must agree on their slots: one value of the item must stand for
-one value of the document throughout, and windows with a value that stands for several don't count.  So a question with
-other names or numbers is still caught, while mere agreement of placeholders is not.
-
-A capitalised word may be a name or only begin a sentence, so there are two readings: in the first, names stand inside a
-sentence only; in the second, every capitalised word is one, wherever it stands.  Windows of the second reading with few
-literal tokens count too; they match by their template and values together.  An item leaks by either reading.
+A text's tokens are names (runs of capitalised words, wherever they stand), numbers, units (unit words next after a
+number) and words.  In its template the first three are typed placeholders.  Windows of `window` tokens of the benchmark
+are hash-joined with those of the documents: a window with enough words by its template, one poor in words by its
+template and values together, so mere agreement of placeholders is no match.  Windows that match along one alignment of
+an item with a document must agree on their slots: one value of the item must stand for one value of the document
+throughout, and windows with a value that stands for several don't count.  So a question with other names or numbers is
+still caught.
+
+Texts are read and tokenised once.  Windows are rows inside the scan's stage only: what leaves it are matches.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from monsoon.llm.common import Scratch, rekey
+from monsoon.llm.common import Scratch, _col_of
 
-# possessive, as a loop that may be undone takes stack for each word of a long list
-NAME = r"([\p{L}\p{N},;:)] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}++)*+)"
-ANYWHERE = r"(?<![\p{L}\p{N}])()(\p{Lu}\p{Ll}++(?![\p{L}\p{N}])(?: \p{Lu}\p{Ll}++(?![\p{L}\p{N}]))*+)"
-NUMBER = r"\p{N}+(?:[.,:]\p{N}++)*+"
 UNITS = "km cm mm kg mg ml m g l s h min hours hour minutes minute seconds second days day weeks week months month years year miles mile meters metres grams liters litres dollars euros pounds cents percent degrees"
-# placeholders are private characters, which are taken out of texts, so that no text holds one of its own
-NAMED, NUM, UNIT, END = "\ue000", "\ue001", "\ue002", "\ue003"
-PLACEHOLDERS = (NAMED, NUM, UNIT)
-AFTER = "(" + "|".join(UNITS.split()) + r")([^\p{L}\p{N}]|$)"
-VALUE = f"[{NAMED}-{UNIT}][^{END}]*+{END}"
+# possessive, as a loop that may be undone takes stack for each word of a long list
+_CAPITAL = r"\p{Lu}\p{Ll}++(?![\p{L}\p{M}])"
+TOKEN = rf"{_CAPITAL}(?: {_CAPITAL})*+|\p{{N}}++(?:[.,:]\p{{N}}++)*+|[\p{{L}}\p{{M}}]++"
+#: Template codes of placeholders; a word's code is its hash.
+NAME, NUMBER, UNIT = 1, 2, 3
 
 
 @dataclass(frozen=True)
 class Decontam:
-    """A document leaks an item with min_share of whose windows it shares; a window with fewer than `literals` tokens that
-    aren't placeholders must agree in its values too.  Benchmark windows or documents that match are broadcast up to broadcast_rows, else joined by shuffle."""
+    """A document leaks an item with min_share of whose windows it shares; a window with fewer than `literals` words must
+    agree in its values too.  Benchmark windows are broadcast up to broadcast_rows, else joined by shuffle."""
 
     window: int = 8
     literals: int = 4
@@ -44,50 +41,90 @@ class Decontam:
     broadcast_rows: int = 500_000
 
 
-def _clean(text: Column) -> Column:
-    return F.translate(text, NAMED + NUM + UNIT + END, "||||")
+def tokens(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """keep, with arrays v (the hash of each token's lower-case value) and t (its code in the template)."""
+    raw = df.select(*keep, F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)).alias("raw"))
+    # no condition on the arrays here: it would be pushed below them and compute them again
+    valued = raw.select(*keep, "raw", F.transform("raw", lambda x: F.xxhash64(F.lower(x))).alias("v"))
+
+    def code(x: Column, i: Column) -> Column:
+        after_number = F.when(i > 0, F.get("raw", i - 1).rlike(r"^\p{N}")).otherwise(False)
+        word = F.get("v", i)
+        lower = F.when(x.isin(*UNITS.split()) & after_number, F.lit(UNIT).cast("long")).otherwise(word)
+        return (
+            F.when((x >= "a") & (x < "{"), lower)
+            .when(x.rlike(r"^\p{Lu}\p{Ll}+(?: |$)"), F.lit(NAME).cast("long"))
+            .when(x.rlike(r"^\p{N}"), F.lit(NUMBER).cast("long"))
+            .otherwise(word)
+        )
 
+    return valued.select(*keep, "v", F.transform("raw", code).alias("t"))
 
-def template_tokens(text: Column, name: str = NAME) -> Column:
-    """The template's tokens: lower-cased words and placeholders, also those glued to letters ('3rd', 'mp3')."""
-    numbered = F.regexp_replace(F.regexp_replace(_clean(text), name, "$1" + NAMED), NUMBER, NUM)
-    unit = F.regexp_replace(numbered, f"{NUM} ?{AFTER}", f"{NUM} {UNIT}$2")
-    return F.filter(F.split(F.lower(unit), rf"[^\p{{L}}<>{NAMED}-{UNIT}]+"), lambda x: x != "")
 
+class _At:
+    """The window of `size` tokens at column pos, from columns t and v."""
 
-def valued_tokens(text: Column, name: str = NAME) -> Column:
-    """The same tokens, with the value behind each placeholder and END after it."""
-    numbered = F.regexp_replace(F.regexp_replace(_clean(text), name, f"$1{NAMED}$2{END}"), NUMBER, f"{NUM}$0{END}")
-    unit = F.regexp_replace(numbered, f"({NUM}[^{END}]*+{END}) ?{AFTER}", f"$1 {UNIT}$2{END}$3")
-    return F.regexp_extract_all(F.lower(unit), F.lit(rf"(?:[\p{{L}}<>]++|{VALUE})++"), F.lit(0))
+    def __init__(self, size: int, literals: int):
+        self.size = size
+        self.t = [F.get("t", F.col("pos") + i) for i in range(size)]
+        self.v = [F.get("v", F.col("pos") + i) for i in range(size)]
+        words = reduce(add, [F.when(t.between(NAME, UNIT), 0).otherwise(1) for t in self.t])
+        self.poor = words < min(literals, size)
 
+    def key(self, seed: int) -> Column:
+        salt = self.size + 1000 * seed
+        return F.when(self.poor, F.xxhash64(F.lit(-salt), *self.v)).otherwise(F.xxhash64(F.lit(salt), *self.t))
 
-def _without_values(valued: Column) -> Column:
-    return F.transform(valued, lambda t: F.regexp_replace(t, f"([{NAMED}-{UNIT}])[^{END}]*+{END}", "$1"))
+    def slots(self) -> Column:
+        """The value of each placeholder, null where a word stands."""
+        return F.array(*[F.when(t.between(NAME, UNIT), v) for t, v in zip(self.t, self.v, strict=True)])
 
 
-def _windows(df: DataFrame, keep: list[str], size: int, literals: int = 0) -> DataFrame:
-    """keep, pos and the 128-bit hash of each window of `size` tokens of column tokens; with `literals`, of column valued,
-    and only windows with fewer literal tokens."""
-    column, salt = ("valued", 1000 + size) if literals else ("tokens", size)
-    arrays = [F.transform(column, lambda t: F.xxhash64(t)).alias("h")]
-    if literals:
-        arrays.append(F.transform(column, lambda t: F.when(t.rlike(f"^{VALUE}$"), 0).otherwise(1)).alias("l"))
-    hashed = df.where(F.size(column) >= size).select(*keep, *arrays)
-    count = F.size("h") - (size - 1)
-    parts = [F.slice("h", i + 1, count).alias(f"t{i}") for i in range(size)]
-    if literals:
-        parts += [F.slice("l", i + 1, count).alias(f"l{i}") for i in range(size)]
-    names = [f"w.t{i}" for i in range(size)]
-    each = hashed.select(*keep, F.posexplode(F.arrays_zip(*parts)).alias("pos", "w"))
-    if literals:
-        each = each.where(sum((F.col(f"w.l{i}") for i in range(size)), F.lit(0)) < literals)
-    return each.select(*keep, "pos", F.xxhash64(F.lit(salt), *names).alias("a"), F.xxhash64(F.lit(-salt), *names).alias("b"))
+def _positions(df: DataFrame, keep: list[str], size: int) -> DataFrame:
+    """A row for each position at which a window of size begins."""
+    starts = F.slice("t", F.lit(1), F.greatest(F.size("t") - (size - 1), F.lit(0)))
+    return df.select(*keep, "t", "v", F.posexplode(starts).alias("pos", "_t0"))
 
 
-def _in_window(pos: Column, size: Column) -> Column:
-    """Kind and value of each slot of the window at pos, in order; from column valued."""
-    return F.flatten(F.transform(F.slice("valued", pos + 1, size), lambda t: F.regexp_extract_all(t, F.lit(VALUE), F.lit(0))))
+def _benchmark(items: DataFrame, sizes: list[int], conf: Decontam) -> DataFrame:
+    parts = []
+    for size in sizes:
+        at, own = _At(size, conf.literals), items.where(F.col("size") == size)
+        parts.append(
+            _positions(own, ["item", "idig"], size).select(
+                "item", "idig", F.lit(size).alias("size"), F.col("pos").alias("ipos"), at.poor.alias("poor"), at.key(1).alias("a"), at.key(2).alias("b"), at.slots().alias("islots")
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _hits(docs: DataFrame, index: DataFrame, sizes: list[int], conf: Decontam, small: bool) -> DataFrame:
+    """Windows of docs that are in index."""
+    ats = {size: _At(size, conf.literals) for size in sizes}
+    least = min(sizes)
+    at_pos = _positions(docs, ["id", "digest"], least)
+
+    def of_size(value) -> Column:
+        """value(window) for the size in column size; null where the text ends before."""
+        if len(sizes) == 1:
+            return value(ats[least])
+        return F.coalesce(*[F.when(F.col("size") == size, value(at)) for size, at in ats.items()])
+
+    if len(sizes) > 1:
+        ends = F.array(*[F.when(F.col("pos") + size <= F.size("t"), F.lit(size)) for size in sizes])
+        at_pos = at_pos.select("id", "digest", "t", "v", "pos", F.explode(ends).alias("size")).where("size is not null")
+    else:
+        at_pos = at_pos.withColumn("size", F.lit(least))
+    index = index.withColumnRenamed("size", "isize")
+    keyed = at_pos.withColumn("k", of_size(lambda at: at.key(1)))
+    if small:
+        # the second hash and the slots are only computed for windows whose first hash is in the index
+        found = keyed.join(F.broadcast(index), F.col("k") == F.col("a")).where(of_size(lambda at: at.key(2)).bitwiseXOR(F.col("b")) == 0)
+        found = found.withColumn("slots", of_size(lambda at: at.slots()))
+    else:
+        plain = keyed.select("id", "digest", "pos", "size", "k", of_size(lambda at: at.key(2)).alias("kb"), of_size(lambda at: at.slots()).alias("slots"))
+        found = plain.join(index, (F.col("k") == F.col("a")) & (F.col("kb") == F.col("b")))
+    return found.where("size = isize").select("id", "digest", "item", "idig", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos", "poor", "islots", "slots")
 
 
 def leaks(
@@ -102,91 +139,40 @@ def leaks(
 ) -> DataFrame:
     """A row for each document and item that it leaks: id, digest (xxhash64 of the text), item, matched, total, share.
 
-    matched counts the item's windows found along alignments with consistent slots, total all of its windows; an item of
-    fewer tokens than `window` is one window of its own size.  Both are those of the first reading, without windows that
-    have too few literal tokens, where that share suffices; else those of the second, without and then with such windows.  Null and empty texts have no window.  Rows that repeat an id and a text
-    give one row; items with the same text are each reported; a null id or item is reported as null.  Empty tables give
-    no rows.  Other columns aren't read, so their names may clash with anything.
+    matched counts the item's windows found along alignments with consistent slots, total all of its windows: those with
+    enough words where min_share of these is found, else all.  An item of fewer tokens than `window` is one window of its
+    own size.  A token is at most a run of letters, so a text without spaces is matched by whole runs.  Null and empty
+    texts have no window.  Rows that repeat an id and a text give one row; items with the same text are each reported; a
+    null id or item is reported as null.  Empty tables give no rows.  Other columns aren't read, so their names may clash
+    with anything.
     """
     conf = conf or Decontam()
     scratch = Scratch(spark, "decontam")
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null").distinct()
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    readings = [_reading(scratch, plain, items, conf, name, poor) for name, poor in ((NAME, False), (ANYWHERE, True))]
-    readings = [r.withColumn("reading", F.lit(i)) for i, r in enumerate(readings) if r is not None]
-    schema = "id {0}, digest long, item {1}, matched long, total long, share double".format(docs.select(id_col).schema[0].dataType.simpleString(), benchmark.select(item_col).schema[0].dataType.simpleString())
-    if not readings:
-        return spark.createDataFrame([], schema)
-    found = reduce(DataFrame.unionByName, readings).groupBy("id", "digest", "item", "idig").agg(F.min_by(F.struct("matched", "total"), "reading").alias("of"))
-    return found.select("id", "digest", "item", "of.matched", "of.total", (F.col("of.matched") / F.col("of.total")).alias("share"))
-
-
-def _reading(scratch: Scratch, plain: DataFrame, items: DataFrame, conf: Decontam, name: str, poor: bool) -> DataFrame | None:
-    """id, digest, item, idig, matched, total of what leaks if names are as in `name`; with windows poor in literals, if poor."""
-    items = items.select("item", F.xxhash64("text").alias("idig"), valued_tokens(F.col("text"), name).alias("valued")).withColumn("tokens", _without_values(F.col("valued")))
-    items = scratch.table(items.withColumn("size", F.least(F.size("tokens"), F.lit(conf.window))), "items")
-    sizes = [r.size for r in items.select("size").distinct().collect() if r.size > 0]  # at most `window` values
-
-    own = None
-    for size in sizes:
-        need, of = min(conf.literals, size), items.where(F.col("size") == size)
-        keep = ["item", "idig", "size", "tokens", "valued"]
-        literal = F.size(F.filter(F.slice("tokens", F.col("pos") + 1, F.lit(size)), lambda t: ~t.isin(*PLACEHOLDERS)))
-        part = _windows(of, keep, size).where(literal >= need).withColumn("poor", F.lit(False))
-        if poor and need > 0:
-            part = part.unionByName(_windows(of, keep, size, need).withColumn("poor", F.lit(True)))
-        part = part.select("item", "idig", "size", "poor", F.col("pos").alias("ipos"), "a", "b", _in_window(F.col("pos"), F.lit(size)).alias("islots"))
-        own = part if own is None else own.unionByName(part)
-    if own is None:
-        return None
-    own = scratch.table(own, "benchmark")
-    totals = own.groupBy("item", "idig").agg(F.count_if(~F.col("poor")).alias("rich"), F.count("*").alias("total"))
-
-    def enough_of(windows: DataFrame) -> DataFrame:
-        """(document, item) with enough of the item's windows: matched and total without poor ones, else with them."""
-        by = windows.select("id", "digest", "item", "idig", "ipos", "poor").distinct().groupBy("id", "digest", "item", "idig").agg(F.count_if(~F.col("poor")).alias("r"), F.count("*").alias("n"))
-        by = by.join(totals.withColumnsRenamed({"item": "i_", "idig": "d_"}), F.col("item").eqNullSafe(F.col("i_")) & (F.col("idig") == F.col("d_")))
-        rich = (F.col("rich") > 0) & (F.col("r") >= conf.min_share * F.col("rich"))
-        by = by.where(rich | (F.col("n") >= conf.min_share * F.col("total")))
-        return by.select("id", "digest", "item", "idig", F.when(rich, F.col("r")).otherwise(F.col("n")).alias("matched"), F.when(rich, F.col("rich")).otherwise(F.col("total")).alias("total"))
-
-    tokens = plain.select("id", F.xxhash64("text").alias("digest"), template_tokens(F.col("text"), name).alias("tokens"))
-    small = lambda df: F.broadcast(df) if df.count() <= conf.broadcast_rows else df
-    index = small(own.select("a", "b", "item", "idig", "ipos", "size", "poor"))
-    # documents' windows poor in literals are only made for the sizes that have any
-    lean = {r.size for r in own.where("poor").select("size").distinct().collect()}
-    valued = plain.select("id", F.xxhash64("text").alias("digest"), valued_tokens(F.col("text"), name).alias("valued"))
-    hits = None
-    for size in sizes:
-        part = _windows(tokens, ["id", "digest"], size).join(index.where((F.col("size") == size) & ~F.col("poor")), ["a", "b"])
-        if size in lean:
-            part = part.unionByName(_windows(valued, ["id", "digest"], size, min(conf.literals, size)).join(index.where((F.col("size") == size) & F.col("poor")), ["a", "b"]))
-        hits = part if hits is None else hits.unionByName(part)
-    hits = scratch.table(hits.select("id", "digest", "pos", "item", "idig", "ipos", "size", "poor"), "hits")
-
-    # (document, item) with enough windows, whatever their slots; only these are aligned
-    enough = scratch.table(enough_of(hits), "enough")
-    pairs = enough.select(F.col("id").alias("pid"), F.col("digest").alias("pdig"), F.col("item").alias("pitem"), F.col("idig").alias("pidig"))
-    near = hits.join(pairs, F.col("id").eqNullSafe(F.col("pid")) & (F.col("digest") == F.col("pdig")) & F.col("item").eqNullSafe(F.col("pitem")) & (F.col("idig") == F.col("pidig")))
-
-    wanted = enough.select(F.col("id").alias("wid"), rekey(F.col("digest")).alias("wdig")).distinct()
-    texts = plain.withColumn("digest", F.xxhash64("text")).join(small(wanted), F.col("id").eqNullSafe(F.col("wid")) & (rekey(F.col("digest")) == F.col("wdig")), "left_semi").distinct()
-    texts = texts.select(F.col("id").alias("tid"), F.col("digest").alias("tdig"), valued_tokens(F.col("text"), name).alias("valued"))
-    # only documents with placeholders have slots to compare
-    slotted = texts.where(F.exists("valued", lambda t: t.contains(END)))
-    spots = near.join(slotted, F.col("id").eqNullSafe(F.col("tid")) & (F.col("digest") == F.col("tdig")))
-    spots = spots.withColumn("slots", _in_window(F.col("pos"), F.col("size"))).where(F.size("slots") > 0)
-    keys = own.select(F.col("item").alias("oitem"), F.col("idig").alias("oidig"), F.col("ipos").alias("oipos"), "islots")
-    spots = spots.join(keys, F.col("item").eqNullSafe(F.col("oitem")) & (F.col("idig") == F.col("oidig")) & (F.col("ipos") == F.col("oipos")))
-    spots = spots.select("id", "digest", "item", "idig", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos", F.explode(F.arrays_zip("islots", "slots")).alias("s"))
-    # windows with an item value that has several document values along their alignment
-    same = Window.partitionBy("id", "digest", "item", "idig", "shift", "s.islots")
-    broken = spots.withColumns({"lo": F.min("s.slots").over(same), "hi": F.max("s.slots").over(same)}).where("lo <> hi")
-    broken = broken.select(*[F.col(c).alias(x) for c, x in (("id", "xid"), ("digest", "xdig"), ("item", "xitem"), ("idig", "xidig"), ("shift", "xshift"), ("ipos", "xpos"))]).distinct()
-
-    aligned = near.withColumn("shift", F.col("pos") - F.col("ipos")).join(
-        broken,
-        F.col("id").eqNullSafe(F.col("xid")) & (F.col("digest") == F.col("xdig")) & F.col("item").eqNullSafe(F.col("xitem")) & (F.col("idig") == F.col("xidig")) & (F.col("shift") == F.col("xshift")) & (F.col("ipos") == F.col("xpos")),
-        "left_anti",
-    )
-    return enough_of(aligned)
+    items = benchmark.select(_col_of(item_col).alias("item"), _col_of(item_text_col).cast("string").alias("text")).where("text is not null").distinct()
+    items = tokens(items.withColumn("idig", F.xxhash64("text")), ["item", "idig"])
+    items = scratch.table(items.withColumn("size", F.least(F.size("t"), F.lit(conf.window))), "items")
+    sizes = sorted(r.size for r in items.select("size").distinct().collect() if r.size > 0)  # at most `window` values
+    plain = docs.select(_col_of(id_col).alias("id"), _col_of(text_col).cast("string").alias("text")).where("text is not null")
+    if not sizes:
+        kinds = plain.schema["id"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
+        return spark.createDataFrame([], "id {}, digest long, item {}, matched long, total long, share double".format(*kinds))
+    own = scratch.table(_benchmark(items, sizes, conf), "benchmark")
+    small = own.count() <= conf.broadcast_rows
+    hits = _hits(tokens(plain.withColumn("digest", F.xxhash64("text")), ["id", "digest"]), own, sizes, conf, small)
+
+    # one exchange: a document's windows of an item meet, which are as many as its tokens at most
+    pair = ["id", "digest", "item", "idig"]
+    dealt = hits.repartition(*pair)
+    slots = F.filter(F.arrays_zip("islots", "slots"), lambda s: s.islots.isNotNull())
+    spots = dealt.select(*pair, "shift", "ipos", "poor", F.explode_outer(slots).alias("s"))
+    same = Window.partitionBy(*pair, "shift", "s.islots")
+    broken = F.col("s").isNotNull() & (F.min("s.slots").over(same) != F.max("s.slots").over(same))
+    right = spots.withColumn("broken", broken).groupBy(*pair, "shift", "ipos", "poor").agg(F.bool_or("broken").alias("broken")).where("not broken")
+    counted = right.select(*pair, "ipos", "poor").distinct().groupBy(*pair).agg(F.count_if(~F.col("poor")).alias("r"), F.count("*").alias("n"))
+
+    totals = own.groupBy("item", "idig").agg(F.count_if(~F.col("poor")).alias("rich"), F.count("*").alias("total")).withColumnsRenamed({"item": "i_", "idig": "d_"})
+    judged = counted.join(F.broadcast(totals) if small else totals, F.col("item").eqNullSafe(F.col("i_")) & (F.col("idig") == F.col("d_")))
+    rich = (F.col("rich") > 0) & (F.col("r") >= conf.min_share * F.col("rich"))
+    judged = judged.where(rich | (F.col("n") >= conf.min_share * F.col("total")))
+    judged = judged.select(*pair[:3], F.when(rich, F.col("r")).otherwise(F.col("n")).alias("matched"), F.when(rich, F.col("rich")).otherwise(F.col("total")).alias("total"))
+    return judged.withColumn("share", F.col("matched") / F.col("total"))

@@ -91,35 +91,39 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in _ALL}
 
 
-_UNITS = "|".join(decontam.UNITS.split())
-#: Windows of the templates, joined, and one value of the document for each value of the item along every alignment.
+_UNITS = ", ".join(f"'{u}'" for u in decontam.UNITS.split())
+#: Tokens by gaps and islands, windows as joined lists, and one value of the document for each value of the item along
+#: every alignment.
 _OP1 = rf"""
 WITH raw AS (
   SELECT DISTINCT 'd' AS side, doc_id AS id, text FROM documents WHERE text IS NOT NULL
   UNION ALL SELECT DISTINCT 'b', item_id, text FROM benchmark WHERE text IS NOT NULL),
-n AS (SELECT *, regexp_replace(text, '([\p{{L}}\p{{N}},;:)] )(\p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)*)', '\1<name>', 'g') AS named FROM raw),
-u AS (SELECT *, regexp_replace(named, '\p{{N}}+(?:[.,:]\p{{N}}+)*', '<num>', 'g') AS numbered FROM n),
-t AS (SELECT side, id, list_filter(string_split_regex(lower(regexp_replace(numbered, '<num> ?({_UNITS})([^\p{{L}}\p{{N}}]|$)', '<num> <unit>\2', 'g')), '[^\p{{L}}<>]+'), lambda x: x <> '') AS w,
-  regexp_extract_all(text, '([\p{{L}}\p{{N}},;:)] )(\p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)*)', 2) AS v0,
-  regexp_extract_all(named, '\p{{N}}+(?:[.,:]\p{{N}}+)*') AS v1,
-  regexp_extract_all(numbered, '<num> ?({_UNITS})([^\p{{L}}\p{{N}}]|$)', 1) AS v2 FROM u),
-tok AS (SELECT side, id, v0, v1, v2, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM t),
-num AS (SELECT *, count(*) FILTER (token = '<name>') OVER k AS c0, count(*) FILTER (token = '<num>') OVER k AS c1, count(*) FILTER (token = '<unit>') OVER k AS c2
-  FROM tok WINDOW k AS (PARTITION BY side, id ORDER BY pos)),
-slot AS (SELECT side, id, pos, CASE token WHEN '<name>' THEN v0[c0] WHEN '<num>' THEN v1[c1] ELSE v2[c2] END AS value FROM num WHERE token IN ('<name>', '<num>', '<unit>')),
-size AS (SELECT id AS item, least(len(w), 8) AS s FROM t WHERE side = 'b' AND len(w) > 0),
-iw AS (SELECT id AS item, s, p AS ipos, array_to_string(w[p:p + s - 1], ' ') AS k, w[p:p + s - 1] AS ws FROM t JOIN size ON side = 'b' AND id = item, unnest(range(1, len(w) - s + 2)) r(p)),
-ik AS (SELECT item, s, ipos, k FROM iw WHERE len(list_filter(ws, lambda x: x NOT IN ('<name>', '<num>', '<unit>'))) >= least(4, s)),
-total AS (SELECT item, count(*) AS total FROM ik GROUP BY 1),
-dw AS (SELECT id AS doc, z.s, p AS pos, array_to_string(w[p:p + z.s - 1], ' ') AS k FROM t, (SELECT DISTINCT s FROM ik) z, unnest(range(1, len(w) - z.s + 2)) r(p) WHERE side = 'd'),
-hit AS (SELECT doc, pos, item, ipos, s, pos - ipos AS shift FROM dw JOIN ik USING (s, k)),
-pairs AS (SELECT DISTINCT h.doc, h.item, h.shift, i.value AS iv, d.value AS dv FROM hit h
-  JOIN slot i ON i.side = 'b' AND i.id = h.item AND i.pos BETWEEN h.ipos AND h.ipos + h.s - 1
-  JOIN slot d ON d.side = 'd' AND d.id = h.doc AND d.pos = i.pos + h.shift),
-broken AS (SELECT DISTINCT doc, item, shift FROM (SELECT doc, item, shift, iv FROM pairs GROUP BY ALL HAVING count(DISTINCT dv) > 1))
-SELECT doc AS doc_id, item AS item_id, count(DISTINCT ipos) AS matched, any_value(total) AS total, count(DISTINCT ipos) / any_value(total) AS share
-FROM hit JOIN total USING (item) ANTI JOIN broken USING (doc, item, shift)
-GROUP BY doc, item HAVING count(DISTINCT ipos) >= 0.5 * any_value(total)
+cut AS (SELECT side, id, regexp_extract_all(text, '[\p{{L}}\p{{M}}]+|\p{{N}}+(?:[.,:]\p{{N}}+)*|[^\p{{L}}\p{{M}}\p{{N}}]+') AS x FROM raw),
+part AS (SELECT side, id, unnest(x) AS x, generate_subscripts(x, 1) AS p FROM cut),
+kind AS (SELECT *, CASE WHEN regexp_full_match(x, '\p{{Lu}}\p{{Ll}}+') THEN 'name' WHEN regexp_matches(x, '^\p{{N}}') THEN 'number' WHEN regexp_matches(x, '^[\p{{L}}\p{{M}}]') THEN 'word' ELSE 'gap' END AS kind FROM part),
+run AS (SELECT *, kind = 'name' AND coalesce(lag(x) OVER k = ' ' AND lag(kind, 2) OVER k = 'name', false) AS more FROM kind WINDOW k AS (PARTITION BY side, id ORDER BY p)),
+nth AS (SELECT *, sum(CASE WHEN more THEN 0 ELSE 1 END) OVER (PARTITION BY side, id ORDER BY p) AS pos FROM run WHERE kind <> 'gap'),
+tok AS (SELECT side, id, pos, min(kind) AS kind, lower(string_agg(x, ' ' ORDER BY p)) AS v, min(x) AS x FROM nth GROUP BY ALL),
+tpl AS (SELECT side, id, pos, v, CASE WHEN kind = 'word' AND x IN ({_UNITS}) AND lag(kind) OVER (PARTITION BY side, id ORDER BY pos) = 'number' THEN '<unit>' WHEN kind = 'word' THEN v ELSE '<' || kind || '>' END AS w FROM tok),
+t AS (SELECT side, id, list(w ORDER BY pos) AS w, list(v ORDER BY pos) AS v FROM tpl GROUP BY ALL),
+size AS (SELECT id AS item, least(len(w), 8) AS s FROM t WHERE side = 'b'),
+span AS (
+  SELECT side, id, s, p, w, v FROM t JOIN size ON side = 'b' AND id = item, unnest(range(1, len(w) - s + 2)) r(p)
+  UNION ALL SELECT side, id, z.s, p, w, v FROM t, (SELECT DISTINCT s FROM size) z, unnest(range(1, len(w) - z.s + 2)) r(p) WHERE side = 'd'),
+win AS (SELECT side, id, s, p, w[p:p + s - 1] AS ws, v[p:p + s - 1] AS vs FROM span),
+keyed AS (SELECT side, id, s, p, ws, vs, len(list_filter(ws, lambda x: x NOT IN ('<name>', '<number>', '<unit>'))) < least(4, s) AS poor FROM win),
+hash AS (SELECT *, array_to_string(CASE WHEN poor THEN vs ELSE ws END, chr(31)) AS k FROM keyed),
+total AS (SELECT id AS item, count(*) FILTER (NOT poor) AS rich, count(*) AS total FROM hash WHERE side = 'b' GROUP BY 1),
+hit AS (SELECT d.id AS doc, b.id AS item, d.p - b.p AS shift, b.p AS ipos, b.s, b.poor, b.ws, b.vs AS iv, d.vs AS dv FROM hash d JOIN hash b USING (s, poor, k) WHERE d.side = 'd' AND b.side = 'b'),
+slot AS (SELECT doc, item, shift, ipos, iv[i] AS iv, dv[i] AS dv FROM hit, unnest(range(1, s + 1)) r(i) WHERE ws[i] IN ('<name>', '<number>', '<unit>')),
+split AS (SELECT doc, item, shift, iv FROM slot GROUP BY ALL HAVING count(DISTINCT dv) > 1),
+broken AS (SELECT DISTINCT doc, item, shift, ipos FROM slot SEMI JOIN split USING (doc, item, shift, iv)),
+good AS (SELECT DISTINCT doc, item, ipos, poor FROM hit ANTI JOIN broken USING (doc, item, shift, ipos)),
+n AS (SELECT doc, item, count(*) FILTER (NOT poor) AS r, count(*) AS n FROM good GROUP BY ALL),
+m AS (SELECT doc, item, n, total, r, rich, rich > 0 AND r >= 0.5 * rich AS enough FROM n JOIN total USING (item))
+SELECT doc AS doc_id, item AS item_id, CASE WHEN enough THEN r ELSE n END AS matched, CASE WHEN enough THEN rich ELSE total END AS total,
+  CASE WHEN enough THEN r / rich ELSE n / total END AS share
+FROM m WHERE enough OR n >= 0.5 * total
 """
 
 _BASE32 = "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INTEGER), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '')"
