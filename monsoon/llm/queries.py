@@ -17,10 +17,15 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "matched", "total", "share")
 
 
+#: Segments and chunks of the archives that op2 writes: most pages take several of both.
+SEGMENT, CHUNK = 4096, 1024
+
+
 def op2_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives of small segments and read back; a row for each page, null html as an empty payload."""
     path = Scratch(spark, "op2").path("archives")
     pages = source(spark, sf_dir, "pages")
-    warc.write(spark, pages, path)
+    warc.write(spark, pages, path, segment=SEGMENT, chunk=CHUNK)
     kind = pages.schema["page_id"].dataType
     return warc.read(spark, path, payloads=False).select(
         F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"), "valid", "segments"
@@ -129,10 +134,11 @@ FROM m WHERE enough OR n >= 0.5 * total
 _BASE32 = "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INTEGER), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '')"
 _OP2 = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
-m AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
-SELECT page_id, octet_length(encode(payload)) AS payload_bytes, {_BASE32} AS payload_digest,
+m AS (SELECT *, octet_length(encode(payload)) AS n, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+b AS (SELECT *, {len(warc.HTTP_HEAD)} + (n // {CHUNK}) * {CHUNK + len(f"{CHUNK:x}") + 4} + CASE WHEN n % {CHUNK} > 0 THEN n % {CHUNK} + length(printf('%x', n % {CHUNK})) + 4 ELSE 0 END + 5 AS block FROM m)
+SELECT page_id, n AS payload_bytes, {_BASE32} AS payload_digest,
   CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to, true AS valid,
-  CAST(1 AS INTEGER) AS segments FROM m
+  CAST(CASE WHEN first = page_id THEN greatest(1, ceil(block / {SEGMENT})) ELSE 1 END AS INTEGER) AS segments FROM b
 """
 
 _OP3 = r"""

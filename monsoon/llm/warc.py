@@ -3,16 +3,18 @@
 Writing: a payload of more than `segment` bytes is split over a first record and continuations, which name the first as
 their origin; payloads go out in HTTP responses with chunked transfer framing.  Archives are text files of Spark's writer
 whose line separator is the empty lines that end a record, compressed by gzip; so they can lie in any store and survive lost executors.
-Reading: archives are parsed by the lengths that records declare; continuations are grouped by origin, ordered by segment
-number, checked against the total length, joined, and the chunked framing is taken off.
+Reading: archives are parsed by the lengths that records declare, piece by piece, so that a reader holds one record and
+not an archive; continuations are grouped by origin, ordered by segment number, checked against the total length, joined,
+and the chunked framing is taken off.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
+import re
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from monsoon.llm.common import Scratch, _col_of, map_batches, rekey
 
 CRLF = b"\r\n"
+END = b"\r\n\r\n"
+_SIZE = re.compile(rb"[0-9A-Fa-f]{1,16}")
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 REVISIT_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -38,10 +42,10 @@ def dechunked(body: bytes) -> bytes | None:
         end = body.find(CRLF, at)
         if end < 0:
             return None
-        try:
-            size = int(body[at:end].split(b";")[0], 16)
-        except ValueError:
+        told = _SIZE.fullmatch(body[at:end].split(b";")[0].strip(b" \t"))
+        if not told:
             return None
+        size = int(told[0], 16)
         at = end + 2
         if size == 0:
             return b"".join(out)
@@ -63,18 +67,54 @@ def record(kind: str, ident: str, block: bytes, **headers: str | int) -> bytes:
     return b"WARC/1.1\r\n" + "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """The headers (lower-case names) and block of each record of an archive."""
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0:
+def _headers(data: bytes) -> dict[str, str]:
+    """The headers by lower-case name."""
+    lines = data.decode("utf-8", "replace").split("\r\n")[1:]
+    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+
+
+class Parser:
+    """Records from an archive's pieces, which are what lies between its empty lines (END), in order.
+
+    A record's block ends where its Content-Length says.  A block that ends early is None.  What isn't a record is skipped.
+    """
+
+    def __init__(self) -> None:
+        self.headers: dict[str, str] | None = None
+        self.parts: list[bytes] = []
+        self.size = self.need = 0
+
+    def feed(self, piece: bytes) -> Iterator[tuple[dict[str, str], bytes | None]]:
+        if self.headers is None:
+            piece = piece.lstrip(CRLF)
+            if not piece.startswith(b"WARC/"):
+                return
+            self.headers, self.parts, self.size = _headers(piece), [], -len(END)
+            length = self.headers.get("content-length", "")
+            self.need = int(length) if re.fullmatch("[0-9]{1,18}", length) else 0
             return
-        lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        start, size = end + 4, int(headers.get("content-length", 0))
-        yield headers, data[start : start + size]
-        at = start + size
+        self.parts.append(piece)
+        self.size += len(END) + len(piece)
+        if self.size >= self.need:
+            block = END.join(self.parts)
+            headers, self.headers, self.parts = self.headers, None, []
+            yield headers, block[: self.need]
+            # the block had empty lines' bytes of its own at its end, so that the next record's head lies in this piece
+            yield from self.feed(block[self.need :])
+
+    def close(self) -> Iterator[tuple[dict[str, str], bytes | None]]:
+        """The record that the archive's end has cut off."""
+        if self.headers is not None:
+            headers, self.headers = self.headers, None
+            yield headers, b"" if self.need == 0 else None
+
+
+def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    """The headers (lower-case names) and block of each record of an archive."""
+    parser = Parser()
+    for piece in data.split(END):
+        yield from parser.feed(piece)
+    yield from parser.close()
 
 
 def _clean(text: str | None) -> str | None:
@@ -87,7 +127,7 @@ def _write(segment: int, chunk: int):
         out = []
         for row in batch.to_pylist():
             ident = f"<urn:page:{row['row']}>"
-            common = {"WARC_Target_URI": _clean(row["url"]), "WARC_Payload_Digest": "sha1:" + digest(row["payload"]), "X_Page_ID": row["page"]}
+            common = {"WARC_Target_URI": _clean(row["url"]), "WARC_Payload_Digest": "sha1:" + digest(row["payload"]), "X_Page_ID": None if row["page"] is None else quote(str(row["page"]), safe="")}
             if row["refers"] is not None:
                 out.append(record("revisit", ident, REVISIT_HEAD, **common, WARC_Profile=PROFILE, WARC_Refers_To=f"<urn:page:{row['refers']}>"))
                 continue
@@ -114,32 +154,56 @@ def write(spark: SparkSession, pages: DataFrame, path: str, id_col: str = "page_
     scratch = Scratch(spark, "warc")
     payload = F.encode(F.coalesce(_col_of(html_col).cast("string"), F.lit("")), "UTF-8")
     plain = pages.select(_col_of(id_col).alias("page"), _col_of(url_col).cast("string").alias("url"), payload.alias("payload"), F.monotonically_increasing_id().alias("row"))
-    plain = plain.withColumn("sha", F.sha1("payload")).withColumn("bytes", F.octet_length("payload"))
-    rows = scratch.table(plain, "payloads")
-    first = rows.where(F.col("bytes") >= min_bytes).groupBy("sha").agg(F.count("*").alias("n"), F.min(F.struct(F.col("page").isNull().alias("null"), "page", "row")).alias("first"))
-    first = scratch.table(first.where("n > 1").select(F.col("sha").alias("k"), F.col("first.row").alias("first")), "firsts")
-    refers = F.when((F.col("bytes") >= min_bytes) & (F.col("first") != F.col("row")), F.col("first"))
-    linked = rows.join(first, F.col("sha") == F.col("k"), "left").select("row", "page", "url", refers.alias("refers"), "payload")
+    rows = scratch.table(plain.withColumn("sha", F.sha1("payload")).withColumn("bytes", F.octet_length("payload")), "payloads")
+    # which rows revisit which is found from digests alone
+    large = rows.where(F.col("bytes") >= min_bytes).select("sha", "row", F.struct(F.col("page").isNull().alias("null"), "page", "row").alias("order"))
+    first = large.groupBy("sha").agg(F.count("*").alias("n"), F.min("order").alias("first")).where("n > 1")
+    first = first.select(rekey(F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")).alias("k"), F.col("sha").alias("first_sha"), F.col("first.row").alias("refers"))
+    asked = large.withColumn("k", rekey(F.conv(F.substring("sha", 1, 15), 16, 10).cast("long"))).join(first, "k").where("sha = first_sha and row <> refers")
+    revisits = scratch.table(asked.select(F.col("row").alias("at"), "refers"), "revisits")
     size = rows.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
     files = max(1, -(-(size.b + 500 * size.n) // archive))
-    records = map_batches(linked, _write(segment, chunk), "record binary", 64)
-    # records are dealt evenly: a file holds archive bytes and a segment or two more
-    records.repartition(files).select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").text(path, compression="gzip")
+    # payloads are exchanged once, evenly by row, into as many parts as there are archives
+    linked = rows.select("row", "page", "url", "payload").repartition(files, "row").join(revisits.repartition(files, "at"), F.col("row") == F.col("at"), "left")
+    records = map_batches(linked.select("row", "page", "url", "refers", "payload"), _write(segment, chunk), "record binary", 64)
+    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END.decode()).text(path, compression="gzip")
     scratch.drop(rows)
-    scratch.drop(first)
+    scratch.drop(revisits)
 
 
-def _read(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    names = ["warc-type", "warc-record-id", "warc-target-uri", "warc-payload-digest", "warc-refers-to", "warc-segment-origin-id", "x-page-id"]
-    for data in batch.column(0).to_pylist():
-        rows, size = [], 0
-        for headers, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
-            rows.append([*(headers.get(n) for n in names), *(int(headers[n]) if n in headers else None for n in ("warc-segment-number", "warc-segment-total-length")), block])
-            size += len(block)
-            if size > 8 << 20:
+_NAMES = ["warc-type", "warc-record-id", "warc-target-uri", "warc-payload-digest", "warc-refers-to", "warc-segment-origin-id", "x-page-id"]
+
+
+def _row(headers: dict[str, str], block: bytes | None) -> list:
+    texts = [headers.get(n) for n in _NAMES]
+    texts[-1] = None if texts[-1] is None else unquote(texts[-1])
+    numbers = [headers.get(n, "") for n in ("warc-segment-number", "warc-segment-total-length")]
+    return [*texts, *(int(x) if re.fullmatch("[0-9]{1,18}", x) else None for x in numbers), block]
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of the pieces (file, value) of one or more archives, each archive's in order."""
+    parser, current, rows, size = Parser(), None, [], 0
+    for batch in batches:
+        for file, piece in zip(batch.column(0), batch.column(1), strict=True):
+            found = []
+            if file != current:
+                found += parser.close()
+                current = file
+            found += parser.feed(piece.as_py() or b"")
+            for headers, block in found:
+                rows.append(_row(headers, block))
+                size += len(block or b"")
+            if size > 8 << 20 or len(rows) > 4096:
                 yield _records(rows)
                 rows, size = [], 0
-        yield _records(rows)
+    rows += [_row(*x) for x in parser.close()]
+    yield _records(rows)
+
+
+def _read_whole(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for data in batch.column(0).to_pylist():
+        yield _records([_row(*x) for x in parse(data)])
 
 
 def _records(rows: list[list]) -> pa.RecordBatch:
@@ -152,9 +216,15 @@ RECORD = "type string, record_id string, uri string, digest string, refers strin
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all archives under path, as they lie there."""
-    files = spark.read.format("binaryFile").load(path).where(F.col("length") > 0).select("content")
-    return map_batches(files, _read, RECORD, 1)
+    """The records of all archives under path, as they lie there; a block is null where its archive ends before it.
+
+    Archives named *.gz, which can't be split, are streamed through Spark's text reader with the records' empty lines as
+    separator: a task holds a record of them at a time.  Others are read as one value each, so they must fit in memory.
+    """
+    pieces = spark.read.option("pathGlobFilter", "*.gz").option("lineSep", END.decode()).text(path)
+    streamed = pieces.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value")).mapInArrow(_read, RECORD)
+    others = spark.read.format("binaryFile").load(path).where(~F.col("path").endswith(".gz") & (F.col("length") > 0)).select("content")
+    return streamed.unionByName(map_batches(others, _read_whole, RECORD, 1))
 
 
 def reassembled(all_records: DataFrame) -> DataFrame:
@@ -179,9 +249,9 @@ def reassembled(all_records: DataFrame) -> DataFrame:
 def _payloads(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     size, found, out = [], [], []
     for kind, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-        head, _, body = (block or b"").partition(b"\r\n\r\n")
+        head, _, body = (block or b"").partition(END)
         payload = None
-        if kind == "response":
+        if kind == "response" and block is not None:
             payload = dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
         out.append(payload)
         size.append(None if payload is None else len(payload))
@@ -194,7 +264,8 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """A row for each page: record_id, page, uri, record_type, refers_to, payload (of responses, if payloads), payload_bytes, payload_digest, valid, segments.
 
     refers_to is the page of the response; bytes and digest of a revisit are those of the response's payload.  valid tells
-    that segments are complete, the framing is right and the payload has the digest that the record declares.
+    that segments are complete, the framing is right and the payload has the digest that the record declares.  Damaged
+    records are kept as invalid rows: blocks cut off by their archive's end, broken framing, missing segments.
     """
     joined = reassembled(records(spark, path)).select("type", "block", "record_id", "page", "uri", "digest", "refers", "complete", "segments")
     kinds = "record_id string, page string, uri string, digest string, refers string, complete boolean, segments int"
@@ -202,8 +273,14 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     rows = map_batches(typed, _payloads, f"record_type string, {kinds}, payload binary, payload_bytes long, payload_digest string", 64)
     # written once, since revisits join with it
     rows = Scratch(spark, "warc-read").table(rows if payloads else rows.drop("payload"), "payloads")
+    refers = rows.where("refers is not null")
+    asked = refers.select(F.col("refers").alias("asked")).distinct()
     target = rows.where("record_type = 'response'").select(F.col("record_id").alias("t"), F.col("page").alias("t_page"), F.col("payload_bytes").alias("t_bytes"), F.col("payload_digest").alias("t_digest"))
-    all_rows = rows.join(target, F.col("refers") == F.col("t"), "left")
+    target = target.join(asked, F.col("t") == F.col("asked"), "left_semi")
+    # only what refers to something is joined: nulls would all meet in one task
+    spread = F.xxhash64("refers")
+    joined = refers.join(target, (rekey(spread) == rekey(F.xxhash64("t"))) & (F.col("refers") == F.col("t")), "left")
+    all_rows = joined.unionByName(rows.where("refers is null").withColumns({"t": F.lit(None).cast("string"), "t_page": F.lit(None).cast("string"), "t_bytes": F.lit(None).cast("long"), "t_digest": F.lit(None).cast("string")}))
     found: Column = F.coalesce("payload_digest", "t_digest")
     return all_rows.select(
         "record_id", "page", "uri", "record_type", F.col("t_page").alias("refers_to"), *(["payload"] if payloads else []), F.coalesce("payload_bytes", "t_bytes").alias("payload_bytes"), found.alias("payload_digest"),

@@ -216,3 +216,36 @@ def test_pipeline_judges_rows_not_ids(spark):
     kept = left(c.near_dedup(spark, frame(rows), sf))
     assert [r for r in kept if r[1] and r[1].startswith(one)] in ([(None, one)], [(None, one + " end")])
     assert [r for r in kept if not (r[1] and r[1].startswith(one))] == sorted([(7, two), (9, three), (3, words(6)), (None, None), (None, None)], key=repr)
+
+
+def test_hostile_chunk_sizes_and_cut_off_records():
+    for size in (b"-6", b"+0", b"0_1", b"0x1", b"", b" ", b"FFFFFFFFFFFFFFFF", b"1" * 5000):
+        assert warc.dechunked(b"1\r\nX\r\n" + size + b"\r\n") is None
+    assert warc.dechunked(b"1;a=b\r\nX\r\n0 \r\n\r\n") == b"X"
+    whole = warc.record("response", "<a>", b"12345\r\n\r\n\r\n") + b"\r\n\r\n" + warc.record("response", "<b>", b"abc\r\n") + b"\r\n\r\n" + warc.record("revisit", "<c>", b"", ) + b"\r\n\r\n"
+    assert [(h["warc-record-id"], b) for h, b in warc.parse(whole)] == [("<a>", b"12345\r\n\r\n\r\n"), ("<b>", b"abc\r\n"), ("<c>", b"")]
+    for cut in range(len(whole)):
+        got = [(h["warc-record-id"], b) for h, b in warc.parse(whole[:cut]) if "warc-record-id" in h and h["warc-record-id"] == "<a>"]
+        assert all(b in (None, b"", b"12345\r\n\r\n\r\n") for _, b in got)
+    assert list(warc.parse(b"junk\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 10\r\n\r\nabc"))[0][1] is None
+
+
+def test_page_ids_cannot_add_headers(spark):
+    rows = [("a\r\nWARC-Type: revisit", "u", "x"), (" outer ", "v", "y"), ("%41", "w", "z")]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    path = Scratch(spark, "t").path("w")
+    warc.write(spark, df, path)
+    got = {g.page: g for g in warc.read(spark, path).collect()}
+    assert set(got) == {r[0] for r in rows} and all(g.valid and g.record_type == "response" for g in got.values())
+
+
+def test_uncompressed_and_damaged_archives(spark, tmp_path):
+    head = b"HTTP/1.1 200 OK\r\n\r\n"
+    good = warc.record("response", "<a>", head + b"abc", WARC_Payload_Digest="sha1:" + warc.digest(b"abc"), X_Page_ID="1")
+    cut = warc.record("response", "<b>", head + b"abcdef", X_Page_ID="2")[:-3]
+    (tmp_path / "one.warc").write_bytes(good + warc.END + cut)
+    import gzip
+
+    (tmp_path / "two.warc.gz").write_bytes(gzip.compress(good.replace(b"<a>", b"<c>") + warc.END) + gzip.compress(cut.replace(b"<b>", b"<d>")))
+    got = {g.record_id: (g.valid, g.payload) for g in warc.read(spark, str(tmp_path)).collect()}
+    assert got == {"<a>": (True, b"abc"), "<c>": (True, b"abc"), "<b>": (False, None), "<d>": (False, None)}
