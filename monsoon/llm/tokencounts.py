@@ -8,6 +8,7 @@ limit.  Suffix sums go by two levels, blocks of lengths and lengths within a blo
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,6 +22,10 @@ DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-tokenisation that this public vocabulary is defined with (a fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Longer runs of white space are cut off by hand, as the pattern's look-ahead takes stack for each of their characters.
+RUN = 500
+_BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % RUN)
+
 
 @lru_cache(2)
 def _encoding(data: bytes):
@@ -30,10 +35,24 @@ def _encoding(data: bytes):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_count(encoding, text: str) -> int:
+    """How many tokens the text has.
+
+    A run of n blanks before anything else is one piece of n - 1 blanks, and the last blank goes with what follows; at the
+    text's end it is one piece.
+    """
+    count = at = 0
+    for run in _BLANKS.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        count += len(encoding.encode_ordinary(text[at : run.start()])) + len(encoding._encode_single_piece(text[run.start() : stop]))
+        at = stop
+    return count + len(encoding.encode_ordinary(text[at:] if at else text))
+
+
 def _lengths(data: bytes):
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(data).encode_ordinary
-        yield pa.RecordBatch.from_arrays([pa.array([0 if t is None else len(encode(t)) for t in batch.column(0).to_pylist()], pa.int64())], ["n_tokens"])
+        encoding = _encoding(data)
+        yield pa.RecordBatch.from_arrays([pa.array([0 if t is None else token_count(encoding, t) for t in batch.column(0).to_pylist()], pa.int64())], ["n_tokens"])
 
     return run
 
@@ -77,12 +96,19 @@ def histogram(spark: SparkSession, docs: DataFrame, ranks: str = DEFAULT_RANKS,
 
 
 def at_limits(hist: DataFrame, limits: list[int]) -> DataFrame:
-    """limit, docs_longer, total_tokens, truncated_tokens for given limits, from histogram()'s rows."""
-    rows = hist.sparkSession.createDataFrame([(int(x),) for x in limits], "context_limit long")
-    # the last length up to the limit answers it; with none, every document is longer
-    cut = hist.crossJoin(F.broadcast(rows)).groupBy("context_limit").agg(
-        F.max("total_tokens").alias("total_tokens"),
-        F.sum(F.when(F.col("n_tokens") > F.col("context_limit"), F.col("n_docs")).otherwise(0)).alias("docs_longer"),
-        F.sum(F.least("n_tokens", "context_limit") * F.col("n_docs")).alias("truncated_tokens"),
-    )
-    return cut.select("context_limit", "docs_longer", "total_tokens", "truncated_tokens")
+    """context_limit, docs_longer, total_tokens, truncated_tokens for given limits, from histogram()'s rows: one pass, with
+    sums for each limit.  Without rows in hist, or without limits, there are none."""
+    n, docs = F.col("n_tokens"), F.col("n_docs")
+    of = [
+        F.struct(
+            F.lit(int(x)).cast("long").alias("context_limit"),
+            F.sum(F.when(n > int(x), docs).otherwise(0)).alias("docs_longer"),
+            F.sum(n * docs).alias("total_tokens"),
+            F.sum(F.least(n, F.lit(int(x)).cast("long")) * docs).alias("truncated_tokens"),
+        )
+        for x in limits
+    ]
+    none = "context_limit long, docs_longer long, total_tokens long, truncated_tokens long"
+    if not of:
+        return hist.sparkSession.createDataFrame([], none)
+    return hist.agg(F.array(*of).alias("of")).select(F.inline("of")).where("total_tokens is not null")

@@ -261,3 +261,14 @@ def test_token_totals_at_limits(spark):
     limits = {r.context_limit: r for r in tokencounts.at_limits(hist, [0, 7, 1000]).collect()}
     assert limits[7].truncated_tokens == sum(min(s, 7) for s in sizes) and limits[1000].docs_longer == 0
     assert tokencounts.histogram(spark, frame(spark, [])).count() == 0
+
+
+def test_long_runs_of_blanks_count_as_the_pattern_does(monkeypatch):
+    with open(tokencounts.DEFAULT_RANKS, "rb") as file:
+        encoding = tokencounts._encoding(file.read())
+    assert tokencounts.token_count(encoding, " " * 1_000_000 + "a") > 0 and tokencounts.token_count(encoding, "\n" * 1_200_000 + "x") > 0
+    monkeypatch.setattr(tokencounts, "_BLANKS", re.compile(tokencounts._BLANKS.pattern.replace(str(tokencounts.RUN), "3")))
+    r = random.Random(1)
+    for _ in range(3000):
+        text = "".join(r.choice([" ", "  ", "\n", "a", "b1", "!", "\t", " ", "'s", "\x1c", "　"]) for _ in range(r.randint(0, 25)))
+        assert tokencounts.token_count(encoding, text) == len(encoding.encode_ordinary(text))
