@@ -62,22 +62,29 @@ def tokens(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
 
 
 class _At:
-    """The window of `size` tokens at column pos, from columns t and v."""
+    """The window of `size` tokens at column pos, from columns t and v.
+
+    Hashes are over slices, whose code is a loop: written out token by token, two hashes and the slots make a method of a
+    size that the JVM only interprets.
+    """
 
     def __init__(self, size: int, literals: int):
         self.size = size
-        self.t = [F.get("t", F.col("pos") + i) for i in range(size)]
-        self.v = [F.get("v", F.col("pos") + i) for i in range(size)]
-        words = reduce(add, [F.when(t.between(NAME, UNIT), 0).otherwise(1) for t in self.t])
+        self.tw, self.vw = (F.slice(c, F.col("pos") + 1, F.lit(size)) for c in ("t", "v"))
+        words = reduce(add, [F.when(F.get("t", F.col("pos") + i).between(NAME, UNIT), 0).otherwise(1) for i in range(size)])
         self.poor = words < min(literals, size)
 
-    def key(self, seed: int) -> Column:
-        salt = self.size + 1000 * seed
-        return F.when(self.poor, F.xxhash64(F.lit(-salt), *self.v)).otherwise(F.xxhash64(F.lit(salt), *self.t))
+    def key(self, salt: int) -> Column:
+        return _key(salt, self.poor, self.tw, self.vw)
+
+
+def _key(salt: int, poor: Column, tw: Column, vw: Column) -> Column:
+    return F.when(poor, F.xxhash64(F.lit(-salt), vw)).otherwise(F.xxhash64(F.lit(salt), tw))
+
 
-    def slots(self) -> Column:
-        """The value of each placeholder, null where a word stands."""
-        return F.array(*[F.when(t.between(NAME, UNIT), v) for t, v in zip(self.t, self.v, strict=True)])
+def _slots(tw: Column, vw: Column) -> Column:
+    """The value of each placeholder, null where a word stands."""
+    return F.zip_with(tw, vw, lambda t, v: F.when(t.between(NAME, UNIT), v))
 
 
 def _positions(df: DataFrame, keep: list[str], size: int) -> DataFrame:
@@ -92,7 +99,7 @@ def _benchmark(items: DataFrame, sizes: list[int], conf: Decontam) -> DataFrame:
         at, own = _At(size, conf.literals), items.where(F.col("size") == size)
         parts.append(
             _positions(own, ["item", "idig"], size).select(
-                "item", "idig", F.lit(size).alias("size"), F.col("pos").alias("ipos"), at.poor.alias("poor"), at.key(1).alias("a"), at.key(2).alias("b"), at.slots().alias("islots")
+                "item", "idig", F.lit(size).alias("size"), F.col("pos").alias("ipos"), at.poor.alias("poor"), at.key(1).alias("a"), at.key(2).alias("b"), _slots(at.tw, at.vw).alias("islots")
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -116,15 +123,14 @@ def _hits(docs: DataFrame, index: DataFrame, sizes: list[int], conf: Decontam, s
     else:
         at_pos = at_pos.withColumn("size", F.lit(least))
     index = index.withColumnRenamed("size", "isize")
+    window = [of_size(lambda at: at.tw).alias("tw"), of_size(lambda at: at.vw).alias("vw")]
     keyed = at_pos.withColumn("k", of_size(lambda at: at.key(1)))
     if small:
-        # the second hash and the slots are only computed for windows whose first hash is in the index
-        found = keyed.join(F.broadcast(index), F.col("k") == F.col("a")).where(of_size(lambda at: at.key(2)).bitwiseXOR(F.col("b")) == 0)
-        found = found.withColumn("slots", of_size(lambda at: at.slots()))
+        # only windows whose hash is in the index are written out
+        found = keyed.join(F.broadcast(index), F.col("k") == F.col("a")).withColumns({"tw": window[0], "vw": window[1]})
     else:
-        plain = keyed.select("id", "digest", "pos", "size", "k", of_size(lambda at: at.key(2)).alias("kb"), of_size(lambda at: at.slots()).alias("slots"))
-        found = plain.join(index, (F.col("k") == F.col("a")) & (F.col("kb") == F.col("b")))
-    return found.where("size = isize").select("id", "digest", "item", "idig", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos", "poor", "islots", "slots")
+        found = keyed.select("id", "digest", "pos", "size", "k", *window).join(index, F.col("k") == F.col("a"))
+    return found.where("size = isize").select("id", "digest", "item", "idig", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos", "poor", "b", "islots", "tw", "vw")
 
 
 def leaks(
@@ -163,10 +169,12 @@ def leaks(
     # one exchange: a document's windows of an item meet, which are as many as its tokens at most
     pair = ["id", "digest", "item", "idig"]
     dealt = hits.repartition(*pair)
-    slots = F.filter(F.arrays_zip("islots", "slots"), lambda s: s.islots.isNotNull())
-    spots = dealt.select(*pair, "shift", "ipos", "poor", F.explode_outer(slots).alias("s"))
+    slots = F.filter(F.arrays_zip("islots", _slots(F.col("tw"), F.col("vw")).alias("slots")), lambda s: s.islots.isNotNull())
+    # the second hash, of what the first has found
+    other = _key(2, F.col("poor"), F.col("tw"), F.col("vw")) != F.col("b")
+    spots = dealt.select(*pair, "shift", "ipos", "poor", other.alias("other"), F.explode_outer(slots).alias("s"))
     same = Window.partitionBy(*pair, "shift", "s.islots")
-    broken = F.col("s").isNotNull() & (F.min("s.slots").over(same) != F.max("s.slots").over(same))
+    broken = F.col("other") | (F.col("s").isNotNull() & (F.min("s.slots").over(same) != F.max("s.slots").over(same)))
     right = spots.withColumn("broken", broken).groupBy(*pair, "shift", "ipos", "poor").agg(F.bool_or("broken").alias("broken")).where("not broken")
     counted = right.select(*pair, "ipos", "poor").distinct().groupBy(*pair).agg(F.count_if(~F.col("poor")).alias("r"), F.count("*").alias("n"))
 
