@@ -49,6 +49,8 @@ class MinHash:
     miss: float = 1e-6
     small: int = 16
     block: int = 128
+    block_bytes: int = 8_000_000
+    salts: int = 32
     pivots: int = 2
 
     @property
@@ -101,25 +103,22 @@ def _sign(conf: MinHash, kind: pa.DataType):
             n.append(len(values))
             sig.append(signature(values, conf.hashes).tobytes() if len(values) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(kind), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary())],
-            ["id", "k1", "k2", "n_shingles", "sig"],
+            [batch.column(0).cast(kind), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), batch.column(1), batch.column(2)],
+            ["id", "k1", "k2", "n_shingles", "sig", "text", "row"],
         )
 
     return run
 
 
 def _sets(conf: MinHash):
-    """The set and signature of each text whose set has the key asked for."""
+    """The set and signature of each text, under its node's key."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        node, sig, out = [], [], []
-        asked = batch.column(1).to_pylist()
-        for values, k1 in zip(shingle_sets(utf8(batch.column(0)), conf.k), asked, strict=True):
-            if len(values) and _node(values)[0] == k1:
-                node.append(k1)
-                sig.append(signature(values, conf.hashes).tobytes())
-                out.append(values.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(sig, pa.binary()), pa.array(out, pa.binary())], ["node", "sig", "values"])
+        sig, out = [], []
+        for values in shingle_sets(utf8(batch.column(0)), conf.k):
+            sig.append(signature(values, conf.hashes).tobytes())
+            out.append(values.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sig, pa.binary()), pa.array(out, pa.binary())], ["node", "sig", "values"])
 
     return run
 
@@ -281,30 +280,29 @@ def near_duplicates(
     conf = conf or MinHash()
     scratch = Scratch(spark, "minhash")
     kind = docs.select(id_col).schema[0].dataType
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
     from pyspark.sql.pandas.types import to_arrow_type
 
     signed = scratch.table(
-        map_batches(plain, _sign(conf, to_arrow_type(kind)), f"id {kind.simpleString()}, k1 long, k2 long, n_shingles long, sig binary"), "signatures"
+        map_batches(plain, _sign(conf, to_arrow_type(kind)), f"id {kind.simpleString()}, k1 long, k2 long, n_shingles long, sig binary, text string, row long"), "signatures"
     )
     nodes = scratch.table(
-        signed.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")),
+        signed.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("id").alias("id"), F.min("row").alias("row"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")),
         "nodes",
     )
 
     # buckets of two nodes at least
     bands, width = conf.hashes // conf.rows, conf.rows * 4
     keys = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(F.lit(i), F.substring("sig", i * width + 1, width)).alias("key")) for i in range(bands)])
-    banded = nodes.select(F.col("k1").alias("node"), F.explode(keys).alias("b")).select("node", "b.band", "b.key")
+    banded = nodes.select(F.col("k1").alias("node"), "n_shingles", F.explode(keys).alias("b")).select("node", "n_shingles", "b.band", "b.key")
     sizes = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(rekey(F.col("key")).alias("k"), "n")
-    members = scratch.table(banded.withColumn("k", rekey(F.col("key"))).join(sizes, "k").select("key", "band", "node", "n"), "members")
+    members = scratch.table(banded.withColumn("k", rekey(F.col("key"))).join(sizes, "k").select("key", "band", "node", "n_shingles", "n"), "members")
 
     wanted = nodes.join(members.select("node").distinct().select(rekey(F.col("node")).alias("k")), rekey(F.col("k1")) == F.col("k"), "left_semi")
-    wanted = wanted.select(F.col("id").alias("want"), "k1")
-    sets = scratch.table(
-        map_batches(plain.join(wanted, F.col("id").eqNullSafe(F.col("want"))).select("text", "k1"), _sets(conf), "node long, sig binary, values binary"),
-        "sets",
-    )
+    # a node's set is made from one row, whatever rows share its id or its text
+    wanted = wanted.select(F.col("row").alias("want"), "k1")
+    texts = signed.select("row", "text").join(wanted, F.col("row") == F.col("want")).select("text", "k1")
+    sets = scratch.table(map_batches(texts, _sets(conf), "node long, sig binary, values binary"), "sets")
     linker = _Linker(scratch, conf, sets)
 
     # small buckets: all pairs
@@ -332,26 +330,32 @@ def _rng_flip(turn: int) -> np.int64:
 def _across(scratch: Scratch, conf: MinHash, linker: _Linker, large: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between different components of large buckets: nodes outside a bucket's largest component against all."""
     placed = scratch.table(linker.comp(large, "node", "comp"), "placed")
-    counts = placed.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    top = scratch.table(
-        counts.groupBy("key").agg(F.count("*").alias("comps"), F.max(F.struct("c", "comp")).alias("top")).where("comps > 1").select(rekey(F.col("key")).alias("k"), "top.comp", "top.c").withColumnsRenamed({"comp": "main", "c": "main_n"}),
-        "tops",
+    size = F.lit(8) * F.col("n_shingles") + F.lit(4 * conf.hashes + 100)
+    counts = placed.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum(size).alias("bytes"))
+    top = counts.groupBy("key").agg(F.count("*").alias("comps"), F.max(F.struct("c", "comp", "bytes")).alias("top"), F.sum("c").alias("n"), F.sum("bytes").alias("bytes"))
+
+    def blocks(count, held):
+        return F.greatest(F.ceil(count / F.lit(conf.block)), F.ceil(held / F.lit(conf.block_bytes)))
+
+    # blocks of a bounded number of nodes and of about block_bytes
+    top = top.where("comps > 1").select(
+        rekey(F.col("key")).alias("k"),
+        F.col("top.comp").alias("main"),
+        blocks(F.col("n"), F.col("bytes")).alias("y_blocks"),
+        blocks(F.col("n") - F.col("top.c"), F.col("bytes") - F.col("top.bytes")).alias("x_blocks"),
     )
-    open_ = placed.withColumn("k", rekey(F.col("key"))).join(top, "k").select("k", "band", "node", "comp", "main", "n", "main_n")
+    open_ = placed.withColumn("k", rekey(F.col("key"))).join(scratch.table(top, "tops"), "k").select("k", "band", "node", "comp", "main", "x_blocks", "y_blocks")
     own = sets.select(rekey(F.col("node")).alias("kn"), "sig", "values")
     full = open_.withColumn("kn", rekey(F.col("node"))).join(own, "kn").drop("kn")
-    item = F.struct("node", "comp", "sig", "values")
-
-    def blocks(df: DataFrame, count, block: str, items: str) -> DataFrame:
-        at = F.pmod(F.xxhash64("node"), F.ceil(count / F.lit(conf.block)))
-        return df.withColumn(block, at).groupBy("k", "band", block).agg(F.collect_list(item).alias(items))
-
-    ys = blocks(full, F.col("n"), "yb", "ys")
-    xs = blocks(full.where("comp <> main"), F.col("n") - F.col("main_n"), "xb", "xs")
-    # a key of both blocks would repeat each block; the bucket's key, salted by the block of the smaller side, spreads it
+    # the bucket's key is salted by its blocks: each block of the smaller side goes to all salts, each of all nodes to one
+    salts = F.least(F.col("y_blocks"), F.lit(conf.salts))
+    item = F.collect_list(F.struct("node", "comp", "sig", "values"))
+    ys = full.groupBy("k", "band", F.pmod(F.xxhash64("node"), F.col("y_blocks")).alias("block"), salts.alias("salts")).agg(item.alias("ys"))
+    xs = full.where("comp <> main").groupBy("k", "band", F.pmod(F.xxhash64("node"), F.col("x_blocks")).alias("block"), salts.alias("salts")).agg(item.alias("xs"))
     xs, ys = scratch.table(xs, "rest"), scratch.table(ys, "blocks")
-    joined = xs.withColumn("j", rekey(F.col("k"))).join(ys.select(rekey(F.col("k")).alias("j"), "ys"), "j").select("band", "xs", "ys")
-    return map_batches(joined, _blocks(conf), "a long, b long", 1)
+    xs = xs.select("band", "xs", rekey(F.col("k")).alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    ys = ys.select("ys", rekey(F.col("k")).alias("j"), F.pmod(F.col("block"), F.col("salts")).alias("salt"))
+    return map_batches(xs.join(ys, ["j", "salt"]).select("band", "xs", "ys"), _blocks(conf), "a long, b long", 1)
 
 
 def _result(signed: DataFrame, nodes: DataFrame, linker: _Linker) -> DataFrame:

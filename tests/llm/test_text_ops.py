@@ -81,7 +81,7 @@ def brute_components(texts, k, num, den):
     return sets, label
 
 
-@pytest.mark.parametrize("conf", [minhash.MinHash(k=3, share_num=85), minhash.MinHash(k=3, share_num=85, small=2, block=8, pivots=1)])
+@pytest.mark.parametrize("conf", [minhash.MinHash(k=3, share_num=85), minhash.MinHash(k=3, share_num=85, small=2, block=8, pivots=1), minhash.MinHash(k=3, share_num=85, small=2, block_bytes=3000, salts=3, pivots=1)])
 def test_near_duplicates_equal_brute_force(spark, conf):
     r = random.Random(5)
     texts = [" ".join(t) for t in near_set(r) + near_set(r)] + [" ".join(r.choice(WORDS) for _ in range(40)) for _ in range(20)] + ["One two", "one TWO", "", None, "one", " \n "]
@@ -272,3 +272,20 @@ def test_long_runs_of_blanks_count_as_the_pattern_does(monkeypatch):
     for _ in range(3000):
         text = "".join(r.choice([" ", "  ", "\n", "a", "b1", "!", "\t", " ", "'s", "\x1c", "　"]) for _ in range(r.randint(0, 25)))
         assert tokencounts.token_count(encoding, text) == len(encoding.encode_ordinary(text))
+
+
+def test_sets_are_made_once_for_a_node(spark, monkeypatch):
+    seen = {}
+
+    class Kept(Scratch):
+        def table(self, df, name):
+            seen[name] = super().table(df, name)
+            return seen[name]
+
+    monkeypatch.setattr(minhash, "Scratch", Kept)
+    r = random.Random(4)
+    words = [r.choice(WORDS) for _ in range(80)]
+    copies = [" ".join(words[:i] + [f"own{i}"] + words[i + 1 :]) for i in range(40)]
+    rows = [(None, copies[i % 40], "en") for i in range(2000)] + [(5, copies[0] + " end", "en")] * 2000
+    got = minhash.near_duplicates(spark, frame(spark, rows)).collect()
+    assert seen["sets"].count() == 41 and len(got) == 4000 and {g.component_id for g in got} == {5}
