@@ -156,7 +156,7 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.near_vectors(spark, df.where("false")).count() == 0
 
 
-def test_blocks_stay_small_where_a_third_is_one_vector(spark, monkeypatch):
+def test_a_third_of_equal_vectors_is_one_node(spark, monkeypatch):
     seen = {}
 
     class Kept(Scratch):
@@ -167,10 +167,11 @@ def test_blocks_stay_small_where_a_third_is_one_vector(spark, monkeypatch):
     monkeypatch.setattr(vectors, "Scratch", Kept)
     x = np.random.default_rng(3).standard_normal((900, 32))
     x[:300] = x[0]
+    x[301] = x[0] + 0.01
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
     got = {g.id: g for g in vectors.near_vectors(spark, df, vectors.Collisions(block=90)).collect()}
-    assert seen["blocks"].select(F.max(F.size("vs"))).first()[0] <= 200
-    assert all(got[i].n_links == 299 and got[i].component_id == 0 for i in range(300)) and all(got[i].n_links == 0 for i in range(300, 900))
+    assert seen["blocks"].select(F.max(F.size("vs"))).first()[0] <= 200 and seen["alike"].count() == 601
+    assert all(got[i].n_links == 300 and got[i].component_id == 0 for i in (*range(300), 301)) and all(got[i].n_links == 0 for i in range(302, 900))
 
 
 def test_recall_at_the_threshold():
