@@ -1,9 +1,10 @@
 """Personal data: exact base patterns, and a semi-Markov conditional random field that adds what they don't reach.
 
 Base spans come from fixed patterns with checks.  The field works on islands of atoms (runs of letters and digits, or single
-signs) around digits and @.  Every span of at most `longest` atoms is a candidate segment of each kind; features of the
-whole span (its shape, digit groups, check digit, balance of brackets, what stands around it) score it, an atom outside
-scores 0, and dynamic programming over end positions chooses boundaries and kinds together.  Weights are those of the
+signs) around digits and @.  Every span of atoms outside the base spans is a candidate segment of each kind that can have
+its length (LONGEST characters: what an address, written with its separators, or a number of 19 digits can take); features
+of the whole span (its shape, digit groups, check digit, balance of brackets, what stands around it) score it, an atom
+outside scores 0, and dynamic programming over end positions chooses boundaries and kinds together.  Weights are those of the
 greatest conditional likelihood on sentences made from templates (`examples`, a fixed seed), trained on the driver.
 """
 
@@ -88,6 +89,9 @@ _CUES = {
 }
 _DOTS = {"dot"}
 _ATS = {"at"}
+#: Characters that a span can have: an address has 254 at most, twice that with [dot] for each dot; others are numbers.
+LONGEST = {"email": 508, "ip": 64, "card": 64, "phone": 64}
+_JOINTS = _DOTS | _ATS | set("[](){}")
 
 
 @dataclass(frozen=True)
@@ -104,15 +108,15 @@ def atoms(text: str, start: int, end: int) -> list[Atom]:
 _GROUP = re.compile("[0-9]+")
 
 
-def features(text: str, span: list[Atom], before: list[str], after: str, kind: str) -> list[str] | None:
-    """Names of what holds for a whole span as one of kind; None if it can't be one."""
+def features(text: str, span: list[Atom], before: list[str], after: str, kind: str, following: tuple[str, ...] = ()) -> list[str] | None:
+    """Names of what holds for a whole span as one of kind; None if it can't be one.  following are the next atoms."""
     start, end = span[0].start, span[-1].end
     surface = text[start:end]
     words = [a.text for a in span]
     out = [f"{kind}|bias"]
     if kind == "email":
         at = [i for i, w in enumerate(words) if w == "@" or w.lower() in _ATS]
-        dots = sum(w == "." or w.lower() in _DOTS for w in words)
+        dots = any(w == "." or w.lower() in _DOTS for w in words[at[0] + 1 :]) if at else False
         if len(at) != 1 or not 0 < at[0] < len(words) - 1 or not dots or not words[0].isalnum() or not words[-1].isalpha() or len(words[-1]) < 2 or words[-1].lower() in _DOTS | _ATS:
             return None
         spelled = "@" not in surface
@@ -121,12 +125,12 @@ def features(text: str, span: list[Atom], before: list[str], after: str, kind: s
         odd = sum(not (w.isalnum() or w in "@.-_+[](){}") for w in words)
         gaps = sum(b.start > a.end for a, b in zip(span, span[1:], strict=False))
         if spelled:
-            loose = sum(1 for i, (a, b) in enumerate(zip(span, span[1:], strict=False)) if b.start > a.end and not ({words[i].lower(), words[i + 1].lower()} & (_DOTS | _ATS | set("[](){}"))))
+            loose = sum(1 for i, (a, b) in enumerate(zip(span, span[1:], strict=False)) if b.start > a.end and not ({words[i].lower(), words[i + 1].lower()} & _JOINTS))
         else:
             loose = gaps
-        if spelled and loose:
+        if (spelled and loose) or loose > 2:
             return None
-        out += [f"email|spelled{spelled}", f"email|spelled{spelled}brackets{'[' in surface or '(' in surface}", f"email|odd{min(odd, 2)}", f"email|loose{min(loose, 2)}", f"email|tld{min(len(words[-1]), 5)}"]
+        out += [f"email|spelled{spelled}", f"email|spelled{spelled}brackets{'[' in surface or '(' in surface}", f"email|odd{min(odd, 2)}", f"email|loose{min(loose, 2)}", f"email|tld{min(len(words[-1]), 5)}", f"email|more{spelled}{any(w.lower() in _DOTS for w in following)}"]
     else:
         if any(not (w.isdigit() and w.isascii()) and w not in "+()-. /" for w in words) or not ("0" <= surface[-1] <= "9") or surface[0] not in "+(0123456789":
             return None
@@ -158,42 +162,103 @@ def _class(c: str) -> str:
     return "a" if c.isalnum() else "s" if c.isspace() else c if c in "@.-+/$#:(" else "p"
 
 
+_SHAPE = str.maketrans("123456789", "000000000")
+
+
 @dataclass
 class Crf:
-    longest: int = 16
     examples: int = 400
     epochs: int = 12
     weights: dict[str, float] = field(default_factory=dict)
-
-    def segments(self, text: str, island: list[Atom], limit: int) -> list[tuple[int, int, str, list[str]]]:
-        """(first atom, end atom, kind, features) of all candidates that hold a digit or @ or a spelled-out @."""
-        out = []
-        for i in range(len(island)):
-            first = island[i].text
-            if not (first.isalnum() or first in "+("):
+    scores: dict[tuple, float | None] = field(default_factory=dict, repr=False)
+
+    def candidates(self, island: list[Atom], free: list[bool]) -> Iterator[tuple[int, int, str]]:
+        """(first atom, end atom, kind) of the spans of free atoms that have the length and signs of a kind."""
+        words = [a.text.lower() for a in island]
+        is_at = [w == "@" or w in _ATS for w in words]
+        next_at = [len(island)] * (len(island) + 1)
+        for i in range(len(island) - 1, -1, -1):
+            next_at[i] = i if is_at[i] else next_at[i + 1]
+        number = [w.isdigit() and w.isascii() for w in words]
+        for i, first in enumerate(words):
+            if not free[i]:
                 continue
-            before = [a.text for a in island[max(0, i - 3) : i]]
-            letters = at = digits = False
-            for j in range(i + 1, min(len(island), i + self.longest) + 1):
-                word = island[j - 1].text
-                at |= word == "@" or word.lower() in _ATS
-                digits |= word.isdigit()
-                letters |= not (word.isdigit() or word in "+()-. /")
-                end = island[j - 1].end
-                after = text[end] if end < limit else " "
-                for kind in ("email",) if letters else KINDS[1:]:
-                    if (kind == "email" and at) or (kind != "email" and digits):
-                        found = features(text, island[i:j], before, after, kind)
-                        if found:
-                            out.append((i, j, kind, found))
+            if number[i] or first in "+(":
+                digits = groups = 0
+                for j in range(i, len(island)):
+                    if not free[j] or not (number[j] or words[j] in "+()-. /") or island[j].end - island[i].start > LONGEST["card"]:
+                        break
+                    if number[j]:
+                        digits, groups = digits + len(words[j]), groups + 1
+                        if digits > 19:
+                            break
+                        if groups == 4 and digits <= 12:
+                            yield i, j + 1, "ip"
+                        if digits >= 13:
+                            yield i, j + 1, "card"
+                        if 7 <= digits <= 15:
+                            yield i, j + 1, "phone"
+            if first.isalnum() and next_at[i] < len(island) and island[next_at[i]].end - island[i].start <= LONGEST["email"]:
+                ats = gaps = 0
+                for j in range(i, len(island)):
+                    if not free[j] or island[j].end - island[i].start > LONGEST["email"]:
+                        break
+                    ats += is_at[j]
+                    gaps += j > i and island[j].start > island[j - 1].end and words[j] not in _JOINTS and words[j - 1] not in _JOINTS
+                    if ats > 1 or gaps > 2:
+                        break
+                    if ats and words[j].isalpha() and len(words[j]) > 1:
+                        yield i, j + 1, "email"
+
+    def _around(self, text: str, island: list[Atom], i: int, j: int, limit: int) -> tuple[list[str], str, tuple[str, ...]]:
+        """The words before, the next character and the next two atoms."""
+        end = island[j - 1].end
+        return [a.text for a in island[max(0, i - 3) : i]], text[end] if end < limit else " ", tuple(a.text for a in island[j : j + 2])
+
+    def segments(self, text: str, island: list[Atom], limit: int, free: list[bool] | None = None) -> list[tuple[int, int, str, list[str]]]:
+        """(first atom, end atom, kind, features) of all candidates that can be of their kind."""
+        out = []
+        for i, j, kind in self.candidates(island, free or [True] * len(island)):
+            before, after, following = self._around(text, island, i, j, limit)
+            found = features(text, island[i:j], before, after, kind, following)
+            if found:
+                out.append((i, j, kind, found))
         return out
 
-    def best(self, text: str, island: list[Atom]) -> list[Span]:
-        """The segmentation of the highest score."""
+    def score(self, text: str, island: list[Atom], i: int, j: int, kind: str) -> float | None:
+        """The sum of its features' weights, None if it can't be of the kind.
+
+        Features of cards and phones don't depend on digits but for the check digit, so they are remembered by shape.
+        """
+        before, after, following = self._around(text, island, i, j, len(text))
+        start, end = island[i].start, island[j - 1].end
+        key = None
+        if kind in ("card", "phone"):
+            surface = text[start:end]
+            cue = any(w.lower() in _CUES[kind] for w in before)
+            check = kind == "card" and luhn("".join(c for c in surface if c in "0123456789"))
+            key = kind, surface.translate(_SHAPE), text[start - 1] if start else " ", after, cue, check
+            if key in self.scores:
+                return self.scores[key]
+        found = features(text, island[i:j], before, after, kind, following)
+        value = sum(self.weights.get(f, 0.0) for f in found) if found else None
+        if key:
+            if len(self.scores) > 200_000:
+                self.scores.clear()
+            self.scores[key] = value
+        return value
+
+    def best(self, text: str, island: list[Atom], taken: list[tuple[int, int]] | None = None) -> list[Span]:
+        """The segmentation of the highest score, of spans that overlap none of taken (sorted)."""
+        free, at = [], 0
+        for a in island:
+            while taken and at < len(taken) and taken[at][1] <= a.start:
+                at += 1
+            free.append(not taken or at == len(taken) or taken[at][0] >= a.end)
         ends: dict[int, list[tuple[float, int, str]]] = {}
-        for i, j, kind, found in self.segments(text, island, len(text)):
-            score = sum(self.weights.get(f, 0.0) for f in found)
-            if score > 0:
+        for i, j, kind in self.candidates(island, free):
+            score = self.score(text, island, i, j, kind)
+            if score is not None and score > 0:
                 ends.setdefault(j, []).append((score, i, kind))
         if not ends:
             return []
@@ -272,7 +337,7 @@ def _examples(n: int, r: random.Random) -> Iterator[tuple[str, set[Span]]]:
 
     def email() -> str:
         host = r.choice(["com", "org", "net", "de"])
-        return r.choice([f"{word()}@{word()}.{host}", f"{word()}.{word()}@{word()}.{word()}.{host}", f"{word()} [at] {word()} [dot] {host}", f"{word()} at {word()} dot {host}", f"{word()}(at){word()}(dot){host}", f"{word()}{digits(2)}@{word()}.{host}"])
+        return r.choice([f"{word()}@{word()}.{host}", f"{word()}.{word()}@{word()}.{word()}.{host}", f"{word()} [at] {word()} [dot] {host}", f"{word()} at {word()} dot {host}", f"{word()}(at){word()}(dot){host}", f"{word()} [dot] {word()} [at] {word()} [dot] {word()} [dot] {host}", f"{word()} dot {word()} at {word()} dot {host}", f"{word()}{digits(2)}@{word()}.{host}"])
 
     def ip() -> str:
         return ".".join(str(r.randint(0, 255)) for _ in range(4))
@@ -305,33 +370,47 @@ def trained(examples: int = 400, epochs: int = 12) -> Crf:
     return Crf(examples=examples, epochs=epochs).fit()
 
 
-_ANCHOR = re.compile(r"[0-9@]|\b[Aa][Tt]\b(?=.{1,40}\b[Dd][Oo][Tt]\b)")
-_REACH = 48  # characters around an anchor; a span of more can't be reached, as its kind bounds its length
+_ANCHOR = re.compile(r"[0-9]|@|\b[Aa][Tt]\b(?=.{1,%d}\b[Dd][Oo][Tt]\b)" % LONGEST["email"])
 
 
 def added_spans(text: str, crf: Crf, base: list[Span]) -> list[Span]:
-    """Spans of the field that no base span overlaps."""
+    """Spans of the field, which decodes what the base spans leave free."""
     out: list[Span] = []
     begin = end = -1
     islands = []
     for m in _ANCHOR.finditer(text):
-        if m.start() - _REACH > end:
-            start = max(0, m.start() - _REACH)
-            # back to where an atom starts, so that nothing before the anchor is lost, also without white space
-            while start > max(end, 0) and text[start - 1].isalnum() and text[start].isalnum():
-                start -= 1
-            if end < 0 or start > end:
-                if end >= 0:
-                    islands.append((begin, end))
-                begin = start
-        end = min(len(text), m.end() + _REACH)
+        reach = LONGEST["phone" if m[0].isdigit() else "email"]
+        start = max(0, m.start() - reach)
+        # back to where an atom starts, so that nothing before the anchor is lost, also without white space
+        while start > max(end, 0) and text[start - 1].isalnum() and text[start].isalnum():
+            start -= 1
+        if end < 0 or start > end:
+            if end >= 0:
+                islands.append((begin, end))
+            begin, end = start, 0
+        else:
+            # an anchor of a longer reach may begin before those that it joins
+            while start < begin and islands and islands[-1][1] >= start:
+                begin = islands.pop()[0]
+            begin = min(begin, max(start, islands[-1][1] if islands else 0))
+        end = max(end, min(len(text), m.end() + reach))
     if end >= 0:
         islands.append((begin, end))
-    taken = sorted((s, e) for _, s, e in base)
+    taken: list[tuple[int, int]] = []
+    for s, e in sorted((s, e) for _, s, e in base):
+        # spans of different kinds may overlap
+        if taken and s <= taken[-1][1]:
+            taken[-1] = taken[-1][0], max(e, taken[-1][1])
+        else:
+            taken.append((s, e))
+    at = 0
     for begin, end in islands:
-        for span in crf.best(text, atoms(text, begin, end)):
-            if not any(s < span[2] and span[1] < e for s, e in taken):
-                out.append(span)
+        while at < len(taken) and taken[at][1] <= begin:
+            at += 1
+        stop = at
+        while stop < len(taken) and taken[stop][0] < end:
+            stop += 1
+        out += crf.best(text, atoms(text, begin, end), taken[at:stop])
     return out
 
 

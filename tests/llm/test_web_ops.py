@@ -250,3 +250,55 @@ def test_uncompressed_and_damaged_archives(spark, tmp_path):
     (tmp_path / "two.warc.gz").write_bytes(gzip.compress(good.replace(b"<a>", b"<c>") + warc.END) + gzip.compress(cut.replace(b"<b>", b"<d>")))
     got = {g.record_id: (g.valid, g.payload) for g in warc.read(spark, str(tmp_path)).collect()}
     assert got == {"<a>": (True, b"abc"), "<c>": (True, b"abc"), "<b>": (False, None), "<d>": (False, None)}
+
+
+def test_spans_of_any_length_and_beside_base_spans():
+    crf = pii.trained()
+    spans = lambda text: [(k, text[s:e]) for k, s, e in pii.added_spans(text, crf, pii.base_spans(text))]
+    long = "verylong" * 8 + " [at] foo [dot] com"
+    assert spans(f"write to {long} now") == [("email", long)]
+    dotted = "joe [dot] x [dot] y [dot] z [at] foo [dot] bar [dot] com"
+    assert spans(f"write to {dotted} now") == [("email", dotted)]
+    beside = "call +1 (017) 555-7713, (171) 555-2028 or me@a.b.com, you [at] foo [dot] com"
+    assert spans(beside) == [("phone", "(171) 555-2028"), ("email", "you [at] foo [dot] com")]
+    assert all(a[2] <= b[1] or b[2] <= a[1] for a in pii.base_spans(beside) for b in pii.added_spans(beside, crf, pii.base_spans(beside)))
+
+
+def test_many_digit_groups_take_linear_time():
+    import time
+
+    r = random.Random(6)
+    text = " ".join(str(r.randint(0, 9999)) for _ in range(11_000))
+    pii.added_spans(text[:2000], pii.trained(), [])
+    began = time.time()
+    pii.added_spans(text, pii.trained(), pii.base_spans(text))
+    assert time.time() - began < 4
+
+
+PATTERNS = {"ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def test_base_spans_equal_the_contract():
+    r = random.Random(12)
+    cards = ["4111 1111 1111 1111", "4111111111111112", "5500-0000-0000-0004"]
+    for _ in range(2000):
+        text = "".join(r.choice([*"0123456789. -+()x", "+1 ", "255", ".", "10.0.0.1", *cards]) for _ in range(r.randint(0, 25)))
+        expected = []
+        for kind, pattern in PATTERNS.items():
+            for m in re.finditer(pattern, text):
+                digits = re.sub("[^0-9]", "", m[0])
+                fits = {"ip": lambda m=m: all(int(p) <= 255 for p in m[0].split(".")), "card": lambda d=digits: 16 <= len(d) <= 19 and pii.luhn(d), "phone": lambda d=digits: 8 <= len(d) <= 15}
+                if fits[kind]():
+                    expected.append((kind, *m.span()))
+        assert [s for s in pii.base_spans(text) if s[0] != "email"] == expected, text
+
+
+def test_columns_of_the_personal_data_query(spark, tmp_path):
+    texts = ["me@a.b.com from 10.0.0.255, 4111 1111 1111 1111; +1 (017) 555-7713, (171) 555-2028", None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {g.doc_id: g for g in queries.op4_personal_data(spark, str(tmp_path)).collect()}
+    base = "email:0:10,ip:16:26,card:28:47,phone:49:66"
+    assert (got[0].n_email, got[0].n_ip, got[0].n_card, got[0].n_phone, got[0].base_sha256) == (1, 1, 1, 1, hashlib.sha256(base.encode()).hexdigest())
+    assert got[0].spans == base + ",phone:68:82"
+    for i in (1, 2):
+        assert got[i].n_email == 0 and got[i].spans == "" and got[i].base_sha256 == hashlib.sha256(b"").hexdigest()
