@@ -289,3 +289,33 @@ def test_sets_are_made_once_for_a_node(spark, monkeypatch):
     rows = [(None, copies[i % 40], "en") for i in range(2000)] + [(5, copies[0] + " end", "en")] * 2000
     got = minhash.near_duplicates(spark, frame(spark, rows)).collect()
     assert seen["sets"].count() == 41 and len(got) == 4000 and {g.component_id for g in got} == {5}
+
+
+def test_statistics_in_spark_equal_the_model_from_counts(spark):
+    r = random.Random(9)
+    texts = [("".join(r.choice("abcde ") for _ in range(60)), lang) for lang in ("x", "y", "z") for _ in range(20)]
+    conf = langid.LangId()
+    labelled = spark.createDataFrame(texts, "text string, lang string")
+    model, _ = langid.train(spark, labelled, conf)
+    learnt = {row.text for row in labelled.where(F.pmod(F.xxhash64("text"), F.lit(conf.folds)) != 0).select("text").collect()}
+    arrays = {}
+    for i, lang in enumerate("xyz"):
+        keys = np.concatenate([langid.grams(langid.characters(t), 4) for t, own in texts if own == lang and t in learnt])
+        arrays[i] = np.unique(keys, return_counts=True)
+    whole = langid.Model(["x", "y", "z"], np.concatenate([np.full(len(k), i) for i, (k, _) in arrays.items()]), np.concatenate([k for k, _ in arrays.values()]), np.concatenate([n for _, n in arrays.values()]), 4).freeze()
+    asked = ["abc de", "eeee", "a q b", "dcba edcba"]
+    assert np.allclose(model.entropy(asked)[0], whole.entropy(asked)[0], rtol=1e-5)
+    # what isn't stored goes to the shorter gram: every context still has a distribution
+    with pytest.warns(UserWarning):
+        small, _ = langid.train(spark, labelled, langid.LangId(max_cells=700))
+    for before in ("ab", "abc", "e", ""):
+        chars = [langid.EDGE, *map(ord, "abcdefgh")]
+        wide = langid.characters(before)[:-1].tolist()
+        keys = np.concatenate([langid.grams(np.array([*wide, c], np.uint16), 4)[-1:] for c in chars])
+        p, q = small._probability(keys, 4), model._probability(keys, 4)
+        assert (p > 0).all() and (abs(p[:6].sum(axis=0) - q[:6].sum(axis=0)) < 0.05).all()
+
+
+def test_marks_belong_to_words_but_are_no_text(spark):
+    assert langid.characters("\u0939\u093f\u0928\u094d\u0926\u0940").tolist() == [32, 0x939, 0x93F, 0x928, 0x94D, 0x926, 0x940, 32]
+    assert langid.characters("\u0301 \u0302!").tolist() == [32]
