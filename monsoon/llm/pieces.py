@@ -3,11 +3,17 @@
 A text is escaped (a space is U+2581, one more goes before the text), cut into words where no piece can cross, and the
 batch's distinct words of equal length advance together: hashes of all their substrings of one length are probed in the
 sorted piece keys, and at each end position the best score over piece lengths is kept with its length as backpointer.
-Characters without a piece become byte pieces.
+Characters without a piece become byte pieces, or else one unknown piece for a run of them.  A word is also cut between any
+two characters that stand side by side in no piece, which no segmentation can tell; so text without spaces in a script that
+the vocabulary spells character by character gives short words.  Of the words that still have no company of their length,
+long ones take the same recursion over the pieces found in them alone, as a vector step for one word costs as much as for
+hundreds.
 
 The score of a segmentation is the sum of its pieces' scores.  Files of the unigram kind hold log-probabilities.  Files
 of the BPE kind hold merge ranks instead, whose sum means nothing; a rank r is scored as log-probability of Zipf's law,
 -log((1 + r) * H).  The result is then the best segmentation under these scores, not the one of BPE's merges.
+
+A file's normalisation is followed: its map of character sequences, the removal of extra white space, the dummy prefix.
 """
 
 from __future__ import annotations
@@ -35,6 +41,8 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD1342543DE82EF95)
 _BUCKET_BITS = 18
 _MASK = (1 << 64) - 1
+#: A word of more characters that is alone of its length.
+LONE = 24
 #: Distinct words that a worker remembers, with their pieces (about 100 MB).
 REMEMBER = 400_000
 
@@ -71,10 +79,12 @@ class Vocabulary:
     scores: tuple[float, ...]
     kinds: tuple[int, ...]
     dummy_prefix: bool = True
+    collapse: bool = False
+    charsmap: bytes = b""
 
     @staticmethod
     def parse(data: bytes) -> Vocabulary:
-        pieces, scores, kinds, model, prefix = [], [], [], UNIGRAM, True
+        pieces, scores, kinds, model, prefix, collapse, charsmap = [], [], [], UNIGRAM, True, True, b""
         for field, value in _fields(data):
             if field == 1:
                 item = dict(_fields(value))
@@ -82,17 +92,75 @@ class Vocabulary:
                 scores.append(struct.unpack("<f", item[2])[0] if 2 in item else 0.0)
                 kinds.append(item.get(3, NORMAL))
             elif field == 2:
-                model = dict(_fields(value)).get(3, UNIGRAM)
+                told = dict(_fields(value))
+                model = told.get(3, UNIGRAM)
+                if model not in (UNIGRAM, BPE) or told.get(24):
+                    raise ValueError("only unigram and BPE files with white space as prefix are supported")
             elif field == 3:
                 norm = dict(_fields(value))
-                if norm.get(2) or norm.get(4, 1):
-                    raise ValueError("only models with identity normalisation are supported")
-                prefix = bool(norm.get(3, 1))
+                prefix, collapse, charsmap = bool(norm.get(3, 1)), bool(norm.get(4, 1)), norm.get(2, b"")
+                if not norm.get(5, 1):
+                    raise ValueError("only files that escape white space are supported")
         if model == BPE:
             ranks = [max(0.0, -s) for s in scores]
             total = float(np.log(sum(1 / (1 + r) for r, k in zip(ranks, kinds, strict=True) if k == NORMAL)))
             scores = [-float(np.log1p(r)) - total for r in ranks]
-        return Vocabulary(tuple(pieces), tuple(scores), tuple(kinds), prefix)
+        return Vocabulary(tuple(pieces), tuple(scores), tuple(kinds), prefix, collapse, charsmap)
+
+
+class CharsMap:
+    """The longest character sequences that a file replaces: a double array of 32-bit units, then the replacements."""
+
+    def __init__(self, data: bytes):
+        size = struct.unpack_from("<I", data)[0]
+        self.units = np.frombuffer(data, "<u4", size // 4, 4).tolist()
+        self.values = data[4 + size :]
+        self.known: dict[str, str] = {}
+
+    def _longest(self, data: bytes, at: int) -> tuple[int, int] | None:
+        """Length and value of the longest entry that data begins with at `at`."""
+        found, node = None, 0
+        node ^= self._offset(self.units[0])
+        for i in range(at, len(data)):
+            node ^= data[i]
+            if node >= len(self.units):
+                break
+            unit = self.units[node]
+            if unit & 0x800000FF != data[i]:
+                break
+            node ^= self._offset(unit)
+            if unit >> 8 & 1:
+                found = i + 1 - at, self.units[node] & 0x7FFFFFFF
+        return found
+
+    @staticmethod
+    def _offset(unit: int) -> int:
+        return (unit >> 10) << ((unit & (1 << 9)) >> 6)
+
+    def _word(self, word: str) -> str:
+        data, out, at = word.encode(), [], 0
+        while at < len(data):
+            found = self._longest(data, at)
+            if found:
+                size, value = found
+                out.append(self.values[value : self.values.index(b"\0", value)])
+            else:
+                first = data[at]
+                size = 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
+                out.append(data[at : at + size])
+            at += size
+        return b"".join(out).decode("utf-8", "replace")
+
+    def __call__(self, text: str) -> str:
+        """The text with all replacements; words between spaces are remembered."""
+        out = []
+        for word in re.findall(" +|[^ ]+", text):
+            if word not in self.known:
+                if len(self.known) > REMEMBER:
+                    self.known.clear()
+                self.known[word] = self._word(word)
+            out.append(self.known[word])
+        return "".join(out)
 
 
 def _hash(points: np.ndarray) -> np.ndarray:
@@ -125,6 +193,9 @@ class Encoder:
         self.unknown = min(known, default=0.0) - 10.0
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(vocabulary.pieces, vocabulary.kinds, strict=True)) if k == BYTE}
         self.unk = next((i for i, k in enumerate(vocabulary.kinds) if k == UNKNOWN), 0)
+        self.map = CharsMap(vocabulary.charsmap) if vocabulary.charsmap else None
+        sides = [np.frombuffer(vocabulary.pieces[i].encode("utf-32-le"), np.uint32).astype(np.uint64) for i in use if len(vocabulary.pieces[i]) > 1]
+        self.pairs = np.unique(np.concatenate([p[:-1] << np.uint64(32) | p[1:] for p in sides])) if sides else np.empty(0, np.uint64)
         self._forget()
         crossing = any(SPACE in vocabulary.pieces[i].lstrip(SPACE) for i in use)
         lines = any("\n" in vocabulary.pieces[i] and len(vocabulary.pieces[i]) > 1 for i in use)
@@ -144,6 +215,53 @@ class Encoder:
             at = at + 1
         return out
 
+    def _cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The words' parts between which no piece can lie, and how many each word has."""
+        if not words or not len(self.pairs):
+            return [c for w in words for c in w], np.array([len(w) for w in words], np.int64)
+        flat = "".join(words)
+        points = np.frombuffer(flat.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        pair = points[:-1] << np.uint64(32) | points[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        cut = np.concatenate(([True], self.pairs[at] != pair))
+        ends = np.cumsum([len(w) for w in words])
+        cut[ends[:-1]] = True
+        if not self.bytes:
+            # a run of characters without a piece is one unknown piece, so it isn't cut
+            alone = self.probe(points * np.uint64(1) + np.uint64(1)) < 0
+            inside = np.concatenate(([False], alone[1:] & alone[:-1]))
+            inside[ends[:-1]] = False
+            cut &= ~inside
+        start = np.flatnonzero(cut)
+        stop = np.append(start[1:], len(flat))
+        return [flat[s:e] for s, e in zip(start.tolist(), stop.tolist(), strict=True)], np.diff(np.concatenate(([0], np.searchsorted(start, ends))))
+
+    def _sparse(self, points: np.ndarray, found: list) -> list[int]:
+        """The pieces of one word from the end backwards, by the same recursion over the pieces that occur in it."""
+        n = len(points)
+        ends, sizes, ids = [], [], []
+        for size in range(1, len(found)):
+            own = found[size][:, 0]
+            start = np.flatnonzero(own >= 0) if size > 1 else np.arange(n)
+            ends.append(start + size)
+            sizes.append(np.full(len(start), size))
+            ids.append(own[start])
+        ends, sizes, ids = np.concatenate(ends), np.concatenate(sizes), np.concatenate(ids)
+        order = np.lexsort((-sizes, ends))
+        ends, sizes, ids = ends[order], sizes[order], ids[order]
+        score = np.where(ids < 0, self.unknown, self.scores[ids])
+        best, back = [0.0] + [-np.inf] * n, [(0, -1)] * (n + 1)
+        for end, size, piece, value in zip(ends.tolist(), sizes.tolist(), ids.tolist(), score.tolist(), strict=True):
+            value += best[end - size]
+            if value > best[end]:
+                best[end], back[end] = value, (size, piece)
+        out, at = [], n
+        while at > 0:
+            size, piece = back[at]
+            out.append(piece if piece >= 0 else -2 - int(points[at - 1]))
+            at -= size
+        return out
+
     def _viterbi(self, words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
         """Of words of n characters, the pieces (rows, most) from the end backwards and how many; an unknown character is
         -2 minus its code point."""
@@ -156,6 +274,9 @@ class Encoder:
         for size in range(1, min(n, self.longest) + 1):
             power = power * int(_BASE) & _MASK
             found.append(self.probe(prefix[size:] - prefix[:-size] * np.uint64(power)))
+        if len(words) == 1 and n > LONE:
+            backwards = self._sparse(points[:, 0], found)
+            return np.array([backwards], np.int64), np.array([len(backwards)])
         best = np.full((n + 1, len(words)), -np.inf)
         best[0] = 0
         back = np.zeros((n + 1, len(words)), np.int32)
@@ -183,6 +304,18 @@ class Encoder:
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The concatenated ids of distinct words, and each word's count."""
+        parts, many = self._cut(words)
+        index: dict[str, int] = {}
+        of = np.fromiter((index.setdefault(p, len(index)) for p in parts), np.int64, len(parts))
+        flat, counts = self._parts(list(index))
+        start, own = np.cumsum(counts) - counts, counts[of]
+        ends = np.cumsum(own)
+        ids = flat[np.arange(len(flat) if not len(of) else ends[-1]) + np.repeat(start[of] - (ends - own), own)] if len(of) else flat[:0]
+        stops = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(many)))]
+        return ids, np.diff(stops)
+
+    def _parts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts that aren't cut any more."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         counts = np.zeros(len(words), np.int64)
         parts = []
@@ -202,6 +335,11 @@ class Encoder:
                 flat[start[some[live]] + count[live] - 1 - step] = backwards[live, step]
         if (flat < 0).any():
             of = np.repeat(np.arange(len(words)), counts)
+            if not self.bytes:
+                lost = flat < 0
+                more = np.concatenate(([False], lost[1:] & lost[:-1] & (of[1:] == of[:-1])))
+                flat = np.where(lost, self.unk, flat)[~more]
+                return flat.astype(np.int32), np.bincount(of[~more], minlength=len(words)).astype(np.int64)
             size = np.ones(len(flat), np.int64)
             spelled = {int(x): self._spell(int(-2 - x)) for x in np.unique(flat[flat < 0])}
             for x, ids in spelled.items():
@@ -226,13 +364,19 @@ class Encoder:
         self.flat, self.counts = np.empty(0, np.int32), np.empty(0, np.int64)
         self.start, self.exact = np.empty(0, np.int64), np.empty(0, bool)
 
+    def normalised(self, text: str) -> str:
+        if self.map:
+            text = self.map(text)
+        return re.sub(" {2,}", " ", text.strip(" ")) if self.v.collapse else text
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The concatenated ids of the texts, each text's count, and whether it decodes to itself."""
         if len(self.index) > REMEMBER:
             self._forget()
         known, of, number = len(self.index), [], self.index.__getitem__
+        changed = [self.normalised(t) != t for t in texts] if self.map or self.v.collapse else []
         for text in texts:
-            escaped = text.replace(" ", SPACE)
+            escaped = self.normalised(text).replace(" ", SPACE)
             if self.v.dummy_prefix and escaped:
                 escaped = SPACE + escaped
             words = self.word.findall(escaped)
@@ -255,6 +399,8 @@ class Encoder:
         cuts = np.cumsum([0, *map(len, of)])
         wrong = np.concatenate(([0], np.cumsum(~self.exact[words])))
         same = (np.diff(wrong[cuts]) == 0) & np.array([SPACE not in t for t in texts], bool)
+        if changed:
+            same &= ~np.array(changed, bool)
         return ids, np.diff(ends[cuts]), same
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
@@ -304,7 +450,7 @@ def encode(spark: SparkSession, docs: DataFrame, model: str = DEFAULT_MODEL, id_
     """A row for each row of docs: id, ids (array<int>), n_tokens (long), round_trip (decoding gives the text again).
 
     A null text has null results, an empty one no tokens.  round_trip is false only for texts with U+2581, which decodes to
-    a space, or with characters that the vocabulary cannot spell.  Whole texts are encoded, of any length; memory is bound
+    a space, with characters that the vocabulary cannot spell, or that the file's normalisation changes.  Whole texts are encoded, of any length; memory is bound
     by the longest text.  Repeated rows and null ids get rows of their own.  The model file (about 500 kB) goes to the
     executors with the task; other columns aren't read.
     """

@@ -2,6 +2,7 @@
 
 import random
 import re
+import struct
 
 import numpy as np
 import pytest
@@ -319,3 +320,80 @@ def test_statistics_in_spark_equal_the_model_from_counts(spark):
 def test_marks_belong_to_words_but_are_no_text(spark):
     assert langid.characters("\u0939\u093f\u0928\u094d\u0926\u0940").tolist() == [32, 0x939, 0x93F, 0x928, 0x94D, 0x926, 0x940, 32]
     assert langid.characters("\u0301 \u0302!").tolist() == [32]
+
+
+def proto(*fields):
+    """A protocol buffer message of (number, value): ints, floats, strings and messages."""
+    def varint(x):
+        out = b""
+        while x > 127:
+            out, x = out + bytes([x & 127 | 128]), x >> 7
+        return out + bytes([x])
+
+    out = b""
+    for number, value in fields:
+        if isinstance(value, float):
+            out += varint(number << 3 | 5) + struct.pack("<f", value)
+        elif isinstance(value, int):
+            out += varint(number << 3) + varint(value)
+        else:
+            value = value.encode() if isinstance(value, str) else value
+            out += varint(number << 3 | 2) + varint(len(value)) + value
+    return out
+
+
+def unigram(bytes_=False, user=(), collapse=0, charsmap=b""):
+    r = random.Random(8)
+    found = {"".join(r.choice("abcde▁") for _ in range(n)) for n in (1, 1, 1, 1, 2, 2, 3, 3, 4, 5) for _ in range(12)} | {*"abcd▁"}
+    own = [p for p in sorted(found) if "▁" not in p[1:] and p not in user and p != "e"]
+    items = [proto((1, "<unk>"), (2, 0.0), (3, pieces.UNKNOWN)), proto((1, "<s>"), (2, 0.0), (3, pieces.CONTROL)), proto((1, "</s>"), (2, 0.0), (3, pieces.CONTROL))]
+    items += [proto((1, p), (2, 0.0), (3, pieces.USER)) for p in user]
+    items += [proto((1, f"<0x{i:02X}>"), (2, 0.0), (3, pieces.BYTE)) for i in range(256 if bytes_ else 0)]
+    items += [proto((1, p), (2, -r.uniform(2, 9)), (3, pieces.NORMAL)) for p in own]
+    trainer = proto((3, pieces.UNIGRAM), (35, int(bytes_)))
+    norm = proto((1, "own"), *([(2, charsmap)] if charsmap else []), (3, 1), (4, collapse), (5, 1))
+    return proto(*[(1, x) for x in items], (2, trainer), (3, norm))
+
+
+#: "A" becomes "b", by a double array of five units: the root's offset is 1, "A"'s child holds the value.
+def charsmap():
+    units = [0] * 512
+    units[0] = 1 << 10
+    units[1 ^ 65] = 2 << 10 | 1 << 8 | 65
+    units[1 ^ 65 ^ 2] = 0x80000000
+    trie = struct.pack("<512I", *units)
+    return struct.pack("<I", len(trie)) + trie + b"b\0"
+
+
+@pytest.mark.parametrize("file", [unigram(), unigram(bytes_=True), unigram(user=("cab", "dd")), unigram(collapse=1), unigram(collapse=1, charsmap=charsmap())])
+def test_unigram_ids_are_those_of_the_format(file):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_proto=file)
+    encoder = pieces.Encoder(pieces.Vocabulary.parse(file))
+    r = random.Random(3)
+    texts = ["".join(r.choice("aabbccddeA  xyé") for _ in range(r.randint(0, 40))) for _ in range(400)] + ["abcd" * 500 + "e" * 40, "dcab" * 30, "  ", ""]
+    ids, counts, same = encoder.encode(texts)
+    got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    expected = [library.encode(t) for t in texts]
+    total = lambda x: sum(encoder.scores[i] if encoder.v.kinds[i] != pieces.UNKNOWN else 0.0 for i in x)
+    # the library's running sums are of 32 bits, so that it may order pieces of one sum otherwise
+    assert all(g == e or (sorted(g) == sorted(e) and total(g) == pytest.approx(total(e))) for g, e in zip(got, expected, strict=True))
+    assert np.mean([g == e for g, e in zip(got[:400], expected[:400], strict=True)]) > 0.95
+    assert all(encoder.decode(x) == t for x, t, ok in zip(got, texts, same, strict=True) if ok)
+
+
+def test_text_without_spaces_is_as_fast_and_the_same():
+    import time
+
+    with open(pieces.DEFAULT_MODEL, "rb") as file:
+        v = pieces.Vocabulary.parse(file.read())
+    r = random.Random(2)
+    encoder = pieces.Encoder(v)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/", "漢字仮名交文日本語中国"):
+        text = "".join(r.choice(alphabet) for _ in range(40_000))
+        began = time.time()
+        ids = encoder.encode([text])[0]
+        assert time.time() - began < 1.5 and encoder.decode(ids) == text
+    word = "▁" + "".join(r.choice("thequickbrown") for _ in range(300))
+    assert sum(v.scores[i] for i in encoder.words([word])[0]) == pytest.approx(brute_pieces(v, encoder.unknown, word))
