@@ -1,4 +1,9 @@
-"""The corpus pipeline: STAGES are applied in order to documents, each over all that the one before kept."""
+"""The corpus pipeline: STAGES are applied in order to documents, each over all that the one before kept.
+
+Stages read the columns in COLUMNS, which may hold nulls; others are left out, so their names may clash with anything.  A
+row is judged by itself, whatever rows share its id.  Rows that repeat an id and a text are alike for all stages but
+near_dedup, which keeps one of them.  Empty tables give empty ones.
+"""
 
 from __future__ import annotations
 
@@ -12,15 +17,22 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is recognised; those rejected, without text or without a letter go."""
+    """Keeps the documents whose language is recognised; those rejected, without text or without a letter go.
+
+    The model learns from all labelled documents but those of the test fold; without any label it would reject all, and
+    then all with a letter stay.
+    """
     model, threshold = langid.train(spark, docs.where(~langid.held_out(F.col("doc_id"))))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
     whole = docs.select(F.struct(*COLUMNS).alias("doc"), "text")
     return langid.predict(spark, whole, model, threshold, id_col="doc").where("not rejected").select("id.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes later occurrences of repeated passages; documents of which nothing is left go, as empty ones would."""
-    left = linededup.dedup_lines(spark, docs)
+    """Removes later occurrences of repeated passages; documents of which nothing is left go.  Null and empty texts stay,
+    and n_chars is that of what is left."""
+    left = linededup.dedup_lines(spark, docs.select(*COLUMNS))
     text = F.col("text")
     return left.where((F.length(F.trim(text)) > 0) | (F.col("n_removed") == 0)).select(
         "doc.doc_id", text, "doc.lang", "doc.source", F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col("doc.n_chars")).alias("n_chars")
@@ -39,7 +51,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that leak a benchmark item: rows with the id, which may be null, and the text of a leak."""
+    """Drops documents that leak a benchmark item: rows with the id, which may be null, and the text of a leak.  Null texts
+    leak nothing; without benchmark items all stay."""
     found = decontam.leaks(spark, docs, source(spark, sf_dir, "benchmark"))
     leaked = Scratch(spark, "leaked").table(found.select(F.col("id").alias("gone"), F.col("digest").alias("leak")).distinct(), "gone")
     same = F.col("doc_id").eqNullSafe(F.col("gone")) & (F.xxhash64("text") == F.col("leak")) & F.col("text").isNotNull()
@@ -47,7 +60,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens."""
+    """The documents' tokens: doc_id, n_tokens, ids and round_trip, null for null texts; a row for each row."""
     return pieces.encode(spark, docs).select(F.col("id").alias("doc_id"), "n_tokens", "ids", "round_trip")
 
 
