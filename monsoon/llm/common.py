@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share; set to a temporary one only where unset."""
+    """The folder in spark.checkpoint.dir, which driver and executors share.
+
+    Where it is unset, a local session gets a temporary one; on a cluster, whose machines don't share theirs, it must be set.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         context = spark.sparkContext
         base = context.getCheckpointDir()
         if not base:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             base = "file://" + tempfile.mkdtemp(prefix="monsoon-")
             context.setCheckpointDir(base)
     return base.rstrip("/")

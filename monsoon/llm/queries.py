@@ -41,11 +41,13 @@ RULES = [
 
 
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page; without a rule the verdict is allow, also for null URLs."""
     found = urlrules.judge(spark, source(spark, sf_dir, "pages"), RULES)
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of every document's base spans, and all its spans; null and empty texts have none."""
     found = pii.find(spark, source(spark, sf_dir, "documents"))
 
     def text(spans: str) -> Column:
@@ -59,14 +61,21 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces; null texts have null results.
+
+    The public model is of the BPE kind: its ids are the best segmentation under Zipf's law of its merge ranks, not the order
+    of its merges, so they serve counts and round trips but no model trained with that file.  Unigram files give their own ids.
+    """
     return pieces.encode(spark, source(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later occurrences of three-line windows; null texts stay null, repeated rows count as one."""
     return linededup.dedup_lines(spark, source(spark, sf_dir, "documents")).select("doc.doc_id", "text", "n_lines", "n_removed")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document; null texts and those without a letter are und."""
     docs = source(spark, sf_dir, "documents")
     model, threshold = langid.train(spark, docs.where(~langid.held_out(F.col("doc_id"))))
     found = langid.predict(spark, docs, model, threshold)
@@ -74,15 +83,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component and shingle count of every document; null and empty texts link with nothing."""
     conf = minhash.MinHash(k=3, share_num=85, share_den=100)
     return minhash.near_duplicates(spark, source(spark, sf_dir, "documents"), conf).withColumnRenamed("id", "doc_id")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each encoded length, null texts counting as empty ones."""
     return tokencounts.histogram(spark, source(spark, sf_dir, "documents"))
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector; those that are null, zero or not finite link with nothing."""
     return vectors.near_vectors(spark, source(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 

@@ -92,10 +92,11 @@ class Index:
     """Rules by their rarest token; those without a safe token are candidates of every URL."""
 
     def __init__(self, rules: list[Rule], seen: dict[str, int]):
-        self.by_token: dict[str, list[tuple[int, str, str, re.Pattern[str]]]] = {}
+        self.by_token: dict[str, list[tuple[int, str, str, Rule]]] = {}
         self.always = []
+        self.compiled: dict[Rule, re.Pattern[str]] = {}
         for rule in rules:
-            entry = (-rule.priority, rule.name, rule.verdict, rule.regex())
+            entry = (-rule.priority, rule.name, rule.verdict, rule)
             safe = rule.safe_tokens()
             if safe:
                 self.by_token.setdefault(min(safe, key=lambda t: (seen.get(t, 0), t)), []).append(entry)
@@ -109,14 +110,25 @@ class Index:
             for token in tokens(host, path):
                 candidates += self.by_token.get(token, ())
         canonical, tried = host + path, 0
-        for _, name, verdict, pattern in sorted(candidates, key=lambda x: x[:3]):
+        for _, name, verdict, rule in sorted(candidates, key=lambda x: x[:3]):
             tried += 1
+            # compiled when first asked for
+            if (pattern := self.compiled.get(rule)) is None:
+                pattern = self.compiled[rule] = rule.regex()
             if pattern.search(canonical):
                 return name, verdict, tried
         return None, None, tried
 
 
 MAX_RULES = 2_000_000
+#: The last index of a worker, with what it was built from, which tasks share.
+_built: list[tuple[object, Index]] = []
+
+
+def _index(value: tuple[list[Rule], dict[str, int]]) -> Index:
+    if not _built or _built[0][0] is not value:
+        _built[:] = [(value, Index(*value))]
+    return _built[0][1]
 
 
 def judge(spark: SparkSession, urls: DataFrame, rules: list[Rule], default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -133,13 +145,11 @@ def judge(spark: SparkSession, urls: DataFrame, rules: list[Rule], default: str
     shared = spark.sparkContext.broadcast((rules, frequencies(urls, rules, url_col)))
     kind = urls.select(id_col).schema[0].dataType
     arrow = to_arrow_type(kind)
-    built: list[Index] = []
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        if not built:
-            built.append(Index(*shared.value))
+        index = _index(shared.value)
         split = [split_url(u) for u in batch.column(1).to_pylist()]
-        found = [built[0].judge(h, p) for h, p in split]
+        found = [index.judge(h, p) for h, p in split]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).cast(arrow), pa.array([h for h, _ in split], pa.string()), pa.array([p for _, p in split], pa.string()), pa.array([n for n, _, _ in found], pa.string()), pa.array([v or default for _, v, _ in found], pa.string()), pa.array([t for _, _, t in found], pa.int32())],
             ["id", "host", "path", "rule", "verdict", "tried"],

@@ -302,3 +302,50 @@ def test_columns_of_the_personal_data_query(spark, tmp_path):
     assert got[0].spans == base + ",phone:68:82"
     for i in (1, 2):
         assert got[i].n_email == 0 and got[i].spans == "" and got[i].base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_the_whole_pipeline_equals_a_chain_by_hand(spark, tmp_path):
+    import corpus_pipeline as c
+    from test_text_ops import brute_components, lines_left
+
+    from monsoon.llm import pieces
+
+    r = random.Random(21)
+    vocabulary = ["".join(r.choice("abcdefghilmnoprstu") for _ in range(r.randint(2, 8))) for _ in range(300)]
+    line = lambda n=12: " ".join(r.choice(vocabulary) for _ in range(n))
+    item = line(30)
+    passage = [line() for _ in range(4)]
+    rows = [(i, "\n".join(line() for _ in range(r.randint(4, 8)))) for i in [*range(80), *range(1000, 1300)]]
+    rows += [(100, "\n".join([line(), *passage, line(40)])), (101, "\n".join([line(40), *passage])), (102, "\n".join(passage))]  # 102 loses all
+    rows += [(103, rows[3][1] + " more"), (104, rows[4][1].replace("\n", "  ")), (None, rows[5][1] + " end")]  # near copies, by words
+    rows += [(105, line() + " " + item + " " + line()), (None, line(20) + " " + item), (106, "ξψζ ωφβ θλδ " * 20), (107, None), (108, ""), (109, "12 34 !?"), (7, rows[8][1] + " x")]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    frame = spark.createDataFrame([(i, t, "xx" if i != 106 else None, "s", len(t or "")) for i, t in rows], schema)
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item), (2, None)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = c.run(spark, str(tmp_path)).collect()
+
+    seen = [(i, t) for i, t in rows if t and i not in (106, 109)]
+    order = sorted(range(len(seen)), key=lambda k: (seen[k][0] is None, seen[k][0] or 0))
+    left = lines_left([(k, seen[k][1].split("\n")) for k in order])
+    kept = [(seen[k][0], left[k]) for k in range(len(seen)) if left[k].strip()]
+    kept.sort(key=lambda x: (x[0] is None, x[0] or 0))
+    _, label = brute_components([t for _, t in kept], 5, 80, 100)
+    expected = [(i, t) for k, (i, t) in enumerate(kept) if label[k] == k and item not in t]
+    with open(pieces.DEFAULT_MODEL, "rb") as file:
+        encoder = pieces.Encoder(pieces.Vocabulary.parse(file.read()))
+    found = sorted(((g.doc_id, encoder.decode(g.ids)) for g in got), key=repr)
+    assert [i for i, _ in found] == [i for i, _ in sorted(expected, key=repr)]
+    assert found == sorted(expected, key=repr)
+    assert {i for i, _ in found if i and 100 <= i < 200} == {100, 101, 103}  # 103 keeps the line that is its own
+    assert sum(i == 7 for i, _ in found) == 1 and all(g.round_trip and g.n_tokens == len(g.ids) for g in got)
+
+
+def test_stages_of_empty_tables_and_clashing_columns(spark):
+    import corpus_pipeline as c
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(20).withColumns({"id": F.lit(1), "doc": F.lit(2), "digest": F.lit(3), "row": F.lit(4), "key": F.lit(5)})
+    for name, stage in c.STAGES:
+        assert stage(spark, docs.where("false"), sf).count() == 0, name
+        assert len(stage(spark, docs, sf).columns) == (4 if stage is c.encode else 5), name
