@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -70,15 +71,39 @@ def rekey(column: Column) -> Column:
     return column.bitwiseXOR(F.lit(1))
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which freed memory goes back to the system: workers are kept, and with them what they once needed, beside
+    those of the next stage."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError, TypeError):
+            pass  # only some C libraries have it
+
+    return whole
+
+
+_RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows that Spark sends a worker at a time: of 10,000, its default, texts of usual lengths take 100 MB and more on both sides.
+RECORDS = 2048
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str, rows: int = 256) -> DataFrame:
-    """mapInArrow over slices of at most `rows` rows, so that a worker's memory doesn't depend on the batch size set."""
+    """mapInArrow over slices of at most `rows` rows, so that a worker's memory doesn't depend on the batch size set; a session's
+    setting of more than RECORDS is lowered to it."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_RECORDS)) <= RECORDS:
+        conf.set(_RECORDS, RECORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 yield from function(batch.slice(at, rows))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run), schema)
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:

@@ -44,7 +44,7 @@ _MASK = (1 << 64) - 1
 #: A word of more characters that is alone of its length.
 LONE = 24
 #: Distinct words that a worker remembers, with their pieces (about 100 MB).
-REMEMBER = 400_000
+REMEMBER = 200_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -359,6 +359,10 @@ class Encoder:
 
     def _forget(self) -> None:
         """Words get numbers in the order in which they are first met."""
+        if hasattr(self, "index"):
+            # the factory is a method of its own dictionary, a cycle that would outlive it
+            self.index.default_factory = None
+            self.index.clear()
         self.index: defaultdict[str, int] = defaultdict()
         self.index.default_factory = self.index.__len__
         self.flat, self.counts = np.empty(0, np.int32), np.empty(0, np.int64)
@@ -460,7 +464,7 @@ def encode(spark: SparkSession, docs: DataFrame, model: str = DEFAULT_MODEL, id_
         data = file.read()
     kind = docs.select(id_col).schema[0].dataType
     plain = docs.select(_col_of(id_col).alias("id"), _col_of(text_col).cast("string").alias("text"))
-    return map_batches(plain, _encode(data, to_arrow_type(kind), 2_000_000), f"id {kind.simpleString()}, ids array<int>, n_tokens long, round_trip boolean", 4096)
+    return map_batches(plain, _encode(data, to_arrow_type(kind), 1_000_000), f"id {kind.simpleString()}, ids array<int>, n_tokens long, round_trip boolean", 4096)
 
 
 def decode(spark: SparkSession, encoded: DataFrame, model: str = DEFAULT_MODEL, id_col: str = "id", ids_col: str = "ids") -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monsoon.llm.common import Scratch, _col_of, map_batches, rekey
+from monsoon.llm.common import Scratch, _col_of, map_batches, rekey, trimmed
 
 CRLF = b"\r\n"
 END = b"\r\n\r\n"
@@ -222,7 +222,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     separator: a task holds a record of them at a time.  Others are read as one value each, so they must fit in memory.
     """
     pieces = spark.read.option("pathGlobFilter", "*.gz").option("lineSep", END.decode()).text(path)
-    streamed = pieces.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value")).mapInArrow(_read, RECORD)
+    streamed = pieces.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value")).mapInArrow(trimmed(_read), RECORD)
     others = spark.read.format("binaryFile").load(path).where(~F.col("path").endswith(".gz") & (F.col("length") > 0)).select("content")
     return streamed.unionByName(map_batches(others, _read_whole, RECORD, 1))
 
