@@ -25,8 +25,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model, threshold = langid.train(spark, docs.where(~langid.held_out(F.col("doc_id"))))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
-    whole = docs.select(F.struct(*COLUMNS).alias("doc"), "text")
-    return langid.predict(spark, whole, model, threshold, id_col="doc").where("not rejected").select("id.*")
+    whole = docs.select(F.struct(*[c for c in COLUMNS if c != "text"]).alias("doc"), "text")
+    return langid.predict(spark, whole, model, threshold, id_col="doc").where("not rejected").select("id.*", "text").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
