@@ -217,12 +217,13 @@ def _evaluation() -> None:
     )(lambda d: scores.stability(scores.by_origin(long(d)), scores.cumulative(scores.complete_windows(d.evaluation, PREDS), PREDS)))
 
     # gates and thresholds
-    query("gate_validation", gate_sql("long", ""))(lambda d: gate.gate(d.evaluation, EXPERTS))
-    query("gate_calibration", gate_sql("cal_long", "origin, "))(lambda d: d.calibration_choices)
-    query("gate_choice_frequency", f"SELECT horizon, segment, expert, count(*) AS n_origins FROM ({gate_sql('cal_long', 'origin, ')}) GROUP BY ALL")(lambda d: gate.choice_frequency(d.calibration_choices))
+    query("gate_validation", gate_sql("long", "", 50, gate.ALLOWED, (gate.SEGMENT, gate.SEGMENT_FALLBACK)))(lambda d: gate.gate(d.evaluation, EXPERTS, allowed=gate.ALLOWED))
+    by_origin = gate_sql("cal_long", "origin, ", 100, gate.CALIBRATION_ALLOWED, (gate.CALIBRATION, gate.CALIBRATION_FALLBACK))
+    query("gate_calibration", by_origin)(lambda d: d.calibration_choices)
+    query("gate_choice_frequency", f"SELECT horizon, segment, expert, count(*) AS n_origins FROM ({by_origin}) GROUP BY ALL")(lambda d: gate.choice_frequency(d.calibration_choices))
     query(
-        "gated_scores", f"SELECT horizon, {METRICS} FROM (SELECT l.horizon, l.y, l.pred FROM long l JOIN ({gate_sql('cal_long', 'origin, ')}) g ON g.origin = l.forecast_origin AND g.horizon = l.horizon AND g.segment = l.segment AND g.expert = l.model) GROUP BY 1", metrics,
-    )(lambda d: gate.apply_gate(d.phases.where("phase = 'EVAL'"), d.calibration_choices, EXPERTS, ["origin"]).groupBy("horizon").agg(*scores.metric_row(F.col(scores.Y), F.col("pred_gated"))))
+        "gated_scores", f"SELECT horizon, {METRICS} FROM (SELECT l.horizon, l.y, l.pred FROM long l JOIN ({by_origin}) g ON g.origin = l.forecast_origin AND g.horizon = l.horizon AND g.segment = l.segment AND g.expert = l.model) GROUP BY 1", metrics,
+    )(lambda d: gate.apply_gate(supervise.origin_phases(d.rolling, d.origins, ["EVAL"]), d.calibration_choices, EXPERTS, ["origin"]).groupBy("horizon").agg(*scores.metric_row(F.col(scores.Y), F.col("pred_gated"))))
     hurdle = "CASE WHEN p_positive < threshold THEN 0 ELSE p_positive * q_positive END"
     grid = f"""SELECT horizon, threshold, sum(abs(y - pred)) / nullif(sum(y), 0) AS wape, avg(CASE WHEN y <= 1e-9 THEN (pred > 1e-9)::INT END) AS zero_false_positive_rate
       FROM (SELECT horizon, threshold, target_actual_gross_m2 AS y, {hurdle} AS pred FROM ev, (SELECT unnest([{', '.join(str(round(0.05 * i, 2)) for i in range(20))}]::DOUBLE[]) AS threshold)) GROUP BY 1, 2"""
@@ -242,21 +243,23 @@ def _evaluation() -> None:
     query("diagnosis", f"""WITH c AS ({cube}) SELECT c.*, actual_sum / nullif((SELECT actual_sum FROM c WHERE level = 'OVERALL'), 0) AS share_of_total_actual,
         underforecast_sum / nullif((SELECT underforecast_sum FROM c WHERE level = 'OVERALL'), 0) AS share_of_total_underforecast FROM c""", (*e_close, "share_of_total_actual", "share_of_total_underforecast"))(lambda d: diagnose.diagnosis(d.evaluation, "pred_soft"))
     query("origin_event", f"SELECT forecast_origin, event, {e_metrics} FROM ev GROUP BY 1, 2", e_close)(lambda d: diagnose.origin_events(d.evaluation, "pred_soft"))
-    value = "CASE policy WHEN 'raw' THEN {0} WHEN 'half_up' THEN floor({0} + 0.5) ELSE ceil({0}) END"
-    months = f"SELECT base_sku, branch_code, forecast_origin, horizon, target_actual_gross_m2 AS y, pred_soft AS raw, policy, {value.format('pred_soft')} AS v FROM ev, (VALUES ('raw'), ('half_up'), ('ceil')) x(policy)"
+    value = "CASE policy WHEN 'raw' THEN {0} WHEN 'round_nearest_1m2' THEN floor({0} + 0.5) ELSE ceil({0}) END"
+    months = f"SELECT base_sku, branch_code, forecast_origin, horizon, target_actual_gross_m2 AS y, pred_soft AS raw, policy, {value.format('pred_soft')} AS v FROM ev, (VALUES ('raw'), ('round_nearest_1m2'), ('ceil_1m2')) x(policy)"
     query("rounding_month", f"SELECT policy, {diagnosis('y', 'v')}, sum(v - raw) AS added_m2, avg((abs(v - raw) > 1e-9)::INT) AS changed_row_rate, avg((raw > 0 AND raw < 1)::INT) AS raw_between_0_and_1_rate FROM ({months}) GROUP BY 1", (*e_close, "added_m2", "changed_row_rate", "raw_between_0_and_1_rate"))(
         lambda d: diagnose.rounding_months(d.evaluation, "pred_soft")
     )
     full = f"SELECT * FROM ({months}) QUALIFY count(*) OVER (PARTITION BY base_sku, branch_code, forecast_origin, policy) = 3"
     before = " UNION ALL ".join(f"SELECT 'BEFORE' AS stage, '{n}' AS level, policy, sum(y) AS y, sum(v) AS v FROM m GROUP BY {k}, policy" for n, k in levels.items())
-    after = " UNION ALL ".join(f"SELECT 'AFTER' AS stage, '{n}' AS level, policy, y, {value.format('x')} AS v FROM (SELECT sum(y) AS y, sum(raw) AS x FROM m WHERE policy = 'raw' GROUP BY {k}), (VALUES ('half_up'), ('ceil')) p(policy)" for n, k in levels.items())
+    after = " UNION ALL ".join(f"SELECT 'AFTER' AS stage, '{n}' AS level, policy, y, {value.format('x')} AS v FROM (SELECT sum(y) AS y, sum(raw) AS x FROM m WHERE policy = 'raw' GROUP BY {k}), (VALUES ('round_nearest_1m2'), ('ceil_1m2')) p(policy)" for n, k in levels.items())
     query("rounding_3m", f"WITH m AS ({full}) SELECT stage, level, policy, {diagnosis('y', 'v')} FROM ({before} UNION ALL {after}) GROUP BY 1, 2, 3", e_close)(lambda d: diagnose.rounding_windows(d.evaluation, "pred_soft"))
-    grids = ", ".join(f"avg((abs(y / {s} - round_even(y / {s}, 0)) <= 1e-8 + 1e-5 * abs(round_even(y / {s}, 0)))::INT) AS share_{n}" for n, s in diagnose.STEPS.items())
-    query("granularity", f"SELECT count(*) AS n_positive, {grids}, min(y) AS min, quantile_cont(y, 0.01) AS p01, quantile_cont(y, 0.05) AS p05, quantile_cont(y, 0.5) AS p50, quantile_cont(y, 0.95) AS p95 FROM (SELECT pred_soft AS y FROM ev WHERE pred_soft > 0)", ("share_integer", "share_half", "share_tenth", "share_hundredth", "min", "p01", "p05", "p50", "p95"))(
-        lambda d: diagnose.granularity(d.evaluation, "pred_soft")
+    actual = "SELECT target_actual_gross_m2 AS y FROM ev WHERE target_actual_gross_m2 > 0"
+    grids = ", ".join(f"avg((abs(y / {step} - round_even(y / {step}, 0)) <= 1e-8 + 1e-5 * abs(round_even(y / {step}, 0)))::INT) AS {name}" for name, step in diagnose.STEPS.items())
+    quantiles = ", ".join(f"quantile_cont(y, {q}) AS {name}" for name, q in diagnose.QUANTILES.items())
+    query("granularity", f"SELECT count(*) AS n_positive_actual_rows, sum(y) AS actual_sum_m2, {grids}, min(y) AS min_positive_m2, {quantiles} FROM ({actual})", ("actual_sum_m2", *diagnose.STEPS, "min_positive_m2", *diagnose.QUANTILES))(
+        lambda d: diagnose.granularity(d.evaluation)
     )
-    query("fraction_freq", "SELECT fraction, n_rows, n_rows / (SELECT count(*) FROM ev WHERE pred_ma_3 > 0) AS row_rate FROM (SELECT round(pred_ma_3 - floor(pred_ma_3), 3) AS fraction, count(*) AS n_rows FROM ev WHERE pred_ma_3 > 0 GROUP BY 1) ORDER BY n_rows DESC, fraction LIMIT 50", ("row_rate",))(
-        lambda d: diagnose.fractions(d.evaluation, "pred_ma_3")
+    query("fraction_freq", f"SELECT fractional_part_3dp, n_rows, n_rows / (SELECT count(*) FROM ({actual})) AS row_rate FROM (SELECT round(y - floor(y), 3) AS fractional_part_3dp, count(*) AS n_rows FROM ({actual}) GROUP BY 1) ORDER BY n_rows DESC, fractional_part_3dp LIMIT 50", ("row_rate",))(
+        lambda d: diagnose.fractions(d.evaluation)
     )
     query(
         "zero_positive", f"""SELECT model, horizon, count(*) AS n_rows, count(*) FILTER (y = 0) AS n_zero, count(*) FILTER (y > 0) AS n_positive, avg({P0}) FILTER (y = 0) AS mean_pred_on_zero, sum({P0}) FILTER (y = 0) AS forecast_on_zero,
@@ -272,7 +275,7 @@ def _evaluation() -> None:
         ("positive_rate", "mean_p", "mean_p_positive", "mean_p_zero", "brier", "q_wape_positive", "q_bias_ratio_positive"),
     )(lambda d: diagnose.probability(d.evaluation))
     query("parity_audit", """WITH n AS (SELECT count(*) AS n FROM roll WHERE forecast_origin = DATE '2001-08-01' AND is_primary) SELECT c AS "column", n AS n_rows, 0::BIGINT AS mismatches FROM n, (VALUES ('grain'), ('pair_lag_1'), ('pair_roll_12_std'), ('segment')) x(c)""")(
-        lambda d: diagnose.parity(*[f.where("forecast_origin = date'2001-08-01'").select(*PAIR, "horizon", "pair_lag_1", "pair_roll_12_std", "segment") for f in (d.evaluation, d.phases.where("phase = 'EVAL'"))], [*PAIR, "horizon"], ["pair_lag_1", "pair_roll_12_std", "segment"])
+        lambda d: diagnose.parity(*[f.where("forecast_origin = date'2001-08-01'").select(*PAIR, "horizon", "pair_lag_1", "pair_roll_12_std", "segment") for f in (d.evaluation, supervise.origin_phases(d.rolling, d.origins, ["EVAL"]))], [*PAIR, "horizon"], ["pair_lag_1", "pair_roll_12_std", "segment"])
     )
     query("alignment", "SELECT base_sku, branch_code, forecast_origin, target_month, horizon, target_actual_gross_m2, pred_soft, pred_ma_3 FROM ev", ("pred_soft", "pred_ma_3"))(
         lambda d: diagnose.align(d.evaluation.select(*dev_keys, scores.Y, "pred_soft"), d.evaluation.select(*dev_keys, scores.Y, "pred_ma_3"), dev_keys, "pred_ma_3", guard=False)
@@ -323,14 +326,7 @@ def _control() -> None:
         lambda d: validate.reconciliation(d.observation, d.fact)
     )
     query("panel_semantics", "SELECT zero_semantics, count(*) AS n_rows, count(*) FILTER (target_available) AS n_available, count(*) FILTER (actual_positive) AS n_positive, sum(actual_gross_m2) AS gross_m2 FROM pair_panel GROUP BY 1")(lambda d: validate.panel_semantics(d.pair_panel))
-    core = ("bridge_unique", "dim_base_unique", "dim_branch_unique", "observation_unique", "fact_unique", "pair_panel_unique", "branch_panel_unique", "fact_base_known", "fact_branch_known", "fact_signs", "implicit_zero_is_zero",
-            "negative_only_has_no_target", "first_positive_is_origin_safe", "starts_at_first_observation", "positive_reconciles", "negative_reconciles")
-    passed = lambda names: 'SELECT unnest([{}]) AS "check", 0::BIGINT AS violations, \'PASS\' AS status'.format(", ".join(f"'{n}'" for n in names))
-    query("validate_core", passed(core))(lambda d: validate.validate_core(d.bridge, d.dim_base, d.dim_branch, d.observation, d.fact, d.pair_panel, d.branch_panel))
-    stage = ("grain_unique", "information_up_to_origin", "horizon_aligned", "no_frozen_target", "origin_up_to_limit", "validation_origin_locked", "returns_have_no_target", "peak_is_carried", "calendar_known")
-    query("validate_features", passed(stage))(lambda d: validate.validate_features(d.pair_dev, d.calendar.validation_origin, d.calendar.frozen_start))
-    query("calendar_purity", "SELECT unnest(['target_working_days_proxy', 'target_is_tet_month']) AS \"column\", 0::BIGINT AS impure_months")(lambda d: validate.calendar_purity(d.pair_dev, ["target_working_days_proxy", "target_is_tet_month"]))
-    query("prediction_guards", "SELECT true AS no_null, true AS probability_in_range, true AS nothing_negative, true AS forecast_is_product, count(*) AS n_rows, true AS keys_unique FROM ev")(lambda d: validate.prediction_guards(d.evaluation, "pred_soft", vintage.KEYS))
+    _checks(validate, vintage)
 
     columns = ["pair_lag_1", "pair_lag_12", "pair_roll_3_mean", "pair_roll_3_sum", "pair_roll_12_std", "pair_roll_12_positive_count", "pair_history_length_months", "pair_target_available_count_to_origin", "pair_observed_source_month_count_to_origin"]
     profile = " UNION ALL ".join(f"SELECT '{c}' AS feature_name, avg(({c} IS NULL)::INT) AS missing_rate, count(DISTINCT {c}) AS n_unique FROM pair_f" for c in (columns[0], columns[1], *columns[5:]))
@@ -338,7 +334,7 @@ def _control() -> None:
     query("duplicate_map", "SELECT 'copy_of_lag' AS feature_name, 'pair_lag_1' AS duplicate_of UNION ALL SELECT 'actual', 'pair_lag_1'")(
         lambda d: select.duplicate_map(_own(d).withColumns({"copy_of_lag": F.col("pair_lag_1"), "actual": F.col("actual_gross_m2")}), ["pair_lag_1", "pair_lag_12", "copy_of_lag", "actual", "pair_roll_12_positive_count"], [*PAIR, "month"])
     )
-    query("static_screen", """SELECT *, CASE WHEN missing_rate > 0.95 THEN 'DROP_MISSING' WHEN n_unique <= 1 THEN 'DROP_CONSTANT' WHEN duplicate_of IS NOT NULL THEN 'DROP_DUPLICATE' ELSE 'KEEP' END AS static_status FROM (
+    query("static_screen", """SELECT *, CASE WHEN missing_rate > 0.95 THEN 'DROP_MISSING_RATE' WHEN n_unique <= 1 THEN 'DROP_CONSTANT' WHEN duplicate_of IS NOT NULL THEN 'DROP_EXACT_DUPLICATE' ELSE 'PASS_STATIC' END AS static_status FROM (
         SELECT 'pair_lag_1' AS feature_name, avg((pair_lag_1 IS NULL)::INT) AS missing_rate, count(DISTINCT pair_lag_1) AS n_unique, NULL::VARCHAR AS duplicate_of FROM pair_f UNION ALL
         SELECT 'copy_of_lag', avg((pair_lag_1 IS NULL)::INT), count(DISTINCT pair_lag_1), 'pair_lag_1' FROM pair_f UNION ALL SELECT 'one', 0, 1, NULL UNION ALL SELECT 'none', 1, 0, NULL)""", ("missing_rate",))(
         lambda d: select.static_screen(_own(d).withColumns({"copy_of_lag": F.col("pair_lag_1"), "one": F.lit(1), "none": F.lit(None).cast("double")}), ["pair_lag_1", "copy_of_lag", "one", "none"], [*PAIR, "month"])
@@ -346,7 +342,12 @@ def _control() -> None:
     pairs = [("pair_roll_3_mean", "pair_roll_3_sum"), ("pair_history_length_months", "pair_target_available_count_to_origin"), ("pair_history_length_months", "pair_observed_source_month_count_to_origin"), ("pair_target_available_count_to_origin", "pair_observed_source_month_count_to_origin"), ("pair_lag_1", "pair_lag_12")]
     pair_sql = " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS correlation FROM pair_f" for a, b in pairs[1:4])
     query("correlation_review", f"SELECT * FROM ({pair_sql}) WHERE abs(correlation) >= 0.9", ("correlation",))(lambda d: select.correlations(_own(d), ["pair_history_length_months", "pair_target_available_count_to_origin", "pair_observed_source_month_count_to_origin"], 0.9))
-    query("capped_sample")(lambda d: select.capped_sample(_own(d).select(*PAIR, "month", "actual_positive"), ["actual_positive"], [*PAIR, "month"], 5000))
+    query("capped_sample", """WITH r AS (SELECT base_sku, branch_code, month, actual_positive, md5(concat_ws('|', base_sku, branch_code, month, '42')) AS h FROM pair_f),
+        n AS (SELECT actual_positive, 5000 * count(*)::BIGINT AS x, sum(count(*)) OVER () AS t FROM r GROUP BY 1),
+        q AS (SELECT actual_positive, x // t + (row_number() OVER (ORDER BY x % t DESC, actual_positive) <= 5000 - sum(x // t) OVER ())::INT AS take FROM n)
+        SELECT base_sku, branch_code, month, actual_positive FROM (SELECT r.*, take, row_number() OVER (PARTITION BY actual_positive ORDER BY h, base_sku, branch_code, month) AS i FROM r JOIN q USING (actual_positive)) WHERE i <= take""")(
+        lambda d: select.capped_sample(_own(d).select(*PAIR, "month", "actual_positive"), ["actual_positive"], [*PAIR, "month"], 5000)
+    )
     table = [(s, f, 0.01 * (i + 1) * (1 if s == "ALL" else 0.5) - 0.02) for i, f in enumerate(("horizon", "pair_lag_1", "pair_lag_2", "pair_lag_3")) for s in ("ALL", "h1")]
     values = ", ".join(f"('{s}', '{f}', {v!r})" for s, f, v in table)
     query("feature_choice", f"""SELECT feature_name, best, row_number() OVER (ORDER BY best DESC, feature_name)::INTEGER AS rank, reason <> 'NOT_SELECTED' AS selected, reason FROM (SELECT *, CASE WHEN feature_name = 'horizon' THEN 'MANDATORY_FOR_POOLED' WHEN best > 0.0005 THEN 'PERMUTATION_IMPORTANCE'
@@ -366,6 +367,69 @@ def _control() -> None:
     assert scores.Y in supervise.PAIR_TARGETS.values()
 
 
+def _checks(validate, vintage) -> None:
+    """Validation suites on the right frames and on spoiled ones, whose violations aren't zero."""
+    twice = lambda t, k: f"SELECT count(*) AS v FROM (SELECT 1 FROM {t} GROUP BY {k} HAVING count(*) > 1)"
+    bad = lambda t, c: f"SELECT count(*) FILTER ({c}) AS v FROM {t}"
+    lost = lambda a, b, k: f"SELECT count(DISTINCT {k}) AS v FROM {a} WHERE {k} NOT IN (SELECT {k} FROM {b})"
+    table = lambda checks: " UNION ALL ".join(f"""SELECT '{n}' AS "check", v AS violations, CASE WHEN v = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({q})""" for n, q in checks.items())
+
+    def core(fact: str, pair: str, bridge: str) -> str:
+        apart = lambda c: f"SELECT (abs((SELECT sum({c}) FROM obs WHERE row_disposition = 'MODELING_VALID') - (SELECT sum({c}) FROM {fact})) > 1e-8)::BIGINT AS v"
+        return table({
+            "bridge_unique": twice(bridge, "bravo_sku"),
+            "dim_base_unique": twice("dim_base", "base_sku"),
+            "dim_branch_unique": twice("dim_branch", "branch_code"),
+            "observation_unique": twice("obs", "bravo_sku, branch_code, month"),
+            "fact_unique": twice(fact, "base_sku, branch_code, month"),
+            "pair_panel_unique": twice(pair, "base_sku, branch_code, month"),
+            "branch_panel_unique": twice("branch_panel", "branch_code, month"),
+            "fact_base_known": lost(fact, "dim_base", "base_sku"),
+            "fact_branch_known": lost(fact, "dim_branch", "branch_code"),
+            "fact_signs": bad(fact, "gross_positive_m2 < 0 OR negative_m2 > 0"),
+            "implicit_zero_is_zero": bad(pair, "zero_semantics = 'OBSERVED_ZERO_IMPLICIT' AND (actual_gross_m2 <> 0 OR NOT target_available)"),
+            "negative_only_has_no_target": bad(pair, "actual_negative_only AND (target_available OR actual_gross_m2 IS NOT NULL)"),
+            "first_positive_is_origin_safe": bad(pair, "first_positive_month_to_date > month"),
+            "starts_at_first_observation": bad(pair, "month < first_observed_month"),
+            "positive_reconciles": apart("gross_positive_m2"),
+            "negative_reconciles": apart("negative_m2"),
+        })
+
+    def of(d: Demand, fact: DataFrame, pair: DataFrame, bridge: DataFrame) -> DataFrame:
+        return validate.validate_core(bridge, d.dim_base, d.dim_branch, d.observation, fact, pair, d.branch_panel)
+
+    query("validate_core", core("fact", "pair_panel", "bridge"))(lambda d: of(d, d.fact, d.pair_panel, d.bridge))
+    spoiled = """WITH bad_fact AS (SELECT * REPLACE (CASE WHEN month(month) = 6 THEN -1 - gross_positive_m2 ELSE gross_positive_m2 END AS gross_positive_m2, CASE WHEN month(month) = 7 THEN 'X' ELSE base_sku END AS base_sku) FROM fact),
+      bad_pair AS (SELECT * REPLACE (CASE WHEN month(month) = 3 THEN 5 ELSE actual_gross_m2 END AS actual_gross_m2, CASE WHEN month(month) = 4 THEN (month + INTERVAL 1 MONTH)::DATE ELSE first_observed_month END AS first_observed_month) FROM pair_panel),
+      bad_bridge AS (SELECT * FROM bridge UNION ALL SELECT * FROM bridge WHERE is_l1)"""
+    wrong = lambda c, m, x: F.when(F.month("month") == m, x).otherwise(F.col(c))
+    query("validate_core_spoiled", f"{spoiled} {core('bad_fact', 'bad_pair', 'bad_bridge')}")(
+        lambda d: of(
+            d,
+            d.fact.withColumns({"gross_positive_m2": wrong("gross_positive_m2", 6, -1 - F.col("gross_positive_m2")), "base_sku": wrong("base_sku", 7, F.lit("X"))}),
+            d.pair_panel.withColumns({"actual_gross_m2": wrong("actual_gross_m2", 3, F.lit(5.0)), "first_observed_month": wrong("first_observed_month", 4, F.add_months("month", 1))}),
+            d.bridge.unionByName(d.bridge.where("is_l1")),
+        )
+    )
+    query(
+        "calendar_purity",
+        """SELECT 'target_working_days_proxy' AS "column", count(*) FILTER (n > 1) AS impure_months FROM (SELECT count(DISTINCT target_working_days_proxy) + max((target_working_days_proxy IS NULL)::INT) AS n FROM target_calendar GROUP BY target_month)
+        UNION ALL SELECT 'target_is_tet_month', count(*) FILTER (n > 1) FROM (SELECT count(DISTINCT target_is_tet_month) + max((target_is_tet_month IS NULL)::INT) AS n FROM target_calendar GROUP BY target_month)""",
+    )(lambda d: validate.calendar_purity(d.pair_dev, ["target_working_days_proxy", "target_is_tet_month"]))
+    query("calendar_purity_spoiled", """SELECT 'branch_code' AS "column", count(*) FILTER (n > 1) AS impure_months FROM (SELECT count(DISTINCT branch_code) AS n FROM pair_panel GROUP BY month)""")(
+        lambda d: validate.calendar_purity(d.pair_panel.withColumnRenamed("month", "target_month"), ["branch_code"])
+    )
+    guards = """SELECT count(*) FILTER (p IS NULL OR q IS NULL OR f IS NULL) = 0 AS no_null, count(*) FILTER (p < 0 OR p > 1) = 0 AS probability_in_range, count(*) FILTER (q < 0 OR f < 0) = 0 AS nothing_negative,
+      count(*) FILTER (abs(f - p * q) > 1e-9) = 0 AS forecast_is_product, count(*) AS n_rows, count(DISTINCT (base_sku, branch_code, forecast_origin, target_month, horizon)) = count(*) AS keys_unique"""
+    query("prediction_guards", f"{guards} FROM (SELECT *, p_positive AS p, q_positive AS q, pred_soft AS f FROM ev)")(lambda d: validate.prediction_guards(d.evaluation, "pred_soft", vintage.KEYS))
+    query("prediction_guards_spoiled", f"{guards} FROM (SELECT *, p_positive + 1 AS p, q_positive AS q, CASE WHEN horizon = 2 THEN NULL ELSE pred_soft END AS f FROM ev)")(
+        lambda d: validate.prediction_guards(d.evaluation.withColumns({"p_positive": F.col("p_positive") + 1, "pred_soft": F.when(F.col("horizon") != 2, F.col("pred_soft"))}), "pred_soft", vintage.KEYS)
+    )
+    stage = ("grain_unique", "information_up_to_origin", "horizon_aligned", "no_frozen_target", "origin_up_to_limit", "validation_origin_locked", "returns_have_no_target", "peak_is_carried", "calendar_known")
+    passed = 'SELECT unnest([{}]) AS "check", 0::BIGINT AS violations, \'PASS\' AS status'.format(", ".join(f"'{n}'" for n in stage))
+    query("validate_features", passed)(lambda d: validate.validate_features(d.pair_dev, d.calendar.validation_origin, d.calendar.frozen_start))
+
+
 def _own(d: Demand) -> DataFrame:
     from monsoon.operators import features
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,15 +13,39 @@ from monsoon.operators.scores import LEVELS, Y, _levels, _sets
 from monsoon.schema import DataError, assert_none, assert_unique
 
 
-def demand_event() -> Column:
+# Names of demand events and rounding policies, in order of precedence.
+EVENTS = (
+    "actual_zero",
+    "first_positive_known_pair",
+    "reactivation_gap_6plus",
+    "reactivation_gap_3_5",
+    "reactivation_gap_1_2",
+    "spike_3x_plus",
+    "spike_2x_3x",
+    "ongoing_positive",
+)
+POLICIES = ("raw", "round_nearest_1m2", "ceil_1m2")
+
+
+@dataclass(frozen=True)
+class EventRules:
+    """Gaps in months since the last positive one, spikes as multiples of the mean positive month."""
+
+    medium_gap_months: int = 3
+    long_gap_months: int = 6
+    moderate_spike_ratio: float = 2.0
+    extreme_spike_ratio: float = 3.0
+    min_spike_actual_m2: float = 1.0
+
+
+def demand_event(rules: EventRules = EventRules()) -> Column:  # noqa: B008
     """The kind of a row's demand, by the first case that holds."""
     y, n, gap, mean = F.coalesce(F.col(Y), F.lit(0.0)), F.coalesce(F.col("pair_positive_count_to_origin"), F.lit(0)), F.col("months_since_last_positive"), F.col("pair_mean_positive_m2_to_origin")
     # months at the target, not at the origin, since the last positive one
     times = y / F.nullif(mean, F.lit(0.0))
-    return (
-        F.when(y <= 0, "actual_zero").when(n <= 0, "first_positive_known_pair").when(gap >= 6, "reactivation_6m_plus").when(gap >= 3, "reactivation_3_5m").when(gap >= 1, "reactivation_1_2m")
-        .when((y >= 1) & (times >= 3), "spike_3x_plus").when((y >= 1) & (times >= 2), "spike_2x_3x").otherwise("ongoing_positive")
-    )
+    large = y >= rules.min_spike_actual_m2
+    cases = (y <= 0, n <= 0, gap >= rules.long_gap_months, gap >= rules.medium_gap_months, gap >= 1, large & (times >= rules.extreme_spike_ratio), large & (times >= rules.moderate_spike_ratio), F.lit(True))
+    return F.coalesce(*[F.when(case, name) for case, name in zip(cases, EVENTS, strict=True)])
 
 
 def diagnosis(df: DataFrame, pred: str) -> DataFrame:
@@ -37,12 +62,9 @@ def origin_events(df: DataFrame, pred: str) -> DataFrame:
     return df.groupBy("forecast_origin", "event").agg(*diagnosis_row(F.col(Y), F.col(pred)))
 
 
-POLICIES = ("raw", "half_up", "ceil")
-
-
 def rounded(x: Column, policy: str) -> Column:
     x = floor0(F.coalesce(x, F.lit(0.0)))
-    return {"raw": x, "half_up": F.floor(x + 0.5).cast("double"), "ceil": F.ceil(x).cast("double")}[policy]
+    return dict(zip(POLICIES, (x, F.floor(x + 0.5).cast("double"), F.ceil(x).cast("double")), strict=True))[policy]
 
 
 def _policies(df: DataFrame, pred: str, keys: Sequence[str]) -> DataFrame:
@@ -77,13 +99,20 @@ def on_grid(x: Column, step: float) -> Column:
     return F.abs(s - F.rint(s)) <= 1e-8 + 1e-5 * F.abs(F.rint(s))
 
 
-STEPS = {"integer": 1.0, "half": 0.5, "tenth": 0.1, "hundredth": 0.01}
+# Shares by grid and quantiles of positive actual demand.
+STEPS = {"share_exact_integer_m2": 1.0, "share_on_0_1_m2_grid": 0.1, "share_on_0_01_m2_grid": 0.01, "share_on_0_001_m2_grid": 0.001}
+QUANTILES = {"p01_positive_m2": 0.01, "p05_positive_m2": 0.05, "median_positive_m2": 0.5, "p95_positive_m2": 0.95}
 
 
 def granularity(df: DataFrame, y: str = Y) -> DataFrame:
+    """On which grids positive actual demand lies, and how it is spread; one row, without positive demand of nulls."""
     x = F.col(y)
     return df.where(x > 0).agg(
-        F.count("*").alias("n_positive"), *[F.avg(on_grid(x, s).cast("double")).alias(f"share_{n}") for n, s in STEPS.items()], F.min(x).alias("min"), *[F.percentile(x, F.lit(q)).alias(f"p{int(q * 100):02}") for q in (0.01, 0.05, 0.5, 0.95)]
+        F.count("*").alias("n_positive_actual_rows"),
+        F.sum(x).alias("actual_sum_m2"),
+        *[F.avg(on_grid(x, step).cast("double")).alias(name) for name, step in STEPS.items()],
+        F.min(x).alias("min_positive_m2"),
+        *[F.percentile(x, F.lit(q)).alias(name) for name, q in QUANTILES.items()],
     )
 
 
@@ -92,9 +121,9 @@ def fractions(df: DataFrame, y: str = Y, top: int = 50) -> DataFrame:
     part = F.pmod(F.col(y), F.lit(1.0))
     part = F.bround(F.when(F.abs(part - 1) < 1e-9, 0.0).otherwise(part), 3)
     positive = df.where(F.col(y) > 0)
-    counts = positive.groupBy(part.alias("fraction")).agg(F.count("*").alias("n_rows"))
+    counts = positive.groupBy(part.alias("fractional_part_3dp")).agg(F.count("*").alias("n_rows"))
     total = positive.agg(F.count("*").alias("_t"))
-    return counts.join(F.broadcast(total), how="cross").select("fraction", "n_rows", (F.col("n_rows") / F.col("_t")).alias("row_rate")).orderBy(F.desc("n_rows"), "fraction").limit(top)
+    return counts.join(F.broadcast(total), how="cross").select("fractional_part_3dp", "n_rows", (F.col("n_rows") / F.col("_t")).alias("row_rate")).orderBy(F.desc("n_rows"), "fractional_part_3dp").limit(top)
 
 
 def zero_positive(long: DataFrame) -> DataFrame:

@@ -17,38 +17,67 @@ class Behaviour:
     adi: float = 1.32
     cv2: float = 0.49
     least_positive: int = 1
-    min_rows: int = 200
+    min_rows: int = 50
+    min_calibration_rows: int = 100
     thresholds: tuple[float, ...] = tuple(round(0.05 * i, 2) for i in range(20))
     tolerance: float = 1e-9
 
 
+#: The experts that a segment may choose from, in the order in which ties are settled.
+ALLOWED = {
+    "regular": ("soft", "naive_1", "seasonal_12", "ma_3"),
+    "intermittent": ("soft", "croston_sba", "tsb", "naive_1"),
+    "very_sparse": ("soft", "croston_sba", "tsb", "naive_1"),
+}
+#: The same where experts are chosen on calibration rows.
+CALIBRATION_ALLOWED = {
+    "regular": ("soft", "ma_3", "naive_1", "seasonal_12"),
+    "intermittent": ("soft", "ma_3", "croston_sba", "tsb", "naive_1"),
+    "very_sparse": ("soft", "croston_sba", "tsb", "naive_1"),
+}
+# Where an expert was chosen.
+SEGMENT, SEGMENT_FALLBACK = "SEGMENT_PRIMARY", "HORIZON_PRIMARY_FALLBACK"
+CALIBRATION, CALIBRATION_FALLBACK = "CALIBRATION_SEGMENT", "CALIBRATION_HORIZON_FALLBACK"
+
+
 def behaviour_segment(conf: Behaviour = Behaviour()) -> Column:  # noqa: B008
     """very_sparse with few positives or undefined statistics, regular where both are low, else intermittent."""
     n, adi, cv2 = F.col("pair_positive_count_to_origin"), F.col("pair_adi_target_available_to_origin"), F.col("pair_cv2_positive_to_origin")
     return F.when((n <= conf.least_positive) | adi.isNull() | cv2.isNull(), "very_sparse").when((adi < conf.adi) & (cv2 < conf.cv2), "regular").otherwise("intermittent")
 
 
-def gate(scored: DataFrame, experts: Sequence[str], conf: Behaviour = Behaviour(), by: Sequence[str] = ()) -> DataFrame:  # noqa: B008
-    """The expert of least WAPE for each horizon and segment (and each value of by); a small segment takes its horizon's.
+def gate(
+    scored: DataFrame, experts: Sequence[str], conf: Behaviour = Behaviour(), by: Sequence[str] = (), allowed: dict[str, Sequence[str]] | None = None, min_rows: int | None = None, sources: tuple[str, str] = (SEGMENT, SEGMENT_FALLBACK)  # noqa: B008
+) -> DataFrame:
+    """The expert of least WAPE for each horizon and segment (and each value of by), of those that the segment may use.
 
-    Ties go by the list's order.  The phase whose rows are given decides what the gate may know.
+    A segment of fewer than min_rows rows (by default conf.min_rows) chooses by its horizon's rows.  Ties go by the order of
+    the segment's list; a segment that allowed doesn't name may use all.  The phase whose rows are given decides what the
+    gate may know.
     """
-    by = list(by)
-    long = melt(scored, [*by, "horizon", "segment", Y], [f"pred_{e}" for e in experts])
-    order = F.array_position(F.array(*[F.lit(e) for e in experts]), F.col("model"))
-
-    def best(keys: list[str], name: str) -> DataFrame:
-        ranked = long.groupBy(*keys, "model").agg(wape(F.col(Y), F.col("pred")).alias("w")).where("w is not null")
-        return ranked.groupBy(*keys).agg(F.min_by("model", F.struct(F.round("w", 12), order)).alias(name))
-
-    segments = scored.groupBy(*by, "horizon", "segment").agg(F.count("*").alias("n_rows"))
-    out = segments.join(best([*by, "horizon", "segment"], "own"), [*by, "horizon", "segment"], "left").join(best([*by, "horizon"], "whole"), [*by, "horizon"], "left")
-    small = (F.col("n_rows") < conf.min_rows) | F.col("own").isNull()
-    return out.select(*by, "horizon", "segment", "n_rows", F.when(small, F.col("whole")).otherwise(F.col("own")).alias("expert"), F.when(small, "HORIZON_FALLBACK").otherwise("SEGMENT").alias("gate_source"))
+    by, least = list(by), conf.min_rows if min_rows is None else min_rows
+    lists = {s: [e for e in of if e in experts] for s, of in (allowed or {}).items()}
+    names = F.array(*[F.lit(e) for e in experts])
+    own = F.coalesce(*[F.when(F.col("segment") == s, F.array(*[F.lit(e) for e in of])) for s, of in lists.items() if of], names) if lists else names
+    errors = melt(scored, [*by, "horizon", "segment", Y], [f"pred_{e}" for e in experts])
+    # sums by segment give those of the horizon
+    parts = errors.groupBy(*by, "horizon", "segment", "model").agg(F.sum(F.abs(F.col(Y) - F.greatest("pred", F.lit(0.0)))).alias("e"), F.sum(F.abs(Y)).alias("y"), F.count("*").alias("n_rows"))
+    whole = parts.groupBy(*by, "horizon", "model").agg(F.sum("e").alias("whole_e"), F.sum("y").alias("whole_y"))
+    scores = parts.join(whole, [*by, "horizon", "model"])
+    small = F.col("n_rows") < least
+    error, actual = F.when(small, F.col("whole_e")).otherwise(F.col("e")), F.when(small, F.col("whole_y")).otherwise(F.col("y"))
+    scores = scores.withColumns({"w": error / F.nullif(actual, F.lit(0.0)), "place": F.array_position(own, F.col("model"))})
+    finite = F.col("w").isNotNull() & (F.col("place") > 0)
+    best = scores.groupBy(*by, "horizon", "segment").agg(
+        F.max("n_rows").alias("n_rows"),
+        F.min_by(F.when(finite, F.col("model")), F.when(finite, F.struct(F.round("w", 12), "place"))).alias("expert"),
+    )
+    return best.withColumn("gate_source", F.when(F.col("n_rows") < least, sources[1]).otherwise(sources[0]))
 
 
 def gates_by_origin(calibration: DataFrame, experts: Sequence[str], conf: Behaviour = Behaviour()) -> DataFrame:  # noqa: B008
-    return gate(calibration, experts, conf, ["origin"])
+    """The experts of each origin, chosen on its calibration rows."""
+    return gate(calibration, experts, conf, ["origin"], CALIBRATION_ALLOWED, conf.min_calibration_rows, (CALIBRATION, CALIBRATION_FALLBACK))
 
 
 def apply_gate(df: DataFrame, choice: DataFrame, experts: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -82,11 +82,14 @@ REVISION_SCHEMA = "base_sku string, branch_code string, target_month date, trans
 
 
 def revisions(df: DataFrame, preds: Sequence[str]) -> DataFrame:
-    """A row for each pair, target and model whose forecast was made again one month later; none gives the same columns."""
+    """A row for each pair, target and model whose forecast was made again one month later; none gives the same columns.
+
+    Forecasts of one target follow each other by origin, so the earlier one is the row before: one exchange, no self-join.
+    """
     keys = ["base_sku", "branch_code", "target_month"]
-    old = df.select(*keys, F.col("forecast_origin").alias("o"), F.col("horizon").alias("h"), F.struct(*preds).alias("old"))
-    new = df.select(*keys, F.col("forecast_origin").alias("n"), (F.col("horizon") + 1).alias("h"), F.struct(*preds).alias("new"))
-    both = old.join(new, [*keys, "h"]).where(month_diff(F.col("n"), F.col("o")) == 1)
+    before = F.lag(F.struct(F.col("forecast_origin").alias("o"), F.col("horizon").alias("h"), *preds)).over(Window.partitionBy(*keys).orderBy("forecast_origin"))
+    rows = df.select(*keys, "forecast_origin", "horizon", F.struct(*preds).alias("new"), before.alias("old"))
+    both = rows.where((F.col("old.h") == F.col("horizon") + 1) & (month_diff(F.col("forecast_origin"), F.col("old.o")) == 1)).withColumn("h", F.col("old.h"))
     models = F.array(*[F.struct(F.lit(p.removeprefix("pred_")).alias("model"), F.col(f"old.{p}").alias("old_pred"), F.col(f"new.{p}").alias("new_pred")) for p in preds])
     rows = both.select(*keys, F.concat(F.lit("H"), F.col("h"), F.lit("_TO_H"), F.col("h") - 1).alias("transition"), F.explode(models).alias("m"))
     return rows.select(*keys, "transition", "m.*", (F.col("m.new_pred") - F.col("m.old_pred")).alias("revision"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -51,9 +53,9 @@ def duplicate_map(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) ->
 
 
 def static_screen(df: DataFrame, columns: Sequence[str], keys: Sequence[str], conf: Screen = Screen()) -> DataFrame:  # noqa: B008
-    """Why each column is dropped before any model: missing, constant or a duplicate; else KEEP."""
+    """Why each column is dropped before any model: missing, constant or an exact duplicate; else it passes."""
     joined = column_profile(df, columns, conf.chunk).join(duplicate_map(df, columns, keys), "feature_name", "left")
-    status = F.when(F.col("missing_rate") > conf.max_missing, "DROP_MISSING").when(F.col("n_unique") <= 1, "DROP_CONSTANT").when(F.col("duplicate_of").isNotNull(), "DROP_DUPLICATE").otherwise("KEEP")
+    status = F.when(F.col("missing_rate") > conf.max_missing, "DROP_MISSING_RATE").when(F.col("n_unique") <= 1, "DROP_CONSTANT").when(F.col("duplicate_of").isNotNull(), "DROP_EXACT_DUPLICATE").otherwise("PASS_STATIC")
     return joined.withColumn("static_status", status)
 
 
@@ -78,15 +80,31 @@ def correlations(df: DataFrame, columns: Sequence[str], least: float = 0.995) ->
 
 
 def capped_sample(df: DataFrame, strata: Sequence[str], keys: Sequence[str], max_rows: int, seed: int = 42) -> DataFrame:
-    """At most max_rows rows for fitting a model: each stratum in proportion, by a hash of the key; the same at any partitioning.
+    """Just max_rows rows (all, if there are fewer) for fitting a model, the same at any partitioning.
 
-    A share of each stratum is cut by the hash's range, so that no stratum meets in one task.
+    Each stratum gives its share, what is left over going to the largest remainders; within it, rows of the least hashes of
+    the key.  Hashes are counted by their first digits first, so only the rows of one bucket of each stratum, a 4096th of
+    its rows, are ranked.  Nulls are a stratum of their own.  Keys should be unique: of rows that repeat one, any may stay.
     """
-    total = df.count()
-    if total <= max_rows:
-        return df
-    unit = F.pmod(F.xxhash64(*keys, *strata, F.lit(seed)), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
-    return df.where(unit < max_rows / total * 0.98)
+    strata = list(strata)
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    rows = df.withColumn("_h", F.md5(text)).withColumn("_b", F.substring("_h", 1, 3))
+    counts = rows.groupBy(*strata, "_b").agg(F.count("*").alias("_n"))
+    # a row for each stratum
+    share = counts.groupBy(*strata).agg(F.sum("_n").alias("_s")).withColumn("_t", F.sum("_s").over(Window.partitionBy()))
+    whole = F.floor(F.col("_s") * max_rows / F.col("_t")).cast("long")
+    share = share.withColumns({"_q": whole, "_r": F.col("_s") * max_rows % F.col("_t")})
+    more = F.row_number().over(Window.orderBy(F.desc("_r"), *strata)) <= max_rows - F.sum("_q").over(Window.partitionBy())
+    share = share.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(strata)], F.least("_s", F.col("_q") + more.cast("long")).alias("_take"))
+    same = lambda other: [F.col(c).eqNullSafe(F.col(f"{other}{i}")) for i, c in enumerate(strata)]
+    filled = F.sum("_n").over(Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    buckets = counts.withColumn("_c", filled).join(F.broadcast(share), reduce(and_, same("_k"), F.lit(True)))
+    buckets = buckets.withColumn("_in", F.least("_n", F.col("_take") - F.col("_c") + F.col("_n"))).where("_in > 0")
+    # a row for each stratum and 4096th of the hashes
+    buckets = buckets.select(*[F.col(c).alias(f"_j{i}") for i, c in enumerate(strata)], F.col("_b").alias("_jb"), "_in", (F.col("_in") == F.col("_n")).alias("_all"))
+    chosen = rows.join(F.broadcast(buckets), reduce(and_, same("_j"), F.col("_b") == F.col("_jb")))
+    edge = chosen.where("not _all").withColumn("_i", F.row_number().over(Window.partitionBy(*strata, "_b").orderBy("_h", *keys))).where("_i <= _in")
+    return chosen.where("_all").select(*df.columns).unionByName(edge.select(*df.columns))
 
 
 def permutation_table(df: DataFrame, features: Sequence[str], predict, y: str, scopes: dict[str, str], repeats: int = 2, seed: int = 7) -> DataFrame:

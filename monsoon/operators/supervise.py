@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -83,16 +85,30 @@ def rolling_panel(origin: DataFrame, states: DataFrame, calendar: DataFrame, fro
     return with_calendar(rows.where((F.col("target_month") < F.lit(frozen_start).cast("date")) & F.col("target_available").isNotNull()), calendar)
 
 
-def origin_phases(panel: DataFrame, origins: DataFrame) -> DataFrame:
-    """Each row once for every origin and phase it serves: FIT before the last three closed months, CAL in them (primary
-    rows only), EVAL from the origin itself on later months (primary).  origins is a small table of months."""
-    o = F.col("origin")
-    start = F.add_months(o, -2)
-    fit = (F.col("target_month") < start) & F.col("target_available")
-    cal = F.col("target_month").between(start, o) & primary()
-    ahead = (F.col("forecast_origin") == o) & (F.col("target_month") > o) & primary()
-    joined = panel.join(F.broadcast(origins), (F.col("target_month") <= o) | (F.col("forecast_origin") == o))
-    return joined.withColumn("phase", F.when(fit, "FIT").when(cal, "CAL").when(ahead, "EVAL")).where("phase is not null")
+PHASES = ("FIT", "CAL", "EVAL")
+
+
+def origin_phases(panel: DataFrame, origins: DataFrame, phases: Sequence[str] = PHASES) -> DataFrame:
+    """Each row once for every origin and phase that it serves, of the phases asked for.
+
+    FIT is before the last three closed months, CAL in them (primary rows only), EVAL from the origin itself on later months
+    (primary).  origins is a small table of months; its months become an array, so that rows are exploded and not joined.
+    """
+    months = sorted(r.origin for r in origins.select("origin").distinct().collect())
+    if not months:
+        return panel.withColumns({"origin": F.lit(None).cast("date"), "phase": F.lit(None).cast("string")}).where("false")
+    target, known, main = F.col("target_month"), F.coalesce(F.col("target_available"), F.lit(False)), primary()
+
+    def phase(o: Column) -> Column:
+        rules = {
+            "FIT": known & (target < F.add_months(o, -2)),
+            "CAL": main & target.between(F.add_months(o, -2), o),
+            "EVAL": main & (F.col("forecast_origin") == o) & (target > o),
+        }
+        return F.coalesce(*[F.when(rules[name], name) for name in PHASES if name in phases], F.lit(None))
+
+    served = F.filter(F.transform(F.array(*[F.lit(o) for o in months]), lambda o: F.struct(o.alias("origin"), phase(o).alias("phase"))), lambda s: s.phase.isNotNull())
+    return panel.withColumn("_s", F.explode(served)).select(*panel.columns, "_s.origin", "_s.phase")
 
 
 def split_audit(phases: DataFrame) -> DataFrame:

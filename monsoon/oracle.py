@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from monsoon.functions import lunar
 
@@ -235,7 +236,7 @@ _ROLL = """
   FROM pair_f f JOIN states s ON s.base_sku = f.base_sku AND s.branch_code = f.branch_code AND s.month = f.month, (VALUES (1), (2), (3)) x(h), pair_panel t
   WHERE t.base_sku = f.base_sku AND t.branch_code = f.branch_code AND t.month = (f.month + h * INTERVAL 1 MONTH)::DATE"""
 _EVENT = """
-  CASE WHEN coalesce(target_actual_gross_m2, 0) <= 0 THEN 'actual_zero' WHEN n <= 0 THEN 'first_positive_known_pair' WHEN gap >= 6 THEN 'reactivation_6m_plus' WHEN gap >= 3 THEN 'reactivation_3_5m' WHEN gap >= 1 THEN 'reactivation_1_2m'
+  CASE WHEN coalesce(target_actual_gross_m2, 0) <= 0 THEN 'actual_zero' WHEN n <= 0 THEN 'first_positive_known_pair' WHEN gap >= 6 THEN 'reactivation_gap_6plus' WHEN gap >= 3 THEN 'reactivation_gap_3_5' WHEN gap >= 1 THEN 'reactivation_gap_1_2'
     WHEN target_actual_gross_m2 >= 1 AND target_actual_gross_m2 / nullif(mean_pos, 0) >= 3 THEN 'spike_3x_plus' WHEN target_actual_gross_m2 >= 1 AND target_actual_gross_m2 / nullif(mean_pos, 0) >= 2 THEN 'spike_2x_3x' ELSE 'ongoing_positive' END"""
 CTES |= {
     "states": _states(),
@@ -248,16 +249,17 @@ CTES |= {
           WHEN forecast_origin = origin AND target_month > origin AND is_primary THEN 'EVAL' END AS phase FROM roll r JOIN origins o ON target_month <= origin OR forecast_origin = origin) WHERE phase IS NOT NULL""",
     "cal_long": f"UNPIVOT (SELECT origin, horizon, segment, target_actual_gross_m2 AS y, {', '.join(f'{p} AS {e}' for p, e in zip(PREDS, EXPERTS, strict=True))} FROM phases WHERE phase = 'CAL') ON {', '.join(EXPERTS)} INTO NAME model VALUE pred",
 }
-ORDER = "list_position([" + ", ".join(f"'{e}'" for e in EXPERTS) + "], model)"
 
-
-def gate(source: str, by: str, rows: int = 200) -> str:
+def gate(source: str, by: str, rows: int, allowed: dict[str, tuple[str, ...]], sources: tuple[str, str]) -> str:
     """SELECT text of the chosen experts; source has horizon, segment, y, model and pred, by is empty or ends in a comma."""
     k = by.rstrip(", ")
     on = f"{k}, " if k else ""
-    score = lambda keys: f"SELECT {keys}, arg_min(model, (round(w, 12), {ORDER})) AS e FROM (SELECT {keys}, model, sum(abs(y - greatest(pred, 0))) / nullif(sum(abs(y)), 0) AS w FROM {source} GROUP BY {keys}, model) WHERE w IS NOT NULL GROUP BY {keys}"
-    return f"""SELECT {on}horizon, segment, n_rows, CASE WHEN n_rows < {rows} OR a.e IS NULL THEN b.e ELSE a.e END AS expert, CASE WHEN n_rows < {rows} OR a.e IS NULL THEN 'HORIZON_FALLBACK' ELSE 'SEGMENT' END AS gate_source
-      FROM (SELECT {on}horizon, segment, count(*) AS n_rows FROM {source} WHERE model = 'soft' GROUP BY ALL) s LEFT JOIN ({score(f'{on}horizon, segment')}) a USING ({on}horizon, segment) LEFT JOIN ({score(f'{on}horizon')}) b USING ({on}horizon)"""
+    may = ", ".join(f"('{s}', '{e}', {i})" for s, of in allowed.items() for i, e in enumerate(of))
+    return f"""WITH s AS (SELECT {on}horizon, segment, count(*) AS n_rows FROM {source} WHERE model = 'soft' GROUP BY ALL),
+      rows_of AS (SELECT {', '.join(f's.{x}' for x in (*([k] if k else []), 'horizon', 'segment', 'n_rows'))}, m.model, m.place, l.y, l.pred FROM s JOIN (VALUES {may}) m(segment, model, place) USING (segment)
+        JOIN {source} l ON {f'l.{k} = s.{k} AND ' if k else ''}l.horizon = s.horizon AND l.model = m.model AND (s.n_rows < {rows} OR l.segment = s.segment)),
+      w AS (SELECT {on}horizon, segment, n_rows, model, place, round(sum(abs(y - greatest(pred, 0))) / nullif(sum(abs(y)), 0), 12) AS w FROM rows_of GROUP BY ALL)
+      SELECT {on}horizon, segment, n_rows, (arg_min({{'model': model}}, (w, place)) FILTER (w IS NOT NULL)).model AS expert, CASE WHEN n_rows < {rows} THEN '{sources[1]}' ELSE '{sources[0]}' END AS gate_source FROM w GROUP BY ALL"""
 
 
 P0 = "greatest(pred, 0)"
@@ -270,11 +272,21 @@ def diagnosis(y: str, p: str) -> str:
   sum(greatest({y} - {p}, 0)) AS underforecast_sum, sum(greatest({p} - {y}, 0)) AS overforecast_sum"""
 
 
+#: What several others read is computed once.
+_ONCE = ("obs", "fact", "pair_panel", "pair_f", "states", "roll", "phases")
+
+
 def sql(last: str) -> str:
-    """The chain, as far as the last SELECT may name it, and that SELECT."""
-    chain = ",\n".join(f"{name} AS ({text})" for name, text in CTES.items())
+    """What the last SELECT reads of the chain, directly or through others, and that SELECT."""
+    names = {name.split("(")[0]: name for name in CTES}
+    reads = lambda text: {n for n in names if re.search(rf"\b{n}\b", text)}
+    needed, new = set(), reads(last)
+    while new:
+        needed |= new
+        new = set().union(*(reads(CTES[names[n]]) for n in new)) - needed
+    chain = ",\n".join(f"{name} AS {'MATERIALIZED ' if short in _ONCE else ''}({CTES[name]})" for short, name in names.items() if short in needed)
     # a last SELECT may have expressions of its own
-    return f"WITH {chain}\nSELECT * FROM ({last})"
+    return f"WITH {chain}\nSELECT * FROM ({last})" if chain else f"SELECT * FROM ({last})"
 
 
 def rounded(last: str, columns: list[str]) -> str:

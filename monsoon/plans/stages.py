@@ -118,7 +118,7 @@ class Demand:
     @cached_property
     def calibration_choices(self) -> DataFrame:
         """The expert of each origin, horizon and segment, chosen on calibration rows only."""
-        cal = self.phases.where("phase = 'CAL'")
+        cal = supervise.origin_phases(self.rolling, self.origins, ["CAL"])
         return gate.gates_by_origin(cal, baselines.EXPERTS)
 
 

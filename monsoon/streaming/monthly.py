@@ -12,15 +12,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 KEYS = ["bravo_sku", "branch_code", "unit"]
+#: The mark of event time in a column's metadata, with the delay.
+_DELAY = "spark.watermarkDelayMs"
 
 
 def monthly(events: DataFrame, late: str = "3 days") -> DataFrame:
-    """Sums by item, branch, unit and month of event_time; Spark has no windows of months, so the month's first instant is
-    the event time that the state and the watermark use."""
-    month = events.withColumn("month_time", F.date_trunc("month", "event_time")).withWatermark("month_time", late)
-    return month.groupBy(*KEYS, F.window("month_time", "1 day").alias("w")).agg(F.sum("quantity").alias("total_quantity"), F.sum("amount").alias("total_amount"), F.count("*").alias("line_count")).select(
-        *KEYS, F.to_date("w.start").alias("month"), "total_quantity", "total_amount", "line_count"
-    )
+    """Sums by item, branch, unit and month of event_time.
+
+    The watermark runs on the events' own time.  Spark has no windows of months; the month's end is marked as what the state
+    compares with that watermark, so a month stays open, for late events too, until the watermark has passed its end.
+    """
+    timed = events.withWatermark("event_time", late)
+    delay = next(f.metadata[_DELAY] for f in timed.schema if f.name == "event_time")
+    end = F.date_trunc("month", F.add_months("event_time", 1)).alias("month_end", metadata={_DELAY: delay})
+    sums = timed.select(*KEYS, end, "quantity", "amount").groupBy(*KEYS, "month_end")
+    sums = sums.agg(F.sum("quantity").alias("total_quantity"), F.sum("amount").alias("total_amount"), F.count("*").alias("line_count"))
+    return sums.select(*KEYS, F.add_months("month_end", -1).alias("month"), "total_quantity", "total_amount", "line_count")
 
 
 def start(events: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], late: str = "3 days") -> StreamingQuery:

@@ -42,7 +42,7 @@ def test_a_small_segment_takes_its_horizons_expert(spark):
     rows = [(1, "regular", 10.0, 10.0, 0.0)] * 5 + [(1, "very_sparse", 10.0, 0.0, 10.0)] * 2
     df = spark.createDataFrame(rows, "horizon int, segment string, target_actual_gross_m2 double, pred_a double, pred_b double")
     found = {r.segment: (r.expert, r.gate_source) for r in gate.gate(df, ["a", "b"], gate.Behaviour(min_rows=3)).collect()}
-    assert found == {"regular": ("a", "SEGMENT"), "very_sparse": ("a", "HORIZON_FALLBACK")}
+    assert found == {"regular": ("a", "SEGMENT_PRIMARY"), "very_sparse": ("a", "HORIZON_PRIMARY_FALLBACK")}
     gated = gate.apply_gate(df, gate.gate(df, ["a", "b"], gate.Behaviour(min_rows=1)), ["a", "b"])
     assert [r.pred_gated for r in gated.select("pred_gated").distinct().collect()] == [10.0]
 
@@ -56,9 +56,9 @@ def test_thresholds_can_give_exact_zeros_and_prefer_the_largest(spark):
 def test_demand_events_and_rounding(spark):
     rows = [(0.0, 3, 0, 10.0), (10.0, 0, None, None), (20.0, 2, 6, 10.0), (30.0, 2, 3, 10.0), (40.0, 2, 1, 10.0), (300.0, 3, 0, 100.0), (200.0, 3, 0, 100.0), (100.0, 3, 0, 100.0)]
     df = spark.createDataFrame(rows, "target_actual_gross_m2 double, pair_positive_count_to_origin bigint, months_since_last_positive int, pair_mean_positive_m2_to_origin double")
-    assert [r[0] for r in df.select(diagnose.demand_event()).collect()] == ["actual_zero", "first_positive_known_pair", "reactivation_6m_plus", "reactivation_3_5m", "reactivation_1_2m", "spike_3x_plus", "spike_2x_3x", "ongoing_positive"]
+    assert [r[0] for r in df.select(diagnose.demand_event()).collect()] == ["actual_zero", "first_positive_known_pair", "reactivation_gap_6plus", "reactivation_gap_3_5", "reactivation_gap_1_2", "spike_3x_plus", "spike_2x_3x", "ongoing_positive"]
     values = spark.createDataFrame([(x,) for x in (0.1, 0.49, 0.5, 1.49, 1.5)], "x double")
-    assert [r[0] for r in values.select(diagnose.rounded(F.col("x"), "half_up")).collect()] == [0, 0, 1, 1, 2]
+    assert [r[0] for r in values.select(diagnose.rounded(F.col("x"), "round_nearest_1m2")).collect()] == [0, 0, 1, 1, 2]
 
 
 def test_phases_are_honest(spark):
@@ -95,7 +95,7 @@ def test_alignment_raises(spark):
 def test_screen(spark):
     df = spark.createDataFrame([(i, float(i % 7) if i % 5 else None, 1.0, None if i else 1.0) for i in range(40)], "id int, a double, const double, sparse double").withColumn("b", F.col("a"))
     found = {r.feature_name: (r.static_status, r.duplicate_of) for r in select.static_screen(df, ["a", "b", "const", "sparse"], ["id"]).collect()}
-    assert found == {"a": ("KEEP", None), "b": ("DROP_DUPLICATE", "a"), "const": ("DROP_CONSTANT", None), "sparse": ("DROP_MISSING", None)}
+    assert found == {"a": ("PASS_STATIC", None), "b": ("DROP_EXACT_DUPLICATE", "a"), "const": ("DROP_CONSTANT", None), "sparse": ("DROP_MISSING_RATE", None)}
     perm = spark.createDataFrame([("ALL", "horizon", -0.1), ("ALL", "x", 0.1), ("h1", "y", 0.01), ("ALL", "z", 0.0)], "scope string, feature_name string, importance_wape_mean double")
     reasons = {r.feature_name: r.reason for r in select.choose_features(perm, select.Screen(min_selected=1)).collect()}
     assert reasons == {"horizon": "MANDATORY_FOR_POOLED", "x": "PERMUTATION_IMPORTANCE", "y": "PERMUTATION_IMPORTANCE", "z": "NOT_SELECTED"}

@@ -86,3 +86,18 @@ def test_stream_gives_closed_months_once(spark, tmp_path):
     monthly.start(source, f"file://{tmp_path}/c", lambda df, _: got.extend(df.collect())).awaitTermination()
     closed = {str(r.month): (r.total_quantity, r.line_count) for r in got}
     assert closed == {"2025-01-01": (2.0, 2), "2025-02-01": (1.0, 1)}
+
+
+def test_late_events_of_a_month_still_count(spark, tmp_path):
+    schema = "bravo_sku string, branch_code string, unit string, event_time timestamp, quantity double, amount double"
+    got = []
+    for batch, (month, day, quantity) in enumerate([(1, 5, 1.0), (2, 1, 10.0), (2, 1, 10.0), (1, 31, 100.0), (2, 20, 10.0), (1, 30, 7.0), (3, 20, 1.0), (3, 20, 1.0)]):
+        row = [("a", "1", "M2", dt.datetime(2025, month, day), quantity, 2.0)]
+        spark.createDataFrame(row, schema).write.mode("append").parquet(f"file://{tmp_path}/e{batch}")
+        (tmp_path / "e").mkdir(exist_ok=True)
+        for part in (tmp_path / f"e{batch}").glob("*.parquet"):
+            part.rename(tmp_path / "e" / f"{batch}-{part.name}")
+        source = spark.readStream.schema(schema).parquet(f"file://{tmp_path}/e")
+        monthly.start(source, f"file://{tmp_path}/c", lambda df, _: got.extend(df.collect())).awaitTermination()
+    # 31 January comes after 1 February and counts; 30 January comes when the watermark has passed January's end
+    assert [(str(r.month), r.total_quantity) for r in got] == [("2025-01-01", 101.0), ("2025-02-01", 30.0)]
