@@ -43,7 +43,7 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.parquet(path, compression="zstd")
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, df_or_path) -> None:
