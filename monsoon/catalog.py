@@ -359,6 +359,7 @@ def _control() -> None:
 
     query("two_part_forecast")(lambda d: _two_part(d, ml, supervise)[1])
     query("hurdle_forecast")(lambda d: _hurdle(d, ml, supervise, gate))
+    query("prospective_forecast")(lambda d: _prospective_fit(d, ml, supervise, vintage))
     soft = "SELECT f.*, h, coalesce(pair_positive_rate_to_origin, 0) AS p, coalesce(pair_mean_positive_m2_to_origin, 0) AS q FROM pair_f f, (VALUES (1), (2), (3)) x(h) WHERE f.month = DATE '2001-11-01' AND base_current_active AND branch_current_active"
     query("forecast_summary", f"SELECT h::INTEGER AS horizon, count(*) AS n_rows, count(DISTINCT base_sku) AS n_sku, count(DISTINCT branch_code) AS n_branch, sum(p * q) AS forecast_sum, avg(p * q) AS forecast_mean, avg(p) AS mean_p, avg(q) AS mean_q FROM ({soft}) GROUP BY 1", ("forecast_sum", "forecast_mean", "mean_p", "mean_q"))(
         lambda d: vintage.forecast_summary(_vintage(d, vintage, supervise, baselines))
@@ -442,11 +443,26 @@ def _vintage(d: Demand, vintage, supervise, baselines) -> DataFrame:
     return vintage.forecast_frame(frame.withColumns({"p_positive": p, "q_positive": q, "pred_soft": baselines.soft_expected(p, q)}), "pred_soft")
 
 
+#: Trees of the registered model queries; the operator's own default is larger.
+TREES, DEPTH = 5, 3
+
+
 def _two_part(d: Demand, ml, supervise):
-    parts = supervise.fit_calibration(d.rolling.where("horizon = 1").drop("p_positive", "q_positive"), d.calendar.validation_origin)
-    model = ml.fit_two_part(parts["FIT"].where("target_month >= date'2000-01-01'"), parts["CAL"], ml.TwoPart(max_trees=5, depth=3, min_fit_positive=20, min_cal_positive=5))
-    ahead = d.rolling.where("horizon = 1").drop("p_positive", "q_positive").where((F.col("forecast_origin") == F.lit(d.calendar.validation_origin).cast("date")) & supervise.primary())
-    return model, model.transform(ahead).select(*PAIR, "forecast_origin", "target_month", "horizon", "target_actual_gross_m2", "p_positive", "q_positive", "pred_two_part")
+    """Direct models of all horizons at the validation origin, and what they say of its primary rows."""
+    rows = d.rolling.drop("p_positive", "q_positive")
+    parts = supervise.fit_calibration(rows, d.calendar.validation_origin)
+    models = ml.fit_horizons(parts["FIT"], parts["CAL"], conf=ml.TwoPart(max_trees=TREES, depth=DEPTH, min_fit_positive=20, min_cal_positive=5))
+    ahead = rows.where((F.col("forecast_origin") == F.lit(d.calendar.validation_origin).cast("date")) & supervise.primary())
+    return models, models.transform(ahead).select(*PAIR, "forecast_origin", "target_month", "horizon", "target_actual_gross_m2", "p_positive", "q_positive", "pred_two_part")
+
+
+def _prospective_fit(d: Demand, ml, supervise, vintage) -> DataFrame:
+    """The locked forecast's frame from models of all horizons, fitted on what is known at the panel's end."""
+    end = d.calendar.panel_end
+    parts = supervise.fit_calibration(d.rolling.drop("p_positive", "q_positive"), end)
+    models = ml.fit_horizons(parts["FIT"], parts["CAL"], conf=ml.TwoPart(max_trees=TREES, depth=DEPTH, min_fit_positive=20, min_cal_positive=5))
+    frame = models.transform(supervise.prospective(d.pair_origin, d.target_calendar, end))
+    return vintage.forecast_frame(frame, "pred_two_part")
 
 
 def _hurdle(d: Demand, ml, supervise, gate) -> DataFrame:
@@ -464,7 +480,7 @@ def _screening(d: Demand, select) -> tuple[DataFrame, DataFrame, list[str]]:
 def _importance(d: Demand, select) -> DataFrame:
     train, test, columns = _screening(d, select)
     model = select.screening_model(train, columns, [], "target_actual_gross_m2", 5)
-    return select.permutation_table(test, columns[:2], model, "target_actual_gross_m2", {"ALL": "true", "h1": "horizon = 1"}, 1)
+    return select.permutation_table(test, columns, model, "target_actual_gross_m2", {"ALL": "true", **{f"h{h}": f"horizon = {h}" for h in (1, 2, 3)}})
 
 
 def _ablation(d: Demand, select) -> DataFrame:

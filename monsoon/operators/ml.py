@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monsoon.operators.baselines import soft_expected
@@ -52,8 +53,8 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
 @dataclass
 class TwoPartModel:
     conf: TwoPart
-    occurrence: GBTClassifier
-    quantity: GBTRegressor
+    occurrence: GBTClassificationModel
+    quantity: GBTRegressionModel
     smearing: float
     audit: dict = field(default_factory=dict)
 
@@ -69,9 +70,18 @@ class TwoPartModel:
         return out.withColumnsRenamed({"_p": "p_positive", "_q": "q_positive"}).withColumn("pred_two_part", soft_expected(F.col("p_positive"), F.col("q_positive")))
 
     def save(self, path: str) -> None:
-        """Both models under path, which must not exist."""
-        PipelineModel(stages=[self.occurrence]).write().save(f"{path}/occurrence")
-        PipelineModel(stages=[self.quantity]).write().save(f"{path}/quantity")
+        """Both models, the smearing factor, the configuration and the audit under path, which must not exist."""
+        self.occurrence.write().save(f"{path}/occurrence")
+        self.quantity.write().save(f"{path}/quantity")
+        rest = json.dumps({"conf": asdict(self.conf), "smearing": self.smearing, "audit": self.audit}, sort_keys=True)
+        SparkSession.getActiveSession().createDataFrame([(rest,)], "value string").coalesce(1).write.text(f"{path}/rest")
+
+    @staticmethod
+    def load(path: str) -> TwoPartModel:
+        """What save() has written."""
+        rest = json.loads(SparkSession.getActiveSession().read.text(f"{path}/rest").first().value)
+        conf = TwoPart(**rest["conf"] | {"features": tuple(rest["conf"]["features"])})
+        return TwoPartModel(conf, GBTClassificationModel.load(f"{path}/occurrence"), GBTRegressionModel.load(f"{path}/quantity"), rest["smearing"], rest["audit"])
 
 
 def fit_two_part(fit: DataFrame, cal: DataFrame, conf: TwoPart = TwoPart()) -> TwoPartModel:  # noqa: B008
@@ -97,6 +107,35 @@ def fit_two_part(fit: DataFrame, cal: DataFrame, conf: TwoPart = TwoPart()) -> T
     return TwoPartModel(conf, occurrence, quantity, float(smear or 1.0), {"trees_occurrence": n_p, "trees_quantity": n_q, "positive_fit": counts.get(False, 0), "positive_cal": counts.get(True, 0)})
 
 
+@dataclass
+class HorizonModels:
+    """A two-part model for each horizon."""
+
+    models: dict[int, TwoPartModel]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """df with the predictions of its horizon's model; rows of other horizons go."""
+        return reduce(DataFrame.unionByName, [m.transform(df.where(F.col("horizon") == h)) for h, m in self.models.items()])
+
+    def save(self, path: str) -> None:
+        for h, model in self.models.items():
+            model.save(f"{path}/h{h}")
+
+    @staticmethod
+    def load(path: str, horizons: Sequence[int]) -> HorizonModels:
+        return HorizonModels({h: TwoPartModel.load(f"{path}/h{h}") for h in horizons})
+
+    def audit(self, spark: SparkSession) -> DataFrame:
+        """horizon, trees of both parts, positive rows of both phases, smearing."""
+        rows = [(h, *(m.audit[k] for k in ("trees_occurrence", "trees_quantity", "positive_fit", "positive_cal")), m.smearing) for h, m in self.models.items()]
+        return spark.createDataFrame(rows, "horizon int, trees_occurrence int, trees_quantity int, positive_fit long, positive_cal long, smearing double")
+
+
+def fit_horizons(fit: DataFrame, cal: DataFrame, horizons: Sequence[int] = (1, 2, 3), conf: TwoPart = TwoPart()) -> HorizonModels:  # noqa: B008
+    """A direct model for each horizon, from its rows of both phases."""
+    return HorizonModels({h: fit_two_part(fit.where(F.col("horizon") == h), cal.where(F.col("horizon") == h), conf) for h in horizons})
+
+
 def hurdle_prediction(df: DataFrame, choice: DataFrame) -> DataFrame:
     """pred_hurdle: zero below the horizon's threshold; choice is threshold_choice's small table."""
     return df.join(F.broadcast(choice.select("horizon", "threshold")), "horizon", "left").withColumn("pred_hurdle", hurdle(F.col("p_positive"), F.col("q_positive"), F.coalesce("threshold", F.lit(0.0))))

@@ -104,3 +104,39 @@ def test_screen(spark):
 
 def test_leaking_columns():
     assert validate.leaking(["pair_lag_1", "net_m2", "future_target"], parts=("target",)) == ["future_target", "net_m2"]
+
+
+def test_models_by_horizon_are_saved_and_loaded(spark, tmp_path):
+    from monsoon.operators import ml
+
+    # demand is 10 x horizon for pairs with a positive last month, none for others
+    rows = [(f"p{i}", h, phase, float(i % 2), 10.0 * h * (i % 2), D(2025, 1, 1)) for i in range(120) for h in (1, 2, 3) for phase in ("FIT", "CAL")]
+    df = spark.createDataFrame(rows, "base_sku string, horizon int, phase string, pair_lag_1 double, target_actual_gross_m2 double, target_month date")
+    conf = ml.TwoPart(features=("pair_lag_1",), max_trees=3, depth=2, min_fit_positive=10, min_cal_positive=10)
+    models = ml.fit_horizons(df.where("phase = 'FIT'"), df.where("phase = 'CAL'"), conf=conf)
+    models.save(f"file://{tmp_path}/m")
+    again = ml.HorizonModels.load(f"file://{tmp_path}/m", (1, 2, 3))
+    asked = df.where("phase = 'CAL'")
+    one, two = (sorted((r.base_sku, r.horizon, r.p_positive, r.q_positive, r.pred_two_part) for r in m.transform(asked).collect()) for m in (models, again))
+    assert one == two and again.models[2].conf == conf and again.models[2].audit == models.models[2].audit
+    for sku, h, p, q, forecast in one:
+        assert forecast == pytest.approx(p * q) and q == pytest.approx(10 * h, rel=1e-3) and (p > 0.7) == (int(sku[1:]) % 2 == 1)
+    assert models.audit(spark).count() == 3
+    with pytest.raises(DataError, match="too few"):
+        ml.fit_horizons(df.where("phase = 'FIT'"), df.where("false"), conf=conf)
+
+
+def test_capped_samples_are_exact_and_in_proportion(spark):
+    rows = [(i, "a" if i % 3 else "b" if i % 2 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, s string")
+    got = select.capped_sample(df, ["s"], ["k"], 100)
+    assert got.columns == ["k", "s"] and sorted((r.s or "", r["count"]) for r in got.groupBy("s").count().collect()) == [("", 17), ("a", 67), ("b", 16)]
+    assert sorted(r.k for r in got.collect()) == sorted(r.k for r in select.capped_sample(df.repartition(7), ["s"], ["k"], 100).collect())
+    assert select.capped_sample(df, ["s"], ["k"], 5000).count() == 3000 and select.capped_sample(df.where("false"), ["s"], ["k"], 5).count() == 0
+
+
+def test_a_segment_only_uses_its_own_experts(spark):
+    rows = [(1, s, 10.0, 10.0, 4.0) for s in ("regular", "very_sparse") for _ in range(5)]
+    df = spark.createDataFrame(rows, "horizon int, segment string, target_actual_gross_m2 double, pred_a double, pred_b double")
+    found = gate.gate(df, ["a", "b"], gate.Behaviour(min_rows=3), allowed={"regular": ("a", "b"), "very_sparse": ("b",)})
+    assert {r.segment: r.expert for r in found.collect()} == {"regular": "a", "very_sparse": "b"}
