@@ -20,14 +20,16 @@ def intermittent_states(panel: DataFrame, alpha: float = 0.1, beta: float = 0.1,
 
     The recursions have closed forms in running sums: with n the index among available months and k among positive ones, an
     exponentially smoothed value is (1 - a)^k times the running sum of a (1 - a)^-i x_i (the first without its factor a).  So
-    one window order serves all, with no fold and no grouped Python.
+    one window order serves all, with no fold and no grouped Python.  Columns in keep stay beside the states, so that features
+    over the same windows need no join.
     """
     w = Window.partitionBy(*PAIR).orderBy("month")
     run, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
     y = F.col("actual_gross_m2")
     positive = F.col("target_available") & (y > 0)
     a, b = F.lit(1 - alpha), F.lit(1 - beta)
-    df = panel.select(*PAIR, "month", "target_available", "actual_gross_m2", *keep).withColumns({
+    read = dict.fromkeys([*PAIR, "month", "target_available", "actual_gross_m2", *keep])
+    df = panel.select(*read).withColumns({
         "_n": F.count_if("target_available").over(run), "_k": F.count_if(F.coalesce(positive, F.lit(False))).over(run), "_pos": F.coalesce(positive, F.lit(False)),
     })
     df = df.withColumn("_gap", F.col("_n") - F.coalesce(F.max(F.when(F.col("_pos"), F.col("_n"))).over(before), F.lit(0)))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -60,23 +62,41 @@ def static_screen(df: DataFrame, columns: Sequence[str], keys: Sequence[str], co
 
 
 def correlations(df: DataFrame, columns: Sequence[str], least: float = 0.995) -> DataFrame:
-    """Pairs of columns whose Pearson correlation, over rows with both, is at least `least` in size; constants have none."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, correlation double")
-    out = None
-    for at in range(0, len(pairs), 40):
-        part = pairs[at : at + 40]
-
-        def corr(a: str, b: str):
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-            return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+    """Pairs of columns whose Pearson correlation, over rows with both, is at least `least` in size; constants have none.
 
-        wide = df.agg(*[corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(part)])
-        rows = wide.select(F.explode(F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("correlation")) for i, (a, b) in enumerate(part)])).alias("r")).select("r.*")
-        out = rows if out is None else out.unionByName(rows)
-    return out.where(F.abs("correlation") >= least)
+    One pass for the columns' means, which keep the sums small, and one for all pairs: a matrix product per Arrow batch gives
+    every pair's counts, sums and products, and a task sends each pair once.  Nulls and NaN count as missing.
+    """
+    schema = "feature_a string, feature_b string, correlation double"
+    columns = list(columns)
+    k = len(columns)
+    if k < 2:
+        return df.sparkSession.createDataFrame([], schema)
+    values = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"c{i}") for i, c in enumerate(columns)])
+    means = [m or 0.0 for m in values.agg(*[F.avg(c).alias(c) for c in values.columns]).first()]
+    centre = np.array(means)
+    upper = np.triu_indices(k, 1)
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, len(upper[0])))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            has = ~np.isnan(x)
+            x, m = np.where(has, x - centre, 0.0), has.astype(float)
+            # rows are a's side, columns b's
+            for at, (left, right) in enumerate(((m, m), (x, m), (m, x), (x * x, m), (m, x * x), (x, x))):
+                sums[at] += (left.T @ right)[upper]
+        yield pa.RecordBatch.from_arrays([pa.array(upper[0], pa.int32()), pa.array(upper[1], pa.int32()), *[pa.array(s) for s in sums]], names=["a", "b", "n", "sa", "sb", "saa", "sbb", "sab"])
+
+    parts = values.mapInArrow(moments, "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double")
+    s = parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    n = F.col("n")
+    va, vb, cov = F.col("saa") - F.col("sa") * F.col("sa") / n, F.col("sbb") - F.col("sb") * F.col("sb") / n, F.col("sab") - F.col("sa") * F.col("sb") / n
+    # what rounding leaves of a constant column is no variance
+    varies = (va > 1e-12 * F.col("saa")) & (vb > 1e-12 * F.col("sbb"))
+    name = lambda c: F.element_at(F.array(*[F.lit(x) for x in columns]), F.col(c) + 1)
+    found = s.where(n > 0).select(name("a").alias("feature_a"), name("b").alias("feature_b"), F.when(varies, cov / F.sqrt(va * vb)).alias("correlation"))
+    return found.where(F.abs("correlation") >= least)
 
 
 def capped_sample(df: DataFrame, strata: Sequence[str], keys: Sequence[str], max_rows: int, seed: int = 42) -> DataFrame:

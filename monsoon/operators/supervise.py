@@ -78,10 +78,9 @@ def rolling_origins(spark: SparkSession, first: str, last: str, frozen_start: st
     return months.where(F.add_months("origin", longest) < F.lit(frozen_start).cast("date"))
 
 
-def rolling_panel(origin: DataFrame, states: DataFrame, calendar: DataFrame, frozen_start: str) -> DataFrame:
-    """The supervised panel of the backtest: every origin and horizon before the frozen period, with intermittent states."""
-    keyed = origin.join(states, ["base_sku", "branch_code", "month"], "left").na.fill(0.0, ["pred_croston_sba", "pred_tsb"])
-    rows = expand(keyed, ["base_sku", "branch_code"], PAIR_TARGETS)
+def rolling_panel(origin: DataFrame, calendar: DataFrame, frozen_start: str) -> DataFrame:
+    """The supervised panel of the backtest: every origin and horizon before the frozen period."""
+    rows = expand(origin, ["base_sku", "branch_code"], PAIR_TARGETS)
     return with_calendar(rows.where((F.col("target_month") < F.lit(frozen_start).cast("date")) & F.col("target_available").isNotNull()), calendar)
 
 

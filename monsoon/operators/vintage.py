@@ -38,15 +38,22 @@ def safety(forecast: DataFrame, origin: str, horizons: Sequence[int] = (1, 2, 3)
     return row
 
 
-def lock(forecast: DataFrame, root: str | Path, run_id: str, origin: str, now: dt.datetime | None = None) -> Path:
-    """Writes a forecast once, with its summary, digest and safety; raises before writing if a check fails."""
+def lock(forecast: DataFrame, root: str | Path, run_id: str, origin: str, now: dt.datetime | None = None, table: str | None = None) -> Path:
+    """Writes a forecast once, with its summary, digest and safety, all of what was written; raises if a check fails.
+
+    The forecast goes to `table`, a path that every executor reaches (on a cluster, one of a shared file system); by default
+    to the run's folder.  The run's folder, with the manifest that makes the run a finished one, is the driver's.
+    """
+    run = new_run(root, run_id)
+    path = table or f"file://{run.resolve()}/forecast"
+    write_parquet(forecast, path)
+    forecast = forecast.sparkSession.read.parquet(path)
     checks = safety(forecast, origin)
     if not all(checks.values()):
+        # without a manifest the run never counts as finished
         raise DataError(f"unsafe forecast: {[k for k, v in checks.items() if not v]}")
-    run = new_run(root, run_id)
-    write_parquet(forecast, f"file://{run.resolve()}/forecast")
     digest = content_digest(forecast, KEYS + ["forecast_m2"]).first()
-    manifest(run, origin=origin, locked_at=now or dt.datetime.now(dt.UTC), rows=digest.n_rows, digest=digest.digest, safety=checks, summary=[r.asDict() for r in forecast_summary(forecast).collect()])
+    manifest(run, origin=origin, table=path, locked_at=now or dt.datetime.now(dt.UTC), rows=digest.n_rows, digest=digest.digest, safety=checks, summary=[r.asDict() for r in forecast_summary(forecast).collect()])
     return run
 
 

@@ -101,8 +101,9 @@ class Demand:
             "current_production_forecast_mask": F.coalesce(F.col("base_current_active") & F.col("branch_current_active"), F.lit(False)), "known_pair_asof_origin": F.lit(True),
         })
         own = [c for c in known.columns if c.startswith("pair_")]
-        known = known.select("base_sku", "branch_code", "month", "current_production_forecast_mask", "known_pair_asof_origin", "months_since_last_positive", *own, *TARGETS)
-        rows = supervise.rolling_panel(known, self.states, self.target_calendar, self.calendar.frozen_start)
+        # features and states are windows of one partitioning and order: one exchange and one sort for both
+        known = baselines.intermittent_states(known, keep=("current_production_forecast_mask", "known_pair_asof_origin", "months_since_last_positive", *own, *TARGETS))
+        rows = supervise.rolling_panel(known, self.target_calendar, self.calendar.frozen_start)
         return baselines.predictions(rows).withColumns({"segment": gate.behaviour_segment(), "event": diagnose.demand_event()})
 
     @cached_property
