@@ -26,19 +26,24 @@ class Screen:
     mandatory: tuple[str, ...] = ("horizon",)
     correlation: float = 0.995
     max_rows: int = 180_000
-    chunk: int = 20
     seed: int = 42
 
 
-def column_profile(df: DataFrame, columns: Sequence[str], chunk: int = 20) -> DataFrame:
-    """missing_rate and n_unique of each column, some columns a pass so that generated code stays small."""
-    out = None
-    for at in range(0, len(columns), chunk):
-        part = columns[at : at + chunk]
-        wide = df.agg(*[x for c in part for x in (F.avg(F.col(c).isNull().cast("double")).alias(f"m_{c}"), F.countDistinct(c).alias(f"u_{c}"))])
-        rows = wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature_name"), F.col(f"m_{c}").alias("missing_rate"), F.col(f"u_{c}").alias("n_unique")) for c in part])).alias("r")).select("r.*")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """missing_rate and n_unique of each column, in one pass over df.
+
+    Rows become (column, value) and are counted by value before any exchange, so what moves is a row for each distinct
+    value of a task.  Of an empty frame missing_rate is null.
+    """
+    kinds, columns = dict(df.dtypes), list(columns)
+    real = {c for c in columns if kinds[c] in ("double", "float")}
+    cell = lambda i, c: F.struct(F.lit(i).alias("i"), (F.col(c).cast("double") if c in real else F.lit(None).cast("double")).alias("d"), (F.lit(None).cast("string") if c in real else F.col(c).cast("string")).alias("s"))
+    values = df.select(F.explode(F.array(*[cell(i, c) for i, c in enumerate(columns)])).alias("v")).groupBy("v.i", "v.d", "v.s").agg(F.count("*").alias("n"))
+    none = F.col("d").isNull() & F.col("s").isNull()
+    facts = values.groupBy("i").agg((F.coalesce(F.sum(F.when(none, F.col("n"))), F.lit(0)) / F.sum("n")).alias("missing_rate"), F.count_if(~none).alias("n_unique"))
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "i int, feature_name string")
+    # a row for each column
+    return names.join(F.broadcast(facts), "i", "left").select("feature_name", "missing_rate", F.coalesce("n_unique", F.lit(0).cast("long")).alias("n_unique"))
 
 
 def duplicate_map(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -56,7 +61,7 @@ def duplicate_map(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) ->
 
 def static_screen(df: DataFrame, columns: Sequence[str], keys: Sequence[str], conf: Screen = Screen()) -> DataFrame:  # noqa: B008
     """Why each column is dropped before any model: missing, constant or an exact duplicate; else it passes."""
-    joined = column_profile(df, columns, conf.chunk).join(duplicate_map(df, columns, keys), "feature_name", "left")
+    joined = column_profile(df, columns).join(duplicate_map(df, columns, keys), "feature_name", "left")
     status = F.when(F.col("missing_rate") > conf.max_missing, "DROP_MISSING_RATE").when(F.col("n_unique") <= 1, "DROP_CONSTANT").when(F.col("duplicate_of").isNotNull(), "DROP_EXACT_DUPLICATE").otherwise("PASS_STATIC")
     return joined.withColumn("static_status", status)
 
@@ -135,7 +140,7 @@ def permutation_table(df: DataFrame, features: Sequence[str], predict, y: str, s
     spark, rows = df.sparkSession, []
     number = lambda s: F.row_number().over(Window.orderBy(F.xxhash64("_row", F.lit(s))))  # noqa: E731  over a capped sample
     base = df.withColumn("_row", F.monotonically_increasing_id()).persist()
-    score = lambda d: {k: d.where(w).agg(wape(F.col(y), F.col("prediction")).alias("w")).first().w for k, w in scopes.items()}
+    score = lambda d: d.agg(*[wape(F.when(F.expr(w), F.col(y)), F.when(F.expr(w), F.col("prediction"))).alias(k) for k, w in scopes.items()]).first().asDict()
     before = score(predict(base))
     for feature in features:
         found: dict[str, list[float]] = {k: [] for k in scopes}
@@ -154,13 +159,13 @@ def permutation_table(df: DataFrame, features: Sequence[str], predict, y: str, s
 
 
 def screening_model(df: DataFrame, numeric: Sequence[str], categories: Sequence[str], y: str, trees: int = 20):
-    """A boosted-tree pipeline with one-hot categories; nulls are a value of their own."""
-    filled = [F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in numeric]
-    prepare = lambda d: d.withColumns({c: f for c, f in zip(numeric, filled, strict=True)}).na.fill("", list(categories))
-    stages = [x for c in categories for x in (StringIndexer(inputCol=c, outputCol=f"{c}_i", handleInvalid="keep"), OneHotEncoder(inputCol=f"{c}_i", outputCol=f"{c}_o"))]
-    assembler = VectorAssembler(inputCols=[*numeric, *[f"{c}_o" for c in categories]], outputCol="_x", handleInvalid="keep")
-    model = Pipeline(stages=[*stages, assembler, GBTRegressor(featuresCol="_x", labelCol=y, maxIter=trees, maxDepth=4, seed=42)]).fit(prepare(df))
-    return lambda d: model.transform(prepare(d)).withColumn("prediction", F.greatest("prediction", F.lit(0.0)))
+    """A boosted-tree pipeline with one-hot categories; nulls are a value of their own.  The frame's columns stay as they are."""
+    values = {f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in numeric} | {f"_s_{c}": F.coalesce(F.col(c).cast("string"), F.lit("")) for c in categories}
+    prepare = lambda d: d.withColumns(values)
+    stages = [x for c in categories for x in (StringIndexer(inputCol=f"_s_{c}", outputCol=f"_i_{c}", handleInvalid="keep"), OneHotEncoder(inputCol=f"_i_{c}", outputCol=f"_o_{c}"))]
+    assembler = VectorAssembler(inputCols=[*[f"_x_{c}" for c in numeric], *[f"_o_{c}" for c in categories]], outputCol="_x", handleInvalid="keep")
+    model = Pipeline(stages=[*stages, assembler, GBTRegressor(featuresCol="_x", labelCol=y, predictionCol="_prediction", maxIter=trees, maxDepth=4, seed=42)]).fit(prepare(df))
+    return lambda d: model.transform(prepare(d)).select(*d.columns, F.greatest("_prediction", F.lit(0.0)).alias("prediction"))
 
 
 def family_of(feature: str, families: dict[str, Sequence[str]]) -> str:
@@ -168,13 +173,14 @@ def family_of(feature: str, families: dict[str, Sequence[str]]) -> str:
     return next((name for name, patterns in families.items() if any(feature == p or feature.startswith(p) for p in patterns)), "other")
 
 
-def family_ablation(train: DataFrame, test: DataFrame, features: Sequence[str], families: dict[str, Sequence[str]], y: str, trees: int = 10) -> DataFrame:
+def family_ablation(train: DataFrame, test: DataFrame, features: Sequence[str], families: dict[str, Sequence[str]], y: str, trees: int = 10, categories: Sequence[str] = ()) -> DataFrame:
     """WAPE lost by leaving out each family and fitting again, overall and by horizon."""
     def fit_score(columns: Sequence[str]) -> dict[str, float]:
-        scored = screening_model(train, columns, [], y, trees)(test)
+        scored = screening_model(train, [c for c in columns if c not in categories], [c for c in columns if c in categories], y, trees)(test)
         rows = scored.groupingSets([[], [F.col("horizon")]], F.col("horizon")).agg(wape(F.col(y), F.col("prediction")).alias("w")).collect()
         return {"ALL" if r.horizon is None else f"h{r.horizon}": r.w for r in rows}
 
+    features = [*features, *categories]
     whole, rows = fit_score(features), []
     for family in dict.fromkeys(family_of(f, families) for f in features):
         rest = [f for f in features if family_of(f, families) != family]

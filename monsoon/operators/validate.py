@@ -148,6 +148,22 @@ def panel_semantics(pair: DataFrame) -> DataFrame:
     return pair.groupBy("zero_semantics").agg(F.count("*").alias("n_rows"), F.count_if("target_available").alias("n_available"), F.count_if("actual_positive").alias("n_positive"), F.sum("actual_gross_m2").alias("gross_m2"))
 
 
+def panel_counts(pair: DataFrame, places: DataFrame) -> DataFrame:
+    """track, item and n: what each panel holds, and rows that would leak (which should be none)."""
+    only = F.col("actual_negative_only")
+    pairs = pair.agg(
+        F.count("*").alias("rows"), F.countDistinct(*PAIR).alias("known_pairs"), F.count_if("actual_observed").alias("actual_observed_rows"), F.count_if(~F.col("actual_observed")).alias("missing_unknown_rows"),
+        F.count_if(only).alias("negative_only_rows"), F.count_if(only & F.col("target_available")).alias("negative_only_target_available_rows"),
+        F.count_if(only & F.col("actual_gross_m2").isNotNull()).alias("negative_only_nonnull_actual_target_rows"), F.count_if(F.col("first_positive_month_to_date") > F.col("month")).alias("future_first_positive_visibility_rows"),
+    )
+    branches = places.agg(
+        F.count("*").alias("rows"), F.countDistinct("branch_code").alias("branches_with_history"), F.count_if("branch_observed").alias("observed_branch_months"), F.count_if(~F.col("branch_observed")).alias("missing_branch_months"),
+        F.count_if("branch_positive").alias("positive_branch_months"),
+    )
+    long = lambda df, track: df.unpivot([], df.columns, "item", "n").select(F.lit(track).alias("track"), "item", "n")
+    return long(pairs, "PAIR").unionByName(long(branches, "BRANCH"))
+
+
 def key_report(frames: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
     """Rows and distinct keys of each table."""
     out = None

@@ -21,6 +21,22 @@ def require_columns(df: DataFrame, columns: Sequence[str], name: str = "frame")
     return df
 
 
+def normalise_keys(df: DataFrame) -> DataFrame:
+    """Origin and target months as dates and horizons as integers, of those that df has; what is neither raises when it is read."""
+    months = {c: F.col(c).cast("date") for c in ("forecast_origin", "target_month") if c in df.columns}
+    if "horizon" not in df.columns:
+        return df.withColumns(months) if months else df
+    number = F.col("horizon").cast("string").try_cast("double")
+    whole = F.when(number == F.floor(number), number.cast("int")).otherwise(F.raise_error(F.concat(F.lit("horizon is no whole number: "), F.coalesce(F.col("horizon").cast("string"), F.lit("null")))).cast("int"))
+    return df.withColumns({**months, "horizon": whole})
+
+
+def first_known(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
+    """A value that isn't null of each column (of those that hold one value throughout, it), or None; reads no more than it must."""
+    row = lambda c: df.where(F.col(c).isNotNull()).select(c).first()
+    return {c: found[0] if c in df.columns and (found := row(c)) else None for c in columns}
+
+
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, nulls being equal, with their count."""
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
