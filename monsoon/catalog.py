@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -297,13 +298,20 @@ _evaluation()
 
 
 def _control() -> None:
-    from monsoon.operators import baselines, gate, ml, scores, select, supervise, validate, vintage
+    from monsoon.operators import baselines, gate, ml, scores, select, supervise, track, validate, vintage
     from monsoon.sources import runs
 
     query("source_profile", "SELECT unit, count(*) AS n_rows, min(month) AS min_month, max(month) AS max_month, count(DISTINCT bravo_sku) AS n_sku, count(DISTINCT branch_code) AS n_branch FROM sales GROUP BY 1")(lambda d: validate.source_profile(d.sources.sales))
-    blanks = " UNION ALL ".join(f"""SELECT 'master_sku' AS "table", '{c}' AS field, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS null_count, count(*) FILTER (trim({c}) = '') AS blank_count FROM master_sku"""
-                                for c in ("bravo_sku", "base_sku", "master_status", "product_group", "brand", "price_group", "factory_code", "pull_source", "branch_channel"))
-    query("null_blank_report", blanks)(lambda d: validate.null_blank_report(d.sources.master_sku, "master_sku"))
+    fields = {
+        "master_sku": ("master_sku", "bravo_sku base_sku master_status product_group brand price_group factory_code pull_source branch_channel"),
+        "master_channel": ("master_channel", "branch_code branch_name region brand master_status"),
+        "sales_monthly": ("sales", "bravo_sku branch_code unit month total_quantity total_amount line_count"),
+    }
+    blanks = " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS field, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS null_count, count(*) FILTER (trim({c}::VARCHAR) = '') AS blank_count FROM {of}"""
+        for t, (of, names) in fields.items() for c in names.split()
+    )
+    query("null_blank_report", blanks)(lambda d: reduce(DataFrame.unionByName, [validate.null_blank_report(getattr(d.sources, of).select(*names.split()), t) for t, (of, names) in fields.items()]))
     tables = (("sales_monthly", "sales", ["bravo_sku", "branch_code", "unit", "month"]), ("master_sku", "master_sku", ["bravo_sku"]), ("fact", "fact", [*PAIR, "month"]))
 
     def frames(d: Demand) -> list:
@@ -318,9 +326,21 @@ def _control() -> None:
     query("channel_profile", "SELECT channel_relation_snapshot, count(*) AS n_rows, sum(gross_positive_m2) AS gross_m2, sum(gross_positive_m2) / sum(sum(gross_positive_m2)) OVER () AS gross_share FROM obs WHERE row_disposition = 'MODELING_VALID' GROUP BY 1", ("gross_share",))(
         lambda d: validate.channel_profile(d.observation)
     )
-    query("attribute_conflicts", "SELECT base_sku, 'price_group' AS field, count(DISTINCT price_group) AS n_values, string_agg(DISTINCT price_group, ' | ' ORDER BY price_group) AS \"values\" FROM bridge WHERE base_sku IS NOT NULL GROUP BY 1 HAVING count(DISTINCT price_group) > 1")(
-        lambda d: validate.attribute_conflicts(d.bridge, ["price_group"])
-    )
+    attributes = ["product_group", "brand", "price_group", "factory_code", "pull_source", "branch_channel", "current_sku_status"]
+    query("attribute_conflicts", " UNION ALL ".join(
+        f"SELECT base_sku, '{c}' AS field, count(DISTINCT {c}) AS n_values, string_agg(DISTINCT {c}, ' | ' ORDER BY {c}) AS \"values\" FROM bridge WHERE base_sku IS NOT NULL GROUP BY 1 HAVING count(DISTINCT {c}) > 1" for c in attributes
+    ))(lambda d: validate.attribute_conflicts(d.bridge, attributes))
+    counts = {
+        "PAIR": ("pair_panel", {
+            "rows": "true", "actual_observed_rows": "actual_observed", "missing_unknown_rows": "NOT actual_observed", "negative_only_rows": "actual_negative_only",
+            "negative_only_target_available_rows": "actual_negative_only AND target_available", "negative_only_nonnull_actual_target_rows": "actual_negative_only AND actual_gross_m2 IS NOT NULL",
+            "future_first_positive_visibility_rows": "first_positive_month_to_date > month",
+        }),
+        "BRANCH": ("branch_panel", {"rows": "true", "observed_branch_months": "branch_observed", "missing_branch_months": "NOT branch_observed", "positive_branch_months": "branch_positive"}),
+    }
+    counted = [f"SELECT '{t}' AS track, '{n}' AS item, count(*) FILTER ({w}) AS n FROM {of}" for t, (of, items) in counts.items() for n, w in items.items()]
+    counted += ["SELECT 'PAIR', 'known_pairs', count(DISTINCT (base_sku, branch_code)) FROM pair_panel", "SELECT 'BRANCH', 'branches_with_history', count(DISTINCT branch_code) FROM branch_panel"]
+    query("panel_counts", " UNION ALL ".join(counted))(lambda d: validate.panel_counts(d.pair_panel, d.branch_panel))
     query("reconciliation", """SELECT s.*, f.*, abs(source_positive - fact_positive) <= 1e-8 AND abs(source_negative - fact_negative) <= 1e-8 AS reconciled
         FROM (SELECT sum(gross_positive_m2) AS source_positive, sum(negative_m2) AS source_negative, count(*) AS source_rows FROM obs WHERE row_disposition = 'MODELING_VALID') s, (SELECT sum(gross_positive_m2) AS fact_positive, sum(negative_m2) AS fact_negative, count(*) AS fact_rows FROM fact) f""")(
         lambda d: validate.reconciliation(d.observation, d.fact)
@@ -328,9 +348,31 @@ def _control() -> None:
     query("panel_semantics", "SELECT zero_semantics, count(*) AS n_rows, count(*) FILTER (target_available) AS n_available, count(*) FILTER (actual_positive) AS n_positive, sum(actual_gross_m2) AS gross_m2 FROM pair_panel GROUP BY 1")(lambda d: validate.panel_semantics(d.pair_panel))
     _checks(validate, vintage)
 
-    columns = ["pair_lag_1", "pair_lag_12", "pair_roll_3_mean", "pair_roll_3_sum", "pair_roll_12_std", "pair_roll_12_positive_count", "pair_history_length_months", "pair_target_available_count_to_origin", "pair_observed_source_month_count_to_origin"]
-    profile = " UNION ALL ".join(f"SELECT '{c}' AS feature_name, avg(({c} IS NULL)::INT) AS missing_rate, count(DISTINCT {c}) AS n_unique FROM pair_f" for c in (columns[0], columns[1], *columns[5:]))
-    query("feature_inventory", profile, ("missing_rate",))(lambda d: select.column_profile(_own(d), [columns[0], columns[1], *columns[5:]]))
+    lags = lambda of: [f"{of}_lag_{n}" for n in (1, 2, 3, 6, 12)]
+    rolls = lambda of, ops: [f"{of}_roll_{w}_{op}" for w in (3, 6, 12) for op in ops]
+    spread = ("mean", "sum", "std", "coverage")
+    doubles = [
+        *lags("pair"), *rolls("pair", spread), "pair_positive_rate_to_origin", "pair_mean_positive_m2_to_origin", "pair_peak_share_to_origin", "pair_adi_target_available_to_origin", "pair_cv2_positive_to_origin",
+        "pair_last_positive_m2_to_origin", "pair_peak_positive_m2_to_origin",
+    ]
+    whole = [*rolls("pair", ("target_available_count", "positive_count", "calendar_count")), *(f"pair_{c}" for c in ("history_length_months", "target_available_count_to_origin", "observed_source_month_count_to_origin", "positive_count_to_origin"))]
+    b_doubles = [*lags("branch"), *rolls("branch", spread), "branch_positive_rate_to_origin", *(f"branch_pair_{c}_lag_1" for c in ("top1_share", "top5_share", "top10_share", "hhi"))]
+    b_whole = [*rolls("branch", ("observed_count",)), "branch_history_length_months", "branch_observed_month_count_to_origin", "branch_positive_month_count_to_origin", "months_since_last_branch_positive"]
+    # doubles are profiled at six places, as sums in another order differ beyond
+    tracks = {"PAIR": ("pair_f", ["base_sku", "branch_code", "month", *whole], doubles), "BRANCH": ("branch_f", ["branch_code", "month", "region_snapshot", "branch_brand_snapshot", *b_whole], b_doubles)}
+
+    def profiled(d: Demand, name: str) -> DataFrame:
+        frame = _own(d) if name == "PAIR" else d.branch_origin
+        return frame.select(*tracks[name][1], *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in tracks[name][2]])
+
+    def described(name: str, table: str, c: str, value: str) -> str:
+        kind = track.role(c, [x for x in (*doubles, *whole, *b_doubles, *b_whole)])
+        may, timing = track.ROLES[kind]
+        return f"SELECT '{name}' AS track, '{c}' AS feature_name, '{kind}' AS role, {may} AS initial_model_candidate, '{timing}' AS timing_status, avg(({c} IS NULL)::INT) AS missing_rate, count(DISTINCT {value}) AS n_unique FROM {table}"
+
+    query("feature_inventory", " UNION ALL ".join(described(name, of, c, f"round({c} + 1e-9, 6)" if c in real else c) for name, (of, plain, real) in tracks.items() for c in (*plain, *real)), ("missing_rate",))(
+        lambda d: track.inventory({name: profiled(d, name) for name in tracks}).drop("dtype")
+    )
     query("duplicate_map", "SELECT 'copy_of_lag' AS feature_name, 'pair_lag_1' AS duplicate_of UNION ALL SELECT 'actual', 'pair_lag_1'")(
         lambda d: select.duplicate_map(_own(d).withColumns({"copy_of_lag": F.col("pair_lag_1"), "actual": F.col("actual_gross_m2")}), ["pair_lag_1", "pair_lag_12", "copy_of_lag", "actual", "pair_roll_12_positive_count"], [*PAIR, "month"])
     )
@@ -339,9 +381,10 @@ def _control() -> None:
         SELECT 'copy_of_lag', avg((pair_lag_1 IS NULL)::INT), count(DISTINCT pair_lag_1), 'pair_lag_1' FROM pair_f UNION ALL SELECT 'one', 0, 1, NULL UNION ALL SELECT 'none', 1, 0, NULL)""", ("missing_rate",))(
         lambda d: select.static_screen(_own(d).withColumns({"copy_of_lag": F.col("pair_lag_1"), "one": F.lit(1), "none": F.lit(None).cast("double")}), ["pair_lag_1", "copy_of_lag", "one", "none"], [*PAIR, "month"])
     )
-    pairs = [("pair_roll_3_mean", "pair_roll_3_sum"), ("pair_history_length_months", "pair_target_available_count_to_origin"), ("pair_history_length_months", "pair_observed_source_month_count_to_origin"), ("pair_target_available_count_to_origin", "pair_observed_source_month_count_to_origin"), ("pair_lag_1", "pair_lag_12")]
-    pair_sql = " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS correlation FROM pair_f" for a, b in pairs[1:4])
-    query("correlation_review", f"SELECT * FROM ({pair_sql}) WHERE abs(correlation) >= 0.9", ("correlation",))(lambda d: select.correlations(_own(d), ["pair_history_length_months", "pair_target_available_count_to_origin", "pair_observed_source_month_count_to_origin"], 0.9))
+    numbers = [*doubles, *whole]
+    corr = ", ".join(f'corr({a}, {b}) AS "{a}|{b}"' for i, a in enumerate(numbers) for b in numbers[i + 1 :])
+    query("correlation_review", f"""SELECT split_part(k, '|', 1) AS feature_a, split_part(k, '|', 2) AS feature_b, correlation FROM (UNPIVOT (SELECT {corr} FROM pair_f) ON COLUMNS(*) INTO NAME k VALUE correlation)
+        WHERE NOT isnan(correlation) AND abs(correlation) >= 0.995""", ("correlation",))(lambda d: select.correlations(_own(d), numbers))
     query("capped_sample", """WITH r AS (SELECT base_sku, branch_code, month, actual_positive, md5(concat_ws('|', base_sku, branch_code, month, '42')) AS h FROM pair_f),
         n AS (SELECT actual_positive, 5000 * count(*)::BIGINT AS x, sum(count(*)) OVER () AS t FROM r GROUP BY 1),
         q AS (SELECT actual_positive, x // t + (row_number() OVER (ORDER BY x % t DESC, actual_positive) <= 5000 - sum(x // t) OVER ())::INT AS take FROM n)

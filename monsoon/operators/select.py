@@ -135,27 +135,34 @@ def capped_sample(df: DataFrame, strata: Sequence[str], keys: Sequence[str], max
 def permutation_table(df: DataFrame, features: Sequence[str], predict, y: str, scopes: dict[str, str], repeats: int = 2, seed: int = 7) -> DataFrame:
     """How much WAPE rises when a feature's values change places: scope, feature_name, importance_wape_mean and _std.
 
-    A column changes places by joining two numberings of the same (capped) sample, one by each of two hashes.
+    df is a capped sample.  For each repeat, two numberings of it by different hashes give every row a partner; a copy of the
+    row for each feature takes that feature's value from the partner, and one pass of the model judges all copies.  Scopes go
+    by the rows as they were.  A scope without demand has nulls.
     """
-    spark, rows = df.sparkSession, []
+    features = list(features)
     number = lambda s: F.row_number().over(Window.orderBy(F.xxhash64("_row", F.lit(s))))  # noqa: E731  over a capped sample
+    inside = {f"_in_{k}": F.expr(w) for k, w in scopes.items()}
     base = df.withColumn("_row", F.monotonically_increasing_id()).persist()
-    score = lambda d: d.agg(*[wape(F.when(F.expr(w), F.col(y)), F.when(F.expr(w), F.col("prediction"))).alias(k) for k, w in scopes.items()]).first().asDict()
-    before = score(predict(base))
-    for feature in features:
-        found: dict[str, list[float]] = {k: [] for k in scopes}
-        for repeat in range(repeats):
-            moved = base.select(number(seed + repeat).alias("_at"), F.col(feature).alias("_moved"))
-            shuffled = base.withColumn("_at", number(seed + 100 + repeat)).join(moved, "_at").withColumn(feature, F.col("_moved"))
-            after = score(predict(shuffled))
-            for k in scopes:
-                if after[k] is not None and before[k] is not None:
-                    found[k].append(after[k] - before[k])
-        for k, values in found.items():
-            mean = sum(values) / len(values) if values else None
-            rows.append((k, feature, mean, (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5 if values else None))
+
+    def errors(scored: DataFrame, keys: list[str]) -> DataFrame:
+        within = lambda k, c: F.when(F.col(f"_in_{k}"), F.col(c))
+        return scored.groupBy(*keys).agg(*[wape(within(k, y), within(k, "prediction")).alias(k) for k in scopes])
+
+    copies = []
+    for repeat in range(repeats):
+        moved = base.select(number(seed + repeat).alias("_at"), F.struct(*features).alias("_moved"))
+        pairs = base.withColumns({**inside, "_at": number(seed + 100 + repeat)}).join(moved, "_at")
+        each = pairs.withColumn("_f", F.explode(F.array(*[F.lit(i) for i in range(len(features))])))
+        copies.append(each.withColumns({c: F.when(F.col("_f") == i, F.col("_moved")[c]).otherwise(F.col(c)) for i, c in enumerate(features)} | {"_repeat": F.lit(repeat)}))
+    after = errors(predict(reduce(DataFrame.unionByName, copies)), ["_f", "_repeat"])
+    before = errors(predict(base.withColumns(inside)), []).select(*[F.col(k).alias(f"_before_{k}") for k in scopes])
+    # a row for each feature and repeat, beside the one row of the model on rows as they are
+    gains = after.join(F.broadcast(before), how="cross").select("_f", F.explode(F.array(*[F.struct(F.lit(k).alias("scope"), (F.col(k) - F.col(f"_before_{k}")).alias("gain")) for k in scopes])).alias("g"))
+    name = F.element_at(F.array(*[F.lit(c) for c in features]), F.col("_f") + 1)
+    table = gains.groupBy(F.col("g.scope").alias("scope"), name.alias("feature_name")).agg(F.avg("g.gain").alias("importance_wape_mean"), F.stddev_pop("g.gain").alias("importance_wape_std"))
+    rows = table.collect()
     base.unpersist()
-    return spark.createDataFrame(rows, "scope string, feature_name string, importance_wape_mean double, importance_wape_std double")
+    return df.sparkSession.createDataFrame(rows, "scope string, feature_name string, importance_wape_mean double, importance_wape_std double")
 
 
 def screening_model(df: DataFrame, numeric: Sequence[str], categories: Sequence[str], y: str, trees: int = 20):

@@ -100,8 +100,9 @@ def select_track(
 ) -> TrackResult:
     """Which candidates a track keeps: static screen, correlations, a screening model, importance, ablation and choice.
 
-    df is a development panel.  Fits on its training rows (a stratified sample of conf.max_rows of them, a documented bound),
-    judges on the primary validation rows: current production, for pairs also known ones.  Raises without rows of either
+    df is a development panel.  Fits on its training rows and judges importance and families on the primary validation rows
+    (current production, for pairs also known ones), of each a stratified sample of conf.max_rows at most, a documented bound;
+    screen, correlations and both WAPE figures are over all rows.  Raises without rows of either
     kind, with a frozen target, with infinite features or targets that aren't finite, or if the screen leaves nothing.
     """
     require_columns(df, ["current_production_forecast_mask", *(["known_pair_asof_origin"] if track == "PAIR" else [])], track)
@@ -136,8 +137,9 @@ def select_track(
     sample = select.capped_sample(train, ["horizon"], keys, conf.max_rows, conf.seed).persist()
     model = select.screening_model(sample, numbers, texts, y, trees)
     score = lambda rows: model(rows).agg(*[wape(F.when(F.expr(w), F.col(y)), F.when(F.expr(w), F.col("prediction"))).alias(k) for k, w in SCOPES.items()]).first().asDict()
-    importance = select.permutation_table(val, kept, model, y, SCOPES, repeats)
-    ablation = select.family_ablation(sample, val, numbers, families, y, trees, texts)
+    judge = select.capped_sample(val, ["horizon"], keys, conf.max_rows, conf.seed).persist()
+    importance = select.permutation_table(judge, kept, model, y, SCOPES, repeats)
+    ablation = select.family_ablation(sample, judge, numbers, families, y, trees, texts)
     decision = select.choose_features(importance, conf)
     selected = [r.feature_name for r in decision.where("selected").orderBy("rank").collect()]
     quality = static.join(decision, "feature_name", "left").na.fill(False, ["selected"])
@@ -147,6 +149,7 @@ def select_track(
         {k: checks[k] for k in ("train", "primary", "secondary")},
     )
     sample.unpersist()
+    judge.unpersist()
     return result
 
 
