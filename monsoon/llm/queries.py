@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monsoon.llm import decontam, langid, linededup, minhash, pieces, pii, tokencounts, urlrules, vectors, warc
+from monsoon.llm import decontam, langid, linededup, merkle, minhash, mixing, pieces, pii, resample, tokencounts, urlrules, vectors, warc
 from monsoon.llm.common import Scratch, source
 
 
@@ -98,9 +99,37 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(spark, source(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features, weight, score and rank among the drawn of every document, towards the texts of the benchmark."""
+    found = resample.importance(spark, source(spark, sf_dir, "documents"), source(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; of each fifth id's, a text in lower case is put to the proof."""
+    docs = source(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = docs.select(
+        F.col("doc_id").alias("id"), F.col("source").alias("group"), merkle.leaf([F.col(c) for c in fields]).alias("leaf"),
+        F.when(tampered, merkle.leaf([lower if c == "text" else F.col(c) for c in fields])).alias("claimed"),
+    )
+    return merkle.manifest(spark, leaves).select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document; labelled documents weigh 2 (good) or 1/2 (bad), others 1."""
+    labels = source(spark, sf_dir, "labels").where("doc_id is not null").groupBy("doc_id").agg(F.avg("quality").alias("good"))
+    docs = source(spark, sf_dir, "documents").select("doc_id", "source", "text").join(labels, "doc_id", "left")
+    found = mixing.mix(spark, docs, quality=F.pow(F.lit(2.0), 2 * F.col("good") - 1))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 _ALL = (
     op1_benchmark_decontamination, op2_warc_segments, op3_url_rules, op4_personal_data, op5_sentencepiece, op6_line_dedup, op7_language_id,
-    op8_minhash_near_dedup, op9_token_counts, op10_embedding_near_dedup,
+    op8_minhash_near_dedup, op9_token_counts, op10_embedding_near_dedup, op11_importance_resampling, op12_merkle_manifest,
+    op13_source_mixing,
 )
 
 
@@ -201,9 +230,72 @@ FROM v JOIN (SELECT vec_id, min(c) AS c FROM r GROUP BY 1) m USING (vec_id) LEFT
 """
 
 
+def _crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of a text's UTF-8 bytes, half a byte at a time, the lower half first."""
+    table = []
+    for c in range(16):
+        for _ in range(4):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    # hex digits in the order of the halves: 2, 1, 4, 3...
+    halves = f"list_transform(range(0, length(hex(encode({text})))), lambda i: ('0x' || substr(hex(encode({text})), CAST(i + 2 - 2 * (i % 2) AS INTEGER), 1))::BIGINT)"
+    return f"xor(list_reduce({halves}, lambda c, x: xor(c >> 4, list_extract({table}, 1 + (xor(c, x) & 15))), 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP11 = rf"""
+WITH raw AS (SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS r, text FROM documents UNION ALL SELECT 'b', item_id, row_number() OVER (), text FROM benchmark),
+w AS (SELECT side, id, r, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM raw),
+p AS (SELECT side, r, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT side, r, unnest([w[i], w[i] || ' ' || w[i + 1], w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]]) AS g FROM p),
+c AS (SELECT g, {_crc32("g")} % 10000 AS bucket FROM (SELECT DISTINCT g FROM g WHERE g IS NOT NULL)),
+f AS (SELECT side, r, bucket FROM g JOIN c USING (g)),
+n AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM f GROUP BY 1),
+gain AS (SELECT bucket, floor(1000 * ln(((t + 1.0::DOUBLE) * ((SELECT sum(s) FROM n) + 10000)::DOUBLE) / ((s + 1.0::DOUBLE) * ((SELECT sum(t) FROM n) + 10000)::DOUBLE)))::BIGINT AS gain FROM n),
+total AS (SELECT r, count(*) AS n, sum(gain)::BIGINT AS weight FROM f JOIN gain USING (bucket) WHERE side = 'd' GROUP BY 1),
+x AS (SELECT id AS doc_id, len(w) AS words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, ('0x' || substr(sha256('42:' || coalesce(id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM w LEFT JOIN total USING (r) WHERE side = 'd'),
+y AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM x),
+z AS (SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) AS k, count(*) OVER (PARTITION BY words >= 20) AS m FROM y)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND k <= 5 * m // 100 THEN k END AS rank FROM z
+"""
+
+_LEAF = "sha256(" + " || ".join(f"coalesce(octet_length(encode(({c})::VARCHAR)) || ':' || ({c})::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+#: Numbers by source and over sources; levels until one node is left; siblings from the families that a leaf's path meets.
+_OP12 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) AS g, {_LEAF.format("text")} AS leaf, CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0 THEN {_LEAF.format(_LOWER.format("text"))} END AS claimed FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+t AS (SELECT g, 0 AS lvl, i, leaf AS h, n FROM o UNION ALL SELECT g, lvl + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (n + 15) // 16 FROM t WHERE n > 1 GROUP BY g, lvl, n, i // 16),
+s AS (SELECT g, h AS subroot FROM t WHERE n = 1),
+u AS (SELECT 0 AS lvl, g - 1 AS i, subroot AS h, count(*) OVER () AS n FROM s UNION ALL SELECT lvl + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (n + 15) // 16 FROM u WHERE n > 1 GROUP BY lvl, n, i // 16),
+root AS (SELECT h AS root FROM u WHERE n = 1),
+ft AS (SELECT g, lvl, i // 16 AS p, list(h ORDER BY i) AS kids FROM t WHERE n > 1 GROUP BY ALL),
+fu AS (SELECT lvl, i // 16 AS p, list(h ORDER BY i) AS kids FROM u WHERE n > 1 GROUP BY ALL),
+step AS (
+  SELECT o.g, o.i, lvl AS k, kids, (o.i // (16 ** lvl)::BIGINT) % 16 AS m FROM o JOIN ft ON ft.g = o.g AND p = o.i // (16 ** (lvl + 1))::BIGINT
+  UNION ALL SELECT o.g, o.i, 1000 + lvl, kids, ((o.g - 1) // (16 ** lvl)::BIGINT) % 16 FROM o JOIN fu ON p = (o.g - 1) // (16 ** (lvl + 1))::BIGINT),
+around AS (SELECT g, i, k, array_to_string(kids[:m], '') AS before, array_to_string(kids[m + 2:], '') AS after FROM step),
+path AS (SELECT g, i, string_agg(before || after, '' ORDER BY k) AS siblings, list(before || ':' || after ORDER BY k) AS path FROM around GROUP BY ALL),
+x AS (SELECT o.doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, list_reduce(coalesce(path, []), lambda h, x: sha256(split_part(x, ':', 1) || h || split_part(x, ':', 2)), coalesce(claimed, leaf)) AS folded_root
+  FROM o JOIN s USING (g) CROSS JOIN root LEFT JOIN path USING (g, i))
+SELECT *, folded_root = root AS verified FROM x
+"""
+
+#: The level is the first, by the sources' limits a unit of weight, that the next limit doesn't undercut.
+_OP13 = r"""
+WITH q AS (SELECT doc_id, avg(quality) AS good FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+d AS (SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, ('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS h, CASE WHEN good IS NULL THEN 1.0::DOUBLE ELSE pow(2.0::DOUBLE, 2 * good - 1) END AS quality FROM documents LEFT JOIN q USING (doc_id)),
+s AS (SELECT source, sum(size)::BIGINT AS n, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS w FROM d GROUP BY 1),
+o AS (SELECT *, 2 * n / w AS ratio, sum(n) OVER () AS total, sum(w) OVER () AS ws, coalesce(sum(2 * n) OVER k, 0) AS fixed, coalesce(sum(w) OVER k, 0) AS gone FROM s WINDOW k AS (ORDER BY 2 * n / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT coalesce(arg_min((1.5 * total - fixed) / (ws - gone), ratio) FILTER ((1.5 * total - fixed) / (ws - gone) <= ratio), 0) AS level FROM o),
+t AS (SELECT source, n, least(level * w, 2.0 * n) AS target FROM s, l),
+e AS (SELECT d.*, n, target, CASE WHEN n > 0 THEN floor(target / n)::BIGINT ELSE 0 END AS epochs, sum(size) OVER (PARTITION BY d.source ORDER BY -ln((h + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / quality, doc_id, r) - size AS before FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, size::BIGINT AS size, n AS source_size, target, (epochs * size + greatest(0, least(size, floor(target - epochs * n + 0.5) - before)))::BIGINT AS taken FROM e
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """op4, op5, op7 and op9 have none: the field, the tokenisers and the language models have no SQL form."""
     return {
         "op1_benchmark_decontamination": _OP1, "op2_warc_segments": _OP2, "op3_url_rules": _OP3, "op6_line_dedup": _OP6, "op8_minhash_near_dedup": _OP8,
-        "op10_embedding_near_dedup": _OP10,
+        "op10_embedding_near_dedup": _OP10, "op11_importance_resampling": _OP11, "op12_merkle_manifest": _OP12, "op13_source_mixing": _OP13,
     }
