@@ -41,7 +41,7 @@ def words(text: Column) -> Column:
 
 
 def _features(rows: DataFrame, keep: list[str], conf: Resample) -> DataFrame:
-    """keep and the bucket of each feature of the array `words`; a row without words has one with null buckets only.
+    """keep, gram and bucket of each feature of the array `words`; runs beyond a text's end have nulls, as have texts without words.
 
     Runs are made position by position: what a task holds is one text's words, not all its runs."""
     at = rows.select(*keep, "words", F.posexplode_outer("words").alias("at", "word"))
@@ -50,12 +50,12 @@ def _features(rows: DataFrame, keep: list[str], conf: Resample) -> DataFrame:
         run = F.concat(run, F.lit(" "), F.get("words", F.col("at") + i))  # null beyond the end
         runs.append(run)
     grams = at.select(*keep, F.explode(F.array(*runs)).alias("gram"))
-    return grams.select(*keep, F.pmod(F.crc32(F.col("gram").cast("binary")), F.lit(conf.buckets)).cast("int").alias("bucket"))
+    return grams.select(*keep, "gram", F.pmod(F.crc32(F.col("gram").cast("binary")), F.lit(conf.buckets)).cast("int").alias("bucket"))
 
 
 def bucket_counts(rows: DataFrame, text: Column, conf: Resample = Resample()) -> DataFrame:  # noqa: B008
     """bucket and n, the number of features in it; a row a bucket at most."""
-    return _features(rows.select(words(text).alias("words")), [], conf).where("bucket is not null").groupBy("bucket").agg(F.count("*").alias("n"))
+    return _features(rows.select(words(text).alias("words")), [], conf).where("gram is not null").groupBy("bucket").agg(F.count("*").alias("n"))
 
 
 def gains(scratch: Scratch, docs: DataFrame, target: DataFrame, conf: Resample) -> DataFrame:
