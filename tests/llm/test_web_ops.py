@@ -275,6 +275,18 @@ def test_many_digit_groups_take_linear_time():
     assert time.time() - began < 4
 
 
+@pytest.mark.parametrize("text", ["1" * 1_000_000, "12" * 200_000 + ".3" * 200_000, "+1" * 300_000, "1 " * 300_000, "a@" * 300_000, "1." * 300_000 + "x"])
+def test_runs_of_any_length_take_linear_time(text):
+    import time
+
+    pii.trained()
+    began = time.time()
+    base = pii.base_spans(text)
+    assert time.time() - began < 3
+    pii.added_spans(text[:100_000], pii.trained(), [b for b in base if b[2] <= 100_000])
+    assert time.time() - began < 30
+
+
 PATTERNS = {"ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
