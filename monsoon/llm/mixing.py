@@ -84,23 +84,29 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(running)], names=[*batch.schema.names, "running"])
 
 
-def mix(spark: SparkSession, docs: DataFrame, conf: Mix = Mix(), id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", quality: Column | None = None) -> DataFrame:  # noqa: B008
+def mix(spark: SparkSession, docs: DataFrame, conf: Mix = Mix(), id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", quality: Column | None = None, ratings: DataFrame | None = None) -> DataFrame:  # noqa: B008
     """row, id, source, size, source_size, target, copies (whole ones), cut (words of one more) and taken of every row of docs.
 
-    quality is a positive column of docs, 1 by default; a null or one that isn't positive counts as 1.  Null and empty texts have
+    quality is a positive column of docs, or ratings a table of id and quality with a row an id, which is joined when texts have
+    become sizes; documents without any have 1, as have those whose quality is null or isn't positive.  Null and empty texts have
     no words and none are taken.  Rows are judged by themselves, whatever rows share their id; null ids share one u, and are
     ordered last among equal keys.  A null source is one of its own.  Equal tables give equal results.  Empty ones give none.
     """
     scratch = Scratch(spark, "mix")
-    good = F.lit(1.0) if quality is None else F.when(quality > 0, quality.cast("double")).otherwise(1.0)
-    keyed = docs.select(_col_of(id_col).alias("id"), _col_of(source_col).cast("string").alias("source"), _col_of(text_col).cast("string").alias("text"), good.alias("quality"))
-    return _mixed(scratch, keyed.withColumn("row", F.monotonically_increasing_id()), conf)
+    own = F.lit(None).cast("double") if quality is None else quality.cast("double")
+    keyed = docs.select(_col_of(id_col).alias("id"), _col_of(source_col).cast("string").alias("source"), _col_of(text_col).cast("string").alias("text"), own.alias("quality"))
+    return _mixed(scratch, keyed.withColumn("row", F.monotonically_increasing_id()), conf, ratings)
 
 
-def _mixed(scratch: Scratch, keyed: DataFrame, conf: Mix) -> DataFrame:
+def _mixed(scratch: Scratch, keyed: DataFrame, conf: Mix, ratings: DataFrame | None = None) -> DataFrame:
     h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{conf.seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256), 1, _BITS // 4), 16, 10).cast("double")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = keyed.select("row", "id", "source", size.alias("size"), (-F.log((h + 0.5) / float(1 << _BITS)) / F.col("quality")).alias("key"))
+    sized = scratch.table(keyed.select("row", "id", "source", size.alias("size"), "quality"), "sized")  # texts are read once
+    if ratings is not None:
+        rated = ratings.where("id is not null").select(F.col("id").alias("rated"), F.col("quality").alias("rating"))
+        sized = sized.join(rated, F.col("id") == F.col("rated"), "left").withColumn("quality", F.coalesce("rating", "quality")).drop("rated", "rating")
+    good = F.when(F.col("quality") > 0, F.col("quality")).otherwise(1.0)
+    sized = sized.select("row", "id", "source", "size", (-F.log((h + 0.5) / float(1 << _BITS)) / good).alias("key"))
     order = [F.col("source").asc_nulls_last(), F.col("key"), F.col("id").asc_nulls_last(), F.col("row")]
 
     def running(df: DataFrame) -> DataFrame:
@@ -134,16 +140,16 @@ def _mixed(scratch: Scratch, keyed: DataFrame, conf: Mix) -> DataFrame:
     )
 
 
-def mixture(spark: SparkSession, docs: DataFrame, conf: Mix = Mix(), id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", quality: Column | None = None) -> DataFrame:  # noqa: B008
+def mixture(spark: SparkSession, docs: DataFrame, conf: Mix = Mix(), id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", quality: Column | None = None, ratings: DataFrame | None = None) -> DataFrame:  # noqa: B008
     """The mix itself: a row for each copy, with the columns of docs as struct `doc`, copy (1, 2...) and text; the copy that the
     budget cuts has the first words of its text, joined by spaces."""
     scratch = Scratch(spark, "mix")
-    good = F.lit(1.0) if quality is None else F.when(quality > 0, quality.cast("double")).otherwise(1.0)
+    own = F.lit(None).cast("double") if quality is None else quality.cast("double")
     whole = docs.select(
-        F.struct(*[_col_of(c) for c in docs.columns]).alias("doc"), _col_of(id_col).alias("id"), _col_of(source_col).cast("string").alias("source"), _col_of(text_col).cast("string").alias("text"), good.alias("quality")
+        F.struct(*[_col_of(c) for c in docs.columns]).alias("doc"), _col_of(id_col).alias("id"), _col_of(source_col).cast("string").alias("source"), _col_of(text_col).cast("string").alias("text"), own.alias("quality")
     )
     whole = scratch.table(whole.withColumn("row", F.monotonically_increasing_id()), "rows")
-    taken = _mixed(scratch, whole.drop("doc"), conf).where("taken > 0").select("row", "copies", "cut")
+    taken = _mixed(scratch, whole.drop("doc"), conf, ratings).where("taken > 0").select("row", "copies", "cut")
     copies = F.explode(F.sequence(F.lit(1), (F.col("copies") + (F.col("cut") > 0).cast("long")).cast("int")))
     first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("cut").cast("int")), " ")
     rows = whole.select("row", "doc", "text").join(taken, "row").withColumn("copy", copies)

@@ -120,9 +120,8 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document; labelled documents weigh 2 (good) or 1/2 (bad), others 1."""
-    labels = source(spark, sf_dir, "labels").where("doc_id is not null").groupBy("doc_id").agg(F.avg("quality").alias("good"))
-    docs = source(spark, sf_dir, "documents").select("doc_id", "source", "text").join(labels, "doc_id", "left")
-    found = mixing.mix(spark, docs, quality=F.pow(F.lit(2.0), 2 * F.col("good") - 1))
+    labels = source(spark, sf_dir, "labels").where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.pow(F.lit(2.0), 2 * F.avg("quality") - 1).alias("quality"))
+    found = mixing.mix(spark, source(spark, sf_dir, "documents"), ratings=labels)
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 

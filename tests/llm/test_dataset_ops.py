@@ -234,7 +234,8 @@ def test_mixing_equals_brute_force(spark):
     targets = {x[1]: x[4] for x in rows}
     assert all(abs(sums[s] - targets[s]) <= 0.5 for s in targets) and all(x[5] <= 2 * x[2] for x in rows)
     assert math.isclose(sum(targets.values()), 1.5 * sum(d[2] for d in docs))
-    again = mixing.mix(spark, frame.repartition(7), mixing.Mix(broadcast_sources=0), quality=F.col("q")).collect()
+    ratings = frame.where("doc_id is not null").select(F.col("doc_id").alias("id"), F.col("q").alias("quality"))
+    again = mixing.mix(spark, frame.repartition(7), mixing.Mix(broadcast_sources=0), ratings=ratings).collect()
     assert mixed([(g.id, g.source, g.size, g.source_size, g.target, g.taken) for g in again]) == mixed(rows)
 
 
