@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -11,9 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from monsoon import oracle
-from monsoon.operators import panel
+from monsoon.functions import metrics
+from monsoon.operators import boost, panel
 from monsoon.plans.stages import TARGETS, Demand
 from monsoon.schema import PAIR
+from monsoon.sources.stored import shared_dir, store
 
 
 @dataclass(frozen=True)
@@ -298,7 +302,7 @@ _evaluation()
 
 
 def _control() -> None:
-    from monsoon.operators import baselines, gate, ml, scores, select, supervise, track, validate, vintage
+    from monsoon.operators import baselines, challenger, scores, select, supervise, track, tweedie, validate, vintage
     from monsoon.sources import runs
 
     query("source_profile", "SELECT unit, count(*) AS n_rows, min(month) AS min_month, max(month) AS max_month, count(DISTINCT bravo_sku) AS n_sku, count(DISTINCT branch_code) AS n_branch FROM sales GROUP BY 1")(lambda d: validate.source_profile(d.sources.sales))
@@ -400,9 +404,12 @@ def _control() -> None:
     query("permutation_importance")(lambda d: _importance(d, select))
     query("family_ablation")(lambda d: _ablation(d, select))
 
-    query("two_part_forecast")(lambda d: _two_part(d, ml, supervise)[1])
-    query("hurdle_forecast")(lambda d: _hurdle(d, ml, supervise, gate))
-    query("prospective_forecast")(lambda d: _prospective_fit(d, ml, supervise, vintage))
+    query("two_part_forecast")(lambda d: _two_part(d, challenger, supervise))
+    query("hurdle_forecast")(lambda d: _hurdle(d, challenger, supervise))
+    query("prospective_forecast")(lambda d: _prospective_fit(d, challenger, supervise, vintage))
+    query("rolling_two_part")(lambda d: _rolling_scored(d, challenger)[1])
+    query("rolling_two_part_audit")(lambda d: _rolling_audit(d, challenger))
+    query("tweedie_scoreboard")(lambda d: _tweedie_scores(d, challenger, tweedie, scores, supervise))
     soft = "SELECT f.*, h, coalesce(pair_positive_rate_to_origin, 0) AS p, coalesce(pair_mean_positive_m2_to_origin, 0) AS q FROM pair_f f, (VALUES (1), (2), (3)) x(h) WHERE f.month = DATE '2001-11-01' AND base_current_active AND branch_current_active"
     query("forecast_summary", f"SELECT h::INTEGER AS horizon, count(*) AS n_rows, count(DISTINCT base_sku) AS n_sku, count(DISTINCT branch_code) AS n_branch, sum(p * q) AS forecast_sum, avg(p * q) AS forecast_mean, avg(p) AS mean_p, avg(q) AS mean_q FROM ({soft}) GROUP BY 1", ("forecast_sum", "forecast_mean", "mean_p", "mean_q"))(
         lambda d: vintage.forecast_summary(_vintage(d, vintage, supervise, baselines))
@@ -486,31 +493,77 @@ def _vintage(d: Demand, vintage, supervise, baselines) -> DataFrame:
     return vintage.forecast_frame(frame.withColumns({"p_positive": p, "q_positive": q, "pred_soft": baselines.soft_expected(p, q)}), "pred_soft")
 
 
-#: Trees of the registered model queries; the operator's own default is larger.
-TREES, DEPTH = 5, 3
+def _origin(day: str) -> dt.date:
+    return dt.date.fromisoformat(day)
 
 
-def _two_part(d: Demand, ml, supervise):
-    """Direct models of all horizons at the validation origin, and what they say of its primary rows."""
-    rows = d.rolling.drop("p_positive", "q_positive")
-    parts = supervise.fit_calibration(rows, d.calendar.validation_origin)
-    models = ml.fit_horizons(parts["FIT"], parts["CAL"], conf=ml.TwoPart(max_trees=TREES, depth=DEPTH, min_fit_positive=20, min_cal_positive=5))
-    ahead = rows.where((F.col("forecast_origin") == F.lit(d.calendar.validation_origin).cast("date")) & supervise.primary())
-    return models, models.transform(ahead).select(*PAIR, "forecast_origin", "target_month", "horizon", "target_actual_gross_m2", "p_positive", "q_positive", "pred_two_part")
+def _ahead(d: Demand, supervise) -> DataFrame:
+    """What the models of the validation origin are judged on: its primary rows."""
+    return d.rolling.where((F.col("forecast_origin") == F.lit(d.calendar.validation_origin).cast("date")) & supervise.primary())
 
 
-def _prospective_fit(d: Demand, ml, supervise, vintage) -> DataFrame:
-    """The locked forecast's frame from models of all horizons, fitted on what is known at the panel's end."""
-    end = d.calendar.panel_end
-    parts = supervise.fit_calibration(d.rolling.drop("p_positive", "q_positive"), end)
-    models = ml.fit_horizons(parts["FIT"], parts["CAL"], conf=ml.TwoPart(max_trees=TREES, depth=DEPTH, min_fit_positive=20, min_cal_positive=5))
-    frame = models.transform(supervise.prospective(d.pair_origin, d.target_calendar, end))
-    return vintage.forecast_frame(frame, "pred_two_part")
+_SCORED = [*PAIR, "forecast_origin", "target_month", "horizon", "target_actual_gross_m2"]
 
 
-def _hurdle(d: Demand, ml, supervise, gate) -> DataFrame:
-    scored = _two_part(d, ml, supervise)[1]
-    return ml.hurdle_prediction(scored, gate.threshold_choice(gate.threshold_grid(scored))).select(*PAIR, "horizon", "threshold", "pred_hurdle")
+_PARTS = (boost.DEMAND, boost.OCCURRENCE, boost.QUANTITY)
+
+
+def _validation(d: Demand, challenger, supervise) -> tuple[boost.Boosters, DataFrame]:
+    """Direct models of all horizons and parts at the validation origin, and what they say of its primary rows."""
+    models = d.models("validation", lambda: challenger.fit(d.rolling, [_origin(d.calendar.validation_origin)], _PARTS))
+    return models, challenger.predict(models, _ahead(d, supervise), F.col("forecast_origin"), _PARTS)
+
+
+def _two_part(d: Demand, challenger, supervise) -> DataFrame:
+    return _validation(d, challenger, supervise)[1].select(*_SCORED, "p_positive", "q_positive", "pred_two_part")
+
+
+def _hurdle(d: Demand, challenger, supervise) -> DataFrame:
+    models, scored = _validation(d, challenger, supervise)
+    return challenger.hurdle_forecast(models, store(scored, "scored")).select(*PAIR, "horizon", "threshold", "pred_hurdle")
+
+
+def _prospective_fit(d: Demand, challenger, supervise, vintage) -> DataFrame:
+    """The forecast of the panel's end, locked together with its models, as it is read back."""
+    end = _origin(d.calendar.panel_end)
+    models = d.models("prospective", lambda: challenger.fit(d.rolling, [end]))
+    frame = challenger.predict(models, supervise.prospective(d.pair_origin, d.target_calendar, d.calendar.panel_end), F.col("forecast_origin"))
+    run = vintage.lock(vintage.forecast_frame(frame, "pred_two_part"), f"{shared_dir(d.spark)}/vintages", f"v-{uuid.uuid4().hex}", d.calendar.panel_end, models=models)
+    return d.spark.read.parquet(f"{run}/forecast")
+
+
+def _rolling_origins(d: Demand) -> list[dt.date]:
+    return sorted(r.origin for r in d.origins.collect())
+
+
+def _rolling_scored(d: Demand, challenger) -> tuple[boost.Boosters, DataFrame]:
+    """Models of all origins of the backtest, and every evaluation row with what those of its origin and horizon say."""
+    models = d.models("rolling", lambda: challenger.fit(d.rolling, _rolling_origins(d)))
+    return models, challenger.judged(models, d.rolling, _rolling_origins(d))
+
+
+def _rolling_audit(d: Demand, challenger) -> DataFrame:
+    """Each origin's and horizon's models: their trees, rows and losses, with scores on the evaluation rows beside the moving average."""
+    models, scored = _rolling_scored(d, challenger)
+    y, p = F.col("target_actual_gross_m2"), F.col("pred_two_part")
+    plain = d.evaluation.select(*_SCORED[:-1], "pred_ma_3")
+    judged = scored.join(plain, _SCORED[:-1]).groupBy("forecast_origin", "horizon").agg(
+        F.count("*").alias("n_rows"), metrics.wape(y, p).alias("wape"), metrics.wape(y, F.col("pred_ma_3")).alias("wape_ma_3"), metrics.brier(y, F.col("p_positive")).alias("brier")
+    )
+    key = F.split("model", r"\|")
+    fitted = models.audit(d.spark).select(F.to_date(F.concat(key[0], F.lit("-01"))).alias("forecast_origin"), "horizon", "part", "trees", "fit_rows", "cal_rows", "fit_positive", "cal_positive", "loss_before", "loss_after")
+    return fitted.join(judged, ["forecast_origin", "horizon"])
+
+
+def _tweedie_scores(d: Demand, challenger, tweedie, scores, supervise) -> DataFrame:
+    """Errors by horizon of boosted Tweedie trees, the generalised linear model and the moving average on the same held-out rows."""
+    scored = _validation(d, challenger, supervise)[1]
+    phases = supervise.fit_calibration(challenger.with_size(d.rolling), d.calendar.validation_origin)
+    conf = tweedie.Tweedie(numeric=challenger.FEATURES, categories=challenger.CATEGORIES, penalties=(0.01,))
+    linear = [tweedie.fit_tweedie(*(phases[k].where(F.col("horizon") == h) for k in ("FIT", "CAL")), conf).transform(scored.where(F.col("horizon") == h)) for h in supervise.HORIZONS]
+    both = reduce(DataFrame.unionByName, linear)
+    long = scores.melt(both, ["horizon", scores.Y], ["pred_boosted", "pred_tweedie", "pred_ma_3"])
+    return long.groupBy("model", "horizon").agg(*scores.metric_row(F.col(scores.Y), F.col("pred")))
 
 
 def _screening(d: Demand, select) -> tuple[DataFrame, DataFrame, list[str]]:

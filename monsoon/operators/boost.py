@@ -30,8 +30,8 @@ DEMAND, OCCURRENCE, QUANTITY = "demand", "occurrence", "quantity"
 
 @dataclass(frozen=True)
 class Boost:
-    rate: float = 0.15
-    max_trees: int = 40
+    rate: float = 0.3
+    max_trees: int = 25
     depth: int = 4
     #: Bins of a feature, the first one for missing or unseen values.
     bins: int = 32
@@ -40,7 +40,7 @@ class Boost:
     #: Of the Tweedie loss, between 1 and 2.
     power: float = 1.5
     #: Trees without a better loss on the calibration rows after which a model stops.
-    patience: int = 5
+    patience: int = 3
     #: Hessian that a category's gradient is weighed against in the order of categories.
     smooth: float = 10.0
     #: Trees after which the state is written, which cuts its lineage.
@@ -202,45 +202,45 @@ def histogram(bins: np.ndarray, node: np.ndarray, nodes: int, width: int, weight
     return out
 
 
-def best_split(sums: np.ndarray, categorical: Sequence[bool], conf: Boost) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """Feature (-1 where no split gains), bins that go left, and the sums on both sides, from one node's sums by feature and bin of
-    gradient, Hessian and count.
+def best_splits(sums: np.ndarray, categorical: Sequence[bool], conf: Boost) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each node the feature (-1 where no split gains), bins that go left, and the sums on both sides, from sums by node, feature
+    and bin of gradient, Hessian and count.
 
-    Numbers are cut in their order, with missing values on the better side.  Categories are ordered by gradient over Hessian, which
-    makes the best of all subsets a prefix.  Bins without rows go where most rows do.
+    Numbers are cut in their order, with missing values (bin 0) on the better side.  Categories are ordered by gradient over
+    Hessian, which makes the best of all subsets a prefix.  Bins without rows go where most rows do; of numbers, those between two
+    cuts are on the far side.  Of equal gains the first feature and cut counts.
     """
-    total = sums[0].sum(0)
-    score = lambda s: s[..., 0] ** 2 / (s[..., 1] + conf.l2)
-    best = (0.0, -1, np.zeros(sums.shape[1], bool), total, total)
-    for f, by_bin in enumerate(sums):
-        used = np.flatnonzero(by_bin[:, 2] > 0)
-        if len(used) < 2:
-            continue
-        if categorical[f]:
-            ratio = by_bin[used, 0] / (by_bin[used, 1] + conf.smooth)
-            orders = [used[np.argsort(ratio, kind="stable")]]
-        elif used[0] == 0:
-            orders = [used, np.roll(used, -1)]  # missing values first, then last
-        else:
-            orders = [used]
-        for order in orders:
-            left = np.cumsum(by_bin[order[:-1]], 0)
-            right = total - left
-            gain = score(left) + score(right) - score(total)
-            gain[(left[:, 2] < conf.min_rows) | (right[:, 2] < conf.min_rows)] = 0
-            k = int(np.argmax(gain))
-            if gain[k] > best[0] * (1 + 1e-9) + 1e-9:
-                mask = np.zeros(sums.shape[1], bool)
-                mask[order[: k + 1]] = True
-                if left[k, 2] >= right[k, 2] and categorical[f]:
-                    mask[np.setdiff1d(np.arange(len(mask)), used)] = True
-                elif not categorical[f]:
-                    edge = max(order[: k + 1][order[: k + 1] > 0], default=0)
-                    mask[1 : edge + 1] = True  # bins between go with their neighbours below
-                    if used[0] != 0:
-                        mask[0] = left[k, 2] >= right[k, 2]
-                best = (float(gain[k]), f, mask, left[k], right[k])
-    return best[1:]
+    nodes, features, width, _ = sums.shape
+    which = np.asarray(categorical, bool)
+    used, total = sums[..., 2] > 0, sums[:, 0].sum(1)
+    ratio = np.where(used, sums[..., 0] / (sums[..., 1] + conf.smooth), np.inf)
+    by_ratio = np.argsort(ratio, axis=2, kind="stable")
+    natural = np.broadcast_to(np.arange(width), (nodes, features, width))
+    orders = np.stack([np.where(which[:, None], by_ratio, o) for o in (natural, np.roll(natural, -1, 2))], 2)  # missing values first, then last
+    left = np.cumsum(np.take_along_axis(sums[:, :, None], orders[..., None], 3), 3)[:, :, :, :-1]
+    right = total[:, None, None, None] - left
+    score = lambda x: x[..., 0] ** 2 / (x[..., 1] + conf.l2)
+    with np.errstate(all="ignore"):  # sides without rows
+        gain = score(left) + score(right) - score(total)[:, None, None, None]
+    gain[(left[..., 2] < max(conf.min_rows, 1)) | (right[..., 2] < max(conf.min_rows, 1)) | ~np.isfinite(gain)] = 0
+    gain = gain.reshape(nodes, -1)
+    top = gain.max(1)
+    at = np.argmax(gain >= (top * (1 - 1e-9) - 1e-12)[:, None], 1)
+    feature, order, cut = np.unravel_index(at, (features, 2, width - 1))
+    k = np.arange(nodes)
+    place = np.argsort(orders[k, feature, order], 1)  # of each bin in the order
+    mask = place <= cut[:, None]
+    a, b = left[k, feature, order, cut], right[k, feature, order, cut]
+    empty = ~used[k, feature] & (which[feature][:, None] | (np.arange(width) == 0))
+    mask = np.where(empty, (a[:, 2] >= b[:, 2])[:, None], mask)
+    none = top <= 1e-9
+    return np.where(none, -1, feature), mask, np.where(none[:, None], total, a), np.where(none[:, None], total, b)
+
+
+def best_split(sums: np.ndarray, categorical: Sequence[bool], conf: Boost) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """best_splits for one node."""
+    feature, mask, a, b = best_splits(sums[None], categorical, conf)
+    return int(feature[0]), mask[0], a[0], b[0]
 
 
 # ---- the fit in Spark
@@ -260,24 +260,30 @@ class _Block:
     demand: np.ndarray
     scores: np.ndarray
 
-    def rows(self, job: Job, scale: float, final: bool) -> tuple[slice, np.ndarray, np.ndarray]:
-        """The rows of a fit as a slice, their counts and sums of targets."""
+    def rows(self, job: Job, scale: float, final: bool) -> tuple[np.ndarray | slice, np.ndarray, np.ndarray]:
+        """A fit's rows, their counts and sums of targets."""
         end = int(np.searchsorted(self.month, job.fit_end, "left"))
-        stop = int(np.searchsorted(self.month, job.cal_end, "right")) if final else end
-        use = np.ones(stop, bool)
-        use[end:] = self.main[end:stop]
-        return self._weights(job, scale, slice(0, stop), use)
+        at = slice(0, end)
+        if final:
+            stop = int(np.searchsorted(self.month, job.cal_end, "right"))
+            at = np.concatenate((np.arange(end), end + np.flatnonzero(self.main[end:stop])))
+        return self._weights(job, scale, at)
 
-    def held_out(self, job: Job, scale: float) -> tuple[slice, np.ndarray, np.ndarray]:
-        at = slice(int(np.searchsorted(self.month, job.fit_end, "left")), int(np.searchsorted(self.month, job.cal_end, "right")))
-        return self._weights(job, scale, at, self.main[at])
+    def held_out(self, job: Job, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        end, stop = (int(np.searchsorted(self.month, m, side)) for m, side in ((job.fit_end, "left"), (job.cal_end, "right")))
+        return self._weights(job, scale, end + np.flatnonzero(self.main[end:stop]))
 
-    def _weights(self, job: Job, scale: float, at: slice, use: np.ndarray) -> tuple[slice, np.ndarray, np.ndarray]:
+    def _weights(self, job: Job, scale: float, at: np.ndarray | slice) -> tuple[np.ndarray | slice, np.ndarray, np.ndarray]:
         if job.part == OCCURRENCE:
-            n, y = self.n[at], self.n_pos[at]
-        else:
-            n, y = (self.n_pos if job.part == QUANTITY else self.n)[at], self.demand[at] / scale
-        return at, n * use, y * use
+            return at, self.n[at], self.n_pos[at]
+        if job.part == QUANTITY:
+            at = np.arange(len(self.n))[at]
+            at = at[self.n_pos[at] > 0]
+        return at, (self.n_pos if job.part == QUANTITY else self.n)[at], self.demand[at] / scale
+
+    def used(self, job: Job) -> np.ndarray | slice:
+        """The rows whose scores a job's models need."""
+        return np.flatnonzero(self.n_pos > 0) if job.part == QUANTITY else slice(None)
 
 
 def _blocks(rows: DataFrame, jobs: Sequence[Job], starts: dict[str, tuple[float, float]], parts: int) -> DataFrame:
@@ -336,9 +342,10 @@ class _Growing:
                 scores = []
                 for _, horizon, block in _read(batch):
                     new = block.scores.copy()
-                    for place, model, _ in self.of(horizon):
+                    for place, model, job in self.of(horizon):
                         if model in trees:
-                            new[place] += trees[model].value[trees[model].node(block.bins, self.conf.depth)]
+                            at = block.used(job)
+                            new[place, at] += trees[model].value[trees[model].node(block.bins[:, at], self.conf.depth)]
                     scores.append(new.tobytes())
                 yield batch.set_column(batch.schema.get_field_index("scores"), "scores", pa.array(scores, pa.binary()))
 
@@ -364,7 +371,7 @@ class _Growing:
                         g, h = derivatives(job.part, conf.power, score[at], n, y)
                         bins = block.bins[:, at]
                         node = trees[model].node(bins, level) - (nodes - 1)  # negative in leaves of higher levels
-                        here = histogram(bins, np.where(n > 0, node, -1), nodes, conf.bins, (g, h, n))
+                        here = histogram(bins, node, nodes, conf.bins, (g, h, n))
                         total[model] = total[model] + here if model in total else here
             rows = [(model, k, by_node[k].tobytes()) for model, by_node in total.items() for k in range(nodes) if by_node[k, 0, :, 2].any()] + [(model, -1, x.tobytes()) for model, x in held.items()]
             if rows:
@@ -382,13 +389,11 @@ class _Growing:
                 for model, node, raw in zip(*(batch.column(c).to_pylist() for c in ("model", "node", "sums")), strict=True):
                     x = np.frombuffer(raw)
                     total[model, node] = total[model, node] + x if (model, node) in total else x
-            rows = []
-            for (model, node), x in total.items():
-                if node < 0:
-                    rows.append((model, node, -1, b"", x.tolist(), []))
-                else:
-                    feature, left, a, b = best_split(x.reshape(len(categorical), conf.bins, 3), categorical, conf)
-                    rows.append((model, node, feature, left.tobytes(), a.tolist(), b.tolist()))
+            rows = [(model, node, -1, b"", x.tolist(), []) for (model, node), x in total.items() if node < 0]
+            keys = [key for key in total if key[1] >= 0]
+            for some in (keys[i : i + 64] for i in range(0, len(keys), 64)):
+                found = best_splits(np.stack([total[key].reshape(len(categorical), conf.bins, 3) for key in some]), categorical, conf)
+                rows += [(*key, int(feature), mask.tobytes(), a.tolist(), b.tolist()) for key, feature, mask, a, b in zip(some, *found, strict=True)]
             if rows:
                 kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["model", "node", "feature", "left_bins", "a", "b"])

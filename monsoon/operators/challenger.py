@@ -86,12 +86,11 @@ def predict(models: Boosters, rows: DataFrame, origin: Column, parts: Sequence[s
     return out.withColumn("pred_two_part", soft_expected(F.col("p_positive"), F.col("q_positive"))) if OCCURRENCE in parts and QUANTITY in parts else out
 
 
-def rolling_two_part(panel: DataFrame, origins: Sequence[dt.date], rules: Rules = Rules(), conf: Boost = Boost()) -> tuple[Boosters, DataFrame]:  # noqa: B008
-    """The models of every origin, and what they say of its evaluation rows: primary ones from the origin on later months."""
-    models = fit(panel, origins, rules=rules, conf=conf)
-    judged = panel.where(F.col("forecast_origin").isin(*origins) & primary() & (F.col("target_month") > F.col("forecast_origin")))
+def judged(models: Boosters, panel: DataFrame, origins: Sequence[dt.date]) -> DataFrame:
+    """What the models of every origin say of its evaluation rows: primary ones from the origin on later months."""
+    rows = panel.where(F.col("forecast_origin").isin(*origins) & primary() & (F.col("target_month") > F.col("forecast_origin")))
     keys = [*PAIR, "forecast_origin", "target_month", "horizon", Y]
-    return models, predict(models, judged, F.col("forecast_origin")).select(*keys, "p_positive", "q_positive", "pred_two_part")
+    return predict(models, rows, F.col("forecast_origin")).select(*keys, "p_positive", "q_positive", "pred_two_part")
 
 
 def hurdle_forecast(models: Boosters, scored: DataFrame, rules: Rules = Rules(), conf: Behaviour = Behaviour()) -> DataFrame:  # noqa: B008

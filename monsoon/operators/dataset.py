@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from monsoon.functions.dates import to_date, to_number
 from monsoon.functions.text import base_sku_parts, channel_relation, clean, observation_status, status, unit
 from monsoon.schema import assert_none, assert_unique, require_columns
+from monsoon.sources.stages import Guards
 
 STABLE = ["product_group", "brand", "price_group", "factory_code", "pull_source"]
 ATTRIBUTES = [*STABLE, "branch_channel", "sku_name", "factory_sku", "sale_sku", "replacement_sku"]
@@ -54,8 +55,11 @@ def dim_branch(master: DataFrame) -> DataFrame:
     return master.select(clean(F.col("branch_code")).alias("branch_code"), *kept, current.alias("branch_current_status"), (current == "active").alias("branch_current_active"))
 
 
-def prepare_sales(sales: DataFrame, guard: bool = False) -> DataFrame:
-    """Sales with clean keys and coerced values; guard raises on months that don't begin on day 1 and on repeated keys."""
+def prepare_sales(sales: DataFrame, guard: bool = False, guards: Guards | None = None) -> DataFrame:
+    """Sales with clean keys and coerced values; guard raises on months that don't begin on day 1 and on repeated keys.
+
+    guards observe months in the job that reads the sales, with no pass of their own; repeated keys are observed on the fact.
+    """
     require_columns(sales, ["bravo_sku", "branch_code", "unit", "month", "total_quantity", "total_amount", "line_count"], "sales_monthly")
     df = sales.select(
         clean(F.col("bravo_sku")).alias("bravo_sku"), clean(F.col("branch_code")).alias("branch_code"), unit(F.col("unit")).alias("unit_norm"), to_date(F.col("month")).alias("month"),
@@ -65,18 +69,20 @@ def prepare_sales(sales: DataFrame, guard: bool = False) -> DataFrame:
     df = df.withColumn("invalid_required_field", missing).withColumn(
         "high_level_bucket", F.when(missing, "INVALID_REQUIRED_FIELD").when(F.col("unit_norm") == "M2", "M2_PENDING").otherwise("NON_M2")
     )
+    if guards:
+        df = guards.watch(df, {"month_not_aligned": F.dayofmonth("month") != 1}, some=True)
     if guard:
         assert_none(df, "dayofmonth(month) <> 1", "a month doesn't begin on day 1")
         assert_unique(df.where(~F.col("invalid_required_field")), NATURAL_KEY, "SOURCE_DUPLICATE_REVIEW_REQUIRED: sales")
     return df
 
 
-def observation(sales: DataFrame, bridge_df: DataFrame, branches: DataFrame, guard: bool = False) -> DataFrame:
+def observation(sales: DataFrame, bridge_df: DataFrame, branches: DataFrame, guard: bool = False, guards: Guards | None = None) -> DataFrame:
     """Valid M2 sales with their masters, reason of exclusion, sign split and channel relation.
 
     Masters join by key with no hint: the optimiser broadcasts them where their size allows.
     """
-    m2 = prepare_sales(sales, guard).where((F.col("unit_norm") == "M2") & ~F.col("invalid_required_field"))
+    m2 = prepare_sales(sales, guard, guards).where((F.col("unit_norm") == "M2") & ~F.col("invalid_required_field"))
     codes = bridge_df.select("bravo_sku", "base_sku", "mapping_status", "modeling_exclusion_reason", "current_sku_status", "branch_channel", F.lit(True).alias("has_sku"))
     places = branches.select("branch_code", "region", "branch_brand", "branch_current_status", F.lit(True).alias("has_branch"))
     df = m2.join(codes, "bravo_sku", "left").join(places, "branch_code", "left")
@@ -105,3 +111,14 @@ def fact(obs: DataFrame) -> DataFrame:
         F.count("*").alias("observed_source_row_count"), F.countDistinct("bravo_sku").alias("observed_bravo_count"), any_("observed_positive"), any_("observed_explicit_zero"), any_("observed_negative"),
     )
     return grouped.withColumn("observation_status", observation_status(F.col("observed_positive"), F.col("observed_explicit_zero"), F.col("observed_negative")))
+
+
+def guarded_fact(fact: DataFrame, guards: Guards) -> DataFrame:
+    """The fact with its contract observed: keys are known, an item code has one row a branch and month, signs hold.
+
+    The fact counts rows and distinct item codes anyway, so repeated source keys show without a grouping of their own.
+    """
+    return guards.watch(fact, {
+        "key_missing": F.col("base_sku").isNull() | F.col("branch_code").isNull() | F.col("month").isNull(), "source_key_repeated": F.col("observed_source_row_count") > F.col("observed_bravo_count"),
+        "wrong_sign": (F.col("gross_positive_m2") < 0) | (F.col("negative_m2") > 0),
+    }, some=True)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from monsoon.functions import lunar
 from monsoon.functions.dates import calendar_parts, cyclic, month_diff, month_start, weekdays
 from monsoon.schema import PAIR
+from monsoon.sources.stages import Guards, repeats
 
 
 def spine(df: DataFrame, keys: list[str], end: str, first: str = "first_observed_month") -> DataFrame:
@@ -55,6 +56,17 @@ def lifecycle(df: DataFrame) -> DataFrame:
     return df.withColumns({f"months_since_{c}": month_diff(month, F.col(f"{c}_month" if c == "first_observed" else f"{c}_month_to_date")) for c in ("first_observed", "first_positive", "last_observed", "last_positive")})
 
 
+def guarded_panel(panel: DataFrame, guards: Guards) -> DataFrame:
+    """The pair panel with its contract observed: one row a pair and month, no gaps, no look ahead, returns without a target."""
+    before = F.lag("month").over(Window.partitionBy(*PAIR).orderBy("month"))
+    marked = panel.withColumns({"_repeat": repeats(PAIR, "month"), "_gap": before.isNotNull() & (F.add_months(before, 1) < F.col("month"))})
+    seen = guards.watch(marked, {
+        "row_repeated": F.col("_repeat"), "month_missing": F.col("_gap"), "looks_ahead": F.col("first_positive_month_to_date") > F.col("month"), "before_first_observation": F.col("month") < F.col("first_observed_month"),
+        "returns_with_target": F.col("actual_negative_only") & (F.col("target_available") | F.col("actual_gross_m2").isNotNull()),
+    }, some=True)
+    return seen.drop("_repeat", "_gap")
+
+
 def positive_events(fact: DataFrame) -> DataFrame:
     """The fact with new_positive_pair and reactivated_pair (positive again after a gap of two months at least)."""
     whole = Window.partitionBy(*PAIR)

@@ -9,11 +9,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from monsoon.functions.metrics import metric_row
+from monsoon.operators.boost import Boosters
 from monsoon.operators.scores import Y
 from monsoon.operators.validate import prediction_guards
-from monsoon.functions.metrics import metric_row
 from monsoon.schema import PAIR, DataError
-from monsoon.sources.runs import content_digest, manifest, new_run
+from monsoon.sources.runs import content_digest
+from monsoon.sources.store import RunStore
 from monsoon.sources.tables import write_parquet
 
 KEYS = [*PAIR, "forecast_origin", "target_month", "horizon"]
@@ -38,23 +40,25 @@ def safety(forecast: DataFrame, origin: str, horizons: Sequence[int] = (1, 2, 3)
     return row
 
 
-def lock(forecast: DataFrame, root: str | Path, run_id: str, origin: str, now: dt.datetime | None = None, table: str | None = None) -> Path:
-    """Writes a forecast once, with its summary, digest and safety, all of what was written; raises if a check fails.
+def lock(forecast: DataFrame, root: str | Path, run_id: str, origin: str, now: dt.datetime | None = None, models: Boosters | None = None) -> str:
+    """Publishes a forecast once, with its models, summary, digest and safety, all of what was written; the run's path.
 
-    The forecast goes to `table`, a path that every executor reaches (on a cluster, one of a shared file system); by default
-    to the run's folder.  The run's folder, with the manifest that makes the run a finished one, is the driver's.
+    root is on a file system that every executor reaches.  Raises if a check fails, or if the id has been published, by another
+    writer at the same time too; nothing is published then.
     """
-    run = new_run(root, run_id)
-    path = table or f"file://{run.resolve()}/forecast"
-    write_parquet(forecast, path)
-    forecast = forecast.sparkSession.read.parquet(path)
+    spark = forecast.sparkSession
+    run = RunStore(spark, root).begin(run_id)
+    write_parquet(forecast, run.at("forecast"))
+    forecast = spark.read.parquet(run.at("forecast"))
     checks = safety(forecast, origin)
     if not all(checks.values()):
-        # without a manifest the run never counts as finished
+        run.abandon()
         raise DataError(f"unsafe forecast: {[k for k, v in checks.items() if not v]}")
+    if models:
+        models.save(spark, run.at("models"))
     digest = content_digest(forecast, KEYS + ["forecast_m2"]).first()
-    manifest(run, origin=origin, table=path, locked_at=now or dt.datetime.now(dt.UTC), rows=digest.n_rows, digest=digest.digest, safety=checks, summary=[r.asDict() for r in forecast_summary(forecast).collect()])
-    return run
+    summary = [r.asDict() for r in forecast_summary(forecast).collect()]
+    return run.finish(status="PASS", origin=origin, locked_at=now or dt.datetime.now(dt.UTC), rows=digest.n_rows, digest=digest.digest, safety=checks, models=bool(models), summary=summary)
 
 
 def score_vintage(forecast: DataFrame, panel: DataFrame) -> DataFrame:

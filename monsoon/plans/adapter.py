@@ -50,6 +50,10 @@ def sales_monthly(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     return rows.groupBy("bravo_sku", "branch_code", "unit", "month").agg(F.sum("quantity").alias("total_quantity"), F.sum("amount").alias("total_amount"), F.count("*").alias("line_count"))
 
 
+#: The tables that sources are made of.
+TABLES = ("part", "nation", "region", "lineitem", "supplier")
+
+
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return Sources(master_sku(read("part")), master_channel(read("nation"), read("region")), sales_monthly(read("lineitem"), read("supplier")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -9,7 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monsoon.operators import baselines, dataset, diagnose, features, gate, panel, supervise
-from monsoon.plans.adapter import Sources, sources
+from monsoon.operators.boost import Boosters
+from monsoon.plans.adapter import TABLES, Sources, sources
+from monsoon.schema import PAIR
+from monsoon.sources.stages import Guards, bucketed, fingerprint, once, stage
+from monsoon.sources.stored import shared_dir
 
 
 @dataclass(frozen=True)
@@ -29,14 +35,42 @@ class Calendar:
 
 @dataclass(frozen=True)
 class Demand:
+    """Frames of one set of tables.  The fact, the panel and the features at each origin are stored stages, bucketed by pair and
+    checked while they are written, unless stored is False; all other frames are lazy plans over them."""
+
     spark: SparkSession
     sf_dir: str
     calendar: Calendar = Calendar()
+    stored: bool = True
+
+    @cached_property
+    def _inputs(self) -> tuple:
+        return (fingerprint(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in TABLES]), self.calendar)
+
+    def _stage(self, name: str, build: Callable[[Guards], DataFrame]) -> DataFrame:
+        if not self.stored:
+            return build(Guards(name))
+
+        def write() -> str:
+            guards = Guards(name)
+            return bucketed(build(guards), name, PAIR, "month", guards)
+
+        return stage(self.spark, self._inputs, name, write)
 
     @cached_property
     def sources(self) -> Sources:
         return sources(self.spark, self.sf_dir)
 
+    def models(self, name: str, fit: Callable[[], Boosters]) -> Boosters:
+        """Models fitted once a session over these tables; later readers load what was saved."""
+
+        def write() -> str:
+            path = f"{shared_dir(self.spark)}/models/{name}-{uuid.uuid4().hex}"
+            fit().save(self.spark, path)
+            return path
+
+        return Boosters.load(self.spark, once(self.spark, self._inputs, f"models {name}", write))
+
     @cached_property
     def bridge(self) -> DataFrame:
         return dataset.bridge(self.sources.master_sku)
@@ -55,11 +89,15 @@ class Demand:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return dataset.fact(self.observation)
+        def build(guards: Guards) -> DataFrame:
+            obs = dataset.observation(self.sources.sales, self.bridge, self.dim_branch, guards=guards)
+            return dataset.guarded_fact(dataset.fact(obs), guards)
+
+        return self._stage("fact", build)
 
     @cached_property
     def pair_panel(self) -> DataFrame:
-        return panel.pair_panel(self.fact, self.dim_base, self.dim_branch, self.calendar.panel_end)
+        return self._stage("pair_panel", lambda guards: panel.guarded_panel(panel.pair_panel(self.fact, self.dim_base, self.dim_branch, self.calendar.panel_end), guards))
 
     @cached_property
     def branch_panel(self) -> DataFrame:
@@ -71,7 +109,7 @@ class Demand:
 
     @cached_property
     def pair_origin(self) -> DataFrame:
-        return features.pair_origin_features(self.pair_panel, keep=TARGETS)
+        return self._stage("pair_origin", lambda guards: features.pair_origin_features(self.pair_panel, keep=TARGETS))
 
     @cached_property
     def branch_origin(self) -> DataFrame:
@@ -95,15 +133,22 @@ class Demand:
         return supervise.rolling_origins(self.spark, c.first_rolling_origin, c.last_rolling_origin, c.frozen_start)
 
     @cached_property
-    def rolling(self) -> DataFrame:
-        """The backtest's panel with the pair's own features, states and all experts; segment and event are those at the origin."""
+    def known(self) -> DataFrame:
+        """The pair's own features, states and targets at each origin."""
+        return self._stage("known", lambda guards: self._known())
+
+    def _known(self) -> DataFrame:
         known = features.pair_features(self.pair_panel).withColumns({
             "current_production_forecast_mask": F.coalesce(F.col("base_current_active") & F.col("branch_current_active"), F.lit(False)), "known_pair_asof_origin": F.lit(True),
         })
         own = [c for c in known.columns if c.startswith("pair_")]
         # features and states are windows of one partitioning and order: one exchange and one sort for both
-        known = baselines.intermittent_states(known, keep=("current_production_forecast_mask", "known_pair_asof_origin", "months_since_last_positive", *own, *TARGETS))
-        rows = supervise.rolling_panel(known, self.target_calendar, self.calendar.frozen_start)
+        return baselines.intermittent_states(known, keep=("current_production_forecast_mask", "known_pair_asof_origin", "months_since_last_positive", *own, *TARGETS))
+
+    @cached_property
+    def rolling(self) -> DataFrame:
+        """The backtest's panel with the pair's own features, states and all experts; segment and event are those at the origin."""
+        rows = supervise.rolling_panel(self.known, self.target_calendar, self.calendar.frozen_start)
         return baselines.predictions(rows).withColumns({"segment": gate.behaviour_segment(), "event": diagnose.demand_event()})
 
     @cached_property

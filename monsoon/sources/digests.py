@@ -12,7 +12,7 @@ BUCKETS = 256
 def contents(spark: SparkSession, path: str) -> DataFrame:
     """file (its path below path), length and content of every data file below path; a file is a row, so it has 2 GB at most.
 
-    Hidden files, whose names begin with a dot or an underscore, don't count.
+    Hidden files, whose names begin with a dot or an underscore, and empty ones, which Spark doesn't read, don't count.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     root = path.rstrip("/").split("://")[-1].split(":", 1)[-1]
@@ -24,7 +24,7 @@ def contents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def part_digests(files: DataFrame, part: int = PART) -> DataFrame:
-    """file, part (from 0), n_bytes and digest of every part of at most `part` bytes; an empty file has one empty part."""
+    """file, part (from 0), n_bytes and digest of every part of at most `part` bytes."""
     last = F.greatest(F.ceil(F.octet_length("content") / part) - 1, F.lit(0))
     rows = files.select("file", "content", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("part"))
     piece = F.substring("content", (F.col("part") * part + 1).cast("int"), F.lit(part))

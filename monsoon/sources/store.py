@@ -29,7 +29,8 @@ class Files:
 
     def _at(self, path: str):
         p = self._jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self._conf)
+        fs = p.getFileSystem(self._conf)
+        return fs.makeQualified(p), fs
 
     def exists(self, path: str) -> bool:
         p, fs = self._at(path)

@@ -65,7 +65,7 @@ def test_splits_are_the_best_of_all(seed):
         if categorical[f]:
             sides = [np.isin(np.arange(8), s) for k in range(1, 8) for s in itertools.combinations(range(8), k)]
         else:
-            sides = [np.concatenate(([missing], np.arange(1, 8) <= k)) for k in range(0, 8) for missing in (False, True)]
+            sides = [np.concatenate(([missing], np.arange(1, 8) <= k)).astype(bool) for k in range(0, 8) for missing in (False, True)]
         for side in sides:
             left, right = sums[f][side].sum(0), sums[f][~side].sum(0)
             if min(left[2], right[2]) >= 3:
