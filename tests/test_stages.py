@@ -14,6 +14,7 @@ from monsoon.schema import PAIR, DataError
 from monsoon.sources import digests, stages
 from monsoon.sources.stages import Guards, bucketed, repeats
 from monsoon.sources.store import MANIFEST, RunStore
+from monsoon.sources.stored import store
 
 SF = "/root/testdata/sf0.001"
 
@@ -122,8 +123,8 @@ def test_guards_of_the_sales_see_months(spark):
 
 
 def test_of_two_writers_one_wins(spark, tmp_path):
-    store = RunStore(spark, tmp_path)
-    runs = [store.begin("r_1") for _ in range(4)]
+    shelf = RunStore(spark, tmp_path)
+    runs = [shelf.begin("r_1") for _ in range(4)]
     for i, run in enumerate(runs):
         run.put("who.txt", str(i))
     won, lost = [], []
@@ -141,53 +142,53 @@ def test_of_two_writers_one_wins(spark, tmp_path):
         t.join()
     assert len(won) == 1 and len(lost) == 3
     i, path = won[0]
-    assert store.files.read(f"{path}/who.txt") == str(i) and store.manifest("r_1")["rows"] == i and store.latest("r_") == path
-    assert store.files.names(f"{store.root}/staging") == []
+    assert shelf.files.read(f"{path}/who.txt") == str(i) and shelf.manifest("r_1")["rows"] == i and shelf.latest("r_") == path
+    assert shelf.files.names(f"{shelf.root}/staging") == []
     with pytest.raises(FileExistsError):
-        store.begin("r_1")
+        shelf.begin("r_1")
 
 
 def test_a_killed_run_is_none_and_a_killed_publication_is_finished(spark, tmp_path):
-    store = RunStore(spark, tmp_path)
-    assert store.latest() is None
-    first = store.begin("r_1").finish(status="PASS")
-    killed = store.begin("r_2")
+    shelf = RunStore(spark, tmp_path)
+    assert shelf.latest() is None
+    first = shelf.begin("r_1").finish(status="PASS")
+    killed = shelf.begin("r_2")
     killed.put("part.txt", "half")
-    assert store.latest() == first
+    assert shelf.latest() == first
     with pytest.raises(FileNotFoundError):
-        store.open("r_2")
-    again = store.begin("r_2")
+        shelf.open("r_2")
+    again = shelf.begin("r_2")
     again.put("part.txt", "whole")
     again.put_json(MANIFEST, {"status": "PASS"})
-    assert store.files.create(store.marker("r_2"), again.path)  # killed before the rename
-    path = store.latest()
-    assert path.endswith("runs/r_2") and store.files.read(f"{path}/part.txt") == "whole"
+    assert shelf.files.create(shelf.marker("r_2"), again.path)  # killed before the rename
+    path = shelf.latest()
+    assert path.endswith("runs/r_2") and shelf.files.read(f"{path}/part.txt") == "whole"
     with pytest.raises(FileExistsError):
         killed.finish()  # comes back too late
-    assert store.files.read(f"{store.open('r_2')}/part.txt") == "whole"
+    assert shelf.files.read(f"{shelf.open('r_2')}/part.txt") == "whole"
 
 
 def test_pointers_snapshots_and_names(spark, tmp_path):
     from monsoon.sources.contracts import GateError
 
     (tmp_path / "c.yaml").write_text("a: é\n")
-    store = RunStore(spark, tmp_path / "s")
-    run = store.begin("r_1")
+    shelf = RunStore(spark, tmp_path / "s")
+    run = shelf.begin("r_1")
     found = run.snapshot([f"file://{tmp_path}/c.yaml"])
-    assert len(found["c.yaml"]) == 64 and store.files.read(run.at("contracts/c.yaml")) == "a: é\n"
+    assert len(found["c.yaml"]) == 64 and shelf.files.read(run.at("contracts/c.yaml")) == "a: é\n"
     with pytest.raises(FileExistsError):
         run.snapshot([f"file://{tmp_path}/c.yaml"])
     run.finish()
-    store.publish("current", "r_1", status="PASS", version="1")
-    store.publish("current", "r_1", status="PASS", version="2")
-    assert store.resolve("current", version="2")["run_id"] == "r_1"
+    shelf.publish("current", "r_1", status="PASS", version="1")
+    shelf.publish("current", "r_1", status="PASS", version="2")
+    assert shelf.resolve("current", version="2")["run_id"] == "r_1"
     with pytest.raises(GateError):
-        store.resolve("current", version="1")
+        shelf.resolve("current", version="1")
     with pytest.raises(FileNotFoundError):
-        store.publish("current", "r_9")
+        shelf.publish("current", "r_9")
     for bad in ("", "a/b", ".x"):
         with pytest.raises(ValueError):
-            store.begin(bad)
+            shelf.begin(bad)
 
 
 # ---- digests
@@ -203,7 +204,7 @@ def test_digests_name_the_part_that_changed(spark, tmp_path):
     (folder / "empty.bin").write_bytes(b"")
     (folder / "_hidden").write_bytes(b"x")
     url = f"file://{tmp_path}/data"
-    before = digests.part_digests(digests.contents(spark, url), 1000).persist()
+    before = store(digests.part_digests(digests.contents(spark, url), 1000), "digests")
     assert {(r.file, r.n) for r in before.groupBy("file").agg(F.count("*").alias("n")).collect()} == {("a.bin", 10), ("deep/b.bin", 5)}
     root = digests.tree(spark, url, 1000).first()
     assert root.n_files == 2 and digests.root_digest(digests.bucket_digests(digests.file_digests(before.repartition(7)))).first() == root
@@ -218,4 +219,3 @@ def test_digests_name_the_part_that_changed(spark, tmp_path):
     assert digests.tree(spark, url, 1000).first().digest != root.digest
     with pytest.raises(ValueError, match=re.escape("('a.bin', 3, 'CHANGED')")):
         digests.verify(spark, url, before, 1000)
-    before.unpersist()
