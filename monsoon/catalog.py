@@ -203,8 +203,8 @@ def _evaluation() -> None:
     w_close = ("wape_3m", "mae_3m", "bias_3m", "bias_ratio_3m", "forecast_sum")
     query("cumulative_3m", f"SELECT level, model, {w_metrics} FROM ({rolled}) GROUP BY 1, 2", w_close)(lambda d: scores.cumulative(scores.complete_windows(d.evaluation, PREDS), PREDS))
     query("cumulative_3m_by_origin", f"SELECT level, model, forecast_origin, {w_metrics} FROM ({rolled}) GROUP BY 1, 2, 3", w_close)(lambda d: scores.cumulative(scores.complete_windows(d.evaluation, PREDS), PREDS, True))
-    revised = """SELECT a.base_sku, a.branch_code, a.target_month, 'H' || a.horizon || '_TO_H' || b.horizon AS transition, a.model, a.pred AS old_pred, b.pred AS new_pred, b.pred - a.pred AS revision
-      FROM long a JOIN long b ON a.base_sku = b.base_sku AND a.branch_code = b.branch_code AND a.target_month = b.target_month AND a.model = b.model AND a.horizon = b.horizon + 1 AND (a.forecast_origin + INTERVAL 1 MONTH)::DATE = b.forecast_origin"""
+    revised = """SELECT base_sku, branch_code, target_month, 'H' || horizon || '_TO_H' || h AS transition, model, pred AS old_pred, p AS new_pred, p - pred AS revision
+      FROM (SELECT *, lead(pred) OVER w AS p, lead(horizon) OVER w AS h FROM long WINDOW w AS (PARTITION BY base_sku, branch_code, target_month, model ORDER BY horizon DESC)) WHERE h = horizon - 1"""
     query("revision_detail", revised, ("old_pred", "new_pred", "revision"))(lambda d: scores.revisions(d.evaluation, PREDS))
     r_metrics = "count(*) AS n_rows, avg(abs(revision)) AS revision_mae, sum(abs(revision)) / nullif(sum(abs(old_pred)), 0) AS revision_ratio, sum(revision) AS signed_revision"
     query(
@@ -279,15 +279,47 @@ def _evaluation() -> None:
           FROM (SELECT horizon, target_actual_gross_m2 AS y, p_positive AS p, q_positive AS q FROM ev) GROUP BY GROUPING SETS ((), (horizon))""",
         ("positive_rate", "mean_p", "mean_p_positive", "mean_p_zero", "brier", "q_wape_positive", "q_bias_ratio_positive"),
     )(lambda d: diagnose.probability(d.evaluation))
-    query("parity_audit", """WITH n AS (SELECT count(*) AS n FROM roll WHERE forecast_origin = DATE '2001-08-01' AND is_primary) SELECT c AS "column", n AS n_rows, 0::BIGINT AS mismatches FROM n, (VALUES ('grain'), ('pair_lag_1'), ('pair_roll_12_std'), ('segment')) x(c)""")(
-        lambda d: diagnose.parity(*[f.where("forecast_origin = date'2001-08-01'").select(*PAIR, "horizon", "pair_lag_1", "pair_roll_12_std", "segment") for f in (d.evaluation, supervise.origin_phases(d.rolling, d.origins, ["EVAL"]))], [*PAIR, "horizon"], ["pair_lag_1", "pair_roll_12_std", "segment"])
-    )
+    own = [*_LAGGED, *_ROLLED, *_COUNTED, *_WHOLE, *_EXPANDED]
+    train = "SELECT f.*, h AS horizon, (f.month + h * INTERVAL 1 MONTH)::DATE AS target_month FROM pair_f f, (VALUES (1), (2), (3)) x(h) WHERE f.month + h * INTERVAL 1 MONTH <= DATE '2001-08-01'"
+
+    def parity_sql(counts: dict[str, str]) -> str:
+        cases = " ".join(f"WHEN '{c}' THEN (SELECT count(*) FROM r WHERE {w})" for c, w in counts.items())
+        names = ", ".join(f"('{c}')" for c in ["grain", *own])
+        return f"""WITH r AS ({train}) SELECT c AS "column", (SELECT count(*) FROM r) AS n_rows, {f'CASE c {cases} ELSE 0 END' if cases else '0'}::BIGINT AS mismatches FROM (VALUES {names}) x(c)"""
+
+    def parity(d: Demand, spoil: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+        """The backtest's features against the development panel's, which are made another way: all columns, all origins."""
+        frames = (f.where(F.col("target_month") <= F.lit(d.calendar.train_end).cast("date")).select(*dev_keys, *own) for f in (d.pair_dev, d.rolling))
+        return diagnose.parity(next(frames), spoil(next(frames)), dev_keys, own)
+
+    query("parity_audit", parity_sql({}))(parity)
+    query("parity_audit_spoiled", parity_sql({
+        "grain": "branch_code = '005'", "pair_lag_1": "branch_code <> '005' AND month(target_month) = 3 AND pair_lag_1 IS NOT NULL", "pair_roll_12_std": "branch_code <> '005' AND horizon = 2 AND pair_roll_12_std IS NOT NULL",
+    }))(lambda d: parity(d, lambda df: df.where("branch_code <> '005'").withColumns({
+        "pair_lag_1": F.when(F.month("target_month") == 3, F.col("pair_lag_1") + 1).otherwise(F.col("pair_lag_1")), "pair_roll_12_std": F.when(F.col("horizon") != 2, F.col("pair_roll_12_std")),
+    })))
     query("alignment", "SELECT base_sku, branch_code, forecast_origin, target_month, horizon, target_actual_gross_m2, pred_soft, pred_ma_3 FROM ev", ("pred_soft", "pred_ma_3"))(
-        lambda d: diagnose.align(d.evaluation.select(*dev_keys, scores.Y, "pred_soft"), d.evaluation.select(*dev_keys, scores.Y, "pred_ma_3"), dev_keys, "pred_ma_3", guard=False)
+        lambda d: diagnose.align(d.evaluation.select(*dev_keys, scores.Y, "pred_soft"), supervise.origin_phases(d.rolling, d.origins, ["EVAL"]).select(*dev_keys, scores.Y, "pred_ma_3"), dev_keys, "pred_ma_3")
     )
+    sides = lambda q, v: f"(SELECT {v} FROM ({q}) WHERE model = 'ma_3') AS a, (SELECT {v} FROM ({q}) WHERE model = 'soft') AS b"
+    figures = {
+        "monthly_wape": sides(f"SELECT model, {METRICS} FROM long GROUP BY 1", "wape"), "wape_3m_pair": sides(f"SELECT model, {w_metrics} FROM ({rolled}) WHERE level = 'PAIR' GROUP BY 1", "wape_3m"),
+        "zero_false_positive_rate": sides(f"SELECT model, {METRICS} FROM long GROUP BY 1", "zero_false_positive_rate"),
+        "revision_ratio": sides(f"SELECT model, {r_metrics} FROM ({revised}) WHERE transition = 'H2_TO_H1' GROUP BY 1", "revision_ratio"),
+    }
+    review = " UNION ALL ".join(f"SELECT '{n}' AS figure, a AS reference, b AS challenger, b - a AS difference, 'REVIEW_REQUIRED' AS decision FROM (SELECT {q})" for n, q in figures.items())
+    query("comparison_review", review, ("reference", "challenger", "difference"))(lambda d: _review(d, diagnose, scores, long(d), PREDS))
     assert baselines.PREDS == PREDS
 
 
+def _review(d: Demand, diagnose, scores, long: DataFrame, preds: list[str]) -> DataFrame:
+    """What a reviewer decides on, of the analytic two-part forecast against the moving average."""
+    board, windows = scores.scoreboard(long), scores.cumulative(scores.complete_windows(d.evaluation, preds), preds)
+    found = diagnose.comparison_review(board, windows, board.where("segment is null"), scores.revision_summary(scores.revisions(d.evaluation, preds)), "ma_3", "soft")
+    rows = [(n, x["reference"], x["challenger"], x["difference"], found["decision"]) for n, x in found["figures"].items()]
+    return d.spark.createDataFrame(rows, "figure string, reference double, challenger double, difference double, decision string")
+
+
 def _phase_counts(parts: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, df in parts.items():
@@ -395,11 +427,14 @@ def _control() -> None:
         SELECT base_sku, branch_code, month, actual_positive FROM (SELECT r.*, take, row_number() OVER (PARTITION BY actual_positive ORDER BY h, base_sku, branch_code, month) AS i FROM r JOIN q USING (actual_positive)) WHERE i <= take""")(
         lambda d: select.capped_sample(_own(d).select(*PAIR, "month", "actual_positive"), ["actual_positive"], [*PAIR, "month"], 5000)
     )
-    table = [(s, f, 0.01 * (i + 1) * (1 if s == "ALL" else 0.5) - 0.02) for i, f in enumerate(("horizon", "pair_lag_1", "pair_lag_2", "pair_lag_3")) for s in ("ALL", "h1")]
-    values = ", ".join(f"('{s}', '{f}', {v!r})" for s, f, v in table)
-    query("feature_choice", f"""SELECT feature_name, best, row_number() OVER (ORDER BY best DESC, feature_name)::INTEGER AS rank, reason <> 'NOT_SELECTED' AS selected, reason FROM (SELECT *, CASE WHEN feature_name = 'horizon' THEN 'MANDATORY_FOR_POOLED' WHEN best > 0.0005 THEN 'PERMUTATION_IMPORTANCE'
-        WHEN row_number() OVER (ORDER BY best DESC, feature_name) <= 2 THEN 'MIN_FEATURE_FLOOR' ELSE 'NOT_SELECTED' END AS reason FROM (SELECT f AS feature_name, max(v) AS best FROM (VALUES {values}) t(s, f, v) GROUP BY 1))""", ("best",))(
-        lambda d: select.choose_features(d.spark.createDataFrame(table, "scope string, feature_name string, importance_wape_mean double"), select.Screen(min_selected=2))
+    scored = [*_LAGGED, "pair_roll_12_mean", "pair_peak_share_to_origin"]
+    corr = ", ".join(f"round(abs(corr(z.{c}, z.y)), 9) AS {c}" for c in scored)
+    scopes = " UNION ALL ".join(f"SELECT '{n}' AS s, 0.0::DOUBLE AS horizon, {corr} FROM z WHERE {w}" for n, w in (("ALL", "true"), ("h1", "h = 1"), ("h2", "h = 2"), ("h3", "h = 3")))
+    ahead = "SELECT f.*, h, t.actual_gross_m2 AS y FROM pair_f f, (VALUES (1), (2), (3)) x(h), pair_panel t WHERE t.base_sku = f.base_sku AND t.branch_code = f.branch_code AND t.month = (f.month + h * INTERVAL 1 MONTH)::DATE AND t.target_available"
+    query("feature_choice", f"""WITH z AS ({ahead}), w AS ({scopes}), i AS (UNPIVOT w ON horizon, {", ".join(scored)} INTO NAME f VALUE v)
+        SELECT feature_name, best, row_number() OVER (ORDER BY best DESC, feature_name)::INTEGER AS rank, reason <> 'NOT_SELECTED' AS selected, reason FROM (SELECT *, CASE WHEN feature_name = 'horizon' THEN 'MANDATORY_FOR_POOLED' WHEN best > 0.0005 THEN 'PERMUTATION_IMPORTANCE'
+        WHEN row_number() OVER (ORDER BY best DESC, feature_name) <= 2 THEN 'MIN_FEATURE_FLOOR' ELSE 'NOT_SELECTED' END AS reason FROM (SELECT f AS feature_name, max(v) AS best FROM i GROUP BY 1))""", ("best",))(
+        lambda d: select.choose_features(_importance_by_scope(d, scored), select.Screen(min_selected=2))
     )
     query("permutation_importance")(lambda d: _importance(d, select))
     query("family_ablation")(lambda d: _ablation(d, select))
@@ -476,9 +511,37 @@ def _checks(validate, vintage) -> None:
     query("prediction_guards_spoiled", f"{guards} FROM (SELECT *, p_positive + 1 AS p, q_positive AS q, CASE WHEN horizon = 2 THEN NULL ELSE pred_soft END AS f FROM ev)")(
         lambda d: validate.prediction_guards(d.evaluation.withColumns({"p_positive": F.col("p_positive") + 1, "pred_soft": F.when(F.col("horizon") != 2, F.col("pred_soft"))}), "pred_soft", vintage.KEYS)
     )
-    stage = ("grain_unique", "information_up_to_origin", "horizon_aligned", "no_frozen_target", "origin_up_to_limit", "validation_origin_locked", "returns_have_no_target", "peak_is_carried", "calendar_known")
-    passed = 'SELECT unnest([{}]) AS "check", 0::BIGINT AS violations, \'PASS\' AS status'.format(", ".join(f"'{n}'" for n in stage))
-    query("validate_features", passed)(lambda d: validate.validate_features(d.pair_dev, d.calendar.validation_origin, d.calendar.frozen_start))
+    dev = """SELECT f.*, h, (f.month + h * INTERVAL 1 MONTH)::DATE AS target FROM pair_f f, (VALUES (1), (2), (3)) x(h) WHERE f.month <= DATE '2001-08-01' AND (f.month + h * INTERVAL 1 MONTH <= DATE '2001-08-01' OR f.month = DATE '2001-08-01')"""
+
+    def stage(frame: str) -> str:
+        """Counts on a frame with columns target (as given), info, peak and days."""
+        return frame + table({
+            "grain_unique": twice("bad", "month, target, h, base_sku, branch_code"), "information_up_to_origin": bad("bad", "info > month"), "horizon_aligned": bad("bad", "(month + h * INTERVAL 1 MONTH)::DATE <> target"),
+            "no_frozen_target": bad("bad", "target >= DATE '2001-12-01'"), "origin_up_to_limit": bad("bad", "month > DATE '2001-08-01'"), "validation_origin_locked": bad("bad", "false"), "returns_have_no_target": bad("bad", "false"),
+            "peak_is_carried": bad("bad", "pair_positive_count_to_origin > 0 AND peak IS NULL"), "calendar_known": bad("bad", "days IS NULL"),
+        })
+
+    fine = f"WITH bad AS (SELECT d.*, d.month AS info, pair_peak_positive_m2_to_origin AS peak, target_working_days_proxy AS days FROM ({dev}) d JOIN target_calendar c ON c.target_month = d.target) "
+    query("validate_features", stage(fine))(lambda d: validate.validate_features(d.pair_dev, d.calendar.validation_origin, d.calendar.frozen_start))
+    spoilt = f"""WITH g AS ({dev}), t AS (SELECT * FROM g UNION ALL SELECT * FROM g WHERE branch_code = '003'),
+      bad AS (SELECT * REPLACE (CASE WHEN h = 3 THEN (target + INTERVAL 1 MONTH)::DATE ELSE target END AS target), CASE WHEN month(month) = 2 THEN (month + INTERVAL 1 MONTH)::DATE ELSE month END AS info,
+        CASE WHEN h <> 1 THEN pair_peak_positive_m2_to_origin END AS peak, CASE WHEN h <> 2 THEN 1 END AS days FROM t) """
+
+    def spoiled_features(d: Demand) -> DataFrame:
+        twice_in = d.pair_dev.unionByName(d.pair_dev.where("branch_code = '003'"))
+        return validate.validate_features(twice_in.withColumns({
+            "target_month": F.when(F.col("horizon") == 3, F.add_months("target_month", 1)).otherwise(F.col("target_month")), "feature_information_max_month": F.when(F.month("forecast_origin") == 2, F.add_months("forecast_origin", 1)).otherwise(F.col("forecast_origin")),
+            "pair_peak_positive_m2_to_origin": F.when(F.col("horizon") != 1, F.col("pair_peak_positive_m2_to_origin")), "target_working_days_proxy": F.when(F.col("horizon") != 2, 1),
+        }), d.calendar.validation_origin, d.calendar.frozen_start)
+
+    query("validate_features_spoiled", stage(spoilt))(spoiled_features)
+
+
+def _importance_by_scope(d: Demand, columns: list[str]) -> DataFrame:
+    """scope, feature_name and how closely each feature goes with demand, over all rows and by horizon; the horizon itself has 0."""
+    rows = d.rolling.where("target_available").withColumn("scope", F.explode(F.array(F.lit("ALL"), F.concat(F.lit("h"), F.col("horizon")))))
+    wide = rows.groupBy("scope").agg(*[F.round(F.abs(F.corr(c, "target_actual_gross_m2")), 9).alias(c) for c in columns], F.lit(0.0).alias("horizon"))
+    return wide.unpivot(["scope"], ["horizon", *columns], "feature_name", "importance_wape_mean")
 
 
 def _own(d: Demand) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from monsoon.functions.metrics import bias_ratio, diagnosis_row, floor0, wape
 from monsoon.operators.scores import LEVELS, Y, _levels, _sets
 from monsoon.schema import DataError, assert_none, assert_unique
+from monsoon.sources.stored import store
 
 
 # Names of demand events and rounding policies, in order of precedence.
@@ -149,20 +150,44 @@ def probability(df: DataFrame) -> DataFrame:
     ])
 
 
-def parity(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str], atol: float = 1e-9) -> DataFrame:
-    """For each column, rows on which two frames differ; rows that one of them lacks count under `grain`."""
-    a = left.select(*keys, F.struct(*columns).alias("_a"))
-    b = right.select(*keys, F.struct(*columns).alias("_b"))
-    both = a.join(b, list(keys), "full_outer")
-    kinds = dict(left.dtypes)
+def _bucket_sums(df: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int) -> DataFrame:
+    """A row for each bucket of keys: its rows, and for the keys and each column a sum of hashes that any order gives."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    hashes = [F.xxhash64(*keys), *[F.xxhash64(*keys, F.lit(c), c, F.col(c).isNull()) for c in columns]]
+    halves = [F.sum(half).alias(f"h{i}_{k}") for i, h in enumerate(hashes) for k, half in enumerate((h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)))]
+    sums = df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), *halves)
+    return sums.select("bucket", "n", F.array(*[F.col(f"h{i}_{k}") for i in range(len(hashes)) for k in (0, 1)]).alias("sums"))
+
+
+def parity(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str], atol: float = 1e-9, buckets: int = 4096) -> DataFrame:
+    """For each column, the rows on which two frames differ; rows that one of them lacks count under `grain`.
+
+    Compared top down: sums of hashes by bucket of keys first, in one aggregation a frame, then the rows of differing buckets only
+    are joined.  Doubles may differ by atol; a bucket in which they do so by less is joined and found alike.  Nulls are equal.
+    """
+    spark, kinds = left.sparkSession, dict(left.dtypes)
+    a, b = (_bucket_sums(df, keys, columns, buckets) for df in (left, right))
+    both = a.select("bucket", "n", "sums").join(b.select(F.col("bucket").alias("b_"), F.col("n").alias("m"), F.col("sums").alias("t")), F.col("bucket") == F.col("b_"), "full_outer")
+    same = F.col("n").eqNullSafe(F.col("m")) & F.col("sums").eqNullSafe(F.col("t"))
+    judged = store(both.select(F.coalesce("bucket", "b_").alias("bucket"), "n", same.alias("same")), "buckets")  # a row a bucket
+    alike = judged.where("same").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long")).first()[0]
+    differ = F.broadcast(judged.where("not same").select("bucket"))
+
+    def rows(df: DataFrame, name: str) -> DataFrame:
+        mine = df.select(*keys, F.struct(*columns).alias(name), F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket"))
+        return mine.join(differ, "bucket", "left_semi").drop("bucket")
+
+    joined = rows(left, "_a").join(rows(right, "_b"), list(keys), "full_outer")
 
     def differs(c: str) -> Column:
         x, y = F.col(f"_a.{c}"), F.col(f"_b.{c}")
-        same = (F.abs(x - y) <= atol) | (x.isNull() & y.isNull()) if kinds[c] in ("double", "float") else x.eqNullSafe(y)
-        return ~F.coalesce(same, F.lit(False)) & F.col("_a").isNotNull() & F.col("_b").isNotNull()
+        equal = (F.abs(x - y) <= atol) | (x.isNull() & y.isNull()) if kinds[c] in ("double", "float") else x.eqNullSafe(y)
+        return ~F.coalesce(equal, F.lit(False)) & F.col("_a").isNotNull() & F.col("_b").isNotNull()
 
-    checks = F.array(F.struct(F.lit("grain").alias("column"), (F.col("_a").isNull() | F.col("_b").isNull()).alias("bad")), *[F.struct(F.lit(c).alias("column"), differs(c).alias("bad")) for c in columns])
-    return both.select(F.explode(checks).alias("c")).groupBy("c.column").agg(F.count("*").alias("n_rows"), F.count_if("c.bad").alias("mismatches"))
+    bad = {"grain": F.col("_a").isNull() | F.col("_b").isNull(), **{c: differs(c) for c in columns}}
+    wide = joined.agg(F.count("*").alias("n"), *[F.count_if(x).alias(f"bad{i}") for i, x in enumerate(bad.values())])
+    found = F.array(*[F.struct(F.lit(c).alias("column"), (F.col("n") + alike).alias("n_rows"), F.col(f"bad{i}").alias("mismatches")) for i, c in enumerate(bad)])
+    return wide.select(F.explode(found).alias("c")).select("c.*")
 
 
 def align(challenger: DataFrame, reference: DataFrame, keys: Sequence[str], pred: str, y: str = Y, guard: bool = True) -> DataFrame:
