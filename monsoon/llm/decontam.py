@@ -8,7 +8,9 @@ an item with a document must agree on their slots: one value of the item must st
 throughout, and windows with a value that stands for several don't count.  So a question with other names or numbers is
 still caught.
 
-Texts are read and tokenised once.  Windows are rows inside the scan's stage only: what leaves it are matches.
+Texts are read and tokenised once.  Windows are rows inside the scan's stage only: what leaves it are those that some item has, a
+row a position.  A leak has one of the item's rarest windows, so windows that many items and documents share (an instruction
+before every question) make no pairs; they are counted for the pairs that rarer ones have made.
 """
 
 from __future__ import annotations
@@ -105,8 +107,8 @@ def _benchmark(items: DataFrame, sizes: list[int], conf: Decontam) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _hits(docs: DataFrame, index: DataFrame, sizes: list[int], conf: Decontam, small: bool) -> DataFrame:
-    """Windows of docs that are in index."""
+def _seen(docs: DataFrame, keys: DataFrame, sizes: list[int], conf: Decontam, small: bool) -> DataFrame:
+    """Windows of docs that some item has: a row a position and size at most, however many items share a window."""
     ats = {size: _At(size, conf.literals) for size in sizes}
     least = min(sizes)
     at_pos = _positions(docs, ["id", "digest"], least)
@@ -122,15 +124,31 @@ def _hits(docs: DataFrame, index: DataFrame, sizes: list[int], conf: Decontam, s
         at_pos = at_pos.select("id", "digest", "t", "v", "pos", F.explode(ends).alias("size")).where("size is not null")
     else:
         at_pos = at_pos.withColumn("size", F.lit(least))
-    index = index.withColumnRenamed("size", "isize")
     window = [of_size(lambda at: at.tw).alias("tw"), of_size(lambda at: at.vw).alias("vw")]
     keyed = at_pos.withColumn("k", of_size(lambda at: at.key(1)))
+    keys = F.broadcast(keys) if small else keys
     if small:
         # only windows whose hash is in the index are written out
-        found = keyed.join(F.broadcast(index), F.col("k") == F.col("a")).withColumns({"tw": window[0], "vw": window[1]})
+        found = keyed.join(keys, (F.col("k") == F.col("a")) & (F.col("size") == F.col("ksize"))).withColumns({"tw": window[0], "vw": window[1]})
     else:
-        found = keyed.select("id", "digest", "pos", "size", "k", *window).join(index, F.col("k") == F.col("a"))
-    return found.where("size = isize").select("id", "digest", "item", "idig", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos", "poor", "b", "islots", "tw", "vw")
+        found = keyed.select("id", "digest", "pos", "size", "k", *window).join(keys, (F.col("k") == F.col("a")) & (F.col("size") == F.col("ksize")))
+    return found.select("id", "digest", "pos", "size", F.col("k").alias("a"), "tw", "vw")
+
+
+def _rare(own: DataFrame, conf: Decontam) -> DataFrame:
+    """The windows of each item of which a leak must have one: of its n windows with enough words, and of all of them, all but the
+    ceil(min_share * n) - 1 that most items share, since that many fewer than min_share are no leak."""
+    spread = own.groupBy("size", "a").agg(F.count("*").alias("shared"))
+    known = own.select("item", "idig", "size", "a", "poor", "ipos").join(spread, ["size", "a"])
+    # an item's windows, as many as its tokens; equal keys in any order
+    order = lambda *by: Window.partitionBy(*by).orderBy("shared", "a", "ipos")
+    whole = lambda *by: F.count("*").over(Window.partitionBy(*by))
+    need = lambda n: n - F.ceil(conf.min_share * n) + 1
+    item = ["item", "idig"]
+    kept = known.withColumns({
+        "rich_at": F.row_number().over(order(*item, "poor")), "rich_n": whole(*item, "poor"), "all_at": F.row_number().over(order(*item)), "all_n": whole(*item),
+    }).where((~F.col("poor") & (F.col("rich_at") <= need(F.col("rich_n")))) | (F.col("all_at") <= need(F.col("all_n"))))
+    return kept.select(*item, "size", "a").distinct()
 
 
 def leaks(
@@ -164,7 +182,20 @@ def leaks(
         return spark.createDataFrame([], "id {}, digest long, item {}, matched long, total long, share double".format(*kinds))
     own = scratch.table(_benchmark(items, sizes, conf), "benchmark")
     small = own.count() <= conf.broadcast_rows
-    hits = _hits(tokens(plain.withColumn("digest", F.xxhash64("text")), ["id", "digest"]), own, sizes, conf, small)
+    keys = own.select("a", F.col("size").alias("ksize")).distinct()
+    seen = scratch.table(_seen(tokens(plain.withColumn("digest", F.xxhash64("text")), ["id", "digest"]), keys, sizes, conf, small), "seen")
+
+    # a document and an item that can leak share one of the item's rarest windows; only such pairs have all their windows counted
+    rare = scratch.table(_rare(own, conf), "rare")
+    held = seen.select("id", "digest", "size", "a").distinct()
+    pairs = held.join(F.broadcast(rare) if small else rare, ["size", "a"]).select(*[F.col(c).alias(f"p_{c}") for c in ("id", "digest", "item", "idig")]).distinct()
+    spots = seen.join(scratch.table(pairs, "pairs"), F.col("id").eqNullSafe(F.col("p_id")) & (F.col("digest") == F.col("p_digest")))
+    mine = own.select(*[F.col(c).alias(f"i_{c}") for c in own.columns])
+    same_window = (F.col("a") == F.col("i_a")) & (F.col("size") == F.col("i_size")) & F.col("p_item").eqNullSafe(F.col("i_item")) & (F.col("p_idig") == F.col("i_idig"))
+    hits = spots.join(F.broadcast(mine) if small else mine, same_window).select(
+        "id", "digest", F.col("p_item").alias("item"), F.col("p_idig").alias("idig"), (F.col("pos") - F.col("i_ipos")).alias("shift"), F.col("i_ipos").alias("ipos"), F.col("i_poor").alias("poor"), F.col("i_b").alias("b"),
+        F.col("i_islots").alias("islots"), "tw", "vw",
+    )
 
     # one exchange: a document's windows of an item meet, which are as many as its tokens at most
     pair = ["id", "digest", "item", "idig"]

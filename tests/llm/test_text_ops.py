@@ -161,6 +161,19 @@ def test_items_poor_in_literals_and_names_that_begin_sentences(spark):
     assert got == {(1, 1), (2, 2), (3, 3), (4, 4), (13, 5)}
 
 
+def test_an_instruction_shared_by_all_items_and_documents_makes_no_pairs(spark):
+    r = random.Random(2)
+    vocabulary = ["".join(r.choice("abcdefghilmnoprstu") for _ in range(r.randint(3, 8))) for _ in range(2000)]
+    line = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    order = "please read the following question with care and then give the one answer that fits it best"
+    asked = [line(25) for _ in range(120)]
+    items = spark.createDataFrame([(i, f"{order} {q}") for i, q in enumerate(asked)], "item_id bigint, text string")
+    texts = {i: f"{line(20)} {order} {line(40)}" for i in range(400)} | {1000 + i: f"{line(20)} {order} {asked[i]} {line(5)}" for i in range(5)} | {2000: f"{line(9)} {asked[7]} {line(9)}"}
+    docs = frame(spark, [(i, t, "en") for i, t in texts.items()])
+    got = [(g.id, g.item, g.matched == g.total) for g in decontam.leaks(spark, docs, items).collect()]
+    assert sorted(got) == [*((1000 + i, i, True) for i in range(5)), (2000, 7, False)]
+
+
 def test_decontamination_without_broadcast_gives_the_same(spark):
     docs = frame(spark, [(i, f"in front {i} " + QUESTION, "en") for i in range(5)])
     items = spark.createDataFrame([(10, QUESTION)], "item_id bigint, text string")
