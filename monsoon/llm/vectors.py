@@ -30,13 +30,15 @@ from monsoon.llm.components import components
 
 @dataclass(frozen=True)
 class Collisions:
-    """Blocks hold `block` vectors, fewer where there would be less than `least_blocks`."""
+    """Blocks hold `block` vectors and about `block_bytes` of their components at most, fewer where there would be less than
+    `least_blocks`; a task holds two blocks."""
 
     threshold: float = 0.95
     projections: int = 24
     deviations: float = 2.2
     miss: float = 1e-3
     block: int = 32768
+    block_bytes: int = 64_000_000
     least_blocks: int = 12
     seed: int = 11
 
@@ -198,7 +200,8 @@ def near_vectors(spark: SparkSession, table: DataFrame, conf: Collisions | None
     # blocks are equal shares of the anchor's projection
     marks = [i / 256 for i in range(1, 256)]
     cuts = nodes.groupBy("dim").agg(F.count("*").alias("n"), F.percentile_approx("p", marks, 10000).alias("q"))
-    n = F.greatest(F.ceil(F.col("n") / F.lit(conf.block)), F.least(F.lit(conf.least_blocks), F.ceil(F.col("n") / F.lit(256)))).alias("blocks")
+    most = F.greatest(F.lit(1), F.least(F.lit(conf.block), F.floor(F.lit(conf.block_bytes) / (8 * F.col("dim")))))
+    n = F.greatest(F.ceil(F.col("n") / most), F.least(F.lit(conf.least_blocks), F.ceil(F.col("n") / F.lit(256)))).alias("blocks")
     cuts = scratch.table(cuts.select(F.col("dim").alias("d"), n, "q"), "cuts")
     # vectors are dealt by their random number over all the shares that their projection reaches: one, or with ties those
     # from the first to the last quantile equal to it

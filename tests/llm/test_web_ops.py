@@ -174,6 +174,20 @@ def test_a_third_of_equal_vectors_is_one_node(spark, monkeypatch):
     assert all(got[i].n_links == 300 and got[i].component_id == 0 for i in (*range(300), 301)) and all(got[i].n_links == 0 for i in range(302, 900))
 
 
+def test_blocks_are_bounded_in_bytes_at_any_dimension(spark):
+    r = np.random.default_rng(3)
+    centres = r.standard_normal((30, 4096))
+    rows = [(i, (centres[i % 30] + r.standard_normal(4096) * (0.1 if i % 2 else 0.6)).tolist()) for i in range(300)]
+    conf = vectors.Collisions(block_bytes=40 * 4096 * 8, least_blocks=1)
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(2)
+    got = {g.id: (g.n_links, g.component_id) for g in vectors.near_vectors(spark, frame, conf).collect()}
+    m = np.array([v for _, v in rows])
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    near = (m @ m.T >= 0.95) & ~np.eye(len(m), dtype=bool)
+    assert {i: got[i][0] for i in got} == {i: int(near[i].sum()) for i in range(300)} and near.sum() > 1000
+    assert all(got[i][1] == (i % 30 if i % 2 else i) for i in got)
+
+
 def test_recall_at_the_threshold():
     conf, r = vectors.Collisions(), np.random.default_rng(8)
     x = r.standard_normal((1500, 64))
