@@ -17,6 +17,7 @@ from monsoon.functions import metrics
 from monsoon.operators import boost, panel
 from monsoon.plans.stages import TARGETS, Demand
 from monsoon.schema import PAIR
+from monsoon.sources import digests
 from monsoon.sources.stored import shared_dir, store
 
 
@@ -279,6 +280,11 @@ def _evaluation() -> None:
           FROM (SELECT horizon, target_actual_gross_m2 AS y, p_positive AS p, q_positive AS q FROM ev) GROUP BY GROUPING SETS ((), (horizon))""",
         ("positive_rate", "mean_p", "mean_p_positive", "mean_p_zero", "brier", "q_wape_positive", "q_bias_ratio_positive"),
     )(lambda d: diagnose.probability(d.evaluation))
+    query("universe_scores", f"""WITH v AS (SELECT h AS horizon, t.actual_gross_m2 AS y, (coalesce(pair_lag_1, 0) + coalesce(pair_lag_2, 0) + coalesce(pair_lag_3, 0)) / 3 AS pred, coalesce(f.base_current_active AND f.branch_current_active, false) AS main
+        FROM pair_f f, (VALUES (1), (2), (3)) x(h), pair_panel t WHERE f.month = DATE '2001-08-01' AND t.base_sku = f.base_sku AND t.branch_code = f.branch_code AND t.month = (f.month + h * INTERVAL 1 MONTH)::DATE AND t.target_available),
+      u AS (SELECT *, 'val_all' AS universe FROM v UNION ALL SELECT *, 'val_primary' FROM v WHERE main) SELECT universe, horizon, {METRICS} FROM u GROUP BY GROUPING SETS ((universe), (universe, horizon))""", metrics)(
+        lambda d: scores.by_universe(supervise.universes(d.pair_dev, guard=True)["val_all"], baselines.simple_baselines()["pred_ma_3"], supervise.primary())
+    )
     own = [*_LAGGED, *_ROLLED, *_COUNTED, *_WHOLE, *_EXPANDED]
     train = "SELECT f.*, h AS horizon, (f.month + h * INTERVAL 1 MONTH)::DATE AS target_month FROM pair_f f, (VALUES (1), (2), (3)) x(h) WHERE f.month + h * INTERVAL 1 MONTH <= DATE '2001-08-01'"
 
@@ -402,9 +408,11 @@ def _control() -> None:
         return frame.select(*tracks[name][1], *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in tracks[name][2]])
 
     def described(name: str, table: str, c: str, value: str) -> str:
-        kind = track.role(c, [x for x in (*doubles, *whole, *b_doubles, *b_whole)])
-        may, timing = track.ROLES[kind]
-        return f"SELECT '{name}' AS track, '{c}' AS feature_name, '{kind}' AS role, {may} AS initial_model_candidate, '{timing}' AS timing_status, avg(({c} IS NULL)::INT) AS missing_rate, count(DISTINCT {value}) AS n_unique FROM {table}"
+        listed = lambda names: ", ".join(f"'{x}'" for x in names)
+        kind = f"""CASE WHEN '{c}' IN ({listed(track.TARGETS)}) THEN '{track.TARGET}' WHEN ends_with('{c}', '_snapshot') THEN '{track.SNAPSHOT}' WHEN '{c}' IN ({listed((*doubles, *whole, *b_doubles, *b_whole))}) THEN '{track.CANDIDATE}'
+          WHEN '{c}' IN ({listed(track.CONTROL)}) THEN '{track.CONTROLS}' ELSE '{track.OTHER}' END"""
+        timing = f"CASE {kind} {' '.join(f"WHEN '{r}' THEN '{t}'" for r, t in track.TIMING.items())} END"
+        return f"SELECT '{name}' AS track, '{c}' AS feature_name, {kind} AS role, {kind} = '{track.CANDIDATE}' AS initial_model_candidate, {timing} AS timing_status, avg(({c} IS NULL)::INT) AS missing_rate, count(DISTINCT {value}) AS n_unique FROM {table}"
 
     query("feature_inventory", " UNION ALL ".join(described(name, of, c, f"round({c} + 1e-9, 6)" if c in real else c) for name, (of, plain, real) in tracks.items() for c in (*plain, *real)), ("missing_rate",))(
         lambda d: track.inventory({name: profiled(d, name) for name in tracks}).drop("dtype")
@@ -436,8 +444,8 @@ def _control() -> None:
         WHEN row_number() OVER (ORDER BY best DESC, feature_name) <= 2 THEN 'MIN_FEATURE_FLOOR' ELSE 'NOT_SELECTED' END AS reason FROM (SELECT f AS feature_name, max(v) AS best FROM i GROUP BY 1))""", ("best",))(
         lambda d: select.choose_features(_importance_by_scope(d, scored), select.Screen(min_selected=2))
     )
-    query("permutation_importance")(lambda d: _importance(d, select))
-    query("family_ablation")(lambda d: _ablation(d, select))
+    query("permutation_importance")(lambda d: _importance(d, challenger, supervise, select))
+    query("family_ablation")(lambda d: _ablation(d, challenger, supervise))
 
     query("two_part_forecast")(lambda d: _two_part(d, challenger, supervise))
     query("hurdle_forecast")(lambda d: _hurdle(d, challenger, supervise))
@@ -450,6 +458,7 @@ def _control() -> None:
         lambda d: vintage.forecast_summary(_vintage(d, vintage, supervise, baselines))
     )
     query("content_digest")(lambda d: runs.content_digest(d.fact))
+    query("changed_parts")(_changed_parts)
     assert scores.Y in supervise.PAIR_TARGETS.values()
 
 
@@ -537,6 +546,14 @@ def _checks(validate, vintage) -> None:
     query("validate_features_spoiled", stage(spoilt))(spoiled_features)
 
 
+def _changed_parts(d: Demand) -> DataFrame:
+    """The parts of the stored sales that a comparison of digests names where a byte in the middle of each file has changed."""
+    files = digests.contents(d.spark, f"{d.sf_dir}/lineitem.parquet")
+    middle = F.floor(F.col("length") / 2).cast("int")
+    spoiled = files.withColumn("content", F.concat(F.substring("content", F.lit(1), middle), F.unhex(F.lit("00FF")), F.substring("content", middle + 3, F.col("length").cast("int"))))
+    return digests.changes(*(digests.part_digests(f, 1 << 16) for f in (files, spoiled)))
+
+
 def _importance_by_scope(d: Demand, columns: list[str]) -> DataFrame:
     """scope, feature_name and how closely each feature goes with demand, over all rows and by horizon; the horizon itself has 0."""
     rows = d.rolling.where("target_available").withColumn("scope", F.explode(F.array(F.lit("ALL"), F.concat(F.lit("h"), F.col("horizon")))))
@@ -629,22 +646,25 @@ def _tweedie_scores(d: Demand, challenger, tweedie, scores, supervise) -> DataFr
     return long.groupBy("model", "horizon").agg(*scores.metric_row(F.col(scores.Y), F.col("pred")))
 
 
-def _screening(d: Demand, select) -> tuple[DataFrame, DataFrame, list[str]]:
-    columns = ["pair_lag_1", "pair_lag_2", "pair_roll_12_mean", "pair_positive_rate_to_origin"]
-    rows = d.rolling.select(*PAIR, "forecast_origin", "horizon", *columns, "target_actual_gross_m2", "target_available").where("target_available")
-    train = select.capped_sample(rows.where(F.add_months("forecast_origin", F.col("horizon")) <= F.lit("2001-05-01").cast("date")), ["horizon"], [*PAIR, "forecast_origin", "horizon"], 4000)
-    return train, select.capped_sample(rows.where("forecast_origin = date'2001-08-01'"), ["horizon"], [*PAIR, "forecast_origin", "horizon"], 2000), columns
+def _importance(d: Demand, challenger, supervise, select) -> DataFrame:
+    """Every feature of the direct model, judged on all primary rows of the validation origin."""
+    models, scored = _validation(d, challenger, supervise)
+    features = [*challenger.FEATURES, *challenger.CATEGORIES]
+    rows = scored.select("forecast_origin", "horizon", "target_actual_gross_m2", *features)
+    return select.permutation_table(rows, features, lambda df: challenger.demand(models, df), "target_actual_gross_m2", {"ALL": "true", **{f"h{h}": f"horizon = {h}" for h in supervise.HORIZONS}})
 
 
-def _importance(d: Demand, select) -> DataFrame:
-    train, test, columns = _screening(d, select)
-    model = select.screening_model(train, columns, [], "target_actual_gross_m2", 5)
-    return select.permutation_table(test, columns, model, "target_actual_gross_m2", {"ALL": "true", **{f"h{h}": f"horizon = {h}" for h in (1, 2, 3)}})
+#: Families of features by the beginnings of their names.
+FAMILIES = {
+    "lag": ["pair_lag_"], "rolling": ["pair_roll_"], "history": ["pair_positive_rate", "pair_mean_positive", "pair_adi", "pair_history", "months_since_"], "calendar": ["target_month_num"], "place_and_size": ["branch_code", "tile_size_code"],
+}
 
 
-def _ablation(d: Demand, select) -> DataFrame:
-    train, test, columns = _screening(d, select)
-    return select.family_ablation(train, test, columns, {"lag": ["pair_lag_"], "roll": ["pair_roll_"]}, "target_actual_gross_m2", 3)
+def _ablation(d: Demand, challenger, supervise) -> DataFrame:
+    """What leaving out each family costs on all primary rows of the validation origin; all models are grown in the same passes."""
+    origin = _origin(d.calendar.validation_origin)
+    models = d.models("ablation", lambda: challenger.fit_ablation(d.rolling, origin, FAMILIES))
+    return challenger.ablation(models, _ahead(d, supervise), FAMILIES)
 
 
 _control()

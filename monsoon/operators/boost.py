@@ -56,6 +56,8 @@ class Job:
     part: str
     fit_end: int
     cal_end: int
+    #: Features that the model may not split on.
+    without: tuple[str, ...] = ()
 
 
 def month_number(month: Column) -> Column:
@@ -202,13 +204,13 @@ def histogram(bins: np.ndarray, node: np.ndarray, nodes: int, width: int, weight
     return out
 
 
-def best_splits(sums: np.ndarray, categorical: Sequence[bool], conf: Boost) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def best_splits(sums: np.ndarray, categorical: Sequence[bool], conf: Boost, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each node the feature (-1 where no split gains), bins that go left, and the sums on both sides, from sums by node, feature
     and bin of gradient, Hessian and count.
 
     Numbers are cut in their order, with missing values (bin 0) on the better side.  Categories are ordered by gradient over
     Hessian, which makes the best of all subsets a prefix.  Bins without rows go where most rows do; of numbers, those between two
-    cuts are on the far side.  Of equal gains the first feature and cut counts.
+    cuts are on the far side.  Of equal gains the first feature and cut counts.  allowed says by node which features may split it.
     """
     nodes, features, width, _ = sums.shape
     which = np.asarray(categorical, bool)
@@ -223,6 +225,8 @@ def best_splits(sums: np.ndarray, categorical: Sequence[bool], conf: Boost) -> t
     with np.errstate(all="ignore"):  # sides without rows
         gain = score(left) + score(right) - score(total)[:, None, None, None]
     gain[(left[..., 2] < max(conf.min_rows, 1)) | (right[..., 2] < max(conf.min_rows, 1)) | ~np.isfinite(gain)] = 0
+    if allowed is not None:
+        gain[~allowed] = 0
     gain = gain.reshape(nodes, -1)
     top = gain.max(1)
     at = np.argmax(gain >= (top * (1 - 1e-9) - 1e-12)[:, None], 1)
@@ -326,6 +330,7 @@ class _Growing:
 
     jobs: list[Job]
     starts: dict[str, tuple[float, float]]  # score before the first tree, scale of the target
+    names: list[str]  # of features
     categorical: list[bool]
     conf: Boost
 
@@ -382,6 +387,7 @@ class _Growing:
     def splits(self, sums: DataFrame, parts: int) -> list:
         """A row for each node: its best split and the sums on both sides; for node -1 the loss and its rows."""
         conf, categorical = self.conf, self.categorical
+        may = np.array([[n not in job.without for n in self.names] for job in self.jobs])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[tuple[int, int], np.ndarray] = {}
@@ -392,7 +398,7 @@ class _Growing:
             rows = [(model, node, -1, b"", x.tolist(), []) for (model, node), x in total.items() if node < 0]
             keys = [key for key in total if key[1] >= 0]
             for some in (keys[i : i + 64] for i in range(0, len(keys), 64)):
-                found = best_splits(np.stack([total[key].reshape(len(categorical), conf.bins, 3) for key in some]), categorical, conf)
+                found = best_splits(np.stack([total[key].reshape(len(categorical), conf.bins, 3) for key in some]), categorical, conf, may[[key[0] // 2 for key in some]])
                 rows += [(*key, int(feature), mask.tobytes(), a.tolist(), b.tolist()) for key, feature, mask, a, b in zip(some, *found, strict=True)]
             if rows:
                 kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()))
@@ -500,7 +506,7 @@ class Boosters:
                 for node, bins in enumerate(t["left"]):
                     tree.left[node, bins] = True
                 trees.append(tree)
-            models[key] = Booster(Job(**x["job"]), x["start"], x["scale"], trees, x["audit"])
+            models[key] = Booster(Job(**x["job"] | {"without": tuple(x["job"]["without"])}), x["start"], x["scale"], trees, x["audit"])
         return Boosters(Binning(fixed(head["binned"]["numeric"]), fixed(head["binned"]["categories"])), conf, models)
 
 
@@ -539,7 +545,7 @@ def fit(df: DataFrame, binned: Binning, jobs: Sequence[Job], main: Column, conf:
     for job in jobs:
         require(job, audits[job.key])
     learn = [j for j in jobs if starts[j.key][1] > 0]
-    growing = _Growing(learn, starts, [False] * len(binned.numeric) + [True] * len(binned.categories), conf)
+    growing = _Growing(learn, starts, binned.names, [False] * len(binned.numeric) + [True] * len(binned.categories), conf)
     state = store(_blocks(rows, learn, starts, max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))), "boost") if learn else None
     grown: dict[int, list[Tree]] = {m: [] for m in range(2 * len(learn))}
     losses: dict[int, list[float]] = {j: [] for j in range(len(learn))}

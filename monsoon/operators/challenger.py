@@ -7,11 +7,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monsoon.functions.metrics import wape
 from monsoon.operators import boost
 from monsoon.operators.baselines import soft_expected
 from monsoon.operators.boost import DEMAND, OCCURRENCE, QUANTITY, Boost, Boosters, Job
@@ -93,6 +94,34 @@ def judged(models: Boosters, panel: DataFrame, origins: Sequence[dt.date]) -> Da
     return predict(models, rows, F.col("forecast_origin")).select(*keys, "p_positive", "q_positive", "pred_two_part")
 
 
+def demand(models: Boosters, rows: DataFrame) -> DataFrame:
+    """rows with prediction, the direct model's demand."""
+    return models.transform(rows, {"prediction": _key(F.col("forecast_origin"), F.col("horizon"), DEMAND)})
+
+
+def fit_ablation(panel: DataFrame, origin: dt.date, families: dict[str, Sequence[str]], conf: Boost = Boost(), numeric: Sequence[str] = FEATURES, categories: Sequence[str] = CATEGORIES) -> Boosters:  # noqa: B008
+    """Direct models of all horizons with all features and without each family; families go by the beginnings of names.
+
+    They are grown together, from the same bins and sums, so a family costs no pass of its own."""
+    known = with_size(panel).where(F.coalesce(F.col("target_available"), F.lit(False)))
+    binned = boost.binning(known.where(F.col("target_month") < F.add_months(F.lit(origin), -2)), numeric, categories, conf)
+    whole = jobs([origin], parts=(DEMAND,))
+    fewer = [replace(j, key=f"{j.key}|{f}", without=tuple(n for n in binned.names if n.startswith(tuple(starts)))) for f, starts in families.items() for j in whole]
+    return boost.fit(known, binned, [*whole, *fewer], primary(), conf)
+
+
+def ablation(models: Boosters, rows: DataFrame, families: dict[str, Sequence[str]]) -> DataFrame:
+    """family, scope (ALL or a horizon), n_rows, n_features left out, wape_full, wape_without and delta_wape on the rows."""
+    own = _key(F.col("forecast_origin"), F.col("horizon"), DEMAND)
+    left_out = {f: sum(n.startswith(tuple(starts)) for n in models.binned.names) for f, starts in families.items()}
+    scored = models.transform(with_size(rows), {"_full": own, **{f"_{f}": F.concat(own, F.lit(f"|{f}")) for f in families}})
+    long = scored.select("horizon", Y, "_full", F.explode(F.array(*[F.struct(F.lit(f).alias("family"), F.lit(n).alias("n_features"), F.col(f"_{f}").alias("pred")) for f, n in left_out.items()])).alias("x"))
+    errors = [F.count("*").alias("n_rows"), wape(F.col(Y), F.col("_full")).alias("wape_full"), wape(F.col(Y), F.col("pred")).alias("wape_without")]
+    rows = long.select("horizon", Y, "_full", "x.*").groupingSets([[F.col("family"), F.col("n_features")], [F.col("family"), F.col("n_features"), F.col("horizon")]], F.col("family"), F.col("n_features"), F.col("horizon")).agg(*errors)
+    scope = F.coalesce(F.concat(F.lit("h"), F.col("horizon")), F.lit("ALL"))
+    return rows.select("family", scope.alias("scope"), "n_rows", "n_features", "wape_full", "wape_without", (F.col("wape_without") - F.col("wape_full")).alias("delta_wape"))
+
+
 def hurdle_forecast(models: Boosters, scored: DataFrame, rules: Rules = Rules(), conf: Behaviour = Behaviour()) -> DataFrame:  # noqa: B008
     """pred_hurdle and threshold: zero where the chance is below the threshold chosen on the rows themselves.
 

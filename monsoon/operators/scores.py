@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monsoon.functions.dates import month_diff
@@ -33,6 +33,12 @@ def by_origin(long: DataFrame) -> DataFrame:
     return _sets(long, sets, metric_row(F.col(Y), F.col("pred")))
 
 
+def by_universe(df: DataFrame, pred: Column, main: Column) -> DataFrame:
+    """Metrics by horizon for each universe of a validation: val_all, all its rows, and val_primary, those that main holds for."""
+    rows = df.select("horizon", Y, pred.alias("pred"), F.explode(F.array_compact(F.array(F.lit("val_all"), F.when(main, "val_primary")))).alias("universe"))
+    return _sets(rows, [["universe"], ["universe", "horizon"]], metric_row(F.col(Y), F.col("pred")))
+
+
 def branch_aggregate(long: DataFrame) -> DataFrame:
     """WAPE after summing each branch's target month."""
     sums = long.groupBy("model", "branch_code", "target_month").agg(F.sum(Y).alias("y"), F.sum("pred").alias("p"))

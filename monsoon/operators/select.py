@@ -132,17 +132,23 @@ def capped_sample(df: DataFrame, strata: Sequence[str], keys: Sequence[str], max
     return chosen.where("_all").select(*df.columns).unionByName(edge.select(*df.columns))
 
 
+#: Rows of which one task numbers about as many.
+GROUP = 20_000
+
+
 def permutation_table(df: DataFrame, features: Sequence[str], predict, y: str, scopes: dict[str, str], repeats: int = 2, seed: int = 7) -> DataFrame:
     """How much WAPE rises when a feature's values change places: scope, feature_name, importance_wape_mean and _std.
 
-    df is a capped sample.  For each repeat, two numberings of it by different hashes give every row a partner; a copy of the
-    row for each feature takes that feature's value from the partner, and one pass of the model judges all copies.  Scopes go
-    by the rows as they were.  A scope without demand has nulls.
+    For each repeat, two numberings of the rows by different hashes give every row a partner, within random groups of some ten
+    thousand rows, so that no task numbers all; a copy of the row for each feature takes that feature's value from the partner, and
+    one pass of the model judges all copies.  Scopes go by the rows as they were.  A scope without demand has nulls.
     """
     features = list(features)
-    number = lambda s: F.row_number().over(Window.orderBy(F.xxhash64("_row", F.lit(s))))  # noqa: E731  over a capped sample
-    inside = {f"_in_{k}": F.expr(w) for k, w in scopes.items()}
     base = df.withColumn("_row", F.monotonically_increasing_id()).persist()
+    groups = base.count() // GROUP + 1
+    group = lambda s: F.pmod(F.xxhash64("_row", F.lit(-s)), F.lit(groups)).cast("int")
+    number = lambda s, r: F.row_number().over(Window.partitionBy(group(s)).orderBy(F.xxhash64("_row", F.lit(r))))
+    inside = {f"_in_{k}": F.expr(w) for k, w in scopes.items()}
 
     def errors(scored: DataFrame, keys: list[str]) -> DataFrame:
         within = lambda k, c: F.when(F.col(f"_in_{k}"), F.col(c))
@@ -150,8 +156,9 @@ def permutation_table(df: DataFrame, features: Sequence[str], predict, y: str, s
 
     copies = []
     for repeat in range(repeats):
-        moved = base.select(number(seed + repeat).alias("_at"), F.struct(*features).alias("_moved"))
-        pairs = base.withColumns({**inside, "_at": number(seed + 100 + repeat)}).join(moved, "_at")
+        s = seed + repeat + 1
+        moved = base.select(group(s).alias("_g"), number(s, s).alias("_at"), F.struct(*features).alias("_moved"))
+        pairs = base.withColumns({**inside, "_g": group(s), "_at": number(s, s + 100)}).join(moved, ["_g", "_at"])
         each = pairs.withColumn("_f", F.explode(F.array(*[F.lit(i) for i in range(len(features))])))
         copies.append(each.withColumns({c: F.when(F.col("_f") == i, F.col("_moved")[c]).otherwise(F.col(c)) for i, c in enumerate(features)} | {"_repeat": F.lit(repeat)}))
     after = errors(predict(reduce(DataFrame.unionByName, copies)), ["_f", "_repeat"])

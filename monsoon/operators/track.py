@@ -3,24 +3,18 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monsoon.functions.metrics import wape
 from monsoon.operators import select
 from monsoon.schema import PAIR, DataError, require_columns
 
-# Roles of columns and what they may be used for.
-ROLES = {
-    "TARGET_OR_EVAL": (False, "TARGET_MONTH_ONLY"),
-    "QA_SNAPSHOT_METADATA": (False, "BLOCKED_PENDING_TIMING_REVIEW"),
-    "MODEL_CANDIDATE_STAGE6_REVIEW": (True, "ORIGIN_SAFE_OR_KNOWN_FUTURE"),
-    "IDENTITY_OR_CONTROL": (False, "CONTROL"),
-    "QA_OR_AUXILIARY": (False, "REVIEW"),
-}
+# Columns by name, as contracts and stored inventories have them.
 TARGETS = (
     "target_actual_gross_m2", "target_branch_gross_m2", "target_available", "target_actual_observed", "target_actual_positive", "target_actual_negative_only", "target_zero_semantics", "target_branch_observed",
     "target_branch_positive",
@@ -36,16 +30,25 @@ CALENDAR = (
 )
 #: Beginnings of the names of features known at the origin.
 KNOWN = ("pair_", "months_since_", "sku_", "cross_branch_", "size_branch_", "branch_")
+# Roles of columns, whether a model may use them, and what their time is.
+TARGET, SNAPSHOT, CANDIDATE, CONTROLS, OTHER = "TARGET_OR_EVAL", "QA_SNAPSHOT_METADATA", "MODEL_CANDIDATE_STAGE6_REVIEW", "IDENTITY_OR_CONTROL", "QA_OR_AUXILIARY"
+TIMING = {TARGET: "TARGET_MONTH_ONLY", SNAPSHOT: "BLOCKED_PENDING_TIMING_REVIEW", CANDIDATE: "ORIGIN_SAFE_OR_KNOWN_FUTURE", CONTROLS: "CONTROL", OTHER: "REVIEW"}
 
 
-def role(column: str, candidates: Sequence[str]) -> str:
-    if column in TARGETS:
-        return "TARGET_OR_EVAL"
-    if column.endswith("_snapshot"):
-        return "QA_SNAPSHOT_METADATA"
-    if column in candidates:
-        return "MODEL_CANDIDATE_STAGE6_REVIEW"
-    return "IDENTITY_OR_CONTROL" if column in CONTROL else "QA_OR_AUXILIARY"
+def rules(spark: SparkSession, candidates: Sequence[str]) -> DataFrame:
+    """precedence, role, pattern of names, initial_model_candidate and timing_status: the first rule that fits a column's name holds."""
+    one_of = lambda names: f"^(?:{'|'.join(re.escape(n) for n in names)})$" if names else "^$"
+    patterns = {TARGET: one_of(TARGETS), SNAPSHOT: "_snapshot$", CANDIDATE: one_of(candidates), CONTROLS: one_of(CONTROL), OTHER: ""}
+    rows = [(i, role, pattern, role == CANDIDATE, TIMING[role]) for i, (role, pattern) in enumerate(patterns.items())]
+    return spark.createDataFrame(rows, "precedence int, role string, pattern string, initial_model_candidate boolean, timing_status string")
+
+
+def roles(columns: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """columns (a row a feature_name) with role, initial_model_candidate and timing_status, by a join with the few rules."""
+    table = F.broadcast(rules(columns.sparkSession, candidates))
+    fits = columns.select("feature_name").join(table, F.expr("feature_name rlike pattern"))
+    first = fits.groupBy("feature_name").agg(F.min_by(F.struct("role", "initial_model_candidate", "timing_status"), "precedence").alias("r")).select("feature_name", "r.*")
+    return columns.join(first, "feature_name")
 
 
 def default_candidates(df: DataFrame) -> list[str]:
@@ -62,9 +65,9 @@ def inventory(frames: dict[str, DataFrame], candidates: dict[str, Sequence[str]]
     out = None
     for track, df in frames.items():
         may = (candidates or {}).get(track) or default_candidates(df)
-        rows = [(track, c, kind, role(c, may), *ROLES[role(c, may)]) for c, kind in df.dtypes]
-        facts = df.sparkSession.createDataFrame(rows, "track string, feature_name string, dtype string, role string, initial_model_candidate boolean, timing_status string")
-        one = facts.join(F.broadcast(select.column_profile(df, df.columns)), "feature_name", "left").select(*facts.columns, "missing_rate", "n_unique")
+        names = df.sparkSession.createDataFrame([(track, c, kind) for c, kind in df.dtypes], "track string, feature_name string, dtype string")
+        order = ["track", "feature_name", "dtype", "role", "initial_model_candidate", "timing_status"]
+        one = roles(names, may).join(F.broadcast(select.column_profile(df, df.columns)), "feature_name", "left").select(*order, "missing_rate", "n_unique")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -153,21 +156,28 @@ def select_track(
     return result
 
 
-def validate_selection(result: TrackResult, least: int, calendar: Sequence[str] = CALENDAR) -> dict[str, bool]:
-    """Named checks of a selection; all must hold."""
-    status = {r.static_status for r in result.quality.where("selected").select("static_status").distinct().collect()}
-    unsafe = lambda c: c.endswith("_snapshot") or c.startswith(("target_actual", "target_branch")) or c in ("target_available", *PAIR, "forecast_origin", "target_month")
-    whole = result.primary["ALL"]
-    return {
-        "nonempty_selected_list": len(result.selected) >= least,
-        "selected_subset_static_kept": set(result.selected) <= set(result.kept),
-        "no_constant_selected": "DROP_CONSTANT" not in status,
-        "no_high_missing_selected": "DROP_MISSING_RATE" not in status,
-        "no_exact_duplicate_selected": "DROP_EXACT_DUPLICATE" not in status,
-        "horizon_present_for_pooled": "horizon" in result.selected,
-        "validation_wape_finite": whole is not None and math.isfinite(whole),
-        "primary_validation_nonempty": result.rows["primary"] > 0,
-        "secondary_validation_not_smaller": result.rows["secondary"] >= result.rows["primary"],
-        "calendar_v013_candidates_seen": set(calendar) <= set(result.candidates),
-        "no_target_or_snapshot_selected": not any(unsafe(c) for c in result.selected),
+#: Names that no selection may hold, whatever their role.
+UNSAFE = rf"_snapshot$|^target_(?:actual|branch)|^(?:{'|'.join(('target_available', *PAIR, 'forecast_origin', 'target_month'))})$"
+
+
+def validate_selection(result: TrackResult, least: int, calendar: Sequence[str] = CALENDAR) -> DataFrame:
+    """check, violations and status of a selection, from one aggregation over its quality table."""
+    chosen, status, name = F.coalesce("selected", F.lit(False)), F.col("static_status"), F.col("feature_name")
+    whole, rows = result.primary["ALL"], result.rows
+    short = lambda n, found: F.greatest(F.lit(n) - found, F.lit(0))
+    # The names of the checks.
+    checks = {
+        "nonempty_selected_list": short(least, F.count_if(chosen)),
+        "selected_subset_static_kept": F.count_if(chosen & (status != "PASS_STATIC")),
+        "no_constant_selected": F.count_if(chosen & (status == "DROP_CONSTANT")),
+        "no_high_missing_selected": F.count_if(chosen & (status == "DROP_MISSING_RATE")),
+        "no_exact_duplicate_selected": F.count_if(chosen & (status == "DROP_EXACT_DUPLICATE")),
+        "horizon_present_for_pooled": short(1, F.count_if(chosen & (name == "horizon"))),
+        "validation_wape_finite": F.lit(int(whole is None or not math.isfinite(whole))),
+        "primary_validation_nonempty": F.lit(int(rows["primary"] < 1)),
+        "secondary_validation_not_smaller": F.lit(max(rows["primary"] - rows["secondary"], 0)),
+        "calendar_v013_candidates_seen": short(len(calendar), F.count_if(name.isin(*calendar))),
+        "no_target_or_snapshot_selected": F.count_if(chosen & name.rlike(UNSAFE)),
     }
+    wide = result.quality.agg(*[x.cast("long").alias(c) for c, x in checks.items()])
+    return wide.unpivot([], list(checks), "check", "violations").withColumn("status", F.when(F.col("violations") == 0, "PASS").otherwise("FAIL"))

@@ -230,3 +230,16 @@ def test_odd_fits(spark):
     assert got.x == pytest.approx(sum(fit_rows) / len(fit_rows)) and got.y == 0 and got.z == pytest.approx(0, abs=1e-9)
     with pytest.raises(DataError):
         boost.fit(df, binned, [], F.col("main"), CONF)
+
+
+def test_features_left_out_are_not_split_on_and_cost_no_pass(spark, fitted):
+    import dataclasses
+
+    _, df, binned, _ = fitted
+    whole = jobs(parts=(DEMAND,), ends=(12,))[:1]
+    fewer = [dataclasses.replace(whole[0], key="no b", without=("b",)), dataclasses.replace(whole[0], key="only a", without=("b", "c"))]
+    found = boost.fit(df, binned, [*whole, *fewer], F.col("main"), CONF).models
+    used = {k: {binned.names[f] for t in m.trees for f in t.feature if f >= 0} for k, m in found.items()}
+    assert "b" in used[whole[0].key] and "b" not in used["no b"] and used["only a"] == {"a"}
+    columns = boost.fit(df, boost.Binning(binned.numeric[:1], ()), [dataclasses.replace(whole[0], key="a")], F.col("main"), CONF).models["a"]
+    assert len(columns.trees) == len(found["only a"].trees) and all(np.allclose(s.value, t.value) for s, t in zip(columns.trees, found["only a"].trees))

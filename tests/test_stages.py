@@ -15,6 +15,7 @@ from monsoon.sources import digests, stages
 from monsoon.sources.stages import Guards, bucketed, repeats
 from monsoon.sources.store import MANIFEST, RunStore
 from monsoon.sources.stored import store
+from monsoon.sources.tables import Database
 
 SF = "/root/testdata/sf0.001"
 
@@ -219,3 +220,24 @@ def test_digests_name_the_part_that_changed(spark, tmp_path):
     assert digests.tree(spark, url, 1000).first().digest != root.digest
     with pytest.raises(ValueError, match=re.escape("('a.bin', 3, 'CHANGED')")):
         digests.verify(spark, url, before, 1000)
+
+
+# ---- databases
+
+FROZEN = "CALL SYSCS_UTIL.SYSCS_SET_DATABASE_PROPERTY('derby.database.defaultConnectionMode', '{}')"
+
+
+def test_a_database_is_read_in_parts_and_in_one_state(spark):
+    url, driver = f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    base = Database(spark, url, driver, freeze=[FROZEN.format("readOnlyAccess")], thaw=[], session=None)
+    rows = [(i if i % 11 else None, f"it's {i % 7}", dt.date(2025, 1 + i % 12, 1), i / 4) for i in range(500)] + [(3, "hot", None, None)] * 300
+    df = spark.createDataFrame(rows, "k int, s string, d date, x double")
+    df.write.jdbc(url, "t", properties={"driver": driver, "createTableColumnTypes": "s VARCHAR(20)"})
+    with base.reading() as read:
+        for column in ("K", "S", "D"):
+            got = read("t", column, 5)
+            assert got.rdd.getNumPartitions() > 1 and got.exceptAll(df).count() == 0 and df.exceptAll(got).count() == 0
+        with pytest.raises(Exception, match="(?i)read.only"):
+            df.limit(1).write.mode("append").jdbc(url, "t", properties={"driver": driver})
+    assert Database.predicates("k", [], False) == ["1 = 1"] and base.bounds("t", "X", 1) == []
+    assert len(base.bounds("t", "K", 50)) < 50  # equal values are not cut

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import math
 
@@ -59,9 +60,12 @@ def test_a_track_is_selected_and_checked(spark):
     assert result.rows == {"train": 180, "primary": 135, "secondary": 180} and result.primary["ALL"] < 0.5
     quality = {r.feature_name: (r.static_status, r.selected, r.family) for r in result.quality.collect()}
     assert quality["pair_copy"] == ("DROP_EXACT_DUPLICATE", False, "other") and quality["pair_lag_1"] == ("PASS_STATIC", True, "lag")
-    checks = track.validate_selection(result, 1, ["target_month_num"])
-    assert len(checks) == 11 and all(checks.values())
-    assert not track.validate_selection(result, 99)["nonempty_selected_list"] and not track.validate_selection(result, 1)["calendar_v013_candidates_seen"]
+    checks = lambda *a: {r.check: r.violations for r in track.validate_selection(result, *a).collect()}
+    assert len(checks(1, ["target_month_num"])) == 11 and not any(checks(1, ["target_month_num"]).values())
+    assert checks(99)["nonempty_selected_list"] == 99 - len(result.selected) and checks(1)["calendar_v013_candidates_seen"] == len(track.CALENDAR) - 1
+    spoiled = dataclasses.replace(result, quality=result.quality.withColumn("selected", F.lit(True)), rows=result.rows | {"secondary": 1, "primary": 0})
+    failed = {r.check: r.violations for r in track.validate_selection(spoiled, 1, ["target_month_num"]).where("status = 'FAIL'").collect()}
+    assert failed == {"selected_subset_static_kept": 2, "no_exact_duplicate_selected": 1, "no_constant_selected": 1, "primary_validation_nonempty": 1}
     for frame, start, match in ((df.where("historical_train_mask"), "2026-01-01", "primary"), (df, "2025-06-01", "frozen"), (df.withColumn("pair_lag_1", F.lit(math.inf)), "2026-01-01", "pair_lag_1")):
         with pytest.raises(DataError, match=match):
             track.select_track(frame, found, "PAIR", Y, {}, start, conf)
