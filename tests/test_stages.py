@@ -234,10 +234,10 @@ def test_a_database_is_read_in_parts_and_in_one_state(spark):
     df = spark.createDataFrame(rows, "k int, s string, d date, x double")
     df.write.jdbc(url, "t", properties={"driver": driver, "createTableColumnTypes": "s VARCHAR(20)"})
     with base.reading() as read:
-        for column in ("K", "S", "D"):
+        for column in ('"k"', '"s"', '"d"'):
             got = read("t", column, 5)
             assert got.rdd.getNumPartitions() > 1 and got.exceptAll(df).count() == 0 and df.exceptAll(got).count() == 0
         with pytest.raises(Exception, match="(?i)read.only"):
             df.limit(1).write.mode("append").jdbc(url, "t", properties={"driver": driver})
-    assert Database.predicates("k", [], False) == ["1 = 1"] and base.bounds("t", "X", 1) == []
-    assert len(base.bounds("t", "K", 50)) < 50  # equal values are not cut
+    assert Database.predicates("k", [], False) == ["1 = 1"] and base.bounds("t", '"x"', 1) == []
+    assert len(base.bounds("t", '"k"', 50)) < 50  # equal values are not cut
