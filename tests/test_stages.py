@@ -222,6 +222,44 @@ def test_digests_name_the_part_that_changed(spark, tmp_path):
         digests.verify(spark, url, before, 1000)
 
 
+@pytest.mark.parametrize("whole,piece,part,block", [(0, 1000, 1000, 3000), (0, 777, 1000, 1024), (5000, 4096, 512, 700), (0, 1 << 22, 1 << 16, 1 << 20)])
+def test_long_files_are_digested_in_pieces(spark, tmp_path, whole, piece, part, block):
+    import hashlib
+    import os
+
+    folder = tmp_path / "data" / "deep"
+    folder.mkdir(parents=True)
+    mark = b"\xef\xbb\xbf"
+    held = {
+        "a b%.bin": os.urandom(20_000), "lines": b"\n" * 3000 + b"x" * 9000 + b"\r\n" * 1000, "ends.bin": os.urandom(5000) + b"\n", "one": b"y" * 6000, "mark": mark + os.urandom(9000), "mark2": mark + b"\n" * 4001,
+        "marked": mark, "short": b"z", "deep/c.gz": os.urandom(8000), "deep/twice": mark + mark + b"q\n" + os.urandom(3000) + b"\r",
+    }
+    for name, data in held.items():
+        (tmp_path / "data" / name).write_bytes(data)
+    (folder / "_hidden").write_bytes(b"h" * 9000)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        found = digests.contents(spark, f"file://{tmp_path}/data", whole, piece)
+        longest = found.where("file not like '%.gz'").agg(F.max(F.octet_length("content"))).first()[0]
+        got = {(r.file, r.part): (r.n_bytes, r.digest) for r in digests.part_digests(found, part).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert longest <= max(whole, piece)
+    assert got == {(f, i): (len(d[i * part : (i + 1) * part]), hashlib.sha256(d[i * part : (i + 1) * part]).hexdigest()) for f, d in held.items() for i in range(-(-len(d) // part))}
+
+
+def test_files_above_two_gigabytes_have_digests(spark, tmp_path):
+    size = (1 << 31) + 12_345
+    with open(tmp_path / "big.bin", "wb") as file:  # sparse but for line feeds
+        for at in range(0, size, 1 << 20):
+            file.seek(at)
+            file.write(b"\n")
+        file.truncate(size)
+    parts = digests.part_digests(digests.contents(spark, f"file://{tmp_path}/big.bin"))
+    assert parts.agg(F.count("*"), F.sum("n_bytes"), F.countDistinct("digest")).first() == (513, size, 2)
+
+
 # ---- databases
 
 FROZEN = "CALL SYSCS_UTIL.SYSCS_SET_DATABASE_PROPERTY('derby.database.defaultConnectionMode', '{}')"
