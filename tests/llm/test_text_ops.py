@@ -330,6 +330,29 @@ def test_statistics_in_spark_equal_the_model_from_counts(spark):
         assert (p > 0).all() and (abs(p[:6].sum(axis=0) - q[:6].sum(axis=0)) < 0.05).all()
 
 
+@pytest.mark.parametrize("cells", [0, 3000, 60_000])
+def test_a_model_above_max_cells_gives_the_same_predictions(spark, cells, monkeypatch):
+    monkeypatch.setattr(langid, "_CHUNK", 7)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = spark.createDataFrame([(-1, None), (None, "12 !!"), (-2, "\u03be\u03c8\u03b6 \u03c9\u03c6\u03b2 " * 40), (-3, "zq"), (-3, "zq"), (-4, "\U00010400\U00010401 a" * 9)], "doc_id bigint, text string")
+    asked = docs.select("doc_id", "text").unionByName(odd)
+    learnt = docs.where(~langid.held_out(F.col("doc_id")))
+
+    def rows(conf):
+        model, threshold = langid.train(spark, learnt, conf)
+        found = langid.predict(spark, asked, model, threshold, conf).collect()
+        return model, threshold, sorted(found, key=lambda r: (r.id is None, r.id or 0, r.text or ""))
+
+    _, limit, whole = rows(langid.LangId())
+    with pytest.warns(UserWarning):
+        model, threshold, got = rows(langid.LangId(max_cells=cells))
+    assert model.logs.size <= cells and (cells < 60_000 or model.logs.size > 0)
+    assert threshold == pytest.approx(limit, abs=0.02) and len(got) == len(whole) == docs.count() + 6
+    for g, w in zip(got, whole, strict=True):
+        assert (g.id, g.text, g.lang_pred, g.rejected, g.n_chars) == (w.id, w.text, w.lang_pred, w.rejected, w.n_chars)
+        assert g.cross_entropy == pytest.approx(w.cross_entropy, abs=1e-5) and g.score == pytest.approx(w.score, abs=1e-4)
+
+
 def test_marks_belong_to_words_but_are_no_text(spark):
     assert langid.characters("\u0939\u093f\u0928\u094d\u0926\u0940").tolist() == [32, 0x939, 0x93F, 0x928, 0x94D, 0x926, 0x940, 32]
     assert langid.characters("\u0301 \u0302!").tolist() == [32]
