@@ -375,3 +375,18 @@ def test_stages_of_empty_tables_and_clashing_columns(spark):
     for name, stage in c.STAGES:
         assert stage(spark, docs.where("false"), sf).count() == 0, name
         assert len(stage(spark, docs, sf).columns) == (4 if stage is c.encode else 5), name
+
+
+def test_the_pipelines_language_stage_is_the_same_above_max_cells(spark, monkeypatch):
+    import corpus_pipeline as c
+    from monsoon.llm import langid
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(*c.COLUMNS)
+    odd = spark.createDataFrame([(-1, "\u03be\u03c8\u03b6 \u03c9\u03c6\u03b2 " * 40, None, "s", 5), (-2, None, "en", None, None), (-3, "the house of the city is on the road", None, None, 3)], docs.schema)
+    docs = docs.unionByName(odd)
+    kept = lambda: sorted(map(repr, c.language_id(spark, docs, "").collect()))
+    whole, conf = kept(), langid.LangId
+    assert docs.count() - 20 < len(whole) < docs.count() - 1
+    monkeypatch.setattr(langid, "LangId", lambda: conf(max_cells=0))
+    with pytest.warns(UserWarning):
+        assert kept() == whole
