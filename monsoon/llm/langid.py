@@ -470,15 +470,7 @@ def _partial(shared, kind: pa.DataType):
     return run
 
 
-def _judge(languages: list[str], threshold: float, conf: LangId, kind: pa.DataType):
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        entropy = np.array(batch.column(2).to_pylist()).reshape(-1, len(languages))
-        yield _judged(batch.column(0).cast(kind), batch.column(1), entropy, batch.column(3).to_numpy(), languages, threshold, conf)
-
-    return run
-
-
-def _predict_joined(plain: DataFrame, model: Joined, threshold: float, conf: LangId, kind, out: str) -> DataFrame:
+def _predict_joined(plain: DataFrame, model: Joined, threshold: float, conf: LangId, kind) -> DataFrame:
     """The grams of all texts that aren't broadcast are made distinct, looked up, and their logarithms added up by row."""
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -493,8 +485,14 @@ def _predict_joined(plain: DataFrame, model: Joined, threshold: float, conf: Lan
     rest = beside.groupBy("row").agg(F.array(*[F.sum(F.col("n") * F.get("logs", F.lit(j)).cast("double")) for j in range(n_lang)]).alias("rest"))
     per = F.greatest(F.col("size"), F.lit(1))
     whole = F.when(F.col("rest").isNull(), F.col("entropy")).otherwise(F.zip_with("entropy", "rest", lambda h, x: h - x / per))
-    joined = scored.where("entropy is not null").join(rest, "row", "left").select("id", "text", whole.alias("entropy"), "size")
-    return map_batches(joined, _judge(model.languages, threshold, conf, arrow), out, 128)
+    judged = scored.where("entropy is not null").join(rest, "row", "left").select("id", "text", whole.alias("h"), "size").withColumn("least", F.array_min("h"))
+    # as _judged does it, but here a text that nobody reads isn't exchanged
+    seen, names = F.col("size") > 0, F.array(*[F.lit(x) for x in model.languages])
+    score = 1 / F.aggregate(F.transform("h", lambda x: F.exp((F.col("least") - x) * 10)), F.lit(0.0), lambda x, y: x + y)
+    return judged.select(
+        "id", F.when(seen, F.get(names, F.array_position("h", F.col("least")).cast("int") - 1)).otherwise("und").alias("lang_pred"), F.when(seen, score).otherwise(0.0).alias("score"),
+        F.when(seen, F.col("least")).otherwise(0.0).alias("cross_entropy"), (~seen | ((F.col("size") >= conf.min_chars) & (F.col("least") > threshold))).alias("rejected"), F.col("size").alias("n_chars"), "text",
+    )
 
 
 def predict(
@@ -516,7 +514,7 @@ def predict(
         model.shared = spark.sparkContext.broadcast(model)
     out = f"id {kind.simpleString()}, lang_pred string, score double, cross_entropy double, rejected boolean, n_chars long, text string"
     if isinstance(model, Joined):
-        return _predict_joined(plain, model, threshold, conf, kind, out)
+        return _predict_joined(plain, model, threshold, conf, kind)
     return map_batches(plain, _predict(model.shared, threshold, conf, to_arrow_type(kind)), out, 128)
 
 
