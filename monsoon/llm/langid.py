@@ -235,13 +235,22 @@ def _low(key: Column, size: int) -> Column:
     return key if size >= 4 else key.bitwiseAND(F.lit((1 << (16 * size)) - 1))
 
 
-def _times(a: Column | str, b: Column | str) -> Column:
-    return F.zip_with(a, b, lambda x, y: x * y)
+def _each(n: int, value) -> Column:
+    """value(i) for each language, written out: a function over an array would be interpreted row by row."""
+    return F.array(*[value(i) for i in range(n)])
+
+
+def _times(n: int, a: str, b: str) -> Column:
+    return _each(n, lambda i: F.get(a, F.lit(i)) * F.get(b, F.lit(i)))
+
+
+def _logs(n: int, p: str) -> Column:
+    return _each(n, lambda i: F.log(F.get(p, F.lit(i))).cast("float")).alias("logs")
 
 
 class Joined(Model):
     """The same model with its tables in Spark: levels[i] has (key, n, p) of the grams of i + 1 characters and (context, weight), p
-    and weight by language.  Only logarithms of frequent longest grams are in memory."""
+    and weight by language; the longest have logs, the logarithms of p.  Only those of frequent ones are in memory."""
 
     def __init__(self, languages: list[str], alphabet: int, order: int, shares: list[DataFrame], scratch: Scratch, max_cells: int):
         self.languages, self.order, self.shared, self.scratch = languages, order, None, scratch
@@ -252,24 +261,25 @@ class Joined(Model):
         for size, share in enumerate(shares, 1):
             share = scratch.table(share, f"share-{size}")
             before = F.shiftrightunsigned("key", 16)
-            weights = share.groupBy(before.alias("context")).agg(F.array(*[F.greatest(1 - x, F.lit(1e-12)) for x in own]).alias("weight"))
+            # a row a gram and language is exchanged, since partial sums by language are wider and merge little
+            weights = share.withColumn("context", before).repartition("context").groupBy("context").agg(F.array(*[F.greatest(1 - x, F.lit(1e-12)) for x in own]).alias("weight"))
             weights = scratch.table(weights, f"weights-{size}")
-            grams = share.groupBy("key").agg(F.sum("n").alias("n"), F.array(*own).alias("own")).join(weights, before == F.col("context"))
+            grams = share.repartition("key").groupBy("key").agg(F.sum("n").alias("n"), F.array(*own).alias("own")).join(weights, before == F.col("context"))
             if size == 1:
-                lower = F.array_repeat(F.lit(self.floor), n_lang)
+                grams = grams.withColumn("lower", F.array_repeat(F.lit(self.floor), n_lang))
             else:
                 # every gram's end is a gram of the level below
                 grams = grams.join(self.levels[-1][0].select(F.col("key").alias("short"), F.col("p").alias("lower")), _low(F.col("key"), size - 1) == F.col("short"))
-                lower = F.col("lower")
-            p = F.zip_with("own", _times(F.col("weight"), lower), lambda x, y: x + y)
-            self.levels.append((scratch.table(grams.select("key", "n", p.alias("p")), f"grams-{size}"), weights))
+            grams = grams.select("key", "n", _each(n_lang, lambda i: F.get("own", F.lit(i)) + F.get("weight", F.lit(i)) * F.get("lower", F.lit(i))).alias("p"))
+            grams = grams if size < order else grams.select("key", "n", _logs(n_lang, "p"))
+            self.levels.append((scratch.table(grams, f"grams-{size}"), weights))
         last = self.levels[-1][0]
         power = F.floor(F.log2("n")).cast("int").alias("power")
         sizes = {r.power: r.k for r in last.groupBy(power).agg(F.count("*").alias("k")).collect()}  # 63 rows at most
         least = 0
         while n_lang * sum(k for p, k in sizes.items() if p >= least) > max_cells:
             least += 1
-        often = last.where(F.col("n") >= F.lit(1 << least)).select("key", F.transform("p", lambda x: F.log(x).cast("float")).alias("logs")).toArrow().combine_chunks()
+        often = last.where(F.col("n") >= F.lit(1 << least)).select("key", "logs").toArrow().combine_chunks()
         logs = often.column("logs").combine_chunks() if often.num_rows else None
         values = logs.flatten().to_numpy().reshape(-1, n_lang) if logs is not None else np.zeros((0, n_lang), np.float32)
         table = Table(often.column("key").to_numpy().view(np.uint64), values)
@@ -279,23 +289,31 @@ class Joined(Model):
         return self.__dict__ | {"shared": None, "scratch": None, "levels": None}
 
     def find(self, keys: DataFrame) -> DataFrame:
-        """key and p, the probabilities by language, of each key of a longest gram."""
-        ones = F.array_repeat(F.lit(1.0), len(self.languages))
-        found = keys.select("key", F.lit(None).cast("array<double>").alias("p"), ones.alias("w"))
-        for size in range(self.order, 0, -1):
-            table, contexts = self.levels[size - 1]
-            at = found.withColumn("at", _low(F.col("key"), size)).withColumn("before", F.shiftrightunsigned("at", 16))
-            at = at.join(table.select(F.col("key").alias("at"), F.col("p").alias("own")), "at", "left")
-            at = at.join(contexts.select(F.col("context").alias("before"), "weight"), "before", "left")
-            found = at.select("key", F.coalesce("p", _times("w", "own")).alias("p"), _times(F.col("w"), F.coalesce("weight", ones)).alias("w"))
-        return found.select("key", F.coalesce("p", F.transform("w", lambda x: x * self.floor)).alias("p"))
+        """key and logs of each of the longest grams in keys, which are distinct."""
+        return self._stored(keys, self.order, "logs").unionByName(self._lost(keys, self.order).select("key", _logs(len(self.languages), "p")))
+
+    def _stored(self, keys: DataFrame, size: int, value: str) -> DataFrame:
+        own = self.levels[size - 1][0].select(F.col("key").alias("k"), value)
+        return keys.join(own, F.col("key") == F.col("k")).select("key", value)
+
+    def _lost(self, keys: DataFrame, size: int) -> DataFrame:
+        """key and p of those keys that aren't in the table of their size; only their ends, once each, are looked up below."""
+        table, contexts = self.levels[size - 1]
+        lost = self.scratch.table(keys.join(table.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_anti"), f"lost-{size}")
+        weight = F.coalesce("weight", F.array_repeat(F.lit(1.0), len(self.languages))).alias("weight")
+        weighed = lost.join(contexts, F.shiftrightunsigned("key", 16) == F.col("context"), "left").select("key", weight)
+        if size == 1:
+            return weighed.select("key", _each(len(self.languages), lambda i: F.get("weight", F.lit(i)) * self.floor).alias("p"))
+        ends = self.scratch.table(lost.select(_low(F.col("key"), size - 1).alias("key")).distinct(), f"ends-{size}")
+        below = self._stored(ends, size - 1, "p").unionByName(self._lost(ends, size - 1)).select(F.col("key").alias("short"), F.col("p").alias("lower"))
+        return weighed.join(below, _low(F.col("key"), size - 1) == F.col("short")).select("key", _times(len(self.languages), "weight", "lower").alias("p"))
 
     def _probability(self, keys: np.ndarray, size: int) -> np.ndarray:
         """For a few keys, on the driver."""
         asked, of = np.unique(keys, return_inverse=True)
         table = self.scratch.spark.createDataFrame(pa.table({"key": asked.view(np.int64)}))
-        found = {r.key: r.p for r in self.find(table).collect()}
-        return np.array([found[int(k)] for k in asked.view(np.int64)])[of]
+        found = {r.key: r.logs for r in self.find(table).collect()}
+        return np.exp(np.array([found[int(k)] for k in asked.view(np.int64)]))[of]
 
 
 def _count(conf: LangId):
@@ -479,8 +497,7 @@ def _predict_joined(plain: DataFrame, model: Joined, threshold: float, conf: Lan
     schema = f"row long, id {simple}, text string, entropy array<double>, size long, keys array<long>, counts array<long>"
     scored = scratch.table(map_batches(numbered, _partial(model.shared, arrow), schema, 128), "scored")
     missed = scored.where("keys is not null").select("row", F.explode(F.arrays_zip("keys", "counts")).alias("m")).select("row", F.col("m.keys").alias("key"), F.col("m.counts").alias("n"))
-    logs = F.transform("p", lambda x: F.log(x).cast("float")).alias("logs")
-    known = scratch.table(model.find(missed.select("key").distinct()).select("key", logs), "rare")
+    known = scratch.table(model.find(scratch.table(missed.select("key").distinct(), "asked")), "rare")
     beside = missed.withColumn("k", rekey(F.col("key"))).join(known.select(rekey(F.col("key")).alias("k"), "logs"), "k")
     rest = beside.groupBy("row").agg(F.array(*[F.sum(F.col("n") * F.get("logs", F.lit(j)).cast("double")) for j in range(n_lang)]).alias("rest"))
     per = F.greatest(F.col("size"), F.lit(1))

@@ -353,6 +353,21 @@ def test_a_model_above_max_cells_gives_the_same_predictions(spark, cells, monkey
         assert g.cross_entropy == pytest.approx(w.cross_entropy, abs=1e-5) and g.score == pytest.approx(w.score, abs=1e-4)
 
 
+def test_joined_grams_have_the_whole_models_probabilities(spark):
+    r = random.Random(12)
+    texts = [("".join(r.choice(letters) for _ in range(60)), lang) for lang, letters in (("x", "abcd "), ("y", "bcde "), ("z", "fg ")) for _ in range(20)]
+    labelled = spark.createDataFrame(texts, "text string, lang string")
+    whole, _ = langid.train(spark, labelled, langid.LangId())
+    with pytest.warns(UserWarning):
+        joined, _ = langid.train(spark, labelled, langid.LangId(max_cells=50))
+    # longest grams that are stored, and ones that are lost at one level, at several and at all
+    keys = np.unique([int(langid.grams(np.array([r.choice([langid.EDGE, *map(ord, "abcdefgq\u4e00")]) for _ in range(5)], np.uint16), 4)[-1]) for _ in range(1500)]).astype(np.uint64)
+    asked = spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key bigint")
+    got = {row.key: row.logs for row in joined.find(asked).collect()}
+    assert len(got) == len(keys) and joined.find(asked).count() == len(keys)
+    assert np.allclose([got[int(k)] for k in keys.view(np.int64)], np.log(whole._probability(keys, 4)), rtol=1e-5)
+
+
 def test_marks_belong_to_words_but_are_no_text(spark):
     assert langid.characters("\u0939\u093f\u0928\u094d\u0926\u0940").tolist() == [32, 0x939, 0x93F, 0x928, 0x94D, 0x926, 0x940, 32]
     assert langid.characters("\u0301 \u0302!").tolist() == [32]

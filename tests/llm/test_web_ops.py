@@ -390,3 +390,34 @@ def test_the_pipelines_language_stage_is_the_same_above_max_cells(spark, monkeyp
     monkeypatch.setattr(langid, "LangId", lambda: conf(max_cells=0))
     with pytest.warns(UserWarning):
         assert kept() == whole
+
+
+def test_no_bound_changes_the_pipelines_rows(spark, tmp_path, monkeypatch):
+    import corpus_pipeline as c
+    from monsoon.llm import components, decontam, langid, minhash
+
+    r = random.Random(8)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(*c.COLUMNS)
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    vocabulary = [f"{x}{y}" for x in ("the", "house", "river", "light") for y in ("s", "ed", "ing", "er", "ly", "", "en", "al")]
+    base, rows = [[r.choice(vocabulary) for _ in range(150)] for _ in range(2)], []
+    for i in range(120):  # buckets of many texts, of which some are linked
+        words = list(base[i % 2])
+        for _ in range(r.randint(0, 8)):
+            words[r.randrange(150)] = r.choice(vocabulary)
+        rows.append((20_000 + i, " ".join(words)))
+    rows += [(30_000 + i, f"in front of it. {x.text}") for i, x in enumerate(items.limit(5).collect())]
+    rows += [(40_000, "ξψζ ωφβ " * 40), (40_001, None), (None, "the house of the city is on the road")]
+    more = spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in rows], docs.schema)
+    docs.unionByName(more).write.parquet(str(tmp_path / "documents.parquet"))
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    found = lambda: sorted(map(repr, c.run(spark, str(tmp_path)).collect()))
+    whole = found()
+    assert sum("Row(doc_id=20" in x and "Row(doc_id=20," not in x for x in whole) < 120 and not any("doc_id=40000" in x for x in whole)
+    lang, near, leak = langid.LangId, minhash.MinHash, decontam.Decontam
+    monkeypatch.setattr(langid, "LangId", lambda: lang(max_cells=0))
+    monkeypatch.setattr(minhash, "MinHash", lambda: near(small=2, block=8, block_bytes=3000, salts=3, pivots=1))
+    monkeypatch.setattr(decontam, "Decontam", lambda: leak(broadcast_rows=0))
+    monkeypatch.setattr(components, "ONE_TASK_EDGES", 3)
+    with pytest.warns(UserWarning):
+        assert found() == whole
